@@ -95,3 +95,462 @@ def q_daily_summary(spark, sf_dir):
 @register("last_30", "SELECT * FROM daily_sum ORDER BY date DESC LIMIT 30")
 def q_last_30(spark, sf_dir):
     return present(feat.last_n(summary_df(spark, sf_dir), 30))
+
+
+# =============================================================================
+# Clean layer and row-local text functions
+# =============================================================================
+from sparksignal.functions import classify, sentiment, text  # noqa: E402
+from sparksignal.oracle_sql import rx, tags_sql  # noqa: E402
+from sparksignal.operators import clean, daily  # noqa: E402
+from sparksignal.plans import evaluation as ev  # noqa: E402
+from sparksignal.plans import models, signals  # noqa: E402
+from sparksignal.plans.materialize import materialize  # noqa: E402
+
+# Test wiring for the text queries (words that occur in the generated documents).
+DOC_TOPICS = [
+    ("quality", r"\b(best|license)\b"),
+    ("toxic", r"\b(stupid|idiot|moron|loser|trash|pathetic|worthless)\b"),
+    ("common", r"\b(the|der|de|la)\b"),
+]
+DOC_FILTER = r"\b(pas|avec|best|license)\b"
+AS_OF = "2024-01-31"
+
+
+def _head(c: str = "text"):
+    return F.trim(F.regexp_replace(F.substring(c, 1, 80), r"\s+", " "))
+
+
+_HEAD_SQL = "trim(regexp_replace(substr(text, 1, 80), '\\s+', ' ', 'g'))"
+
+
+@register("clean_prices", """
+SELECT * FROM (
+  SELECT TRY_CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS date,
+         o_totalprice AS open, o_totalprice AS high, o_totalprice AS low, o_totalprice AS close,
+         o_custkey AS volume, o_orderkey AS src_id
+  FROM orders)
+WHERE date IS NOT NULL AND close IS NOT NULL AND NOT isnan(close)
+QUALIFY row_number() OVER (PARTITION BY date ORDER BY src_id DESC) = 1""")
+def q_clean_prices(spark, sf_dir):
+    """Every order is a landed price row; the newest pull (highest key) wins per day."""
+    o = views.table(spark, sf_dir, "orders")
+    p = F.col("o_totalprice")
+    landed = o.select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+                      p.alias("open"), p.alias("high"), p.alias("low"), p.alias("close"),
+                      F.col("o_custkey").alias("volume"), F.col("o_orderkey").alias("src_id"))
+    return present(clean.clean_source(landed, "prices", ["src_id"], descending=True))
+
+
+@register("dedup_first_seen", f"""
+SELECT feed_ord, entry_ord, source, title FROM (
+  SELECT 0 AS feed_ord, doc_id AS entry_ord, source, {_HEAD_SQL} AS title
+    FROM documents WHERE lang = 'en'
+  UNION ALL SELECT 1, doc_id, source, {_HEAD_SQL} FROM documents WHERE lang = 'de'
+  UNION ALL SELECT 2, doc_id, source, {_HEAD_SQL} FROM documents WHERE lang = 'fr'
+  UNION ALL SELECT 3, doc_id, source, {_HEAD_SQL} FROM documents WHERE lang = 'es')
+QUALIFY row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY feed_ord, entry_ord) = 1""")
+def q_dedup_first_seen(spark, sf_dir):
+    """Four language feeds in order; first-seen title wins across feeds."""
+    d = views.table(spark, sf_dir, "documents")
+    feeds = [d.where(F.col("lang") == lang).select(F.col("doc_id").alias("entry_ord"), "source",
+                                                    _head().alias("title"))
+             for lang in ("en", "de", "fr", "es")]
+    u = clean.union_feeds(feeds)
+    return clean.first_seen(u).select("feed_ord", "entry_ord", "source", "title")
+
+
+@register("dedup_within_feed", f"""
+SELECT lang, doc_id, title FROM (SELECT lang, doc_id, {_HEAD_SQL} AS title FROM documents)
+QUALIFY row_number() OVER (PARTITION BY lang, lower(trim(title)) ORDER BY doc_id) = 1""")
+def q_dedup_within_feed(spark, sf_dir):
+    """First-seen dedup inside each feed (language) on the raw title (D3)."""
+    d = views.table(spark, sf_dir, "documents").select("lang", "doc_id", _head().alias("title"))
+    return clean.first_seen(d, order=["doc_id"], within=["lang"]).select("lang", "doc_id",
+                                                                          "title")
+
+
+@register("topic_tags", f"""
+SELECT doc_id,
+       {tags_sql('text', text.STATEMENT_TOPICS)} AS tags_reference,
+       {tags_sql('text', DOC_TOPICS)} AS tags,
+       coalesce(regexp_matches(text, {rx(text.SPILLOVER_PATTERN)}), false) AS spillover,
+       coalesce(regexp_matches(text, {rx(DOC_FILTER)}), false) AS flagged
+FROM documents""")
+def q_topic_tags(spark, sf_dir):
+    """Multi-label tags (reference and test topic sets) and keyword flags on whole texts."""
+    d = views.table(spark, sf_dir, "documents")
+    return d.select(
+        "doc_id",
+        text.topic_tags("text", text.STATEMENT_TOPICS).alias("tags_reference"),
+        text.topic_tags("text", DOC_TOPICS).alias("tags"),
+        text.keyword_flag("text", text.SPILLOVER_PATTERN).alias("spillover"),
+        text.keyword_flag("text", DOC_FILTER).alias("flagged"),
+    )
+
+
+_RAW_TITLE_SQL = (f"(CASE doc_id % 3 WHEN 0 THEN {_HEAD_SQL} || ' - ' || source "
+                  f"WHEN 1 THEN {_HEAD_SQL} || ' - Wire - ' || source ELSE {_HEAD_SQL} END)")
+
+
+@register("source_split", f"""
+SELECT doc_id, raw_title,
+       CASE WHEN contains(raw_title, ' - ') THEN trim(string_split(raw_title, ' - ')[-1])
+            ELSE 'unknown' END AS source,
+       CASE WHEN contains(raw_title, ' - ')
+            THEN trim(regexp_replace(raw_title, '(?s)^(.*) - .*$', '\\1'))
+            ELSE raw_title END AS title
+FROM (SELECT doc_id, {_RAW_TITLE_SQL} AS raw_title FROM documents)""")
+def q_source_split(spark, sf_dir):
+    """Headlines with zero, one and two " - ": source after the last one, title before it."""
+    d = views.table(spark, sf_dir, "documents")
+    h, src = _head(), F.col("source")
+    raw = (F.when(F.col("doc_id") % 3 == 0, F.concat(h, F.lit(" - "), src))
+           .when(F.col("doc_id") % 3 == 1, F.concat(h, F.lit(" - Wire - "), src)).otherwise(h))
+    t = d.select("doc_id", raw.alias("raw_title"))
+    return t.select("doc_id", "raw_title", text.split_source("raw_title").alias("source"),
+                    text.strip_source("raw_title").alias("title"))
+
+
+@register("stance_classify", """
+SELECT doc_id, compound,
+       CASE WHEN compound > 0.05 THEN 'favor' WHEN compound < -0.05 THEN 'against'
+            ELSE 'neutral' END AS stance,
+       CASE WHEN compound > 0.1 THEN 'de-escalation' WHEN compound < -0.1 THEN 'escalation'
+            ELSE 'neutral' END AS escalation,
+       CASE WHEN compound > 0.05 THEN 'positive' WHEN compound < -0.05 THEN 'negative'
+            ELSE 'neutral' END AS badge
+FROM doc_scores""")
+def q_stance_classify(spark, sf_dir):
+    """Lexicon compound of every whole document and its three-way labels."""
+    d = views.table(spark, sf_dir, "documents")
+    s = d.select("doc_id", sentiment.lexicon_compound("text").alias("compound"))
+    return present(s.select("doc_id", "compound", classify.stance("compound").alias("stance"),
+                            classify.escalation("compound").alias("escalation"),
+                            classify.badge("compound").alias("badge")))
+
+
+@register("keyword_filter", f"""
+SELECT doc_id, lang, source FROM documents
+WHERE coalesce(regexp_matches(text, {rx(DOC_FILTER)}), false)""")
+def q_keyword_filter(spark, sf_dir):
+    """Keep documents whose whole text matches the relevance pattern."""
+    d = views.table(spark, sf_dir, "documents")
+    return d.where(text.keyword_flag("text", DOC_FILTER)).select("doc_id", "lang", "source")
+
+
+@register("rfc822_dates", f"""
+SELECT doc_id, stamp,
+       coalesce(TRY_CAST(try_strptime(regexp_extract(stamp, '(\\d{{1,2}} [A-Za-z]{{3}} \\d{{4}})', 1),
+                                      '%d %b %Y') AS DATE), DATE '{AS_OF}') AS day
+FROM (SELECT doc_id,
+             CASE doc_id % 4
+               WHEN 0 THEN strftime(DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER),
+                                    '%a, %d %b %Y') || ' 08:15:00 +0000'
+               WHEN 1 THEN strftime(DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER),
+                                    '%-d %b %Y') || ' 23:10:00 -0400'
+               WHEN 2 THEN 'not a date' END AS stamp
+      FROM documents)""")
+def q_rfc822_dates(spark, sf_dir):
+    """Feed stamps with offsets, junk and nulls -> calendar day, fallback ``as_of``."""
+    d = views.table(spark, sf_dir, "documents")
+    day = F.date_add(F.lit(views.EPOCH).cast("date"), (F.col("doc_id") % views.N_DAYS).cast("int"))
+    m = F.col("doc_id") % 4
+    stamp = (F.when(m == 0, F.concat(F.date_format(day, "EEE, dd MMM yyyy"),
+                                     F.lit(" 08:15:00 +0000")))
+             .when(m == 1, F.concat(F.date_format(day, "d MMM yyyy"), F.lit(" 23:10:00 -0400")))
+             .when(m == 2, F.lit("not a date")))
+    s = d.select("doc_id", stamp.alias("stamp"))
+    return s.select("doc_id", "stamp",
+                    text.rfc822_date("stamp", F.lit(AS_OF).cast("date")).alias("day"))
+
+
+@register("lexicon_sentiment", """
+SELECT d.doc_id, count(t.token) AS n_tokens, count(l.valence) AS n_hits,
+       round(coalesce(sum(l.valence), 0.0), 6) AS valence_sum,
+       round(coalesce(sum(l.valence), 0.0)
+             / sqrt(coalesce(sum(l.valence), 0.0) * coalesce(sum(l.valence), 0.0) + 15.0), 4)
+         AS compound
+FROM documents d
+LEFT JOIN (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS token
+           FROM documents) t ON t.doc_id = d.doc_id
+LEFT JOIN lexicon l ON l.token = t.token
+GROUP BY d.doc_id""")
+def q_lexicon_sentiment(spark, sf_dir):
+    """Token x lexicon join over whole documents, aggregated per document."""
+    d = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    lex = sentiment.lexicon_frame(spark)  # fixed word list: size known, safe to broadcast
+    return present(sentiment.lexicon_join_scores(d, "doc_id", "text", lex,
+                                                 broadcast_lexicon=True))
+
+
+# =============================================================================
+# Daily aggregates and rolling windows
+# =============================================================================
+@register("daily_sentiment_rolling", f"""
+SELECT date, {r6('reddit_sentiment_avg', 'sentiment_rolling_3d')} FROM posts_daily""")
+def q_daily_sentiment_rolling(spark, sf_dir):
+    return present(feat.posts_daily(views.cleaned(spark, sf_dir, "posts")))
+
+
+@register("statements_rolling", f"""
+SELECT date, {r6('trump_sentiment_avg', 'trump_sentiment_rolling_3d')} FROM statements_daily""")
+def q_statements_rolling(spark, sf_dir):
+    return present(feat.statements_daily(views.cleaned(spark, sf_dir, "statements")))
+
+
+@register("base_segment_rolling", f"""
+SELECT date, {r6('base_war_sentiment', 'base_sentiment_rolling_7d')} FROM base_daily""")
+def q_base_segment_rolling(spark, sf_dir):
+    return present(feat.base_segment_daily(views.cleaned(spark, sf_dir, "posts")))
+
+
+@register("weighted_news", f"SELECT date, {r6('news_sentiment')} FROM news_daily")
+def q_weighted_news(spark, sf_dir):
+    return present(feat.news_daily(views.cleaned(spark, sf_dir, "news")))
+
+
+@register("stance_daily", f"""
+SELECT date, {r6('war_sentiment_avg')}, war_article_count, favor_count, against_count,
+       {r6('favor_ratio')} FROM conflict_daily""")
+def q_stance_daily(spark, sf_dir):
+    return present(feat.conflict_daily(views.cleaned(spark, sf_dir, "conflict_news")))
+
+
+@register("tension_daily", f"""
+SELECT date, article_count, {r6('avg_sentiment', 'escalation_pct', 'iran_pct',
+                                'war_probability')} FROM tension_days""")
+def q_tension_daily(spark, sf_dir):
+    return present(models.tension_days(views.cleaned(spark, sf_dir, "tension_news")))
+
+
+@register("tension_batch", """
+SELECT n_articles, round(avg_sentiment, 6) AS avg_sentiment,
+       round(escalation_ratio, 6) AS escalation_ratio, round(iran_pct, 6) AS iran_pct,
+       round(greatest(0.05::DOUBLE, least(0.95::DOUBLE,
+         0.20::DOUBLE + escalation_ratio * 0.30::DOUBLE - avg_sentiment * 0.15::DOUBLE
+         + iran_pct * 0.10::DOUBLE + least(n_articles / 200.0::DOUBLE, 0.15::DOUBLE))), 6)
+         AS war_probability
+FROM (SELECT count(*) AS n_articles, avg(sentiment_compound) AS avg_sentiment,
+             count_if(escalation = 'escalation') / count(*) AS escalation_ratio,
+             avg(CASE WHEN lower(iran_spillover) = 'true' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+               AS iran_pct
+      FROM tension)""")
+def q_tension_batch(spark, sf_dir):
+    return present(models.tension_batch(views.cleaned(spark, sf_dir, "tension_news")))
+
+
+@register("tension_report", """
+WITH td AS (
+  SELECT *, row_number() OVER w AS idx,
+         avg(war_probability) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent,
+         avg(war_probability) OVER (w ROWS BETWEEN 5 PRECEDING AND 3 PRECEDING) AS before,
+         first_value(war_probability) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+           AS first_p
+  FROM tension_days WINDOW w AS (ORDER BY date)),
+latest AS (
+  SELECT date AS latest_date, war_probability AS latest_probability,
+         CASE WHEN idx >= 6 THEN recent - before WHEN idx >= 2 THEN war_probability - first_p
+              ELSE 0.0 END AS trend_delta
+  FROM td ORDER BY date DESC LIMIT 1),
+tot AS (
+  SELECT count(*) AS n_total, count_if(escalation = 'escalation') AS n_escalation,
+         CAST(sum(CASE WHEN lower(iran_spillover) = 'true' THEN 1 ELSE 0 END) AS BIGINT) AS iran_n,
+         avg(sentiment_compound) AS avg_sentiment
+  FROM tension)
+SELECT latest_date, round(latest_probability, 6) AS latest_probability,
+       CASE WHEN latest_probability >= 0.75 THEN 6 WHEN latest_probability >= 0.55 THEN 12
+            WHEN latest_probability >= 0.35 THEN 24 ELSE 36 END AS months_ahead,
+       strftime(date_trunc('quarter', latest_date + to_months(
+         CASE WHEN latest_probability >= 0.75 THEN 6 WHEN latest_probability >= 0.55 THEN 12
+              WHEN latest_probability >= 0.35 THEN 24 ELSE 36 END)), '%B %Y') AS estimated_window,
+       CASE WHEN latest_probability >= 0.60 THEN 'HIGH' WHEN latest_probability >= 0.35
+            THEN 'MODERATE' ELSE 'LOW' END AS risk,
+       round(trend_delta, 6) AS trend_delta,
+       CASE WHEN trend_delta > 0.02 THEN 'rising' WHEN trend_delta < -0.02 THEN 'falling'
+            ELSE 'stable' END AS trend,
+       CAST(n_total AS BIGINT) AS n_total, CAST(n_escalation AS BIGINT) AS n_escalation,
+       round(CASE WHEN n_total > 0 THEN n_escalation / n_total ELSE 0.0 END, 6)
+         AS escalation_ratio,
+       iran_n, round(avg_sentiment, 6) AS avg_sentiment
+FROM latest, tot""")
+def q_tension_report(spark, sf_dir):
+    return present(models.tension_report(views.cleaned(spark, sf_dir, "tension_news")))
+
+
+# =============================================================================
+# Index models
+# =============================================================================
+@register("pressure_index", "SELECT * FROM pressure")
+def q_pressure_index(spark, sf_dir):
+    return present(models.pressure_index(features_df(spark, sf_dir)))
+
+
+@register("strike_outlook", """
+SELECT date, round(1.0::DOUBLE - exit_probability, 6) AS strike_probability,
+       CASE WHEN 1.0 - exit_probability >= 0.65 THEN 3 WHEN 1.0 - exit_probability >= 0.45 THEN 6
+            WHEN 1.0 - exit_probability >= 0.25 THEN 12 ELSE 24 END AS months_ahead,
+       strftime(date + to_months(
+         CASE WHEN 1.0 - exit_probability >= 0.65 THEN 3 WHEN 1.0 - exit_probability >= 0.45
+              THEN 6 WHEN 1.0 - exit_probability >= 0.25 THEN 12 ELSE 24 END), '%B %Y')
+         AS estimated_window,
+       CASE WHEN 1.0 - exit_probability >= 0.55 THEN 'HIGH'
+            WHEN 1.0 - exit_probability >= 0.30 THEN 'MODERATE' ELSE 'LOW' END AS risk,
+       pressure_index, base_sentiment_trend
+FROM pressure""")
+def q_strike_outlook(spark, sf_dir):
+    return present(models.strike_outlook(models.pressure_index(features_df(spark, sf_dir))))
+
+
+@register("ceasefire", """
+SELECT date, round(rs, 6) AS recent_war_sentiment, round(rf, 6) AS recent_favor_ratio,
+       coalesce(rs > 0.15 AND rf > 0.70, false) AS ceasefire
+FROM (SELECT date,
+             avg(avg_war_sentiment) OVER (ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+               AS rs,
+             avg(favor_ratio) OVER (ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS rf
+      FROM daily_sum)""")
+def q_ceasefire(spark, sf_dir):
+    return present(models.ceasefire(summary_df(spark, sf_dir)))
+
+
+# =============================================================================
+# Signals and backtest
+# =============================================================================
+def signals_df(spark, sf_dir):
+    # the day-grain summary feeds the min-max scalar subquery and the main plan: cut once
+    return signals.build_signals(materialize(summary_df(spark, sf_dir)))
+
+
+@register("minmax_signals", f"""
+SELECT date, {r6(*signals.SIGNAL_COLUMNS)} FROM sig_scored""")
+def q_minmax_signals(spark, sf_dir):
+    s = signals.minmax_signals(materialize(summary_df(spark, sf_dir)))
+    return present(s.select("date", *signals.SIGNAL_COLUMNS))
+
+
+@register("trade_signals", f"""
+SELECT date, {r6('composite_score')}, signal, {r6('signal_strength')} FROM signals""")
+def q_trade_signals(spark, sf_dir):
+    s = signals.trade_signals(materialize(summary_df(spark, sf_dir)))
+    return present(s.select("date", "composite_score", "signal", "signal_strength"))
+
+
+@register("backtest", """
+SELECT date, signal, CAST(next_day_direction AS INTEGER) AS next_day_direction,
+       CAST(signal_numeric AS INTEGER) AS signal_numeric, correct FROM signals""")
+def q_backtest(spark, sf_dir):
+    return signals_df(spark, sf_dir).select("date", "signal", "next_day_direction",
+                                            "signal_numeric", "correct")
+
+
+@register("signal_reasons", "SELECT date, reason FROM signals")
+def q_signal_reasons(spark, sf_dir):
+    return signals_df(spark, sf_dir).select("date", "reason")
+
+
+@register("signal_summary", """
+SELECT CAST(count_if(signal = 'BUY') AS BIGINT) AS n_buy,
+       CAST(count_if(signal = 'SELL') AS BIGINT) AS n_sell,
+       CAST(count_if(signal = 'HOLD') AS BIGINT) AS n_hold, count(correct) AS n_trades,
+       CAST(coalesce(sum(correct), 0.0) AS BIGINT) AS n_correct,
+       round(coalesce(avg(correct), 0.0), 6) AS accuracy,
+       arg_max(signal, date) AS latest_signal,
+       round(arg_max(composite_score, date), 6) AS latest_score,
+       arg_max(reason, date) AS latest_reason
+FROM signals""")
+def q_signal_summary(spark, sf_dir):
+    return present(signals.signal_summary(signals_df(spark, sf_dir)))
+
+
+@register("backtest_detail", f"""
+SELECT date, signal, {r6('avg_price', 'composite_score', 'signal_strength')}, reason,
+       CASE WHEN next_day_direction = 1 THEN 'Up ↑' WHEN next_day_direction = 0 THEN 'Down ↓'
+       END AS next_day,
+       CASE WHEN correct = 1.0 THEN '✓ Correct' WHEN correct = 0.0 THEN '✗ Wrong' END AS result
+FROM signals ORDER BY date DESC""")
+def q_backtest_detail(spark, sf_dir):
+    return present(signals.backtest_detail(signals_df(spark, sf_dir)))
+
+
+# =============================================================================
+# Prediction evaluation
+# =============================================================================
+def evaluation_df(spark, sf_dir):
+    return ev.evaluate(views.predictions(spark, sf_dir), features_df(spark, sf_dir))
+
+
+@register("prediction_eval", "SELECT * FROM evaluation")
+def q_prediction_eval(spark, sf_dir):
+    return present(evaluation_df(spark, sf_dir))
+
+
+@register("running_accuracy", """
+SELECT pred_date, correct,
+       round(avg(correct) OVER (ORDER BY pred_date ROWS BETWEEN UNBOUNDED PRECEDING
+             AND CURRENT ROW), 6) AS cumulative_accuracy,
+       round(avg(correct) OVER (ORDER BY pred_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6)
+         AS recent_accuracy
+FROM evaluation WHERE correct IS NOT NULL""")
+def q_running_accuracy(spark, sf_dir):
+    return present(ev.running_accuracy(evaluation_df(spark, sf_dir)))
+
+
+@register("accuracy_summary", """
+SELECT count(*) AS total_evaluated, CAST(sum(correct) AS BIGINT) AS correct_count,
+       round(avg(correct), 6) AS accuracy, round(arg_max(recent, pred_date), 6) AS recent_accuracy,
+       (SELECT count(*) FROM evaluation WHERE correct IS NULL) AS pending
+FROM (SELECT pred_date, correct,
+             avg(correct) OVER (ORDER BY pred_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+               AS recent
+      FROM evaluation WHERE correct IS NOT NULL)""")
+def q_accuracy_summary(spark, sf_dir):
+    return present(ev.accuracy_summary(evaluation_df(spark, sf_dir)))
+
+
+@register("prediction_history", """
+SELECT p.date, p.prediction,
+       CASE WHEN s.price_direction = 1 THEN 'Up' WHEN s.price_direction = 0 THEN 'Down' END
+         AS actual,
+       round(p.confidence, 6) AS confidence,
+       CASE WHEN coalesce(p.prediction_numeric = s.price_direction, false) THEN '✓' ELSE '✗' END
+         AS correct
+FROM predictions p LEFT JOIN daily_sum s ON s.date = p.date""")
+def q_prediction_history(spark, sf_dir):
+    return present(ev.prediction_history(views.predictions(spark, sf_dir),
+                                         summary_df(spark, sf_dir)))
+
+
+@register("classifier_metrics", """
+SELECT tp, fp, fn, tn,
+       round(CASE WHEN tp + fp + fn + tn > 0 THEN (tp + tn) / (tp + fp + fn + tn) ELSE 0.0 END, 4)
+         AS accuracy,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END, 4) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END, 4) AS recall
+FROM (SELECT CAST(count_if(f.price_direction = 1 AND p.prediction_numeric = 1) AS BIGINT) AS tp,
+             CAST(count_if(f.price_direction = 0 AND p.prediction_numeric = 1) AS BIGINT) AS fp,
+             CAST(count_if(f.price_direction = 1 AND p.prediction_numeric = 0) AS BIGINT) AS fn,
+             CAST(count_if(f.price_direction = 0 AND p.prediction_numeric = 0) AS BIGINT) AS tn
+      FROM predictions p JOIN features f ON f.date = p.date)""")
+def q_classifier_metrics(spark, sf_dir):
+    """Confusion counts and metrics of the logged predictions against actual labels."""
+    p = views.predictions(spark, sf_dir)
+    f = features_df(spark, sf_dir).select("date", F.col("price_direction").alias("label"))
+    scored = p.join(f, "date").select("label", F.col("prediction_numeric").alias("prediction"))
+    return present(ev.classifier_metrics(scored))
+
+
+@register("metric_cards", """
+SELECT CASE WHEN (SELECT arg_max(prediction, date) FROM predictions) IS NULL THEN 'N/A'
+            ELSE (CASE WHEN (SELECT arg_max(prediction, date) FROM predictions) = 'Up'
+                       THEN '↑' ELSE '↓' END) || ' ' || (SELECT arg_max(prediction, date)
+                                                         FROM predictions) END
+         AS prediction_card,
+       round(arg_max(avg_price, date), 6) AS latest_price,
+       round(arg_max(favor_ratio, date), 6) AS latest_favor_ratio,
+       round((SELECT arg_max(exit_probability, date) FROM pressure), 6) AS exit_pressure
+FROM daily_sum""")
+def q_metric_cards(spark, sf_dir):
+    f = features_df(spark, sf_dir)
+    return present(ev.metric_cards(feat.daily_summary(f), views.predictions(spark, sf_dir),
+                                   models.pressure_index(f)))

@@ -118,7 +118,7 @@ def rfc822_date(stamp: str | Column, fallback: Column | None = None) -> Column:
     stamps give ``fallback`` (the caller's ``as_of`` day).
     """
     day = F.regexp_extract(col_(stamp), r"(\d{1,2} [A-Za-z]{3} \d{4})", 1)
-    parsed = F.try_to_date(day, F.lit("d MMM yyyy"))
+    parsed = F.try_to_date(day, "d MMM yyyy")
     return parsed if fallback is None else F.coalesce(parsed, fallback)
 
 

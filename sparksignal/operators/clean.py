@@ -20,7 +20,7 @@ from sparksignal import schemas
 def to_date_safe(c: str | Column, fmt: str | None = None) -> Column:
     """``try_to_date``: unparseable -> null instead of an ANSI error."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(x) if fmt is None else F.try_to_date(x, F.lit(fmt))
+    return F.try_to_date(x) if fmt is None else F.try_to_date(x, fmt)
 
 
 def normalise(df: DataFrame, date_col: str = "date", trim_cols: Sequence[str] = ()) -> DataFrame:

@@ -104,12 +104,11 @@ def minmax_scale(df: DataFrame, cols: Sequence[tuple[str, str]], fill: dict | No
     """
     fill = fill or {}
     src = {c: F.coalesce(F.col(c), F.lit(fill[c])) if c in fill else F.col(c) for c, _ in cols}
-    stats = df.agg(*[F.min(src[c]).alias(f"mn_{c}") for c, _ in cols],
-                   *[F.max(src[c]).alias(f"mx_{c}") for c, _ in cols])
+    stats = df.agg(F.struct(*[F.min(src[c]).alias(f"mn_{c}") for c, _ in cols],
+                            *[F.max(src[c]).alias(f"mx_{c}") for c, _ in cols])).scalar()
     out = df
     for c, name in cols:
-        mn = stats.select(f"mn_{c}").scalar()
-        mx = stats.select(f"mx_{c}").scalar()
+        mn, mx = stats[f"mn_{c}"], stats[f"mx_{c}"]
         scaled = F.when(mx == mn, F.lit(0.0)).otherwise(
             F.lit(2.0) * (src[c] - mn) / (mx - mn) - F.lit(1.0))
         if name in negate:

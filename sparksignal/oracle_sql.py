@@ -31,6 +31,11 @@ def tags_sql(text: str, topics) -> str:
     return f"(CASE WHEN {j} = '' THEN 'general' ELSE {j} END)"
 
 
+def sround(x: str, digits: int) -> str:
+    """Spark's ``round`` on a double: HALF_UP on the shortest decimal form of the value."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def day_sql(id_col: str) -> str:
     return f"(DATE '{views.EPOCH}' + CAST({id_col} % {views.N_DAYS} AS INTEGER))"
 
@@ -216,6 +221,111 @@ CTES: list[tuple[str, str]] = [
   FROM features GROUP BY date"""),
 ]
 
+
+_SIG = [  # (name, source column, fill, inverted, weight, label)
+    ("sig_momentum", "avg_price_delta", "0.0", False, "0.25", "Price Momentum"),
+    ("sig_news", "avg_news_sentiment", "0.0", False, "0.20", "News Sentiment"),
+    ("sig_reddit", "avg_reddit_sentiment", "0.0", False, "0.15", "Reddit Sentiment"),
+    ("sig_trump", "avg_trump_sentiment", "0.0", False, "0.15", "Trump Sentiment"),
+    ("sig_war", "avg_war_sentiment", "0.0", True, "0.15", "War Escalation"),
+    ("sig_favor", "favor_ratio", "0.5", True, "0.10", "War Stance"),
+]
+
+
+def _scaled(name: str, inverted: bool) -> str:
+    x, mn, mx = f"x_{name}", f"mn_{name}", f"mx_{name}"
+    e = (f"(CASE WHEN {mx} = {mn} THEN 0.0::DOUBLE "
+         f"ELSE 2.0::DOUBLE * ({x} - {mn}) / ({mx} - {mn}) - 1.0::DOUBLE END)")
+    return f"(-{e} + 0.0::DOUBLE)" if inverted else e
+
+
+_SIG_INPUTS = ", ".join(f"coalesce({src}, {fill}::DOUBLE) AS x_{n}"
+                        for n, src, fill, _, _, _ in _SIG)
+_SIG_STATS = ", ".join(f"min(x_{n}) AS mn_{n}, max(x_{n}) AS mx_{n}" for n, *_ in _SIG)
+_SIG_COLS = ", ".join(f"{_scaled(n, inv)} AS {n}" for n, _, _, inv, _, _ in _SIG)
+_COMPOSITE = " + ".join(f"{w}::DOUBLE * {n}" for n, _, _, _, w, _ in _SIG)
+_CONTRIB = "\n    UNION ALL ".join(
+    f"SELECT date, {i} AS o, '{label}' AS l, {n} * {w}::DOUBLE AS v FROM sig_scored"
+    for i, (n, _, _, _, w, label) in enumerate(_SIG))
+
+CTES += [
+    ("doc_scores", """
+  SELECT d.doc_id, d.lang, d.source,
+         round(coalesce(s.vs, 0.0) / sqrt(coalesce(s.vs, 0.0) * coalesce(s.vs, 0.0) + 15.0), 4)
+           AS compound
+  FROM documents d LEFT JOIN doc_valence s ON s.doc_id = d.doc_id"""),
+    ("tension_days", """
+  SELECT *, greatest(0.05::DOUBLE, least(0.95::DOUBLE,
+           0.20::DOUBLE + escalation_pct * 0.30::DOUBLE - avg_sentiment * 0.15::DOUBLE
+           + iran_pct * 0.10::DOUBLE + least(article_count / 200.0::DOUBLE, 0.15::DOUBLE)))
+           AS war_probability
+  FROM (SELECT date, count(title) AS article_count, avg(sentiment_compound) AS avg_sentiment,
+               avg(CASE WHEN escalation = 'escalation' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+                 AS escalation_pct,
+               avg(CASE WHEN lower(iran_spillover) = 'true' THEN 1.0::DOUBLE
+                        ELSE 0.0::DOUBLE END) AS iran_pct
+        FROM tension GROUP BY date)"""),
+    ("pressure_terms", f"""
+  SELECT date, b7, p, favor_ratio, war_sentiment_avg, {sround('raw_pressure', 4)} AS pressure_index
+  FROM (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+           0.35::DOUBLE * greatest(0.0::DOUBLE, least(1.0::DOUBLE, (0.0::DOUBLE - b7 + 0.5::DOUBLE) / 1.0::DOUBLE))
+           + 0.30::DOUBLE * greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1.0::DOUBLE - favor_ratio))
+           + 0.20::DOUBLE * greatest(0.0::DOUBLE, least(1.0::DOUBLE, (0.0::DOUBLE - war_sentiment_avg + 0.5::DOUBLE) / 1.0::DOUBLE))
+           + 0.15::DOUBLE * greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+               (-(CASE WHEN p != 0.0 THEN b7 - p ELSE 0.0::DOUBLE END) + 0.1::DOUBLE) / 0.2::DOUBLE))))
+           AS raw_pressure
+        FROM (SELECT date, base_sentiment_rolling_7d AS b7,
+                     lag(base_sentiment_rolling_7d) OVER (ORDER BY date) AS p,
+                     favor_ratio, war_sentiment_avg FROM features))"""),
+    ("pressure", """
+  SELECT date,
+         round(1.0::DOUBLE / (1.0::DOUBLE + exp(-((pressure_index - 0.5::DOUBLE) * 6.0::DOUBLE))), 4)
+           AS exit_probability,
+         pressure_index,
+         CASE WHEN b7 < p - 0.01 THEN 'declining' WHEN b7 > p + 0.01 THEN 'improving'
+              ELSE 'stable' END AS base_sentiment_trend,
+         round(b7, 4) AS base_sentiment_current,
+         round(favor_ratio, 4) AS favor_ratio,
+         round(war_sentiment_avg, 4) AS war_sentiment_avg
+  FROM pressure_terms"""),
+    ("sig_in", f"SELECT *, {_SIG_INPUTS} FROM daily_sum"),
+    ("sig_stats", f"SELECT {_SIG_STATS} FROM sig_in"),
+    ("sig_scored", f"""
+  SELECT *, {_SIG_COLS} FROM sig_in, sig_stats"""),
+    ("sig_contrib", _CONTRIB),
+    ("sig_reason", """
+  SELECT date, string_agg(l || ' ' || CASE WHEN v > 0 THEN '↑' ELSE '↓' END, ' + ' ORDER BY rk)
+           AS reason
+  FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY abs(v) DESC, o) AS rk
+        FROM sig_contrib)
+  WHERE rk <= 2 GROUP BY date"""),
+    ("signals", f"""
+  SELECT *,
+         CASE WHEN signal IN ('BUY', 'SELL') AND next_day_direction IS NOT NULL
+              THEN CAST(signal_numeric = next_day_direction AS DOUBLE) END AS correct
+  FROM (SELECT s.*, r.reason,
+               lead(s.price_direction) OVER (ORDER BY s.date) AS next_day_direction,
+               CASE s.signal WHEN 'BUY' THEN 1 WHEN 'SELL' THEN 0 END AS signal_numeric
+        FROM (SELECT *, CASE WHEN composite_score > 0.12 THEN 'BUY'
+                             WHEN composite_score < -0.12 THEN 'SELL' ELSE 'HOLD' END AS signal,
+                        least(abs(composite_score), 1.0::DOUBLE) AS signal_strength
+              FROM (SELECT *, {_COMPOSITE} AS composite_score FROM sig_scored)) s
+        JOIN sig_reason r ON r.date = s.date)"""),
+    ("evaluation", """
+  SELECT p.date AS pred_date,
+         CASE WHEN p.prediction_numeric = 1 THEN 'Up' ELSE 'Down' END AS predicted,
+         CASE WHEN f.price_direction = 1 THEN 'Up' WHEN f.price_direction = 0 THEN 'Down'
+              ELSE 'pending' END AS actual,
+         CAST(CASE WHEN f.price_direction IS NOT NULL
+                   THEN CAST(p.prediction_numeric = f.price_direction AS INTEGER) END AS INTEGER)
+           AS correct,
+         round(p.confidence, 4) AS confidence,
+         CASE WHEN f.price_direction IS NULL THEN 'pending'
+              WHEN p.prediction_numeric = f.price_direction THEN 'correct'
+              ELSE 'incorrect' END AS status
+  FROM predictions p LEFT JOIN features f ON f.date = p.date"""),
+]
+
 _NAMES = [n for n, _ in CTES]
 
 
@@ -232,4 +342,10 @@ def compose(body: str) -> str:
 
     visit(body)
     parts = [f"{n} AS ({texts[n]}\n)" for n in _NAMES if n in needed]
-    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+    if not parts:
+        return body
+    head = "WITH " + ",\n".join(parts)
+    stripped = body.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return head + ",\n" + stripped[5:]
+    return head + "\n" + body

@@ -13,6 +13,8 @@ import sys
 import time
 
 import duckdb
+import numpy as np
+import pandas as pd
 
 sys.path.insert(0, ".")
 
@@ -24,14 +26,20 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def norm(v):
+    if v is None or v is pd.NA or v is pd.NaT:
+        return None
+    if isinstance(v, float) and math.isnan(v):
+        return None
     if isinstance(v, datetime.datetime) and v.time() == datetime.time(0):
         return v.date()
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
         return float(v) + 0.0
-    if hasattr(v, "tolist"):
-        return tuple(v.tolist())
+    if isinstance(v, np.ndarray):
+        return tuple(norm(x) for x in v.tolist())
+    if isinstance(v, np.generic):
+        return norm(v.item())
     if isinstance(v, list):
         return tuple(v)
     return v
