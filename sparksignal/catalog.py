@@ -554,3 +554,181 @@ def q_metric_cards(spark, sf_dir):
     f = features_df(spark, sf_dir)
     return present(ev.metric_cards(feat.daily_summary(f), views.predictions(spark, sf_dir),
                                    models.pressure_index(f)))
+
+
+# =============================================================================
+# Reports, charts and read-path queries
+# =============================================================================
+from sparksignal.plans import quality, reports  # noqa: E402
+from sparksignal.sources import files, sinks  # noqa: E402
+
+
+@register("value_counts", """
+SELECT topic, count(*) AS count FROM posts GROUP BY topic ORDER BY count DESC, topic LIMIT 10""")
+def q_value_counts(spark, sf_dir):
+    """Top-10 topic tags of the cleaned posts (A10)."""
+    return daily.value_counts(views.cleaned(spark, sf_dir, "posts"), "topic", 10)
+
+
+@register("describe", """
+SELECT count(sentiment_compound) AS count, round(avg(sentiment_compound), 6) AS mean,
+       round(stddev_samp(sentiment_compound), 6) AS std, round(min(sentiment_compound), 6) AS min,
+       round(quantile_cont(sentiment_compound, 0.25), 6) AS p25,
+       round(quantile_cont(sentiment_compound, 0.5), 6) AS p50,
+       round(quantile_cont(sentiment_compound, 0.75), 6) AS p75,
+       round(max(sentiment_compound), 6) AS max
+FROM posts""")
+def q_describe(spark, sf_dir):
+    """count/mean/std/min/quartiles/max of post sentiment."""
+    return present(daily.describe(views.cleaned(spark, sf_dir, "posts"), "sentiment_compound"))
+
+
+@register("date_range_filter", """
+SELECT date, round(avg_trump_sentiment, 6) AS avg_trump_sentiment,
+       round(trump_sentiment_rolling_3d, 6) AS trump_sentiment_rolling_3d,
+       CASE WHEN avg_trump_sentiment > 0 THEN 'positive' ELSE 'negative' END AS tone
+FROM daily_sum
+WHERE date BETWEEN (SELECT min(date) FROM daily_sum) AND (SELECT max(date) FROM daily_sum)
+  AND abs(avg_trump_sentiment) > 0.01""")
+def q_date_range_filter(spark, sf_dir):
+    """Default full range (P8), then the significance filter with sign."""
+    s = materialize(summary_df(spark, sf_dir))
+    return present(reports.significant_statements(reports.date_range(s)))
+
+
+@register("latest_rows", """
+SELECT date, source, title, round(sentiment_compound, 6) AS sentiment_compound,
+       CASE WHEN sentiment_compound > 0.05 THEN 'positive'
+            WHEN sentiment_compound < -0.05 THEN 'negative' ELSE 'neutral' END AS badge
+FROM statements ORDER BY date DESC, source, title LIMIT 50""")
+def q_latest_rows(spark, sf_dir):
+    """Newest 50 statements with badge."""
+    return present(reports.headlines(views.cleaned(spark, sf_dir, "statements"), 50))
+
+
+@register("chart_series", """
+SELECT date, avg_price, rolling_avg_7d, avg_price_delta,
+       CASE WHEN avg_price_delta > 0 THEN 'up' WHEN avg_price_delta < 0 THEN 'down'
+            ELSE 'flat' END AS delta_class,
+       avg_reddit_sentiment, avg_news_sentiment, favor_count, against_count,
+       avg_trump_sentiment, trump_sentiment_rolling_3d,
+       abs(avg_trump_sentiment) > 0.01 AS trump_significant,
+       base_war_sentiment, base_sentiment_rolling_7d
+FROM daily_sum""")
+def q_chart_series(spark, sf_dir):
+    """Per-day dashboard series."""
+    return present(reports.price_chart(summary_df(spark, sf_dir)))
+
+
+@register("tension_chart", """
+SELECT date, round(escalation_pct * 100, 6) AS escalation_share,
+       round((1.0::DOUBLE - escalation_pct) * 100, 6) AS other_share,
+       round(war_probability * 100, 6) AS probability_pct
+FROM tension_days""")
+def q_tension_chart(spark, sf_dir):
+    """Escalation share and probability in percent."""
+    return present(reports.tension_chart(models.tension_days(
+        views.cleaned(spark, sf_dir, "tension_news"))))
+
+
+@register("signal_chart", """
+SELECT date, round(avg_price, 6) AS avg_price,
+       round(CASE WHEN signal = 'BUY' THEN avg_price END, 6) AS buy_marker,
+       round(CASE WHEN signal = 'SELL' THEN avg_price END, 6) AS sell_marker,
+       round(composite_score, 6) AS composite_score,
+       CASE WHEN composite_score > 0 THEN 'buy' ELSE 'sell' END AS bar_class
+FROM signals""")
+def q_signal_chart(spark, sf_dir):
+    """Price line with BUY/SELL markers and score bars."""
+    return present(reports.signal_chart(signals_df(spark, sf_dir)))
+
+
+@register("self_assessment", """
+SELECT round(arg_max(recent, date), 6) AS recent_accuracy,
+       round(avg(correct), 6) AS overall_accuracy, count(*) AS n_trades,
+       CASE WHEN arg_max(recent, date) >= 0.7 THEN 'performing well'
+            WHEN arg_max(recent, date) >= 0.4 THEN 'mixed results'
+            ELSE 'underperforming' END AS assessment
+FROM (SELECT date, correct,
+             avg(correct) OVER (ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS recent
+      FROM signals WHERE correct IS NOT NULL)
+HAVING count(*) >= 3""")
+def q_self_assessment(spark, sf_dir):
+    """Recent and overall backtest accuracy with the reference's bands."""
+    return present(signals.self_assessment(signals_df(spark, sf_dir)))
+
+
+@register("incremental_window", """
+SELECT * FROM prices
+WHERE date < (SELECT max(date) + 1 FROM prices)
+  AND date >= (SELECT max(date) + 1 FROM prices)
+             - (CASE WHEN (SELECT count(*) FROM prices
+                           WHERE date >= (SELECT max(date) + 1 FROM prices)) > 0
+                     THEN 2 ELSE 90 END)""")
+def q_incremental_window(spark, sf_dir):
+    """Pull window before ``as_of`` (day after the newest price): 90-day backfill when
+    nothing has landed since ``as_of``, else a 2-day overlap (S9)."""
+    p = views.prices(spark, sf_dir)
+    as_of = F.date_add(p.agg(F.max("date")).scalar(), 1)
+    landed_since = p.where(F.col("date") >= as_of)
+    return present(files.incremental_window(p, landed_since, as_of))
+
+
+@register("volume_gate", """
+SELECT source, n_rows, CAST(sum(n_rows) OVER () AS BIGINT) AS total_rows,
+       CASE WHEN sum(n_rows) OVER () >= 10 THEN 'proceed' ELSE 'low_data' END AS status
+FROM (SELECT 'prices' AS source, count(*) AS n_rows FROM prices
+      UNION ALL SELECT 'posts', count(*) FROM posts
+      UNION ALL SELECT 'news', count(*) FROM news
+      UNION ALL SELECT 'statements', count(*) FROM statements
+      UNION ALL SELECT 'conflict_news', count(*) FROM conflict
+      UNION ALL SELECT 'tension_news', count(*) FROM tension)""")
+def q_volume_gate(spark, sf_dir):
+    """Cleaned rows per source, total and proceed/low-data status (Q2)."""
+    counts = {"prices": views.prices(spark, sf_dir)}
+    for s in ("posts", "news", "statements", "conflict_news", "tension_news"):
+        counts[s] = views.cleaned(spark, sf_dir, s)
+    out = quality.volume_gate(counts)
+    return out.withColumn("total_rows", F.col("total_rows").cast("long"))
+
+
+@register("keyed_upsert", """
+SELECT date, prediction_numeric, round(confidence, 6) AS confidence, version FROM (
+  SELECT date, prediction_numeric, confidence, 1 AS version FROM predictions
+  UNION ALL
+  SELECT p.date, 1 - p.prediction_numeric, round(1.0 - p.confidence, 4), 2
+  FROM predictions p JOIN features f ON f.date = p.date
+  WHERE p.prediction_numeric != f.price_direction)
+QUALIFY row_number() OVER (PARTITION BY date ORDER BY version DESC) = 1""")
+def q_keyed_upsert(spark, sf_dir):
+    """Corrections (version 2) for wrong predictions upserted over the log."""
+    p = views.predictions(spark, sf_dir)
+    f = features_df(spark, sf_dir).select("date", "price_direction")
+    cur = p.select("date", "prediction_numeric", "confidence", F.lit(1).alias("version"))
+    upd = (p.join(f, "date").where(F.col("prediction_numeric") != F.col("price_direction"))
+           .select("date", (F.lit(1) - F.col("prediction_numeric")).alias("prediction_numeric"),
+                   F.round(F.lit(1.0) - F.col("confidence"), 4).alias("confidence"),
+                   F.lit(2).alias("version")))
+    return present(sinks.keyed_upsert(cur, upd, ["date"]))
+
+
+@register("table_counts", """
+SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'events', count(*) FROM events
+UNION ALL SELECT 'documents', count(*) FROM documents
+UNION ALL SELECT 'daily_summary', count(*) FROM daily_sum""")
+def q_table_counts(spark, sf_dir):
+    """Row count per table."""
+    return daily.table_counts({
+        "orders": views.table(spark, sf_dir, "orders"),
+        "events": views.table(spark, sf_dir, "events"),
+        "documents": views.table(spark, sf_dir, "documents"),
+        "daily_summary": summary_df(spark, sf_dir),
+    })
+
+
+@register("tension_bullets")
+def q_tension_bullets(spark, sf_dir):
+    """Rule-based sentences of the tension report."""
+    return reports.tension_bullets(models.tension_report(
+        views.cleaned(spark, sf_dir, "tension_news")))
