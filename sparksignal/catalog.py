@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparksignal.oracle_sql import compose
 from sparksignal.plans import features as feat
@@ -732,3 +733,135 @@ def q_tension_bullets(spark, sf_dir):
     """Rule-based sentences of the tension report."""
     return reports.tension_bullets(models.tension_report(
         views.cleaned(spark, sf_dir, "tension_news")))
+
+
+# =============================================================================
+# Landed files: write with the sinks, scan with the sources (round trips)
+# =============================================================================
+from sparksignal.plans import classifier  # noqa: E402
+from sparksignal.session import scratch_path  # noqa: E402
+
+_NEWS_RAW = ["date", "source", "title", "published_date", "summary", "sentiment_compound"]
+
+
+@register("csv_roundtrip", """
+SELECT date, source, title, published_date, summary,
+       round(sentiment_compound, 6) AS sentiment_compound FROM landed_news""")
+def q_csv_roundtrip(spark, sf_dir):
+    """News landed as day-stamped CSV (K2) and scanned back with the fixed schema (S1, T1):
+    multi-line, quoted whole texts must survive unchanged."""
+    landed = views.landed_news(spark, sf_dir)
+    out = landed.select(F.col("date").cast("string").alias("date"), *_NEWS_RAW[1:],
+                        F.lit(AS_OF).alias("ingest_date"))
+    root = scratch_path(spark, "landing-news")
+    sinks.land_csv(out, root)
+    back = files.read_landed_csv(spark, root, "news")
+    return present(clean.normalise(back, "date", ["title"]).select(*_NEWS_RAW))
+
+
+@register("xml_feed", f"""
+SELECT CASE WHEN contains(raw, ' - ') THEN trim(string_split(raw, ' - ')[-1]) ELSE 'unknown' END
+         AS source,
+       CASE WHEN contains(raw, ' - ') THEN trim(regexp_replace(raw, '(?s)^(.*) - .*$', '\\1'))
+            ELSE raw END AS title,
+       date, CAST(length(summary) AS INTEGER) AS summary_chars
+FROM (SELECT title || ' - ' || source AS raw, date, summary FROM landed_news)""")
+def q_xml_feed(spark, sf_dir):
+    """News items written as RSS XML, scanned with rowTag=item (S6); headline split (F5),
+    feed date parsed (F6)."""
+    landed = views.landed_news(spark, sf_dir)
+    items = landed.select(F.concat("title", F.lit(" - "), "source").alias("title"),
+                          F.col("summary").alias("description"),
+                          F.col("published_date").alias("pubDate"))
+    root = scratch_path(spark, "feed-xml")
+    items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(root)
+    feed = files.read_feed_xml(spark, root)
+    return feed.select(
+        text.split_source("title").alias("source"), text.strip_source("title").alias("title"),
+        text.rfc822_date("published", F.lit(AS_OF).cast("date")).alias("date"),
+        F.length("summary").alias("summary_chars"))
+
+
+@register("json_listing", f"""
+SELECT CAST(ts AS DATE) AS date, event_type AS subreddit,
+       CASE WHEN event_type IN {tuple(views.VIEW_BASE_TYPES)!r} THEN 'base' ELSE 'general' END
+         AS subreddit_group,
+       event_type || ' by user ' || CAST(user_id AS VARCHAR) AS title,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS score,
+       {tags_sql("event_type || ' by user ' || CAST(user_id AS VARCHAR) || ' ' || CAST(value AS VARCHAR)", views.VIEW_POST_TOPICS)}
+         AS topic
+FROM events""")
+def q_json_listing(spark, sf_dir):
+    """Events written as post listings (pages of at most 100 children), scanned back and
+    exploded to posts (S7); UTC day of ``created_utc`` (F7), topic tags (F8)."""
+    e = views.table(spark, sf_dir, "events")
+    child = F.struct(F.lit("t3").alias("kind"), F.struct(
+        F.col("event_type").alias("subreddit"),
+        F.concat(F.col("event_type"), F.lit(" by user "), F.col("user_id").cast("string"))
+        .alias("title"),
+        F.col("value").cast("string").alias("selftext"),
+        F.get_json_object("props", "$.k").cast("int").alias("score"),
+        F.unix_timestamp("ts").cast("double").alias("created_utc")).alias("data"))
+    # a page holds the events of one id block of 100: bounded group size by construction
+    pages = (e.groupBy("event_type", F.floor(F.col("event_id") / 100).alias("page"))
+             .agg(F.collect_list(child).alias("children"))
+             .select(F.lit("Listing").alias("kind"),
+                     F.struct(F.lit(None).cast("string").alias("after"), "children").alias("data")))
+    root = scratch_path(spark, "listings")
+    pages.write.json(root)
+    posts = files.read_listings(spark, root)
+    body = text.joined_text(text.truncate("title", text.TITLE_MAX),
+                            text.truncate("selftext", text.BODY_MAX))
+    group = F.when(F.col("subreddit").isin(*views.VIEW_BASE_TYPES), F.lit("base")) \
+        .otherwise(F.lit("general"))
+    return posts.select(
+        text.epoch_date("created_utc").alias("date"), "subreddit", group.alias("subreddit_group"),
+        text.truncate("title", text.TITLE_MAX).alias("title"), "score",
+        text.topic_tags(body, views.VIEW_POST_TOPICS).alias("topic"))
+
+
+@register("json_predictions", """
+SELECT date, prediction, prediction_numeric, round(confidence, 6) AS confidence
+FROM predictions""")
+def q_json_predictions(spark, sf_dir):
+    """Prediction and pressure documents written as JSON partitioned by kind/date (K4) and
+    read back without the pressure kind; nested object dropped (S4)."""
+    preds = views.predictions(spark, sf_dir).withColumn(
+        "features", F.struct(F.col("prediction_numeric").cast("double").alias("class_value"),
+                             F.col("confidence").alias("confidence")))
+    pressure = models.pressure_index(features_df(spark, sf_dir))
+    root = scratch_path(spark, "documents")
+    sinks.write_json_documents(preds, root, "prediction", replace=False)
+    sinks.write_json_documents(pressure, root, "war_exit", replace=False)
+    schema = T.StructType([
+        T.StructField("date", T.StringType()), T.StructField("prediction", T.StringType()),
+        T.StructField("prediction_numeric", T.IntegerType()),
+        T.StructField("confidence", T.DoubleType()),
+        T.StructField("features", T.StructType([T.StructField("class_value", T.DoubleType()),
+                                                T.StructField("confidence", T.DoubleType())])),
+    ])
+    back = files.read_json_documents(spark, root, schema)
+    return present(back.select(F.to_date("date").alias("date"), "prediction",
+                               "prediction_numeric", "confidence"))
+
+
+@register("rf_direction")
+def q_rf_direction(spark, sf_dir):
+    """Random forest on the chronological 80/20 split; test-set predictions (M8, M9)."""
+    f = materialize(features_df(spark, sf_dir))
+    train, test = classifier.split_chronological(f)
+    model = classifier.train(quality.require_rows(train, classifier.MIN_ROWS))
+    return classifier.predict(model, test)
+
+
+@register("landing_report")
+def q_landing_report(spark, sf_dir):
+    """Posts landed as CSV under a landing root; every expected source reported OK or
+    MISSING with file count and bytes (K2, Q1)."""
+    root = scratch_path(spark, "landing")
+    posts = views.landed_posts(spark, sf_dir).drop("src_id")
+    sinks.land_csv(posts.select(F.col("date").cast("string").alias("date"),
+                                *[c for c in posts.columns if c != "date"],
+                                F.lit(AS_OF).alias("ingest_date")), f"{root}/posts")
+    return quality.landing_report(spark, root, ["prices", "posts", "news", "statements",
+                                                "conflict_news", "tension_news"])

@@ -51,3 +51,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="sparksignal-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder for written intermediate tables."""
+    import uuid
+
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"

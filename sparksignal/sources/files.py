@@ -86,19 +86,21 @@ def read_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFram
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType,
                         exclude_kind: str | None = "war_exit") -> DataFrame:
-    """JSON result documents (one object per line or file) with nested objects dropped.
+    """JSON result documents (JSON lines) with nested objects dropped.
 
     Documents are written partitioned by ``kind``; excluding a kind is a
     partition filter, so the excluded files are never opened.
     """
-    full = T.StructType(schema.fields + [T.StructField("kind", T.StringType())])
+    full = T.StructType(schema.fields + [T.StructField("kind", T.StringType()),
+                                         T.StructField("month", T.StringType())])
 
     def read():
-        df = spark.read.schema(full).option("multiLine", True).json(path)
+        df = spark.read.schema(full).json(path)
         return df.where(F.col("kind") != exclude_kind) if exclude_kind else df
 
     out = _optional(read, full, spark)
-    return out.select(*[f.name for f in schema.fields if not isinstance(f.dataType, T.StructType)])
+    return out.select(*[f.name for f in schema.fields
+                        if not isinstance(f.dataType, (T.StructType, T.MapType))])
 
 
 def read_feed_xml(spark: SparkSession, path: str, fallback_summary: bool = True) -> DataFrame:

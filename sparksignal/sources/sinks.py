@@ -34,10 +34,20 @@ def land_csv(df: DataFrame, root: str, day_col: str = "ingest_date") -> None:
      .partitionBy(day_col).csv(root))
 
 
-def write_json_documents(df: DataFrame, root: str, kind: str) -> None:
-    """Result documents as JSON, partitioned by kind and date; re-running a day replaces it (K4)."""
-    (df.withColumn("kind", F.lit(kind)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "date").json(root))
+def write_json_documents(df: DataFrame, root: str, kind: str, replace: bool = True) -> None:
+    """Result documents as JSON lines, partitioned by kind and month (K4).
+
+    One folder per (kind, month) rather than one file per day keeps the file
+    count bounded by months, not days, as history grows.  ``replace=True``
+    overwrites exactly the (kind, month) partitions present in ``df``;
+    ``replace=False`` appends (first load into an empty folder).
+    """
+    w = (df.withColumn("kind", F.lit(kind))
+         .withColumn("month", F.date_format(F.col("date").cast("date"), "yyyy-MM"))
+         .repartition("kind", "month").write)
+    w = (w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace
+         else w.mode("append"))
+    w.partitionBy("kind", "month").json(root)
 
 
 def load_serving_table(df: DataFrame, path: str, view: str) -> DataFrame:
