@@ -865,3 +865,34 @@ def q_landing_report(spark, sf_dir):
                                 F.lit(AS_OF).alias("ingest_date")), f"{root}/posts")
     return quality.landing_report(spark, root, ["prices", "posts", "news", "statements",
                                                 "conflict_news", "tension_news"])
+
+
+# =============================================================================
+# Structured Streaming ingest of re-landed files
+# =============================================================================
+from sparksignal.streaming import landing as stream_landing  # noqa: E402
+
+_POST_COLS = [
+    "date", "subreddit", "subreddit_group", "title", "score", "sentiment_compound", "topic"]
+
+
+@register("stream_landing", f"""
+SELECT date, subreddit, subreddit_group, title, score,
+       round(sentiment_compound, 6) AS sentiment_compound, topic
+FROM landed_posts
+QUALIFY row_number() OVER (PARTITION BY date, subreddit, title
+                           ORDER BY sentiment_compound DESC, score DESC, topic DESC,
+                                    subreddit_group DESC) = 1""")
+def q_stream_landing(spark, sf_dir):
+    """Posts landed twice (a full re-landing the next day), ingested by a file stream into a
+    bronze table (availableNow trigger, exactly-once file sink) and deduplicated (D1, S9)."""
+    landed = views.landed_posts(spark, sf_dir)
+    rows = landed.select(F.col("date").cast("string").alias("date"), *_POST_COLS[1:])
+    root = scratch_path(spark, "stream")
+    for day in ("2024-01-30", "2024-01-31"):
+        sinks.land_csv(rows.withColumn("ingest_date", F.lit(day)), f"{root}/landing")
+    stream_landing.ingest(spark, f"{root}/landing", f"{root}/bronze", "posts",
+                          checkpoint=f"{root}/checkpoint")
+    order = ["file_name", "sentiment_compound", "score", "topic", "subreddit_group"]
+    out = stream_landing.clean_from_bronze(spark, f"{root}/bronze", "posts", order)
+    return present(out.select(*_POST_COLS))

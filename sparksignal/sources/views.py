@@ -53,8 +53,24 @@ VIEW_CONFLICT_FILTER = r"\b(pas|avec)\b"
 LANG = {"news": "en", "statements": "de", "conflict_news": "fr", "tension_news": "es"}
 
 
+# Tables whose per-row work is CPU-heavy (regex and lexicon passes over whole texts).
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields fewer splits.
+
+    A text table stored as one parquet row group is read by a single task; the
+    regex/lexicon projections that follow would then run on one core.  At scale
+    the scan already has more splits than cores and this is a no-op (no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def _day(id_col: str) -> Column:
