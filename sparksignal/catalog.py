@@ -896,3 +896,72 @@ def q_stream_landing(spark, sf_dir):
     order = ["file_name", "sentiment_compound", "score", "topic", "subreddit_group"]
     out = stream_landing.clean_from_bronze(spark, f"{root}/bronze", "posts", order)
     return present(out.select(*_POST_COLS))
+
+
+# =============================================================================
+# More read-path and source queries
+# =============================================================================
+@register("date_span", """
+SELECT source, count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date
+FROM news GROUP BY source""")
+def q_date_span(spark, sf_dir):
+    """Rows and first/last day per news source."""
+    return daily.date_span(views.cleaned(spark, sf_dir, "news"), by=["source"])
+
+
+@register("price_frame", """
+SELECT date, open, high, low, close, volume FROM prices""")
+def q_price_frame(spark, sf_dir):
+    """A vendor-style frame (capitalised names, extra columns) normalised to OHLCV."""
+    p = views.prices(spark, sf_dir)
+    vendor = p.select(F.col("date").cast("timestamp").alias("Date"), F.col("open").alias("Open"),
+                      F.col("high").alias("High"), F.col("low").alias("Low"),
+                      F.col("close").alias("Close"), F.col("volume").alias("Volume"),
+                      F.lit(0.0).alias("Stock Splits"))
+    return files.normalise_price_frame(vendor)
+
+
+@register("serving_tables", """
+SELECT 'daily_summary' AS table_name, count(*) AS n_rows
+  FROM (SELECT * FROM daily_sum ORDER BY date DESC LIMIT 30)
+UNION ALL SELECT 'predictions', count(*) FROM predictions
+UNION ALL SELECT 'statements', count(*) FROM statements
+UNION ALL SELECT 'conflict_news', count(*) FROM conflict
+UNION ALL SELECT 'exit_index', count(*) FROM pressure
+UNION ALL SELECT 'tension', count(*) FROM tension""")
+def q_serving_tables(spark, sf_dir):
+    """Full refresh of the six serving tables (K5) and row counts read back by name."""
+    f = materialize(features_df(spark, sf_dir))
+    tables = {
+        "daily_summary": feat.last_n(feat.daily_summary(f), 30),
+        "predictions": views.predictions(spark, sf_dir),
+        "statements": views.cleaned(spark, sf_dir, "statements"),
+        "conflict_news": views.cleaned(spark, sf_dir, "conflict_news"),
+        "exit_index": models.pressure_index(f),
+        "tension": views.cleaned(spark, sf_dir, "tension_news"),
+    }
+    root = scratch_path(spark, "serving")
+    for name, df in tables.items():
+        sinks.load_serving_table(df, f"{root}/{name}", f"serving_{name}")
+    return daily.table_counts({name: files.read_table(spark, f"serving_{name}", T.StructType())
+                               for name in tables})
+
+
+@register("strike_bullets")
+def q_strike_bullets(spark, sf_dir):
+    """Reasoning sentences of the strike outlook per day."""
+    f = features_df(spark, sf_dir)
+    p = models.pressure_index(f)
+    out = models.strike_outlook(p).join(p.select("date", "favor_ratio", "war_sentiment_avg"),
+                                        "date")
+    return reports.strike_bullets(out)
+
+
+@register("rf_metrics")
+def q_rf_metrics(spark, sf_dir):
+    """Accuracy / precision / recall of the random forest on the chronological test set."""
+    f = materialize(features_df(spark, sf_dir))
+    train, test = classifier.split_chronological(f)
+    model = classifier.train(quality.require_rows(train, classifier.MIN_ROWS))
+    scored = classifier.predict(model, test)
+    return ev.classifier_metrics(scored, label="actual", prediction="prediction_numeric")
