@@ -426,6 +426,7 @@ def signals_df(spark, sf_dir):
 @register("minmax_signals", f"""
 SELECT date, {r6(*signals.SIGNAL_COLUMNS)} FROM sig_scored""")
 def q_minmax_signals(spark, sf_dir):
+    """The six min-max signals."""
     s = signals.minmax_signals(materialize(summary_df(spark, sf_dir)))
     return present(s.select("date", *signals.SIGNAL_COLUMNS))
 
@@ -506,7 +507,8 @@ FROM (SELECT pred_date, correct,
                AS recent
       FROM evaluation WHERE correct IS NOT NULL)""")
 def q_accuracy_summary(spark, sf_dir):
-    return present(ev.accuracy_summary(evaluation_df(spark, sf_dir)))
+    # the day-grain evaluation feeds the main aggregate and the pending-count subquery
+    return present(ev.accuracy_summary(materialize(evaluation_df(spark, sf_dir))))
 
 
 @register("prediction_history", """
@@ -552,7 +554,8 @@ SELECT CASE WHEN (SELECT arg_max(prediction, date) FROM predictions) IS NULL THE
        round((SELECT arg_max(exit_probability, date) FROM pressure), 6) AS exit_pressure
 FROM daily_sum""")
 def q_metric_cards(spark, sf_dir):
-    f = features_df(spark, sf_dir)
+    # features feed the main aggregate and two scalar subqueries: compute them once
+    f = materialize(features_df(spark, sf_dir))
     return present(ev.metric_cards(feat.daily_summary(f), views.predictions(spark, sf_dir),
                                    models.pressure_index(f)))
 
@@ -965,3 +968,19 @@ def q_rf_metrics(spark, sf_dir):
     model = classifier.train(quality.require_rows(train, classifier.MIN_ROWS))
     scored = classifier.predict(model, test)
     return ev.classifier_metrics(scored, label="actual", prediction="prediction_numeric")
+
+
+@register("eval_log_csv", """
+SELECT pred_date, predicted, actual, correct, round(confidence, 6) AS confidence, status
+FROM evaluation""")
+def q_eval_log_csv(spark, sf_dir):
+    """Evaluation log written as CSV (K6) and read back with its schema; the evaluation
+    timestamp parses error-tolerantly (F22)."""
+    root = scratch_path(spark, "eval-log")
+    log = evaluation_df(spark, sf_dir).withColumn("evaluated_at", F.lit(f"{AS_OF} 06:00:00"))
+    sinks.write_csv(log, root)
+    schema = ("pred_date date, predicted string, actual string, correct int, confidence double, "
+              "status string, evaluated_at string")
+    back = spark.read.schema(schema).option("header", True).option("escape", '"').csv(root)
+    back = back.where(clean.to_timestamp_safe("evaluated_at").isNotNull())
+    return present(back.drop("evaluated_at"))

@@ -23,6 +23,12 @@ def to_date_safe(c: str | Column, fmt: str | None = None) -> Column:
     return F.try_to_date(x) if fmt is None else F.try_to_date(x, fmt)
 
 
+def to_timestamp_safe(c: str | Column, fmt: str | None = None) -> Column:
+    """Error-tolerant timestamp parse (``errors="coerce"``): junk -> null."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.try_to_timestamp(x) if fmt is None else F.try_to_timestamp(x, F.lit(fmt))
+
+
 def normalise(df: DataFrame, date_col: str = "date", trim_cols: Sequence[str] = ()) -> DataFrame:
     """Date string -> DATE, trimmed text columns."""
     out = df

@@ -37,6 +37,31 @@ def get_spark(app: str = "sparksignal", master: str | None = None,
     return spark
 
 
+def cluster_conf(executors: int, cores_per_executor: int,
+                 input_bytes: int | None = None) -> dict[str, str]:
+    """Suggested settings for a large cluster run (pass to ``SparkSession.builder.config``).
+
+    Shuffle partitions start at ~3 per core (or input / 256 MB when the input size
+    is known) and AQE coalesces them to ~128 MB each at run time; skewed sort-merge
+    join partitions are split; scan splits are 256 MB.  Broadcasts stay under the
+    default 10 MB threshold, decided from runtime sizes.
+    """
+    cores = executors * cores_per_executor
+    parts = 3 * cores
+    if input_bytes:
+        parts = max(parts, input_bytes // (256 << 20))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.reuseSubquery": "true",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -48,6 +73,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="sparksignal-ckpt-")
     sc.setCheckpointDir(path)
     return path
