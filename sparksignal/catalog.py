@@ -43,13 +43,18 @@ def r6(*cols: str) -> str:
     return ", ".join(f"round({c}, {PRESENT_DIGITS}) AS {c.split('.')[-1]}" for c in cols)
 
 
+def _narrow(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Cleaned source with only the columns the daily plans read (texts pruned before dedup)."""
+    return views.cleaned(spark, sf_dir, source, views.FEATURE_COLUMNS[source])
+
+
 def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "prices": views.prices(spark, sf_dir),
-        "posts": views.cleaned(spark, sf_dir, "posts"),
-        "news": views.cleaned(spark, sf_dir, "news"),
-        "statements": views.cleaned(spark, sf_dir, "statements"),
-        "conflict": views.cleaned(spark, sf_dir, "conflict_news"),
+        "posts": _narrow(spark, sf_dir, "posts"),
+        "news": _narrow(spark, sf_dir, "news"),
+        "statements": _narrow(spark, sf_dir, "statements"),
+        "conflict": _narrow(spark, sf_dir, "conflict_news"),
     }
 
 
@@ -291,38 +296,38 @@ def q_lexicon_sentiment(spark, sf_dir):
 @register("daily_sentiment_rolling", f"""
 SELECT date, {r6('reddit_sentiment_avg', 'sentiment_rolling_3d')} FROM posts_daily""")
 def q_daily_sentiment_rolling(spark, sf_dir):
-    return present(feat.posts_daily(views.cleaned(spark, sf_dir, "posts")))
+    return present(feat.posts_daily(_narrow(spark, sf_dir, "posts")))
 
 
 @register("statements_rolling", f"""
 SELECT date, {r6('trump_sentiment_avg', 'trump_sentiment_rolling_3d')} FROM statements_daily""")
 def q_statements_rolling(spark, sf_dir):
-    return present(feat.statements_daily(views.cleaned(spark, sf_dir, "statements")))
+    return present(feat.statements_daily(_narrow(spark, sf_dir, "statements")))
 
 
 @register("base_segment_rolling", f"""
 SELECT date, {r6('base_war_sentiment', 'base_sentiment_rolling_7d')} FROM base_daily""")
 def q_base_segment_rolling(spark, sf_dir):
-    return present(feat.base_segment_daily(views.cleaned(spark, sf_dir, "posts")))
+    return present(feat.base_segment_daily(_narrow(spark, sf_dir, "posts")))
 
 
 @register("weighted_news", f"SELECT date, {r6('news_sentiment')} FROM news_daily")
 def q_weighted_news(spark, sf_dir):
-    return present(feat.news_daily(views.cleaned(spark, sf_dir, "news")))
+    return present(feat.news_daily(_narrow(spark, sf_dir, "news")))
 
 
 @register("stance_daily", f"""
 SELECT date, {r6('war_sentiment_avg')}, war_article_count, favor_count, against_count,
        {r6('favor_ratio')} FROM conflict_daily""")
 def q_stance_daily(spark, sf_dir):
-    return present(feat.conflict_daily(views.cleaned(spark, sf_dir, "conflict_news")))
+    return present(feat.conflict_daily(_narrow(spark, sf_dir, "conflict_news")))
 
 
 @register("tension_daily", f"""
 SELECT date, article_count, {r6('avg_sentiment', 'escalation_pct', 'iran_pct',
                                 'war_probability')} FROM tension_days""")
 def q_tension_daily(spark, sf_dir):
-    return present(models.tension_days(views.cleaned(spark, sf_dir, "tension_news")))
+    return present(models.tension_days(_narrow(spark, sf_dir, "tension_news")))
 
 
 @register("tension_batch", """
@@ -338,7 +343,7 @@ FROM (SELECT count(*) AS n_articles, avg(sentiment_compound) AS avg_sentiment,
                AS iran_pct
       FROM tension)""")
 def q_tension_batch(spark, sf_dir):
-    return present(models.tension_batch(views.cleaned(spark, sf_dir, "tension_news")))
+    return present(models.tension_batch(_narrow(spark, sf_dir, "tension_news")))
 
 
 @register("tension_report", """
@@ -376,7 +381,7 @@ SELECT latest_date, round(latest_probability, 6) AS latest_probability,
        iran_n, round(avg_sentiment, 6) AS avg_sentiment
 FROM latest, tot""")
 def q_tension_report(spark, sf_dir):
-    return present(models.tension_report(views.cleaned(spark, sf_dir, "tension_news")))
+    return present(models.tension_report(_narrow(spark, sf_dir, "tension_news")))
 
 
 # =============================================================================
@@ -571,7 +576,7 @@ from sparksignal.sources import files, sinks  # noqa: E402
 SELECT topic, count(*) AS count FROM posts GROUP BY topic ORDER BY count DESC, topic LIMIT 10""")
 def q_value_counts(spark, sf_dir):
     """Top-10 topic tags of the cleaned posts (A10)."""
-    return daily.value_counts(views.cleaned(spark, sf_dir, "posts"), "topic", 10)
+    return daily.value_counts(_narrow(spark, sf_dir, "posts"), "topic", 10)
 
 
 @register("describe", """
@@ -584,7 +589,7 @@ SELECT count(sentiment_compound) AS count, round(avg(sentiment_compound), 6) AS
 FROM posts""")
 def q_describe(spark, sf_dir):
     """count/mean/std/min/quartiles/max of post sentiment."""
-    return present(daily.describe(views.cleaned(spark, sf_dir, "posts"), "sentiment_compound"))
+    return present(daily.describe(_narrow(spark, sf_dir, "posts"), "sentiment_compound"))
 
 
 @register("date_range_filter", """
@@ -607,7 +612,7 @@ SELECT date, source, title, round(sentiment_compound, 6) AS sentiment_compound,
 FROM statements ORDER BY date DESC, source, title LIMIT 50""")
 def q_latest_rows(spark, sf_dir):
     """Newest 50 statements with badge."""
-    return present(reports.headlines(views.cleaned(spark, sf_dir, "statements"), 50))
+    return present(reports.headlines(_narrow(spark, sf_dir, "statements"), 50))
 
 
 @register("chart_series", """
@@ -632,7 +637,7 @@ FROM tension_days""")
 def q_tension_chart(spark, sf_dir):
     """Escalation share and probability in percent."""
     return present(reports.tension_chart(models.tension_days(
-        views.cleaned(spark, sf_dir, "tension_news"))))
+        _narrow(spark, sf_dir, "tension_news"))))
 
 
 @register("signal_chart", """
@@ -691,7 +696,7 @@ def q_volume_gate(spark, sf_dir):
     """Cleaned rows per source, total and proceed/low-data status (Q2)."""
     counts = {"prices": views.prices(spark, sf_dir)}
     for s in ("posts", "news", "statements", "conflict_news", "tension_news"):
-        counts[s] = views.cleaned(spark, sf_dir, s)
+        counts[s] = _narrow(spark, sf_dir, s)
     out = quality.volume_gate(counts)
     return out.withColumn("total_rows", F.col("total_rows").cast("long"))
 
@@ -735,7 +740,7 @@ def q_table_counts(spark, sf_dir):
 def q_tension_bullets(spark, sf_dir):
     """Rule-based sentences of the tension report."""
     return reports.tension_bullets(models.tension_report(
-        views.cleaned(spark, sf_dir, "tension_news")))
+        _narrow(spark, sf_dir, "tension_news")))
 
 
 # =============================================================================
@@ -785,6 +790,13 @@ def q_xml_feed(spark, sf_dir):
         F.length("summary").alias("summary_chars"))
 
 
+def _epoch_seconds(ts: str):
+    """Seconds since the epoch of a wall-clock (NTZ) stamp, independent of the session zone."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date"))
+    secs = days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return secs.cast("double")
+
+
 @register("json_listing", f"""
 SELECT CAST(ts AS DATE) AS date, event_type AS subreddit,
        CASE WHEN event_type IN {tuple(views.VIEW_BASE_TYPES)!r} THEN 'base' ELSE 'general' END
@@ -804,9 +816,12 @@ def q_json_listing(spark, sf_dir):
         .alias("title"),
         F.col("value").cast("string").alias("selftext"),
         F.get_json_object("props", "$.k").cast("int").alias("score"),
-        F.unix_timestamp("ts").cast("double").alias("created_utc")).alias("data"))
-    # a page holds the events of one id block of 100: bounded group size by construction
-    pages = (e.groupBy("event_type", F.floor(F.col("event_id") / 100).alias("page"))
+        _epoch_seconds("ts").alias("created_utc")).alias("data"))
+    # a page holds at most 100 rows by construction (row ids are unique even when
+    # event ids repeat), so no listing group can grow with the data
+    row_id = F.monotonically_increasing_id()
+    pages = (e.withColumn("_page", F.floor(row_id / 100))
+             .groupBy("event_type", "_page")
              .agg(F.collect_list(child).alias("children"))
              .select(F.lit("Listing").alias("kind"),
                      F.struct(F.lit(None).cast("string").alias("after"), "children").alias("data")))
@@ -909,7 +924,7 @@ SELECT source, count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date
 FROM news GROUP BY source""")
 def q_date_span(spark, sf_dir):
     """Rows and first/last day per news source."""
-    return daily.date_span(views.cleaned(spark, sf_dir, "news"), by=["source"])
+    return daily.date_span(_narrow(spark, sf_dir, "news"), by=["source"])
 
 
 @register("price_frame", """

@@ -124,8 +124,9 @@ def rfc822_date(stamp: str | Column, fallback: Column | None = None) -> Column:
 
 def epoch_date(seconds: str | Column, fallback: Column | None = None) -> Column:
     """UTC day of epoch seconds; 0 or null -> ``fallback``."""
-    s = F.nullif(col_(seconds).cast("long"), F.lit(0))
-    d = F.to_date(F.timestamp_seconds(s))
+    # whole days since the epoch: the UTC day whatever the session time zone
+    s = F.nullif(col_(seconds).cast("double"), F.lit(0.0))
+    d = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(s / 86400).cast("int"))
     return d if fallback is None else F.coalesce(d, fallback)
 
 

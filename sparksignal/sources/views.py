@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparksignal import schemas
 from sparksignal.functions import classify, sentiment, text
 from sparksignal.operators import clean
 
@@ -164,11 +165,30 @@ LANDED = {
 }
 
 
-def cleaned(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Landed source after P1-P3 and D1 (first row by source id kept)."""
+# Columns the daily feature/report plans read from each cleaned source.
+FEATURE_COLUMNS = {
+    "posts": ["subreddit_group", "topic", "sentiment_compound"],
+    "news": ["source", "sentiment_compound"],
+    "statements": ["sentiment_compound"],
+    "conflict_news": ["source", "sentiment_compound", "stance"],
+    "tension_news": ["title", "sentiment_compound", "escalation", "iran_spillover"],
+}
+
+
+def cleaned(spark: SparkSession, sf_dir: str, source: str,
+            columns: list[str] | None = None) -> DataFrame:
+    """Landed source after P1-P3 and D1 (first row by source id kept).
+
+    ``columns`` keeps only those value columns (plus dedup keys): the dedup
+    then sorts and shuffles narrow rows instead of whole texts.
+    """
     if source == "prices":
         return prices(spark, sf_dir)
-    return clean.clean_source(LANDED[source](spark, sf_dir), source, ["src_id"])
+    landed = LANDED[source](spark, sf_dir)
+    if columns is not None:
+        keep = list(dict.fromkeys([*schemas.DEDUP_KEYS[source], *columns, "src_id"]))
+        landed = landed.select(*keep)
+    return clean.clean_source(landed, source, ["src_id"])
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
