@@ -9,8 +9,8 @@ small fixed word list below.
 Two plans compute the same number:
 
 * ``lexicon_compound`` -- a narrow expression: tokens are looked up in a
-  literal map inside the row's own projection.  No explode, no shuffle, stays
-  in whole-stage codegen; the map size is bounded by the fixed word list.
+  literal map inside the row's own projection (``transform`` + ``aggregate``).
+  No explode, no join, no shuffle; the map size is bounded by the word list.
 * ``lexicon_join_scores`` -- the relational form for a caller-supplied
   lexicon *table* of any size: explode tokens, join the lexicon on the token,
   aggregate per document.  The per-document partial aggregate runs before the
@@ -61,21 +61,29 @@ def normalise(score: str | Column, alpha: float = ALPHA) -> Column:
     return s / F.sqrt(s * s + F.lit(alpha))
 
 
-def lexicon_valence_sum(text: str | Column,
-                        lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
-    """Sum of token valences, computed in-row with a literal map lookup."""
+def _valences(text: str | Column, lexicon: Mapping[str, float]) -> Column:
     if len(lexicon) > MAX_LITERAL_LEXICON:
         raise ValueError("lexicon too large for the literal plan; use lexicon_join_scores")
     lex = F.create_map(*[F.lit(x) for k in sorted(lexicon) for x in (k, float(lexicon[k]))])
-    vals = F.transform(tokens(text), lambda t: F.coalesce(F.try_element_at(lex, t),
+    return F.transform(tokens(text), lambda t: F.coalesce(F.try_element_at(lex, t),
                                                           F.lit(0.0)))
-    return F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
+
+
+def lexicon_valence_sum(text: str | Column,
+                        lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
+    """Sum of token valences, computed in-row with a literal map lookup."""
+    return F.aggregate(_valences(text, lexicon), F.lit(0.0), lambda acc, x: acc + x)
 
 
 def lexicon_compound(text: str | Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON,
                      digits: int | None = 4) -> Column:
-    """Compound score in [-1, 1] of the whole text (F16)."""
-    c = normalise(lexicon_valence_sum(text, lexicon))
+    """Compound score in [-1, 1] of the whole text (F16).
+
+    The squash runs as the fold's finish step, so the token pass happens once
+    per row even where expressions are not deduplicated.
+    """
+    c = F.aggregate(_valences(text, lexicon), F.lit(0.0), lambda acc, x: acc + x,
+                    lambda s: s / F.sqrt(s * s + F.lit(ALPHA)))
     return F.round(c, digits) if digits is not None else c
 
 

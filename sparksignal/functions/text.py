@@ -83,8 +83,8 @@ def topic_tags(text: str | Column, topics: Sequence[tuple[str, str]] = POST_TOPI
     """Comma-joined tags in declared order, ``default`` when none match (F8)."""
     t = col_(text)
     parts = [F.when(t.rlike(ci(p)), F.lit(tag)) for tag, p in topics]
-    joined = F.concat_ws(",", *parts)
-    return F.when(joined == "", F.lit(default)).otherwise(joined)
+    joined = F.concat_ws(",", *parts)  # referenced once: each regex runs once per row
+    return F.coalesce(F.nullif(joined, F.lit("")), F.lit(default))
 
 
 def keyword_flag(text: str | Column, pattern: str) -> Column:

@@ -63,11 +63,16 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
 
 
 def clean_source(df: DataFrame, source: str, order: Sequence[str | Column],
-                 descending: bool = False) -> DataFrame:
-    """Full clean step of one landed source: P1, P2, P3, D1."""
+                 descending: bool = False, required: Sequence[str] | None = None) -> DataFrame:
+    """Full clean step of one landed source: P1, P2, P3, D1.
+
+    ``required`` overrides the source's null-checked columns (default
+    ``schemas.REQUIRED``), e.g. to skip a test on a column computed in-row
+    that can never be null.
+    """
     trim_cols = [] if source == "prices" else ["title"]
     out = normalise(df, "date", trim_cols)
-    out = drop_incomplete(out, schemas.REQUIRED[source])
+    out = drop_incomplete(out, schemas.REQUIRED[source] if required is None else required)
     return keep_first(out, schemas.DEDUP_KEYS[source], order, descending)
 
 

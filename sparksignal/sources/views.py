@@ -188,7 +188,13 @@ def cleaned(spark: SparkSession, sf_dir: str, source: str,
     if columns is not None:
         keep = list(dict.fromkeys([*schemas.DEDUP_KEYS[source], *columns, "src_id"]))
         landed = landed.select(*keep)
-    return clean.clean_source(landed, source, ["src_id"])
+    required = None
+    if source in LANG:
+        # Document sentiment is computed in-row from the text and is never null or
+        # NaN.  A null test on it would be pushed below ``spread`` into the scan
+        # task and evaluate the whole-text lexicon pass a second time.
+        required = ["date"]
+    return clean.clean_source(landed, source, ["src_id"], required=required)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
