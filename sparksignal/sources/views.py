@@ -54,8 +54,9 @@ VIEW_CONFLICT_FILTER = r"\b(pas|avec)\b"
 LANG = {"news": "en", "statements": "de", "conflict_news": "fr", "tension_news": "es"}
 
 
-# Tables whose per-row work is CPU-heavy (regex and lexicon passes over whole texts).
-TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+# Tables whose per-row work is CPU-heavy (regex/lexicon passes over whole texts,
+# JSON parsing of event properties).
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark", "events"}
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -91,18 +92,24 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    x = (k - F.lit(50)) / F.lit(10.0)
-    title = F.concat(F.col("event_type"), F.lit(" by user "), F.col("user_id").cast("string"))
+    # JSON parsed and the title built once per row; the next projection reuses them
+    # (Catalyst does not inline a non-cheap expression it would duplicate)
+    e = e.select(
+        "event_id", "event_type",
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.concat(F.col("event_type"), F.lit(" by user "), F.col("user_id").cast("string"))
+        .alias("title"),
+    )
+    x = (F.col("k") - F.lit(50)) / F.lit(10.0)
     return e.select(
         _day("event_id").alias("date"),
         F.col("event_type").alias("subreddit"),
         F.when(F.col("event_type").isin(*VIEW_BASE_TYPES), F.lit("base"))
         .otherwise(F.lit("general")).alias("subreddit_group"),
-        title.alias("title"),
-        k.alias("score"),
+        "title",
+        F.col("k").alias("score"),
         (x / F.sqrt(x * x + F.lit(15.0))).alias("sentiment_compound"),
-        text.topic_tags(title, VIEW_POST_TOPICS).alias("topic"),
+        text.topic_tags("title", VIEW_POST_TOPICS).alias("topic"),
         F.col("event_id").alias("src_id"),
     )
 
@@ -167,7 +174,7 @@ LANDED = {
 
 # Columns the daily feature/report plans read from each cleaned source.
 FEATURE_COLUMNS = {
-    "posts": ["subreddit_group", "topic", "sentiment_compound"],
+    "posts": ["subreddit_group", "topic", "score", "sentiment_compound"],
     "news": ["source", "sentiment_compound"],
     "statements": ["sentiment_compound"],
     "conflict_news": ["source", "sentiment_compound", "stance"],
@@ -188,12 +195,11 @@ def cleaned(spark: SparkSession, sf_dir: str, source: str,
     if columns is not None:
         keep = list(dict.fromkeys([*schemas.DEDUP_KEYS[source], *columns, "src_id"]))
         landed = landed.select(*keep)
-    required = None
-    if source in LANG:
-        # Document sentiment is computed in-row from the text and is never null or
-        # NaN.  A null test on it would be pushed below ``spread`` into the scan
-        # task and evaluate the whole-text lexicon pass a second time.
-        required = ["date"]
+    # Sentiment is computed in-row here.  A null test on it would be pushed below
+    # ``spread`` into the scan task and evaluate the expression a second time, so the
+    # test goes to an equivalent cheap column: document sentiment is never null or
+    # NaN; post sentiment is null exactly when the score is.
+    required = {"posts": ["date", "score"]}.get(source, ["date"])
     return clean.clean_source(landed, source, ["src_id"], required=required)
 
 
