@@ -107,7 +107,7 @@ def q_last_30(spark, sf_dir):
 # Clean layer and row-local text functions
 # =============================================================================
 from sparksignal.functions import classify, sentiment, text  # noqa: E402
-from sparksignal.oracle_sql import rx, tags_sql  # noqa: E402
+from sparksignal.oracle_sql import rx, sround, tags_sql  # noqa: E402
 from sparksignal.operators import clean, daily  # noqa: E402
 from sparksignal.plans import evaluation as ev  # noqa: E402
 from sparksignal.plans import models, signals  # noqa: E402
@@ -346,7 +346,7 @@ def q_tension_batch(spark, sf_dir):
     return present(models.tension_batch(_narrow(spark, sf_dir, "tension_news")))
 
 
-@register("tension_report", """
+ORACLE_TENSION_REPORT = """
 WITH td AS (
   SELECT *, row_number() OVER w AS idx,
          avg(war_probability) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent,
@@ -379,7 +379,10 @@ SELECT latest_date, round(latest_probability, 6) AS latest_probability,
        round(CASE WHEN n_total > 0 THEN n_escalation / n_total ELSE 0.0 END, 6)
          AS escalation_ratio,
        iran_n, round(avg_sentiment, 6) AS avg_sentiment
-FROM latest, tot""")
+FROM latest, tot"""
+
+
+@register("tension_report", ORACLE_TENSION_REPORT)
 def q_tension_report(spark, sf_dir):
     return present(models.tension_report(_narrow(spark, sf_dir, "tension_news")))
 
@@ -736,7 +739,25 @@ def q_table_counts(spark, sf_dir):
     })
 
 
-@register("tension_bullets")
+@register("tension_bullets", f"""
+WITH rep AS ({ORACLE_TENSION_REPORT})
+SELECT latest_date, list_filter(list_value(
+  'Escalation ratio at ' || CAST({sround('escalation_ratio * 100', 0)} AS BIGINT) || '% - '
+    || CASE WHEN escalation_ratio > 0.5 THEN 'majority of coverage frames military posturing'
+            ELSE 'balanced coverage' END,
+  'Spillover detected in ' || CAST(iran_n AS VARCHAR) || ' articles - '
+    || CASE WHEN iran_n > 5 THEN 'multi-front pressure'
+            ELSE 'limited cross-theater correlation' END,
+  'Trajectory ' || trend || ' - '
+    || CASE WHEN trend_delta > 0.02 THEN 'growing hawkish rhetoric'
+            WHEN trend_delta < -0.02 THEN 'tensions cooling' ELSE 'no clear shift' END,
+  'Average sentiment - ' || CASE WHEN avg_sentiment < -0.15 THEN 'deeply negative'
+                                 WHEN avg_sentiment < 0 THEN 'mildly negative'
+                                 ELSE 'neutral-to-positive' END,
+  CASE WHEN latest_probability >= 0.55
+       THEN 'Volume signal: ' || CAST(n_total AS VARCHAR) || ' articles tracked' END),
+  lambda x: x IS NOT NULL) AS bullets
+FROM rep""")
 def q_tension_bullets(spark, sf_dir):
     """Rule-based sentences of the tension report."""
     return reports.tension_bullets(models.tension_report(
@@ -911,7 +932,7 @@ def q_stream_landing(spark, sf_dir):
         sinks.land_csv(rows.withColumn("ingest_date", F.lit(day)), f"{root}/landing")
     stream_landing.ingest(spark, f"{root}/landing", f"{root}/bronze", "posts",
                           checkpoint=f"{root}/checkpoint")
-    order = ["file_name", "sentiment_compound", "score", "topic", "subreddit_group"]
+    order = ["landed_on", "sentiment_compound", "score", "topic", "subreddit_group"]
     out = stream_landing.clean_from_bronze(spark, f"{root}/bronze", "posts", order)
     return present(out.select(*_POST_COLS))
 

@@ -35,7 +35,11 @@ def landed_stream(spark: SparkSession, landing: str, source: str,
          .option("multiLine", True).option("escape", '"'))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(landing).withColumn("file_name", F.col("_metadata.file_name"))
+    path = F.col("_metadata.file_path")
+    day = F.regexp_extract(path, r"ingest_date=([^/]+)/", 1)
+    # landing day from the day folder (``land_csv`` layout), else the file name
+    df = r.csv(landing).withColumn(
+        "landed_on", F.when(day != "", day).otherwise(F.col("_metadata.file_name")))
     trim_cols = [] if source == "prices" else ["title"]
     out = clean.normalise(df, "date", trim_cols)
     return clean.drop_incomplete(out, schemas.REQUIRED[source])
@@ -48,17 +52,20 @@ def ingest(spark: SparkSession, landing: str, bronze: str, source: str,
     Re-running resumes from the checkpoint: files already ingested are skipped.
     """
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/{query_name or source}"
-    q = (landed_stream(spark, landing, source).writeStream.format("parquet")
+    w = (landed_stream(spark, landing, source).writeStream.format("parquet")
          .option("path", bronze).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).queryName(query_name or f"ingest_{source}").start())
+         .trigger(availableNow=True))
+    if query_name:
+        w = w.queryName(query_name)
+    q = w.start()
     q.awaitTermination()
 
 
 def clean_from_bronze(spark: SparkSession, bronze: str, source: str,
-                      order: Sequence[str] = ("file_name",)) -> DataFrame:
-    """Clean table: one row per dedup key, the newest landing file winning.
+                      order: Sequence[str] = ("landed_on",)) -> DataFrame:
+    """Clean table: one row per dedup key, the newest landing day winning.
 
-    Add content columns to ``order`` to make ties inside one file deterministic.
+    Add content columns to ``order`` to make ties inside one landing day deterministic.
     """
     b = spark.read.parquet(bronze)
     return clean.keep_first(b, schemas.DEDUP_KEYS[source], list(order), descending=True)

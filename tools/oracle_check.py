@@ -24,7 +24,8 @@ from sparksignal.catalog import ORACLE, QUERIES  # noqa: E402
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 TYPE_MAP = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
-            "DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp"}
+            "DATE": "date", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp",
+            "VARCHAR[]": "array<string>"}
 
 
 def duck(sf_dir: str):
