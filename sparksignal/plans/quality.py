@@ -41,7 +41,8 @@ def landing_report(spark: SparkSession, root: str, sources: Sequence[str]) -> Da
     try:
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                  .load(root).select("path", "length"))
-        per = (files.select(F.regexp_extract("path", rf"{root.rstrip('/')}/([^/]+)/", 1)
+        prefix = "\\Q" + root.rstrip("/") + "\\E"  # literal root inside the regex
+        per = (files.select(F.regexp_extract("path", prefix + "/([^/]+)/", 1)
                             .alias("source"), "length")
                .groupBy("source").agg(F.count(F.lit(1)).alias("n_files"),
                                       F.sum("length").alias("bytes")))
@@ -59,7 +60,7 @@ def require_rows(df: DataFrame, minimum: int) -> DataFrame:
 
     The count is a scalar subquery; no action runs on the driver.
     """
-    n = df.agg(F.count(F.lit(1))).scalar()
+    n = df.limit(minimum).agg(F.count(F.lit(1))).scalar()  # reads at most ``minimum`` rows
     return df.where(n >= F.lit(minimum))
 
 

@@ -154,7 +154,7 @@ def incremental_window(source: DataFrame, target: DataFrame, as_of: Column,
 
     The emptiness test is a scalar subquery, not a driver-side action.
     """
-    has_rows = target.agg(F.count(F.lit(1)) > 0).scalar()
+    has_rows = target.limit(1).agg(F.count(F.lit(1)) > 0).scalar()  # reads at most one row
     days = F.when(has_rows, F.lit(overlap_days)).otherwise(F.lit(backfill_days))
     return source.where((F.col(col) >= F.date_sub(as_of, days)) & (F.col(col) < as_of))
 
