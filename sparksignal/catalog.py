@@ -405,7 +405,7 @@ SELECT date, round(1.0::DOUBLE - exit_probability, 6) AS strike_probability,
          AS estimated_window,
        CASE WHEN 1.0 - exit_probability >= 0.55 THEN 'HIGH'
             WHEN 1.0 - exit_probability >= 0.30 THEN 'MODERATE' ELSE 'LOW' END AS risk,
-       pressure_index, base_sentiment_trend
+       pressure_index, base_sentiment_trend, favor_ratio, war_sentiment_avg
 FROM pressure""")
 def q_strike_outlook(spark, sf_dir):
     return present(models.strike_outlook(models.pressure_index(features_df(spark, sf_dir))))
@@ -986,14 +986,23 @@ def q_serving_tables(spark, sf_dir):
                                for name in tables})
 
 
-@register("strike_bullets")
+@register("strike_bullets", f"""
+SELECT date, list_value(
+  'Favor ratio ' || CAST({sround('favor_ratio * 100', 0)} AS BIGINT) || '% - '
+    || CASE WHEN favor_ratio > 0.5 THEN 'opinion against continued operations'
+            ELSE 'negative stance gives political cover' END,
+  'War sentiment ' || format('{{:,.3f}}', war_sentiment_avg) || ' - '
+    || CASE WHEN war_sentiment_avg < -0.1 THEN 'hawkish framing'
+            ELSE 'neutral-to-positive framing' END,
+  'Base trend ' || base_sentiment_trend || ' - '
+    || CASE WHEN base_sentiment_trend = 'declining' THEN 'pressure to act'
+            WHEN base_sentiment_trend = 'improving' THEN 'reduced urgency'
+            ELSE 'no directional pressure' END) AS bullets
+FROM pressure""")
 def q_strike_bullets(spark, sf_dir):
     """Reasoning sentences of the strike outlook per day."""
-    f = features_df(spark, sf_dir)
-    p = models.pressure_index(f)
-    out = models.strike_outlook(p).join(p.select("date", "favor_ratio", "war_sentiment_avg"),
-                                        "date")
-    return reports.strike_bullets(out)
+    p = models.pressure_index(features_df(spark, sf_dir))
+    return reports.strike_bullets(models.strike_outlook(p))
 
 
 @register("rf_metrics")

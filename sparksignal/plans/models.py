@@ -89,7 +89,7 @@ def strike_outlook(pressure: DataFrame, as_of: Column | None = None) -> DataFram
         months.alias("months_ahead"),
         month_label(day, months).alias("estimated_window"),
         classify.risk_label(strike, classify.STRIKE_RISK_BANDS).alias("risk"),
-        "pressure_index", "base_sentiment_trend",
+        "pressure_index", "base_sentiment_trend", "favor_ratio", "war_sentiment_avg",
     )
 
 
