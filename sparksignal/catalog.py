@@ -741,7 +741,7 @@ def q_table_counts(spark, sf_dir):
 
 @register("tension_bullets", f"""
 WITH rep AS ({ORACLE_TENSION_REPORT})
-SELECT latest_date, list_filter(list_value(
+SELECT latest_date, array_to_string(list_filter(list_value(
   'Escalation ratio at ' || CAST({sround('escalation_ratio * 100', 0)} AS BIGINT) || '% - '
     || CASE WHEN escalation_ratio > 0.5 THEN 'majority of coverage frames military posturing'
             ELSE 'balanced coverage' END,
@@ -756,7 +756,7 @@ SELECT latest_date, list_filter(list_value(
                                  ELSE 'neutral-to-positive' END,
   CASE WHEN latest_probability >= 0.55
        THEN 'Volume signal: ' || CAST(n_total AS VARCHAR) || ' articles tracked' END),
-  lambda x: x IS NOT NULL) AS bullets
+  lambda x: x IS NOT NULL), chr(10)) AS bullets
 FROM rep""")
 def q_tension_bullets(spark, sf_dir):
     """Rule-based sentences of the tension report."""
@@ -987,7 +987,7 @@ def q_serving_tables(spark, sf_dir):
 
 
 @register("strike_bullets", f"""
-SELECT date, list_value(
+SELECT date, concat_ws(chr(10),
   'Favor ratio ' || CAST({sround('favor_ratio * 100', 0)} AS BIGINT) || '% - '
     || CASE WHEN favor_ratio > 0.5 THEN 'opinion against continued operations'
             ELSE 'negative stance gives political cover' END,
