@@ -66,8 +66,12 @@ def spread(df: DataFrame) -> DataFrame:
     regex/lexicon projections that follow would then run on one core.  At scale
     the scan already has more splits than cores and this is a no-op (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
