@@ -16,7 +16,7 @@ def get_spark(app: str = "sparksignal", master: str | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
     """Local session tuned for tests/bench (UI off, AQE on, UTC)."""
     cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
+    master = master or os.environ.get("SPARK_MASTER") or f"local[{cpus}]"
     parts = shuffle_partitions or int(cpus)
     builder = (
         SparkSession.builder.master(master)
