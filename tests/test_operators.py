@@ -208,3 +208,14 @@ def test_tension_probability_is_clipped(spark):
                                      "escalation string, iran_spillover string")
     p = models.tension_days(df).first().war_probability
     assert math.isclose(p, 0.2 + 0.3 + 0.9 * 0.15 + 0.1 + 3 / 200)
+
+
+def test_series_run_per_symbol(spark):
+    rows = [("A", dt.date(2024, 1, d), float(d)) for d in range(1, 6)] + \
+           [("B", dt.date(2024, 1, d), float(10 * d)) for d in range(1, 6)]
+    df = spark.createDataFrame(rows, "symbol string, date date, close double")
+    out = series.rolling_mean(df, "close", 3, "r", partition_by=["symbol"])
+    out = series.next_day_label(out, partition_by=["symbol"])
+    got = {(r.symbol, r.date.day): (r.r, r.price_direction) for r in out.collect()}
+    assert got[("A", 3)] == (2.0, 1) and got[("B", 3)] == (20.0, 1)
+    assert got[("A", 5)][1] == 0 and got[("B", 5)][1] == 0  # each series ends with 0
