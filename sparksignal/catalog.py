@@ -14,9 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparksignal.oracle_sql import compose
+from sparksignal.functions import classify, sentiment, text
+from sparksignal.operators import clean, daily
+from sparksignal.oracle_sql import compose, rx, sround, tags_sql
+from sparksignal.plans import classifier, models, quality, reports, signals
+from sparksignal.plans import evaluation as ev
 from sparksignal.plans import features as feat
-from sparksignal.sources import views
+from sparksignal.plans.materialize import materialize
+from sparksignal.session import scratch_path
+from sparksignal.sources import files, sinks, views
+from sparksignal.streaming import landing as stream_landing
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -106,12 +113,6 @@ def q_last_30(spark, sf_dir):
 # =============================================================================
 # Clean layer and row-local text functions
 # =============================================================================
-from sparksignal.functions import classify, sentiment, text  # noqa: E402
-from sparksignal.oracle_sql import rx, sround, tags_sql  # noqa: E402
-from sparksignal.operators import clean, daily  # noqa: E402
-from sparksignal.plans import evaluation as ev  # noqa: E402
-from sparksignal.plans import models, signals  # noqa: E402
-from sparksignal.plans.materialize import materialize  # noqa: E402
 
 # Test wiring for the text queries (words that occur in the generated documents).
 DOC_TOPICS = [
@@ -571,8 +572,6 @@ def q_metric_cards(spark, sf_dir):
 # =============================================================================
 # Reports, charts and read-path queries
 # =============================================================================
-from sparksignal.plans import quality, reports  # noqa: E402
-from sparksignal.sources import files, sinks  # noqa: E402
 
 
 @register("value_counts", """
@@ -767,8 +766,6 @@ def q_tension_bullets(spark, sf_dir):
 # =============================================================================
 # Landed files: write with the sinks, scan with the sources (round trips)
 # =============================================================================
-from sparksignal.plans import classifier  # noqa: E402
-from sparksignal.session import scratch_path  # noqa: E402
 
 _NEWS_RAW = ["date", "source", "title", "published_date", "summary", "sentiment_compound"]
 
@@ -909,7 +906,6 @@ def q_landing_report(spark, sf_dir):
 # =============================================================================
 # Structured Streaming ingest of re-landed files
 # =============================================================================
-from sparksignal.streaming import landing as stream_landing  # noqa: E402
 
 _POST_COLS = [
     "date", "subreddit", "subreddit_group", "title", "score", "sentiment_compound", "topic"]
