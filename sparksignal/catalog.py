@@ -558,15 +558,22 @@ SELECT CASE WHEN (SELECT arg_max(prediction, date) FROM predictions) IS NULL THE
                        THEN '↑' ELSE '↓' END) || ' ' || (SELECT arg_max(prediction, date)
                                                          FROM predictions) END
          AS prediction_card,
+       (SELECT round(CASE WHEN count(*) > 0
+                          THEN count_if(f.price_direction = p.prediction_numeric) / count(*)
+                          ELSE 0.0 END, 4)
+        FROM predictions p JOIN features f ON f.date = p.date) AS model_accuracy,
        round(arg_max(avg_price, date), 6) AS latest_price,
        round(arg_max(favor_ratio, date), 6) AS latest_favor_ratio,
        round((SELECT arg_max(exit_probability, date) FROM pressure), 6) AS exit_pressure
 FROM daily_sum""")
 def q_metric_cards(spark, sf_dir):
-    # features feed the main aggregate and two scalar subqueries: compute them once
+    # features feed the main aggregate and three scalar subqueries: compute them once
     f = materialize(features_df(spark, sf_dir))
-    return present(ev.metric_cards(feat.daily_summary(f), views.predictions(spark, sf_dir),
-                                   models.pressure_index(f)))
+    p = views.predictions(spark, sf_dir)
+    scored = p.join(f.select("date", F.col("price_direction").alias("label")), "date").select(
+        "label", F.col("prediction_numeric").alias("prediction"))
+    return present(ev.metric_cards(feat.daily_summary(f), p, models.pressure_index(f),
+                                   ev.classifier_metrics(scored)))
 
 
 # =============================================================================

@@ -91,14 +91,18 @@ def classifier_metrics(scored: DataFrame, label: str = "label",
     )
 
 
-def metric_cards(summary: DataFrame, predictions: DataFrame, pressure: DataFrame) -> DataFrame:
-    """One row: latest prediction, price, favor ratio, exit pressure with N/A fallback.
+def metric_cards(summary: DataFrame, predictions: DataFrame, pressure: DataFrame,
+                 metrics: DataFrame | None = None) -> DataFrame:
+    """One row: latest prediction, model accuracy, price, favor ratio, exit pressure,
+    with N/A fallback (M14).
 
-    Anchored on the summary's one-row aggregate; the other two latest values
-    are scalar subqueries (each a one-row aggregate), so no cross join.
+    Anchored on the summary's one-row aggregate; the other latest values are
+    scalar subqueries (each a one-row aggregate), so no cross join.
     """
     pred = predictions.agg(F.max_by("prediction", "date")).scalar()
     exitp = pressure.agg(F.max_by("exit_probability", "date")).scalar()
+    acc = (metrics.agg(F.first("accuracy")).scalar() if metrics is not None
+           else F.lit(None).cast("double"))
     base = summary.agg(F.max_by("avg_price", "date").alias("latest_price"),
                        F.max_by("favor_ratio", "date").alias("latest_favor_ratio"))
     direction = F.coalesce(pred, F.lit("N/A"))
@@ -106,6 +110,7 @@ def metric_cards(summary: DataFrame, predictions: DataFrame, pressure: DataFrame
         F.when(pred.isNull(), F.lit("N/A"))
         .otherwise(F.concat(F.when(direction == "Up", F.lit("↑")).otherwise(F.lit("↓")),
                             F.lit(" "), direction)).alias("prediction_card"),
+        acc.alias("model_accuracy"),
         "latest_price", "latest_favor_ratio",
         exitp.alias("exit_pressure"),
     )
