@@ -1032,3 +1032,83 @@ def q_eval_log_csv(spark, sf_dir):
     back = spark.read.schema(schema).option("header", True).option("escape", '"').csv(root)
     back = back.where(clean.to_timestamp_safe("evaluated_at").isNotNull())
     return present(back.drop("evaluated_at"))
+
+
+# =============================================================================
+# Feed ingest from landed RSS files
+# =============================================================================
+_STAMP_SQL = ("strftime(DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER), '%a, %d %b %Y') "
+              "|| ' 12:00:00 +0000'")
+
+
+@register("feed_ingest", f"""
+WITH items AS (
+  SELECT 0 AS feed_ord, doc_id, {_HEAD_SQL} || ' - ' || source AS raw_title, text AS summary,
+         {_STAMP_SQL} AS published FROM documents WHERE lang = 'en'
+  UNION ALL
+  SELECT 1, doc_id, {_HEAD_SQL} || ' - ' || source, text, {_STAMP_SQL}
+  FROM documents WHERE lang = 'de'
+  UNION ALL
+  SELECT 2, doc_id, {_HEAD_SQL}, text, {_STAMP_SQL} FROM documents
+  WHERE lang = 'fr'
+    AND coalesce(regexp_matches({_HEAD_SQL} || ' ' || text, {rx(views.VIEW_CONFLICT_FILTER)}), false)),
+entries AS (
+  SELECT feed_ord, doc_id, summary, published,
+         CASE WHEN feed_ord = 2 THEN 'world'
+              WHEN contains(raw_title, ' - ') THEN trim(string_split(raw_title, ' - ')[-1])
+              WHEN feed_ord = 0 THEN 'wire_a' ELSE 'wire_b' END AS source,
+         CASE WHEN feed_ord = 2 THEN raw_title
+              WHEN contains(raw_title, ' - ')
+              THEN trim(regexp_replace(raw_title, '(?s)^(.*) - .*$', '\\1'))
+              ELSE raw_title END AS title0
+  FROM items),
+valence AS (
+  SELECT t.feed_ord, t.doc_id, sum(l.valence) AS vs
+  FROM (SELECT feed_ord, doc_id,
+               unnest(regexp_extract_all(lower(title0 || ' ' || summary), '[a-z]+')) AS token
+        FROM entries) t
+  JOIN lexicon l ON l.token = t.token
+  GROUP BY t.feed_ord, t.doc_id),
+scored AS (
+  SELECT coalesce(TRY_CAST(try_strptime(regexp_extract(published,
+                    '(\\d{{1,2}} [A-Za-z]{{3}} \\d{{4}})', 1), '%d %b %Y') AS DATE),
+                  DATE '{AS_OF}') AS date,
+         e.source, substr(e.title0, 1, 500) AS title, e.published AS published_date, e.summary,
+         round(coalesce(v.vs, 0.0) / sqrt(coalesce(v.vs, 0.0) * coalesce(v.vs, 0.0) + 15.0), 4)
+           AS sentiment_compound, e.feed_ord, e.doc_id
+  FROM entries e LEFT JOIN valence v ON v.feed_ord = e.feed_ord AND v.doc_id = e.doc_id)
+SELECT date, source, title, published_date, summary,
+       round(sentiment_compound, 6) AS sentiment_compound,
+       CASE WHEN sentiment_compound > 0.05 THEN 'favor'
+            WHEN sentiment_compound < -0.05 THEN 'against' ELSE 'neutral' END AS stance
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY feed_ord, doc_id) = 1""")
+def q_feed_ingest(spark, sf_dir):
+    """Three RSS feeds landed as XML (two headline feeds, one keyword-filtered world feed),
+    scanned, split, scored on whole texts and deduplicated first-seen across feeds
+    (S6, F4-F6, F16, P7, V1, D2, F10)."""
+    from sparksignal.plans import feeds as feeds_mod
+
+    d = views.table(spark, sf_dir, "documents")
+    day = F.date_add(F.lit(views.EPOCH).cast("date"), (F.col("doc_id") % views.N_DAYS).cast("int"))
+    stamp = F.concat(F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" 12:00:00 +0000"))
+
+    def landed_feed(lang: str, with_source: bool) -> DataFrame:
+        title = F.concat(_head(), F.lit(" - "), F.col("source")) if with_source else _head()
+        items = (d.where(F.col("lang") == lang)
+                 .select("doc_id", title.alias("title"), F.col("text").alias("description"),
+                         stamp.alias("pubDate"))
+                 # feed files in entry order: range-partitioned and sorted by position
+                 .repartitionByRange(16, "doc_id").sortWithinPartitions("doc_id")
+                 .drop("doc_id"))
+        root = scratch_path(spark, f"feed-{lang}")
+        items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(root)
+        return files.read_feed_xml(spark, root)
+
+    feeds = [
+        feeds_mod.Feed("wire_a", landed_feed("en", True)),
+        feeds_mod.Feed("wire_b", landed_feed("de", True)),
+        feeds_mod.Feed("world", landed_feed("fr", False), kind="filtered",
+                       pattern=views.VIEW_CONFLICT_FILTER, source="world"),
+    ]
+    return present(feeds_mod.conflict_news(feeds, F.lit(AS_OF).cast("date")))
