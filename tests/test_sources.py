@@ -126,3 +126,40 @@ def test_stream_ingest_relanded_day_dedups(spark):
         spark, f"{root}/bronze", "news").collect()}
     assert got == {"bbc": "new", "cnbc": "u"}
     assert spark.read.parquet(f"{root}/bronze").count() == 3  # second run read only the new file
+
+
+def _feed(spark, name, rows):
+    from sparksignal.plans import feeds as feeds_mod
+
+    root = scratch_path(spark, f"feed-{name}")
+    df = spark.createDataFrame(rows, "title string, description string, pubDate string")
+    df.coalesce(1).write.format("xml").option("rootTag", "channel").option("rowTag", "item") \
+        .save(root)
+    return files.read_feed_xml(spark, root), feeds_mod
+
+
+def test_statement_feeds_dedup_within_and_across(spark):
+    stamp = "Tue, 02 Jan 2024 10:00:00 +0000"
+    a, feeds_mod = _feed(spark, "qa", [("Oil up - Reuters", "crude rises", stamp),
+                                       ("oil up - reuters", "copy", stamp),
+                                       ("Strike on port - AP", "missile attack", stamp)])
+    b, _ = _feed(spark, "qb", [("Oil up - Bloomberg", "again", stamp),
+                               ("New tariff", "ban talk", stamp)])
+    out = feeds_mod.statements([feeds_mod.Feed("q_a", a), feeds_mod.Feed("q_b", b)],
+                               F.lit("2024-01-31").cast("date"))
+    got = {(r.query, r.source, r.title): r.topic_tags for r in out.collect()}
+    assert got == {("q_a", "Reuters", "Oil up"): "oil",
+                   ("q_a", "AP", "Strike on port"): "war",
+                   ("q_b", "q_b", "New tariff"): "sanctions"}
+
+
+def test_filtered_feed_and_tension_flags(spark):
+    stamp = "Wed, 03 Jan 2024 09:00:00 +0800"
+    w, feeds_mod = _feed(spark, "world", [("Taiwan drills", "PLA exercises near the strait", stamp),
+                                          ("Football", "cup final", stamp)])
+    out = feeds_mod.tension_news([feeds_mod.Feed("world", w, kind="filtered",
+                                                 pattern=feeds_mod.text.TENSION_FILTER,
+                                                 source="world")],
+                                 F.lit("2024-01-31").cast("date")).collect()
+    assert len(out) == 1 and out[0].source == "world" and out[0].date == dt.date(2024, 1, 3)
+    assert out[0].iran_spillover == "False" and out[0].escalation == "neutral"
