@@ -822,18 +822,33 @@ def _epoch_seconds(ts: str):
     return secs.cast("double")
 
 
+_VIEW_GROUPS = [(t, "base") for t in views.VIEW_BASE_TYPES] + [
+    (t, "general") for t in ("click", "signup", "view")]
+
+
+_LISTING_TEXT = "event_type || ' by user ' || CAST(user_id AS VARCHAR) || ' ' || CAST(value AS VARCHAR)"
+
+
 @register("json_listing", f"""
+WITH valence AS (
+  SELECT t.event_id, sum(l.valence) AS vs
+  FROM (SELECT event_id, unnest(regexp_extract_all(lower({_LISTING_TEXT}), '[a-z]+')) AS token
+        FROM events) t
+  JOIN lexicon l ON l.token = t.token GROUP BY t.event_id)
 SELECT CAST(ts AS DATE) AS date, event_type AS subreddit,
        CASE WHEN event_type IN {tuple(views.VIEW_BASE_TYPES)!r} THEN 'base' ELSE 'general' END
          AS subreddit_group,
        event_type || ' by user ' || CAST(user_id AS VARCHAR) AS title,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS score,
-       {tags_sql("event_type || ' by user ' || CAST(user_id AS VARCHAR) || ' ' || CAST(value AS VARCHAR)", views.VIEW_POST_TOPICS)}
-         AS topic
-FROM events""")
+       round(coalesce(v.vs, 0.0) / sqrt(coalesce(v.vs, 0.0) * coalesce(v.vs, 0.0) + 15.0), 4)
+         AS sentiment_compound,
+       {tags_sql(_LISTING_TEXT, views.VIEW_POST_TOPICS)} AS topic
+FROM events e LEFT JOIN valence v ON v.event_id = e.event_id""")
 def q_json_listing(spark, sf_dir):
     """Events written as post listings (pages of at most 100 children), scanned back and
-    exploded to posts (S7); UTC day of ``created_utc`` (F7), topic tags (F8)."""
+    turned into post rows (S7, F7, F8, F15, F16)."""
+    from sparksignal.plans import feeds as feeds_mod
+
     e = views.table(spark, sf_dir, "events")
     child = F.struct(F.lit("t3").alias("kind"), F.struct(
         F.col("event_type").alias("subreddit"),
@@ -853,14 +868,9 @@ def q_json_listing(spark, sf_dir):
     root = scratch_path(spark, "listings")
     pages.write.json(root)
     posts = files.read_listings(spark, root)
-    body = text.joined_text(text.truncate("title", text.TITLE_MAX),
-                            text.truncate("selftext", text.BODY_MAX))
-    group = F.when(F.col("subreddit").isin(*views.VIEW_BASE_TYPES), F.lit("base")) \
-        .otherwise(F.lit("general"))
-    return posts.select(
-        text.epoch_date("created_utc").alias("date"), "subreddit", group.alias("subreddit_group"),
-        text.truncate("title", text.TITLE_MAX).alias("title"), "score",
-        text.topic_tags(body, views.VIEW_POST_TOPICS).alias("topic"))
+    return present(feeds_mod.posts_from_listings(posts, F.lit(AS_OF).cast("date"),
+                                                 groups=_VIEW_GROUPS,
+                                                 topics=views.VIEW_POST_TOPICS))
 
 
 @register("json_predictions", """

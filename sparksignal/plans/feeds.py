@@ -112,3 +112,26 @@ def business_news(feeds: Sequence[Feed], as_of: Column, **kw) -> DataFrame:
                               for i, f in enumerate(feeds)])
     return rows.select("date", "source", "title", "published_date", "summary",
                        "sentiment_compound")
+
+
+def posts_from_listings(posts: DataFrame, as_of: Column,
+                        groups: Sequence[tuple[str, str]] = text.SUBREDDIT_GROUPS,
+                        topics: Sequence[tuple[str, str]] = text.POST_TOPICS,
+                        title_max: int | None = text.TITLE_MAX) -> DataFrame:
+    """Listing children (``files.read_listings``) -> post rows.
+
+    Day = UTC day of ``created_utc`` (``as_of`` when 0/missing); sentiment and
+    topic tags use the whole ``title + ' ' + selftext``; the group comes from the
+    subreddit map.
+    """
+    body = text.joined_text("title", "selftext")
+    title = text.safe_text("title")
+    return posts.select(
+        text.epoch_date("created_utc", as_of).alias("date"),
+        "subreddit",
+        text.subreddit_group("subreddit", groups).alias("subreddit_group"),
+        (text.truncate(title, title_max) if title_max else title).alias("title"),
+        F.coalesce(F.col("score"), F.lit(0)).alias("score"),
+        sentiment.lexicon_compound(body).alias("sentiment_compound"),
+        text.topic_tags(body, topics).alias("topic"),
+    )
