@@ -163,3 +163,10 @@ def test_filtered_feed_and_tension_flags(spark):
                                  F.lit("2024-01-31").cast("date")).collect()
     assert len(out) == 1 and out[0].source == "world" and out[0].date == dt.date(2024, 1, 3)
     assert out[0].iran_spillover == "False" and out[0].escalation == "neutral"
+
+
+def test_preferred_columns_first(spark):
+    df = spark.createDataFrame([(1, 2.0, "x", 3.0)], "volume long, close double, note string, "
+                                                     "open double")
+    out = files.with_columns_order(df, ["date", "open", "high", "low", "close", "volume"])
+    assert out.columns == ["open", "close", "volume", "note"]
