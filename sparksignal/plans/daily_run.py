@@ -12,20 +12,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparksignal import schemas
-from sparksignal.operators import clean
+from sparksignal.operators import clean, daily
 from sparksignal.plans import classifier, evaluation, features, models, quality, signals
 from sparksignal.sources import files, sinks
 
 SOURCES = ["prices", "posts", "news", "statements", "conflict_news", "tension_news"]
 
 
+def landed(spark: SparkSession, landing: str, source: str) -> DataFrame:
+    return files.read_landed_csv(spark, f"{landing.rstrip('/')}/{source}", source)
+
+
 def clean_landed(spark: SparkSession, landing: str, source: str) -> DataFrame:
     """Landed CSV of one source -> cleaned rows; the newest landing file wins per key."""
-    raw = files.read_landed_csv(spark, f"{landing.rstrip('/')}/{source}", source)
-    out = clean.clean_source(raw, source, ["file_name"], descending=True)
+    out = clean.clean_source(landed(spark, landing, source), source, ["file_name"],
+                             descending=True)
     return out.drop("file_name")
 
 
+def file_spans(spark: SparkSession, landing: str) -> DataFrame:
+    """Rows and first/last parseable day per landed file of every source."""
+    out = None
+    for s in SOURCES:
+        f = clean.normalise(landed(spark, landing, s).select("date", "file_name"))
+        span = daily.date_span(f, by=["file_name"]).withColumn("source", F.lit(s))
+        out = span if out is None else out.unionByName(span)
+    return out
+
+
 def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     """Run the daily batch; returns rows written per output table."""
     wh = warehouse.rstrip("/")
@@ -38,6 +52,7 @@ def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     cleaned = {s: save(f"clean/{s}", clean_landed(spark, landing, s)) for s in SOURCES}
     save("quality/volume_gate", quality.volume_gate(cleaned))
     save("quality/landing", quality.landing_report(spark, landing, SOURCES))
+    save("quality/file_spans", file_spans(spark, landing))
 
     feats = save("features", features.feature_table(
         cleaned["prices"], cleaned["posts"], cleaned["news"], cleaned["statements"],

@@ -36,5 +36,7 @@ def test_daily_run_end_to_end(spark):
                spark.read.parquet(f"{root}/warehouse/quality/landing").collect()}
     assert set(landing.values()) == {"OK"}
     assert spark.table("serving_daily_summary_30d").count() == 30
+    spans = spark.read.parquet(f"{root}/warehouse/quality/file_spans")
+    assert spans.where("source = 'prices'").agg({"n_rows": "sum"}).first()[0] == 2 * n_days
     clean_posts = spark.read.parquet(f"{root}/warehouse/clean/posts")
     assert clean_posts.count() == views.cleaned(spark, SF, "posts").count()
