@@ -219,3 +219,13 @@ def test_series_run_per_symbol(spark):
     got = {(r.symbol, r.date.day): (r.r, r.price_direction) for r in out.collect()}
     assert got[("A", 3)] == (2.0, 1) and got[("B", 3)] == (20.0, 1)
     assert got[("A", 5)][1] == 0 and got[("B", 5)][1] == 0  # each series ends with 0
+
+
+def test_rolling_counts_source_rows_not_calendar_days(spark, sample_prices):
+    # statements exist on days 1, 5 and 9 only: the 3-row mean on day 9 spans all three
+    rows = [(dt.date(2024, 1, d), "s", f"t{d}", v) for d, v in ((1, 0.3), (5, 0.6), (9, 0.9))]
+    st = spark.createDataFrame(rows, "date date, source string, title string, "
+                                     "sentiment_compound double")
+    f = {r.date.day: r for r in features.feature_table(sample_prices, statements=st).collect()}
+    assert math.isclose(f[9].trump_sentiment_rolling_3d, 0.6)
+    assert f[8].trump_sentiment_rolling_3d == 0.0  # no statement that day -> filled 0.0 (T7)
