@@ -70,15 +70,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) do we create a scratch folder and set it.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()  # already in use (Spark adds a unique sub-folder)
     if current:
-        sc.setCheckpointDir(current)
         return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="sparksignal-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparksignal-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
