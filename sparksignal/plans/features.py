@@ -60,6 +60,33 @@ def base_segment_daily(posts: DataFrame, group: str = "base", topic: str = "war"
     return series.rolling_mean(d, "base_war_sentiment", 7, "base_sentiment_rolling_7d")
 
 
+def posts_sides(posts: DataFrame, group: str = "base",
+                topic: str = "war") -> tuple[DataFrame, DataFrame]:
+    """``posts_daily`` and ``base_segment_daily`` from ONE pass over the posts.
+
+    Both daily means come from a single day-grain aggregate; the segment mean
+    averages only segment rows (others are null) and keeps only days that have
+    one, so its 7-row window still counts segment days (T6).  The aggregate is
+    checkpointed once (day-grain, bounded by the calendar) because both
+    windows read it and the optimizer would otherwise prune it into two
+    different plans, scanning and deduplicating the posts twice.
+    """
+    from sparksignal.plans.materialize import materialize
+
+    seg = (F.col("subreddit_group") == group) & F.col("topic").contains(topic)
+    d = materialize(posts.groupBy("date").agg(
+        F.avg("sentiment_compound").alias("reddit_sentiment_avg"),
+        F.avg(F.when(seg, F.col("sentiment_compound"))).alias("base_war_sentiment"),
+        F.count_if(seg).alias("n_segment"),
+    ))
+    reddit = series.rolling_mean(d.select("date", "reddit_sentiment_avg"),
+                                 "reddit_sentiment_avg", 3, "sentiment_rolling_3d")
+    base = series.rolling_mean(d.where(F.col("n_segment") > 0)
+                               .select("date", "base_war_sentiment"),
+                               "base_war_sentiment", 7, "base_sentiment_rolling_7d")
+    return reddit, base
+
+
 def news_daily(news: DataFrame) -> DataFrame:
     """Credibility-weighted daily news sentiment (A2)."""
     return daily.weighted_daily_mean(news, "sentiment_compound", "news_sentiment")
@@ -84,7 +111,7 @@ def feature_table(prices: DataFrame, posts: DataFrame | None = None,
     f = price_features(prices, null_last_label=null_last_label)
     sides: list[DataFrame] = []
     if posts is not None:
-        sides += [posts_daily(posts), base_segment_daily(posts)]
+        sides += list(posts_sides(posts))
     if news is not None:
         sides.append(news_daily(news))
     if statements is not None:
