@@ -686,7 +686,7 @@ WHERE date < (SELECT max(date) + 1 FROM prices)
 def q_incremental_window(spark, sf_dir):
     """Pull window before ``as_of`` (day after the newest price): 90-day backfill when
     nothing has landed since ``as_of``, else a 2-day overlap (S9)."""
-    p = views.prices(spark, sf_dir)
+    p = materialize(views.prices(spark, sf_dir))  # read three times below: compute once
     as_of = F.date_add(p.agg(F.max("date")).scalar(), 1)
     landed_since = p.where(F.col("date") >= as_of)
     return present(files.incremental_window(p, landed_since, as_of))
@@ -720,7 +720,7 @@ SELECT date, prediction_numeric, round(confidence, 6) AS confidence, version FRO
 QUALIFY row_number() OVER (PARTITION BY date ORDER BY version DESC) = 1""")
 def q_keyed_upsert(spark, sf_dir):
     """Corrections (version 2) for wrong predictions upserted over the log."""
-    p = views.predictions(spark, sf_dir)
+    p = materialize(views.predictions(spark, sf_dir))  # the log and its corrections read it
     f = features_df(spark, sf_dir).select("date", "price_direction")
     cur = p.select("date", "prediction_numeric", "confidence", F.lit(1).alias("version"))
     upd = (p.join(f, "date").where(F.col("prediction_numeric") != F.col("price_direction"))
