@@ -1122,3 +1122,22 @@ def q_feed_ingest(spark, sf_dir):
                        pattern=views.VIEW_CONFLICT_FILTER, source="world"),
     ]
     return present(feeds_mod.conflict_news(feeds, F.lit(AS_OF).cast("date")))
+
+
+@register("tension_by_source", """
+SELECT source, n_articles, round(avg_sentiment, 6) AS avg_sentiment,
+       round(escalation_ratio, 6) AS escalation_ratio, round(iran_pct, 6) AS iran_pct,
+       round(greatest(0.05::DOUBLE, least(0.95::DOUBLE,
+         0.20::DOUBLE + escalation_ratio * 0.30::DOUBLE - avg_sentiment * 0.15::DOUBLE
+         + iran_pct * 0.10::DOUBLE + least(n_articles / 200.0::DOUBLE, 0.15::DOUBLE))), 6)
+         AS war_probability
+FROM (SELECT source, count(*) AS n_articles, avg(sentiment_compound) AS avg_sentiment,
+             count_if(escalation = 'escalation') / count(*) AS escalation_ratio,
+             avg(CASE WHEN lower(iran_spillover) = 'true' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)
+               AS iran_pct
+      FROM tension GROUP BY source)""")
+def q_tension_by_source(spark, sf_dir):
+    """The batch index with one batch per source feed."""
+    t = views.cleaned(spark, sf_dir, "tension_news",
+                      ["source", *views.FEATURE_COLUMNS["tension_news"]])
+    return present(models.tension_batch(t, by=["source"]))

@@ -8,6 +8,8 @@ score in one projection over the day-grain frame, and "latest" is a
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,10 +122,15 @@ def tension_days(tension: DataFrame) -> DataFrame:
         F.col("iran_pct")))
 
 
-def tension_batch(tension: DataFrame) -> DataFrame:
-    """Whole-batch index: n, mean sentiment, escalation ratio, spillover share, probability."""
+def tension_batch(tension: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Batch index: n, mean sentiment, escalation ratio, spillover share, probability.
+
+    ``by`` chooses the scope (T14): nothing = the whole input as one batch,
+    e.g. ``["ingest_date"]`` = one index per landing batch.
+    """
     flag = F.when(F.lower(F.col("iran_spillover").cast("string")) == "true", 1.0).otherwise(0.0)
-    agg = tension.agg(
+    grouped = tension.groupBy(*by) if by else tension.groupBy()
+    agg = grouped.agg(
         F.count(F.lit(1)).alias("n_articles"),
         F.avg("sentiment_compound").alias("avg_sentiment"),
         (F.count_if(F.col("escalation") == "escalation") / F.count(F.lit(1)))
