@@ -28,14 +28,51 @@ from sparksignal.streaming import landing as stream_landing
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
-PRESENT_DIGITS = 6
+PRESENT_DIGITS = 10
+
+
+def _spark_rounding(sql: str, digits: int = PRESENT_DIGITS) -> str:
+    """Rewrite ``round(x, digits)`` as Spark rounds a double: HALF_UP on its decimal form.
+
+    DuckDB's ``round`` scales the binary value, which is off by an ulp for large
+    magnitudes at many digits; the decimal form agrees with Spark exactly.
+    """
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 5, -1
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        arg, dig = sql[j + 6:comma], sql[comma + 1:k].strip()
+        out.append(sql[i:j])
+        if dig == str(digits):
+            out.append(sround(_spark_rounding(arg, digits), digits))
+        else:
+            out.append("round(" + _spark_rounding(arg, digits) + "," + sql[comma + 1:k] + ")")
+        i = k + 1
 
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = compose(sql)
+            ORACLE[name] = compose(_spark_rounding(sql))
         return fn
     return deco
 
@@ -274,7 +311,7 @@ def q_rfc822_dates(spark, sf_dir):
 
 @register("lexicon_sentiment", """
 SELECT d.doc_id, count(t.token) AS n_tokens, count(l.valence) AS n_hits,
-       round(coalesce(sum(l.valence), 0.0), 6) AS valence_sum,
+       round(coalesce(sum(l.valence), 0.0), 10) AS valence_sum,
        round(coalesce(sum(l.valence), 0.0)
              / sqrt(coalesce(sum(l.valence), 0.0) * coalesce(sum(l.valence), 0.0) + 15.0), 4)
          AS compound
@@ -332,11 +369,11 @@ def q_tension_daily(spark, sf_dir):
 
 
 @register("tension_batch", """
-SELECT n_articles, round(avg_sentiment, 6) AS avg_sentiment,
-       round(escalation_ratio, 6) AS escalation_ratio, round(iran_pct, 6) AS iran_pct,
+SELECT n_articles, round(avg_sentiment, 10) AS avg_sentiment,
+       round(escalation_ratio, 10) AS escalation_ratio, round(iran_pct, 10) AS iran_pct,
        round(greatest(0.05::DOUBLE, least(0.95::DOUBLE,
          0.20::DOUBLE + escalation_ratio * 0.30::DOUBLE - avg_sentiment * 0.15::DOUBLE
-         + iran_pct * 0.10::DOUBLE + least(n_articles / 200.0::DOUBLE, 0.15::DOUBLE))), 6)
+         + iran_pct * 0.10::DOUBLE + least(n_articles / 200.0::DOUBLE, 0.15::DOUBLE))), 10)
          AS war_probability
 FROM (SELECT count(*) AS n_articles, avg(sentiment_compound) AS avg_sentiment,
              count_if(escalation = 'escalation') / count(*) AS escalation_ratio,
@@ -365,7 +402,7 @@ tot AS (
          CAST(sum(CASE WHEN lower(iran_spillover) = 'true' THEN 1 ELSE 0 END) AS BIGINT) AS iran_n,
          avg(sentiment_compound) AS avg_sentiment
   FROM tension)
-SELECT latest_date, round(latest_probability, 6) AS latest_probability,
+SELECT latest_date, round(latest_probability, 10) AS latest_probability,
        CASE WHEN latest_probability >= 0.75 THEN 6 WHEN latest_probability >= 0.55 THEN 12
             WHEN latest_probability >= 0.35 THEN 24 ELSE 36 END AS months_ahead,
        strftime(date_trunc('quarter', latest_date + to_months(
@@ -373,13 +410,13 @@ SELECT latest_date, round(latest_probability, 6) AS latest_probability,
               WHEN latest_probability >= 0.35 THEN 24 ELSE 36 END)), '%B %Y') AS estimated_window,
        CASE WHEN latest_probability >= 0.60 THEN 'HIGH' WHEN latest_probability >= 0.35
             THEN 'MODERATE' ELSE 'LOW' END AS risk,
-       round(trend_delta, 6) AS trend_delta,
+       round(trend_delta, 10) AS trend_delta,
        CASE WHEN trend_delta > 0.02 THEN 'rising' WHEN trend_delta < -0.02 THEN 'falling'
             ELSE 'stable' END AS trend,
        CAST(n_total AS BIGINT) AS n_total, CAST(n_escalation AS BIGINT) AS n_escalation,
-       round(CASE WHEN n_total > 0 THEN n_escalation / n_total ELSE 0.0 END, 6)
+       round(CASE WHEN n_total > 0 THEN n_escalation / n_total ELSE 0.0 END, 10)
          AS escalation_ratio,
-       iran_n, round(avg_sentiment, 6) AS avg_sentiment
+       iran_n, round(avg_sentiment, 10) AS avg_sentiment
 FROM latest, tot"""
 
 
@@ -397,7 +434,7 @@ def q_pressure_index(spark, sf_dir):
 
 
 @register("strike_outlook", """
-SELECT date, round(1.0::DOUBLE - exit_probability, 6) AS strike_probability,
+SELECT date, round(1.0::DOUBLE - exit_probability, 10) AS strike_probability,
        CASE WHEN 1.0 - exit_probability >= 0.65 THEN 3 WHEN 1.0 - exit_probability >= 0.45 THEN 6
             WHEN 1.0 - exit_probability >= 0.25 THEN 12 ELSE 24 END AS months_ahead,
        strftime(date + to_months(
@@ -413,7 +450,7 @@ def q_strike_outlook(spark, sf_dir):
 
 
 @register("ceasefire", """
-SELECT date, round(rs, 6) AS recent_war_sentiment, round(rf, 6) AS recent_favor_ratio,
+SELECT date, round(rs, 10) AS recent_war_sentiment, round(rf, 10) AS recent_favor_ratio,
        coalesce(rs > 0.15 AND rf > 0.70, false) AS ceasefire
 FROM (SELECT date,
              avg(avg_war_sentiment) OVER (ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
@@ -465,9 +502,9 @@ SELECT CAST(count_if(signal = 'BUY') AS BIGINT) AS n_buy,
        CAST(count_if(signal = 'SELL') AS BIGINT) AS n_sell,
        CAST(count_if(signal = 'HOLD') AS BIGINT) AS n_hold, count(correct) AS n_trades,
        CAST(coalesce(sum(correct), 0.0) AS BIGINT) AS n_correct,
-       round(coalesce(avg(correct), 0.0), 6) AS accuracy,
+       round(coalesce(avg(correct), 0.0), 10) AS accuracy,
        arg_max(signal, date) AS latest_signal,
-       round(arg_max(composite_score, date), 6) AS latest_score,
+       round(arg_max(composite_score, date), 10) AS latest_score,
        arg_max(reason, date) AS latest_reason
 FROM signals""")
 def q_signal_summary(spark, sf_dir):
@@ -499,8 +536,8 @@ def q_prediction_eval(spark, sf_dir):
 @register("running_accuracy", """
 SELECT pred_date, correct,
        round(avg(correct) OVER (ORDER BY pred_date ROWS BETWEEN UNBOUNDED PRECEDING
-             AND CURRENT ROW), 6) AS cumulative_accuracy,
-       round(avg(correct) OVER (ORDER BY pred_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6)
+             AND CURRENT ROW), 10) AS cumulative_accuracy,
+       round(avg(correct) OVER (ORDER BY pred_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 10)
          AS recent_accuracy
 FROM evaluation WHERE correct IS NOT NULL""")
 def q_running_accuracy(spark, sf_dir):
@@ -509,7 +546,7 @@ def q_running_accuracy(spark, sf_dir):
 
 @register("accuracy_summary", """
 SELECT count(*) AS total_evaluated, CAST(sum(correct) AS BIGINT) AS correct_count,
-       round(avg(correct), 6) AS accuracy, round(arg_max(recent, pred_date), 6) AS recent_accuracy,
+       round(avg(correct), 10) AS accuracy, round(arg_max(recent, pred_date), 10) AS recent_accuracy,
        (SELECT count(*) FROM evaluation WHERE correct IS NULL) AS pending
 FROM (SELECT pred_date, correct,
              avg(correct) OVER (ORDER BY pred_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
@@ -524,7 +561,7 @@ def q_accuracy_summary(spark, sf_dir):
 SELECT p.date, p.prediction,
        CASE WHEN s.price_direction = 1 THEN 'Up' WHEN s.price_direction = 0 THEN 'Down' END
          AS actual,
-       round(p.confidence, 6) AS confidence,
+       round(p.confidence, 10) AS confidence,
        CASE WHEN coalesce(p.prediction_numeric = s.price_direction, false) THEN '✓' ELSE '✗' END
          AS correct
 FROM predictions p LEFT JOIN daily_sum s ON s.date = p.date""")
@@ -562,9 +599,9 @@ SELECT CASE WHEN (SELECT arg_max(prediction, date) FROM predictions) IS NULL THE
                           THEN count_if(f.price_direction = p.prediction_numeric) / count(*)
                           ELSE 0.0 END, 4)
         FROM predictions p JOIN features f ON f.date = p.date) AS model_accuracy,
-       round(arg_max(avg_price, date), 6) AS latest_price,
-       round(arg_max(favor_ratio, date), 6) AS latest_favor_ratio,
-       round((SELECT arg_max(exit_probability, date) FROM pressure), 6) AS exit_pressure
+       round(arg_max(avg_price, date), 10) AS latest_price,
+       round(arg_max(favor_ratio, date), 10) AS latest_favor_ratio,
+       round((SELECT arg_max(exit_probability, date) FROM pressure), 10) AS exit_pressure
 FROM daily_sum""")
 def q_metric_cards(spark, sf_dir):
     # features feed the main aggregate and three scalar subqueries: compute them once
@@ -589,12 +626,12 @@ def q_value_counts(spark, sf_dir):
 
 
 @register("describe", """
-SELECT count(sentiment_compound) AS count, round(avg(sentiment_compound), 6) AS mean,
-       round(stddev_samp(sentiment_compound), 6) AS std, round(min(sentiment_compound), 6) AS min,
-       round(quantile_cont(sentiment_compound, 0.25), 6) AS p25,
-       round(quantile_cont(sentiment_compound, 0.5), 6) AS p50,
-       round(quantile_cont(sentiment_compound, 0.75), 6) AS p75,
-       round(max(sentiment_compound), 6) AS max
+SELECT count(sentiment_compound) AS count, round(avg(sentiment_compound), 10) AS mean,
+       round(stddev_samp(sentiment_compound), 10) AS std, round(min(sentiment_compound), 10) AS min,
+       round(quantile_cont(sentiment_compound, 0.25), 10) AS p25,
+       round(quantile_cont(sentiment_compound, 0.5), 10) AS p50,
+       round(quantile_cont(sentiment_compound, 0.75), 10) AS p75,
+       round(max(sentiment_compound), 10) AS max
 FROM posts""")
 def q_describe(spark, sf_dir):
     """count/mean/std/min/quartiles/max of post sentiment."""
@@ -602,8 +639,8 @@ def q_describe(spark, sf_dir):
 
 
 @register("date_range_filter", """
-SELECT date, round(avg_trump_sentiment, 6) AS avg_trump_sentiment,
-       round(trump_sentiment_rolling_3d, 6) AS trump_sentiment_rolling_3d,
+SELECT date, round(avg_trump_sentiment, 10) AS avg_trump_sentiment,
+       round(trump_sentiment_rolling_3d, 10) AS trump_sentiment_rolling_3d,
        CASE WHEN avg_trump_sentiment > 0 THEN 'positive' ELSE 'negative' END AS tone
 FROM daily_sum
 WHERE date BETWEEN (SELECT min(date) FROM daily_sum) AND (SELECT max(date) FROM daily_sum)
@@ -615,7 +652,7 @@ def q_date_range_filter(spark, sf_dir):
 
 
 @register("latest_rows", """
-SELECT date, source, title, round(sentiment_compound, 6) AS sentiment_compound,
+SELECT date, source, title, round(sentiment_compound, 10) AS sentiment_compound,
        CASE WHEN sentiment_compound > 0.05 THEN 'positive'
             WHEN sentiment_compound < -0.05 THEN 'negative' ELSE 'neutral' END AS badge
 FROM statements ORDER BY date DESC, source, title LIMIT 50""")
@@ -639,9 +676,9 @@ def q_chart_series(spark, sf_dir):
 
 
 @register("tension_chart", """
-SELECT date, round(escalation_pct * 100, 6) AS escalation_share,
-       round((1.0::DOUBLE - escalation_pct) * 100, 6) AS other_share,
-       round(war_probability * 100, 6) AS probability_pct
+SELECT date, round(escalation_pct * 100, 10) AS escalation_share,
+       round((1.0::DOUBLE - escalation_pct) * 100, 10) AS other_share,
+       round(war_probability * 100, 10) AS probability_pct
 FROM tension_days""")
 def q_tension_chart(spark, sf_dir):
     """Escalation share and probability in percent."""
@@ -650,10 +687,10 @@ def q_tension_chart(spark, sf_dir):
 
 
 @register("signal_chart", """
-SELECT date, round(avg_price, 6) AS avg_price,
-       round(CASE WHEN signal = 'BUY' THEN avg_price END, 6) AS buy_marker,
-       round(CASE WHEN signal = 'SELL' THEN avg_price END, 6) AS sell_marker,
-       round(composite_score, 6) AS composite_score,
+SELECT date, round(avg_price, 10) AS avg_price,
+       round(CASE WHEN signal = 'BUY' THEN avg_price END, 10) AS buy_marker,
+       round(CASE WHEN signal = 'SELL' THEN avg_price END, 10) AS sell_marker,
+       round(composite_score, 10) AS composite_score,
        CASE WHEN composite_score > 0 THEN 'buy' ELSE 'sell' END AS bar_class
 FROM signals""")
 def q_signal_chart(spark, sf_dir):
@@ -662,8 +699,8 @@ def q_signal_chart(spark, sf_dir):
 
 
 @register("self_assessment", """
-SELECT round(arg_max(recent, date), 6) AS recent_accuracy,
-       round(avg(correct), 6) AS overall_accuracy, count(*) AS n_trades,
+SELECT round(arg_max(recent, date), 10) AS recent_accuracy,
+       round(avg(correct), 10) AS overall_accuracy, count(*) AS n_trades,
        CASE WHEN arg_max(recent, date) >= 0.7 THEN 'performing well'
             WHEN arg_max(recent, date) >= 0.4 THEN 'mixed results'
             ELSE 'underperforming' END AS assessment
@@ -711,7 +748,7 @@ def q_volume_gate(spark, sf_dir):
 
 
 @register("keyed_upsert", """
-SELECT date, prediction_numeric, round(confidence, 6) AS confidence, version FROM (
+SELECT date, prediction_numeric, round(confidence, 10) AS confidence, version FROM (
   SELECT date, prediction_numeric, confidence, 1 AS version FROM predictions
   UNION ALL
   SELECT p.date, 1 - p.prediction_numeric, round(1.0 - p.confidence, 4), 2
@@ -779,7 +816,7 @@ _NEWS_RAW = ["date", "source", "title", "published_date", "summary", "sentiment_
 
 @register("csv_roundtrip", """
 SELECT date, source, title, published_date, summary,
-       round(sentiment_compound, 6) AS sentiment_compound FROM landed_news""")
+       round(sentiment_compound, 10) AS sentiment_compound FROM landed_news""")
 def q_csv_roundtrip(spark, sf_dir):
     """News landed as day-stamped CSV (K2) and scanned back with the fixed schema (S1, T1):
     multi-line, quoted whole texts must survive unchanged."""
@@ -874,7 +911,7 @@ def q_json_listing(spark, sf_dir):
 
 
 @register("json_predictions", """
-SELECT date, prediction, prediction_numeric, round(confidence, 6) AS confidence
+SELECT date, prediction, prediction_numeric, round(confidence, 10) AS confidence
 FROM predictions""")
 def q_json_predictions(spark, sf_dir):
     """Prediction and pressure documents written as JSON partitioned by kind/date (K4) and
@@ -930,7 +967,7 @@ _POST_COLS = [
 
 @register("stream_landing", f"""
 SELECT date, subreddit, subreddit_group, title, score,
-       round(sentiment_compound, 6) AS sentiment_compound, topic
+       round(sentiment_compound, 10) AS sentiment_compound, topic
 FROM landed_posts
 QUALIFY row_number() OVER (PARTITION BY date, subreddit, title
                            ORDER BY sentiment_compound DESC, score DESC, topic DESC,
@@ -1029,7 +1066,7 @@ def q_rf_metrics(spark, sf_dir):
 
 
 @register("eval_log_csv", """
-SELECT pred_date, predicted, actual, correct, round(confidence, 6) AS confidence, status
+SELECT pred_date, predicted, actual, correct, round(confidence, 10) AS confidence, status
 FROM evaluation""")
 def q_eval_log_csv(spark, sf_dir):
     """Evaluation log written as CSV (K6) and read back with its schema; the evaluation
@@ -1088,7 +1125,7 @@ scored AS (
            AS sentiment_compound, e.feed_ord, e.doc_id
   FROM entries e LEFT JOIN valence v ON v.feed_ord = e.feed_ord AND v.doc_id = e.doc_id)
 SELECT date, source, title, published_date, summary,
-       round(sentiment_compound, 6) AS sentiment_compound,
+       round(sentiment_compound, 10) AS sentiment_compound,
        CASE WHEN sentiment_compound > 0.05 THEN 'favor'
             WHEN sentiment_compound < -0.05 THEN 'against' ELSE 'neutral' END AS stance
 FROM scored
@@ -1125,11 +1162,11 @@ def q_feed_ingest(spark, sf_dir):
 
 
 @register("tension_by_source", """
-SELECT source, n_articles, round(avg_sentiment, 6) AS avg_sentiment,
-       round(escalation_ratio, 6) AS escalation_ratio, round(iran_pct, 6) AS iran_pct,
+SELECT source, n_articles, round(avg_sentiment, 10) AS avg_sentiment,
+       round(escalation_ratio, 10) AS escalation_ratio, round(iran_pct, 10) AS iran_pct,
        round(greatest(0.05::DOUBLE, least(0.95::DOUBLE,
          0.20::DOUBLE + escalation_ratio * 0.30::DOUBLE - avg_sentiment * 0.15::DOUBLE
-         + iran_pct * 0.10::DOUBLE + least(n_articles / 200.0::DOUBLE, 0.15::DOUBLE))), 6)
+         + iran_pct * 0.10::DOUBLE + least(n_articles / 200.0::DOUBLE, 0.15::DOUBLE))), 10)
          AS war_probability
 FROM (SELECT source, count(*) AS n_articles, avg(sentiment_compound) AS avg_sentiment,
              count_if(escalation = 'escalation') / count(*) AS escalation_ratio,
