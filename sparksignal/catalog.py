@@ -2,8 +2,9 @@
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> SQL``.
 Every query reads the given tables (through ``sources.views``) so its work
-grows with them.  Double columns are presented rounded (``present``) so that
-engines summing in different orders agree bit for bit.
+grows with them.  Double columns are presented rounded to 10 decimals
+(``present``) so that engines summing in different orders agree bit for bit;
+the oracle SQL rounds them the way Spark does (half-up on the decimal form).
 """
 
 from __future__ import annotations
