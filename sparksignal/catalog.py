@@ -33,10 +33,11 @@ PRESENT_DIGITS = 10
 
 
 def _spark_rounding(sql: str, digits: int = PRESENT_DIGITS) -> str:
-    """Rewrite ``round(x, digits)`` as Spark rounds a double: HALF_UP on its decimal form.
+    """Rewrite every ``round(x, d)`` as Spark rounds a double: HALF_UP on its decimal form.
 
-    DuckDB's ``round`` scales the binary value, which is off by an ulp for large
-    magnitudes at many digits; the decimal form agrees with Spark exactly.
+    DuckDB's ``round`` scales the binary value: it can differ from Spark on
+    decimal half-way values (e.g. a mean of two 4-digit scores) and is off by an
+    ulp for large magnitudes at many digits; the decimal form agrees with Spark.
     """
     out, i = [], 0
     while True:
@@ -62,8 +63,8 @@ def _spark_rounding(sql: str, digits: int = PRESENT_DIGITS) -> str:
             k += 1
         arg, dig = sql[j + 6:comma], sql[comma + 1:k].strip()
         out.append(sql[i:j])
-        if dig == str(digits):
-            out.append(sround(_spark_rounding(arg, digits), digits))
+        if dig.isdigit():
+            out.append(sround(_spark_rounding(arg, digits), int(dig)))
         else:
             out.append("round(" + _spark_rounding(arg, digits) + "," + sql[comma + 1:k] + ")")
         i = k + 1
@@ -73,7 +74,7 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = compose(_spark_rounding(sql))
+            ORACLE[name] = _spark_rounding(compose(sql))
         return fn
     return deco
 
