@@ -60,31 +60,37 @@ def base_segment_daily(posts: DataFrame, group: str = "base", topic: str = "war"
     return series.rolling_mean(d, "base_war_sentiment", 7, "base_sentiment_rolling_7d")
 
 
-def posts_sides(posts: DataFrame, group: str = "base",
-                topic: str = "war") -> tuple[DataFrame, DataFrame]:
-    """``posts_daily`` and ``base_segment_daily`` from ONE pass over the posts.
-
-    Both daily means come from a single day-grain aggregate; the segment mean
-    averages only segment rows (others are null) and keeps only days that have
-    one, so its 7-row window still counts segment days (T6).  The aggregate is
-    checkpointed once (day-grain, bounded by the calendar) because both
-    windows read it and the optimizer would otherwise prune it into two
-    different plans, scanning and deduplicating the posts twice.
+def posts_side(posts: DataFrame, group: str = "base", topic: str = "war") -> DataFrame:
+    """Both post-derived daily sides from ONE pass over the posts.
+
+    One day-grain aggregate gives the all-posts mean and the segment mean (only
+    segment rows, T15).  The two rolling means count different rows (all post
+    days vs. segment days, T6), so the day rows are stacked as two series and a
+    single window partitioned by series computes both; a day-grain pivot puts
+    them back side by side.  Everything after the aggregate is day-grain.
     """
-    from sparksignal.plans.materialize import materialize
-
     seg = (F.col("subreddit_group") == group) & F.col("topic").contains(topic)
-    d = materialize(posts.groupBy("date").agg(
-        F.avg("sentiment_compound").alias("reddit_sentiment_avg"),
-        F.avg(F.when(seg, F.col("sentiment_compound"))).alias("base_war_sentiment"),
-        F.count_if(seg).alias("n_segment"),
-    ))
-    reddit = series.rolling_mean(d.select("date", "reddit_sentiment_avg"),
-                                 "reddit_sentiment_avg", 3, "sentiment_rolling_3d")
-    base = series.rolling_mean(d.where(F.col("n_segment") > 0)
-                               .select("date", "base_war_sentiment"),
-                               "base_war_sentiment", 7, "base_sentiment_rolling_7d")
-    return reddit, base
+    d = posts.groupBy("date").agg(
+        F.avg("sentiment_compound").alias("_all"),
+        F.avg(F.when(seg, F.col("sentiment_compound"))).alias("_seg"),
+        F.count_if(seg).alias("_n_seg"),
+    )
+    entries = F.array(
+        F.struct(F.lit("all").alias("series"), F.col("_all").alias("v")),
+        F.when(F.col("_n_seg") > 0, F.struct(F.lit("seg").alias("series"),
+                                             F.col("_seg").alias("v"))),
+    )
+    stacked = (d.select("date", F.explode(entries).alias("e")).where(F.col("e").isNotNull())
+               .select("date", "e.series", "e.v"))
+    stacked = series.rolling_mean(stacked, "v", 3, "r3", partition_by=["series"])
+    stacked = series.rolling_mean(stacked, "v", 7, "r7", partition_by=["series"])
+    is_all, is_seg = F.col("series") == "all", F.col("series") == "seg"
+    return stacked.groupBy("date").agg(
+        F.max(F.when(is_all, F.col("v"))).alias("reddit_sentiment_avg"),
+        F.max(F.when(is_all, F.col("r3"))).alias("sentiment_rolling_3d"),
+        F.max(F.when(is_seg, F.col("v"))).alias("base_war_sentiment"),
+        F.max(F.when(is_seg, F.col("r7"))).alias("base_sentiment_rolling_7d"),
+    )
 
 
 def news_daily(news: DataFrame) -> DataFrame:
@@ -111,7 +117,7 @@ def feature_table(prices: DataFrame, posts: DataFrame | None = None,
     f = price_features(prices, null_last_label=null_last_label)
     sides: list[DataFrame] = []
     if posts is not None:
-        sides += list(posts_sides(posts))
+        sides.append(posts_side(posts))
     if news is not None:
         sides.append(news_daily(news))
     if statements is not None:
