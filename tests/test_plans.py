@@ -59,3 +59,13 @@ def test_last_n_is_a_top_k(spark):
 def test_daily_aggregate_is_partial_before_shuffle(spark):
     p = plan(views.prices(spark, SF))
     assert p.count("HashAggregate") >= 2 and "partial_min_by" in p
+
+
+def test_feature_table_scans_each_source_once(spark):
+    from sparksignal import catalog
+
+    p = plan(catalog.features_df(spark, SF))
+    scans = [line for line in p.splitlines() if line.startswith("Location:")]
+    assert sum("events.parquet" in line for line in scans) == 1
+    assert sum("orders.parquet" in line for line in scans) == 1
+    assert "CartesianProduct" not in p
