@@ -61,6 +61,9 @@ def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     pressure = save("exit_index", models.pressure_index(feats))
     save("signals", signals.build_signals(summary))
     save("tension_daily", models.tension_days(cleaned["tension_news"]))
+    # the ingest-time index: one per landed batch (file), before cleaning
+    save("tension_batches", models.tension_batch(landed(spark, landing, "tension_news"),
+                                                 by=["file_name"]))
 
     train, test = classifier.split_chronological(feats)
     train = quality.require_rows(train, classifier.MIN_ROWS)

@@ -30,6 +30,7 @@ def test_daily_run_end_to_end(spark):
     assert written["features"] == n_days and written["daily_summary"] == n_days
     assert written["signals"] == n_days and written["exit_index"] == n_days
     assert written["evaluation"] == 1
+    assert written["tension_batches"] >= 2  # at least one file per landing day
     gate = spark.read.parquet(f"{root}/warehouse/quality/volume_gate").collect()
     assert {r.status for r in gate} == {"proceed"}
     landing = {r.source: r.status for r in
