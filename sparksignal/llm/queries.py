@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparksignal.llm import line_dedup, suffix_dedup
+from sparksignal.llm import line_dedup, packing, simhash, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +57,17 @@ FROM marked GROUP BY doc_id
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
+    return out.select("row.doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    cut = cut.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(cut).select("item.doc_id", "item.piece", "item.start", F.col("item.length").cast("long").alias("length"),
+                                    "item.ids_crc32", "sequence_id", "offset")
