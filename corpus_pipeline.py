@@ -1,26 +1,61 @@
-"""The corpus pipeline: stages applied one after the other to ``documents``."""
+"""The corpus pipeline: five stages, each on all that the one before kept of ``documents``.
+
+Quality rules reject documents, line dedup drops shared lines, SimHash near-dedup keeps one document
+of each group, secret scans mask what they find, and packing turns the documents left into
+token sequences.  Every stage takes ``(spark, docs, sf_dir)``; all but the last return the columns of
+``documents``, with ``n_chars`` following the text.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparksignal.llm import chunks, line_dedup
+from sparksignal.llm import chunks, line_dedup, packing, quality, secrets, simhash
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
+def _columns(out: DataFrame, docs: DataFrame, text) -> DataFrame:
+    """The documents' columns from ``row`` and the new text."""
+    cols = [text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    out = out.select(*cols)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
 
-def _same_columns(out: DataFrame, docs: DataFrame) -> DataFrame:
-    """``n_chars`` follows the text; all else as it came."""
-    out = out.select(*docs.columns)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule or a learned rule go."""
+    stats = chunks.write_table(quality.statistics(docs), "statistics")
+    rules = quality.learn(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return _columns(quality.assess(stats, rules).where("kept"), docs, F.col("text"))
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share stay in the largest id only."""
-    return _same_columns(line_dedup.with_columns(line_dedup.dedup_lines(docs), docs), docs)
+    return _columns(line_dedup.dedup_lines(docs), docs, F.col("text"))
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return simhash.one_of_each(docs)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked."""
+    return _columns(secrets.scan(docs), docs, secrets.masked(F.col("text"), F.col("found")))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenised pieces with their sequence and place."""
+    return packing.packed(docs, TOKENIZER)
 
 
-STAGES = [("line dedup", line_stage)]
-ORACLE_SQL = None  # XXH64, learned rules, the tokenizer and the packing have no SQL form; see tests/llm
+STAGES = [("quality rules", quality_stage), ("line dedup", line_stage), ("simhash near-dedup", near_dedup_stage),
+          ("secret scans", secret_stage), ("best-fit packing", packing_stage)]
+ORACLE_SQL = None  # learned rules, XXH64, tokens and packing have no SQL form; tests/llm holds the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -298,3 +298,11 @@ def pack(items: DataFrame, length_col: str = "length", capacity: int = CAPACITY,
     item = src.schema["item"].dataType.simpleString()
     placed = dealt.groupBy("block").cogroup(won.groupBy("block")).applyInArrow(place, f"item {item}, sequence_id long, offset long")
     return placed.unionByName(whole)
+
+
+def packed(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece of each document: id, ``piece, start, length, ids_crc32, sequence_id, offset``."""
+    cut = pieces(docs.select(id_col, text_col), tokenizer_path, text_col)
+    cut = cut.select(F.col(f"row.`{id_col}`").alias(id_col), "piece", "start", F.col("length").cast("long").alias("length"),
+                     F.crc32("ids").alias("ids_crc32"))
+    return pack(cut).select("item.*", "sequence_id", "offset")

@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparksignal.llm import line_dedup, packing, simhash, suffix_dedup
+from sparksignal.llm import line_dedup, packing, pieces, quality, secrets, sharding, simhash, suffix_dedup, token_counts, topk
+from sparksignal.llm.chunks import write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,7 +68,53 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_best_fit_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = packing.pieces(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
-    cut = cut.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(cut).select("item.doc_id", "item.piece", "item.start", F.col("item.length").cast("long").alias("length"),
-                                    "item.ids_crc32", "sequence_id", "offset")
+    return packing.packed(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_secret_scans")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    names = F.transform("found", lambda x: x["kind"])
+    kinds = [(F.size("found") - F.size(F.array_remove(names, k))).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    text = secrets.joined(F.col("found"))
+    return out.select("row.doc_id", *kinds, F.sha2(text.cast("binary"), 256).alias("base_sha256"), text.alias("spans"))
+
+
+@query("op8_external_shuffle")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    out = sharding.shuffled_shards(documents(spark, sf_dir).select("doc_id", size.alias("size"), crc.alias("text_crc32")))
+    return out.select("row.doc_id", "row.size", "row.text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    stats = write_table(quality.statistics(docs).drop("text"), "statistics")
+    rules = quality.learn(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.assess(stats, rules).select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                               "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query("op7_exact_top_k")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.token_counts(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("row.doc_id", "n_words", "n_tokens", "n_unknown")
+
+
+@query("op10_sentence_pieces")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode(documents(spark, sf_dir).select("doc_id", "text"), model)
+    out = pieces.decode(coded.select("row.doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), "ids"), model)
+    return out.select("row.doc_id", "row.n_pieces", "row.ids_crc32",
+                      F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+

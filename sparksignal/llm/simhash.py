@@ -211,3 +211,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rooted.select("fp", "root").join(lows, "root").select(
         "fp", F.col("low.id").alias("component_id"), F.col("low.uid").alias("first_uid"))
     return table.join(named, "fp")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` that stand for their components, with all their columns."""
+    body = "__body"
+    out = near_duplicates(docs.withColumn(body, F.col(f"`{text_col}`")), id_col, text_col, shingle, radius)
+    kept = out.where(F.col("uid") == F.col("first_uid"))
+    return kept.select(*[F.col("row." + (body if c == text_col else f"`{c}`")).alias(c) for c in docs.columns])

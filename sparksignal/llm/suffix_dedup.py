@@ -12,11 +12,12 @@ difference cover modulo ``v``: for any two positions ``i, j`` there is a shift
   again settles the ``v`` suffixes from it at once.
 * The suffixes left (around the ends of repeats) are sorted to full depth, one bucket at a
   time, together with one copy of each settled stretch (the first in the order of chunks and
-  places), as a suffix left may tie with a settled one.
+  places), as a suffix left may tie with a settled one: first by short names, then those that tie by
+  long ones.
 
-Suffixes are compared by names, not by bytes: 64 bits for the pruning samples (a false tie
-only leaves more to do) and 128 bits where a tie decides.  Memory per task is one chunk or
-one bucket; the number of buckets grows with the input.
+Suffixes are compared by names, not by bytes: short ones where a tie only leaves more to do
+(``SPARE_BITS`` more bits than it takes to number the corpus), 128 bits where a tie decides.  Memory per
+task is one chunk or one bucket; the number of buckets grows with the input.
 
 Cases: null text counts as empty; texts shorter than ``width`` are kept whole; repeated rows
 are separate documents (and remove each other); an empty table gives an empty result; any other
@@ -38,7 +39,9 @@ WIDTH = 200
 COVER_ORDER = 11  # prime q: a cover of q + 1 places modulo q * q + q + 1 = 133
 CHUNK_BYTES = 8 << 20
 BUCKET_NAMES = 1 << 20
-NAME = np.dtype([("a", "<u8"), ("b", "<u8")])
+SPARE_BITS = 9
+SAMPLES, LONG_TIES, REST, REST_EXACT, RESULT = range(5)  # rounds
+SHORT = (SAMPLES, REST)
 LANES = ((0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9), (0xC2B2AE3D27D4EB4F, 0x94D049BB133111EB))
 
 
@@ -89,8 +92,9 @@ def names(buf: np.ndarray, at: np.ndarray, width: int, lanes: int) -> np.ndarray
 class Rounds:
     """What a chunk knows after each round; every round is recomputed from the texts and the replies."""
 
-    def __init__(self, width: int, q: int, shards: int):
+    def __init__(self, width: int, q: int, shards: int, total: int):
         self.width, self.shards = width, shards
+        self.short = min(8, max(5, (total.bit_length() + SPARE_BITS + 7) // 8))  # bytes of a short name
         self.v, cover = difference_cover(q)
         if width < self.v + 8:
             raise ValueError(f"width must be {self.v + 8} at least")
@@ -98,21 +102,44 @@ class Rounds:
         self.in_cover[list(cover)] = True
 
     def ordered(self, got: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Distinct names sorted by shard: (names, shards, index of each input's name, occurs twice
-        here, input where each name comes first)."""
-        key = np.ascontiguousarray(got).view(np.dtype([(f"f{i}", "<u8") for i in range(got.shape[1])])).ravel()
+        """Distinct names (n, lanes) sorted by shard: names, shards, index of each input's name, occurs
+        twice here, input where each name comes first."""
         if got.shape[1] == 1:
             uniq, first, back, n = np.unique(got[:, 0], True, True, True)
-            shard = (uniq >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)
-            return uniq, shard.astype(np.int64), back, n > 1, first
-        order = np.lexsort((got[:, 1], got[:, 0]))
-        a, b = got[order, 0], got[order, 1]
-        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]) if len(a) else np.zeros(0, bool)
-        back = np.empty(len(a), np.int64)
-        back[order] = np.cumsum(new) - 1
-        uniq = key[order][new]
-        shard = (a[new] >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)
-        return uniq, shard.astype(np.int64), back, np.bincount(back, minlength=len(uniq)) > 1, order[new]
+            twice, uniq, high = n > 1, uniq[:, None], uniq >> np.uint64(8 * self.short - 32)
+        else:
+            order = np.lexsort((got[:, 1], got[:, 0]))
+            s = got[order]
+            new = np.ones(len(s), bool)
+            new[1:] = (s[1:] != s[:-1]).any(1)
+            back = np.empty(len(s), np.int64)
+            back[order] = np.cumsum(new) - 1
+            uniq, first, high = s[new], order[new], s[new, 0] >> np.uint64(32)
+            twice = np.bincount(back, minlength=len(uniq)) > 1
+        return uniq, (high * np.uint64(self.shards) >> np.uint64(32)).astype(np.int64), back, twice, first
+
+    def pack(self, uniq: np.ndarray, twice: np.ndarray) -> bytes:
+        """A message: the number of names, the names, a bit for each that occurs twice in its chunk."""
+        if uniq.shape[1] == 1:
+            body = uniq[:, 0].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - self.short:].tobytes()
+        else:
+            body = uniq.astype("<u8").tobytes()
+        return np.int64(len(uniq)).tobytes() + body + np.packbits(twice).tobytes()
+
+    def unpack(self, payload: bytes, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+        n = int(np.frombuffer(payload, np.int64, 1)[0])
+        size = n * (self.short if lanes == 1 else 16)
+        twice = np.unpackbits(np.frombuffer(payload, np.uint8, offset=8 + size), count=n).astype(bool)
+        if lanes == 2:
+            return np.frombuffer(payload, "<u8", 2 * n, 8).reshape(-1, 2), twice
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, 8 - self.short:] = np.frombuffer(payload, np.uint8, size, 8).reshape(n, self.short)
+        return wide.view(">u8").astype(np.uint64), twice
+
+    def names(self, b: ch.Block, at: np.ndarray, width: int, level: int) -> np.ndarray:
+        if level in SHORT:
+            return names(b.buf, at, width, 1) >> np.uint64(64 - 8 * self.short)
+        return names(b.buf, at, width, 2)
 
     def tied(self, got: np.ndarray, replies: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """For each name, by the shards' replies: does it occur elsewhere, and is this the first place?"""
@@ -126,14 +153,37 @@ class Rounds:
         return flags[0][back], flags[1][back] & here
 
     def ask(self, level: int):
-        """The message function of round ``level`` (0: samples, 1: long ties, 2: suffixes left)."""
+        """The message function of a round."""
         def fn(chunk: int, docs: pa.Table, replies: pa.Table | None) -> pa.Table:
             got = [x[level] for x in self.levels(docs, replies, level)]
-            got = np.concatenate(got) if got else np.zeros((0, 2 if level else 1), np.uint64)
+            got = np.concatenate(got) if got else np.zeros((0, 1 if level in SHORT else 2), np.uint64)
             uniq, shard, _, twice, _ = self.ordered(got)
-            item = np.empty(len(uniq), [("n", uniq.dtype), ("m", "u1")])
-            item["n"], item["m"] = uniq, twice
-            return ch.messages(chunk, shard, item)
+            runs = _runs(shard)
+            return pa.table({"shard": pa.array([s for s, _, _ in runs], pa.int64()),
+                             "chunk": pa.array([chunk] * len(runs), pa.int64()),
+                             "payload": pa.array([self.pack(uniq[lo:hi], twice[lo:hi]) for _, lo, hi in runs], pa.binary())})
+
+        return fn
+
+    def answer(self, level: int):
+        """One bucket: sort its names, flag those met twice (in one chunk or in two) and the first place
+        of each, reply to each chunk."""
+        def fn(key, got):
+            got = got.sort_by("chunk")  # the first place of a name is that in the first chunk
+            sent = [self.unpack(p, 1 if level in SHORT else 2) for p in got["payload"].to_pylist()]
+            whole, m = (np.concatenate(x) for x in zip(*sent))
+            order = np.argsort(whole[:, 0], kind="stable") if level in SHORT else np.lexsort((whole[:, 1], whole[:, 0]))
+            same = (whole[order[1:]] == whole[order[:-1]]).all(1)
+            m = m[order]
+            m[1:] |= same
+            m[:-1] |= same
+            flags = np.zeros((2, len(m)), bool)
+            flags[0, order] = m
+            flags[1, order[np.concatenate([[True], ~same])]] = True
+            cuts = np.cumsum([len(x) for x, _ in sent])[:-1]
+            bits = [np.packbits(x, axis=1).tobytes() for x in np.split(flags, cuts, axis=1)]
+            return pa.table({"chunk": got["chunk"].cast(pa.int64()), "round": pa.array([level] * len(bits), pa.int32()),
+                             "shard": got["shard"].cast(pa.int64()), "payload": pa.array(bits, pa.binary())})
 
         return fn
 
@@ -141,21 +191,21 @@ class Rounds:
         """For each block of the chunk: the names of rounds 0 to ``upto``, then (if all rounds are
         answered) the start flags of removed strings.  Replies hold bits in the order of the whole
         chunk's distinct names, so the names of all blocks are gathered before they are looked up."""
-        by_round: list[dict[int, bytes]] = [{}, {}, {}]
+        by_round: list[dict[int, bytes]] = [{} for _ in range(RESULT)]
         if replies is not None:
             for r, s, p in zip(replies["round"].to_pylist(), replies["shard"].to_pylist(),
                                replies["payload"].to_pylist()):
                 by_round[r][s] = p
         parts = [(first, ch.Block(texts)) for first, texts in ch.blocks(docs)]
-        found = [[None] * 4 for _ in parts]
+        found = [[None] * (RESULT + 1) for _ in parts]
         places = []
         for k, (_, b) in enumerate(parts):
             off = np.arange(len(b.buf), dtype=np.int32) - np.repeat(b.starts, b.lens).astype(np.int32)
             left = np.repeat(b.lens, b.lens).astype(np.int32) - off
             at = np.flatnonzero(self.in_cover[off % self.v] & (left >= self.width - self.v + 1))
-            found[k][0] = names(b.buf, at, self.width - self.v + 1, 1)
+            found[k][SAMPLES] = self.names(b, at, self.width - self.v + 1, SAMPLES)
             places.append((at, left))
-        if upto == 0 or not found:
+        if upto == SAMPLES or not found:
             return found
 
         def look(level):
@@ -163,16 +213,16 @@ class Rounds:
             whole = np.concatenate([f[level] for f in found])
             return [np.split(x, cuts) for x in self.tied(whole, by_round[level])]
 
-        tied, _ = look(0)
+        tied, _ = look(SAMPLES)
         long_at = []
         for k, (_, b) in enumerate(parts):
             at, left = places[k]
             at = at[tied[k]]
             long_at.append(at[left[at] >= self.width + self.v - 1])
-            found[k][1] = names(b.buf, long_at[k], self.width + self.v - 1, 2)
-        if upto == 1:
+            found[k][LONG_TIES] = self.names(b, long_at[k], self.width + self.v - 1, LONG_TIES)
+        if upto == LONG_TIES:
             return found
-        sure, first_here = look(1)
+        sure, first_here = look(LONG_TIES)
         rest_at, flags = [], []
         for k, (_, b) in enumerate(parts):
             at, left = places[k]
@@ -182,19 +232,25 @@ class Rounds:
             near = _cover(n + self.v, at[tied[k]] + 1, self.v)[self.v:]  # a tied sample lies in [i, i + v)
             rest_at.append(np.flatnonzero((near | settled) & ~known & (left >= self.width)))
             flags.append(settled)
-            found[k][2] = names(b.buf, rest_at[k], self.width, 2)
-        if upto == 2:
+            found[k][REST] = self.names(b, rest_at[k], self.width, REST)
+        if upto == REST:
+            return found
+        again, _ = look(REST)
+        for k, (_, b) in enumerate(parts):
+            rest_at[k] = rest_at[k][again[k]]
+            found[k][REST_EXACT] = self.names(b, rest_at[k], self.width, REST_EXACT)
+        if upto == REST_EXACT:
             return found
-        last, _ = look(2)
+        last, _ = look(REST_EXACT)
         for k, (first, b) in enumerate(parts):
             flags[k][rest_at[k][last[k]]] = True
-            found[k][3] = (first, b, flags[k])
+            found[k][RESULT] = (first, b, flags[k])
         return found
 
-    def result(self, row_type: pa.DataType | None = None):
+    def result(self):
         def fn(chunk: int, docs: pa.Table, replies: pa.Table) -> pa.Table:
             n_removed, spans, kept = [], [], []
-            for *_, (_, b, starts) in self.levels(docs, replies, 3):
+            for *_, (_, b, starts) in self.levels(docs, replies, RESULT):
                 gone = _cover(len(b.buf), np.flatnonzero(starts), self.width)
                 for lo, n in zip(b.starts.tolist(), b.lens.tolist()):
                     g = gone[lo:lo + n]
@@ -226,31 +282,6 @@ def _cover(n: int, at: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(d)[:n] > 0
 
 
-def _answer(level: int):
-    """One bucket: sort its names, flag those met twice (in one chunk or in two), reply to each chunk."""
-    item = np.dtype([("n", NAME if level else "<u8"), ("m", "u1")])
-
-    def fn(key, got):
-        got = got.sort_by("chunk")  # the first place of a name is that in the first chunk
-        sent = [np.frombuffer(p, item) for p in got["payload"].to_pylist()]
-        whole = np.concatenate(sent)
-        cols = (whole["n"]["b"], whole["n"]["a"]) if level else (whole["n"],)
-        order = np.lexsort(cols) if level else np.argsort(whole["n"], kind="stable")
-        s, m = whole["n"][order], whole["m"][order].astype(bool)
-        same = s[1:] == s[:-1]
-        m[1:] |= same
-        m[:-1] |= same
-        flags = np.zeros((2, len(m)), bool)
-        flags[0, order] = m
-        flags[1, order[np.concatenate([[True], ~same])]] = True
-        cuts = np.cumsum([len(x) for x in sent])[:-1]
-        bits = [np.packbits(x, axis=1).tobytes() for x in np.split(flags, cuts, axis=1)]
-        return pa.table({"chunk": got["chunk"].cast(pa.int64()), "round": pa.array([level] * len(bits), pa.int32()),
-                         "shard": got["shard"].cast(pa.int64()), "payload": pa.array(bits, pa.binary())})
-
-    return fn
-
-
 def dedup(docs: DataFrame, text_col: str = "text", width: int = WIDTH, cover_order: int = COVER_ORDER,
           chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``row`` (struct of the other columns), ``n_bytes``, ``n_removed``, ``removed`` (maximal byte
@@ -260,11 +291,11 @@ def dedup(docs: DataFrame, text_col: str = "text", width: int = WIDTH, cover_ord
     table = ch.store(docs, text_col, total, chunk_bytes)
     v, cover = difference_cover(cover_order)
     shards = max(ch.partitions(spark), total * len(cover) // v // BUCKET_NAMES)
-    rounds = Rounds(width, cover_order, shards)
+    rounds = Rounds(width, cover_order, shards, total)
     replies = None
-    for level in range(3):
+    for level in range(RESULT):
         sent = ch.ask(table, replies, rounds.ask(level))
-        got = ch.write_table(sent.groupBy("shard").applyInArrow(_answer(level), ch.REPLY), f"ties{level}")
+        got = ch.write_table(sent.groupBy("shard").applyInArrow(rounds.answer(level), ch.REPLY), f"ties{level}")
         replies = got if replies is None else replies.unionByName(got)
     row = table.schema["row"].dataType.simpleString()
     out = ch.ask(table, replies, rounds.result(),
