@@ -14,8 +14,9 @@ Islands only depend on the pieces' lengths and a seed, so a lost task gives the
 block's memory is bounded by ``block_pieces``; the blocks grow with the input.  A block leaves
 one poorly filled sequence at most, 0.05 % of its sequences or so.
 
-Token ids are found word by word: the tokenizer's rules never look across white space, so the ids of
-a text are those of its words, and frequent words are kept in a bounded cache per worker.
+Token ids are found word by word: the tokenizer's rules never look across white space, nor from a letter
+to a stop after it, so the ids of a text are those of its words and stops, and frequent words are kept in a
+bounded cache per worker.
 
 Cases: null or empty texts are the end id alone; repeated rows are documents of their own; ids of documents may be
 of any type and null; an empty table gives an empty result; the other columns come back in ``row``.
@@ -25,7 +26,9 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import threading
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,8 @@ from sparksignal.llm import chunks as ch
 CAPACITY, END_ID = 2048, 0
 BLOCK_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 3, 6, 4
 INJECTED = 0.15  # share of a parent's sequences that a crossover injects
-CACHE_WORDS, LONG_WORD = 200_000, 64
+CACHE_WORDS, LONG_WORD = 400_000, 64
+STOPS = re.compile(r"([,.])(?<=[A-Za-z].)(?=[ \n]|$)")  # a lone stop after a letter: a token run of its own
 MAX_TOKENIZER_BYTES = 64 << 20
 
 
@@ -63,26 +67,23 @@ class WordIds:
         return got
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def many(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        out = []
-        for words in split:
-            missing = set(words).difference(self.young)
-            for w in [w for w in missing if w in self.old]:
-                self.young[w] = self.old[w]
-                missing.discard(w)
-            long = {w for w in missing if len(w) > LONG_WORD}
-            short = list(missing - long)
-            self.young.update(zip(short, self._encode(short)))
-            if long:
-                extra = dict(zip(long, self._encode(list(long))))
-                out.append(b"".join([extra[w] if w in extra else self.young[w] for w in words]))
-            else:
-                out.append(b"".join(map(self.young.__getitem__, words)))
-            if len(self.young) > CACHE_WORDS:
-                self.young, self.old = {"": b""}, self.young
+        """Ids of each text; the words that the cache lacks are encoded together."""
+        split = [STOPS.sub(r" \1", t).replace("\n", " ").split(" ") for t in texts]
+        missing = set().union(*split).difference(self.young)
+        for w in missing.intersection(self.old):
+            self.young[w] = self.old[w]
+        missing = list(missing.difference(self.young))
+        new = dict(zip(missing, self._encode(missing)))
+        self.young.update(new)
+        out = [b"".join(map(self.young.__getitem__, words)) for words in split]
+        for w in new:
+            if len(w) > LONG_WORD:
+                del self.young[w]
+        if len(self.young) > CACHE_WORDS:
+            self.young, self.old = {"": b""}, self.young
         return out
 
 
