@@ -164,10 +164,10 @@ AS_OF = "2024-01-31"
 
 
 def _head(c: str = "text"):
-    return F.trim(F.regexp_replace(F.substring(c, 1, 80), r"\s+", " "))
+    return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
-_HEAD_SQL = "trim(regexp_replace(substr(text, 1, 80), '\\s+', ' ', 'g'))"
+_HEAD_SQL = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 
 
 @register("clean_prices", """
@@ -1122,7 +1122,7 @@ scored AS (
   SELECT coalesce(TRY_CAST(try_strptime(regexp_extract(published,
                     '(\\d{{1,2}} [A-Za-z]{{3}} \\d{{4}})', 1), '%d %b %Y') AS DATE),
                   DATE '{AS_OF}') AS date,
-         e.source, substr(e.title0, 1, 500) AS title, e.published AS published_date, e.summary,
+         e.source, e.title0 AS title, e.published AS published_date, e.summary,
          round(coalesce(v.vs, 0.0) / sqrt(coalesce(v.vs, 0.0) * coalesce(v.vs, 0.0) + 15.0), 4)
            AS sentiment_compound, e.feed_ord, e.doc_id
   FROM entries e LEFT JOIN valence v ON v.feed_ord = e.feed_ord AND v.doc_id = e.doc_id)
@@ -1148,7 +1148,7 @@ def q_feed_ingest(spark, sf_dir):
                  .select("doc_id", title.alias("title"), F.col("text").alias("description"),
                          stamp.alias("pubDate"))
                  # feed files in entry order: range-partitioned and sorted by position
-                 .repartitionByRange(16, "doc_id").sortWithinPartitions("doc_id")
+                 .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
                  .drop("doc_id"))
         root = scratch_path(spark, f"feed-{lang}")
         items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(root)

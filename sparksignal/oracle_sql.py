@@ -65,7 +65,7 @@ _DOC_COLS = (
 def _landed_docs(lang: str) -> str:
     return f"""
   SELECT {day_sql('d.doc_id')} AS date, d.source,
-         trim(regexp_replace(substr(d.text, 1, 80), '\\s+', ' ', 'g')) AS title,
+         trim(regexp_replace(d.text, '\\s+', ' ', 'g')) AS title,
          strftime({day_sql('d.doc_id')}, '%a, %d %b %Y') || ' 12:00:00 +0000' AS published_date,
          d.text AS summary,
          round(coalesce(s.vs, 0.0) / sqrt(coalesce(s.vs, 0.0) * coalesce(s.vs, 0.0) + 15.0), 4)

@@ -26,6 +26,7 @@ NUM_TREES = 100
 MAX_DEPTH = 5
 SEED = 42
 MIN_ROWS = 20
+PREDICTED = "date date, actual int, prediction_numeric int, prediction string, confidence double"
 # -----------------------------------------------------------------------------
 
 

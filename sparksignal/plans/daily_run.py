@@ -24,10 +24,10 @@ def landed(spark: SparkSession, landing: str, source: str) -> DataFrame:
 
 
 def clean_landed(spark: SparkSession, landing: str, source: str) -> DataFrame:
-    """Landed CSV of one source -> cleaned rows; the newest landing file wins per key."""
-    out = clean.clean_source(landed(spark, landing, source), source, ["file_name"],
-                             descending=True)
-    return out.drop("file_name")
+    """Landed CSV of one source -> cleaned rows; the newest landing wins per key, ties by content."""
+    order = ["landed_on", "file_name", *schemas.RAW[source].fieldNames()]
+    out = clean.clean_source(landed(spark, landing, source), source, order, descending=True)
+    return out.drop("landed_on", "file_name")
 
 
 def file_spans(spark: SparkSession, landing: str) -> DataFrame:
@@ -61,19 +61,21 @@ def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     pressure = save("exit_index", models.pressure_index(feats))
     save("signals", signals.build_signals(summary))
     save("tension_daily", models.tension_days(cleaned["tension_news"]))
-    # the ingest-time index: one per landed batch (file), before cleaning
+    # the ingest-time index: one per landing day, before cleaning
     save("tension_batches", models.tension_batch(landed(spark, landing, "tension_news"),
-                                                 by=["file_name"]))
+                                                 by=["landed_on"]))
 
     train, test = classifier.split_chronological(feats)
-    train = quality.require_rows(train, classifier.MIN_ROWS)
-    model = classifier.train(train)
-    save("model_test_predictions", classifier.predict(model, test))
-    latest = classifier.latest_prediction(model, feats)
     docs = f"{wh}/documents"
-    sinks.write_json_documents(
-        latest.select(F.col("date").cast("string").alias("date"), "prediction",
-                      "prediction_numeric", "confidence"), docs, "prediction")
+    if train.limit(classifier.MIN_ROWS).count() < classifier.MIN_ROWS:  # too few rows: nothing is trained
+        save("model_test_predictions", spark.createDataFrame([], classifier.PREDICTED))
+    else:
+        model = classifier.train(train)
+        save("model_test_predictions", classifier.predict(model, test))
+        latest = classifier.latest_prediction(model, feats)
+        sinks.write_json_documents(
+            latest.select(F.col("date").cast("string").alias("date"), "prediction",
+                          "prediction_numeric", "confidence"), docs, "prediction")
     sinks.write_json_documents(
         pressure.where(F.col("date") == feats.agg(F.max("date")).scalar())
         .withColumn("date", F.col("date").cast("string")), docs, "war_exit")

@@ -160,4 +160,4 @@ def last_n(df: DataFrame, n: int = 30, order: str = "date") -> DataFrame:
     ``orderBy(desc).limit(n)`` plans as TakeOrderedAndProject: each task keeps
     its own top ``n``; only ``n`` rows per task reach the final merge.
     """
-    return df.orderBy(F.desc(order)).limit(n)
+    return df.orderBy(F.desc(order)).limit(n).orderBy(order)

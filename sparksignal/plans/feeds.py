@@ -37,7 +37,7 @@ class Feed:
     source: str | None = None     # fixed source of a "filtered" feed
 
 
-def feed_rows(feed: Feed, feed_ord: int, as_of: Column, title_max: int | None = text.TITLE_MAX,
+def feed_rows(feed: Feed, feed_ord: int, as_of: Column, title_max: int | None = None,
               summary_max: int | None = None) -> DataFrame:
     """One feed's entries as source rows with ``feed_ord`` / ``entry_ord`` for ordering.
 
@@ -117,7 +117,7 @@ def business_news(feeds: Sequence[Feed], as_of: Column, **kw) -> DataFrame:
 def posts_from_listings(posts: DataFrame, as_of: Column,
                         groups: Sequence[tuple[str, str]] = text.SUBREDDIT_GROUPS,
                         topics: Sequence[tuple[str, str]] = text.POST_TOPICS,
-                        title_max: int | None = text.TITLE_MAX) -> DataFrame:
+                        title_max: int | None = None) -> DataFrame:
     """Listing children (``files.read_listings``) -> post rows.
 
     Day = UTC day of ``created_utc`` (``as_of`` when 0/missing); sentiment and

@@ -133,7 +133,7 @@ def tension_batch(tension: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     agg = grouped.agg(
         F.count(F.lit(1)).alias("n_articles"),
         F.avg("sentiment_compound").alias("avg_sentiment"),
-        (F.count_if(F.col("escalation") == "escalation") / F.count(F.lit(1)))
+        F.try_divide(F.count_if(F.col("escalation") == "escalation").cast("double"), F.count(F.lit(1)))
         .alias("escalation_ratio"),
         F.avg(flag).alias("iran_pct"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,9 @@ def landing_report(spark: SparkSession, root: str, sources: Sequence[str]) -> Da
                             .alias("source"), "length")
                .groupBy("source").agg(F.count(F.lit(1)).alias("n_files"),
                                       F.sum("length").alias("bytes")))
-    except Exception:  # noqa: BLE001 -- an absent landing root means every source is missing
+    except AnalysisException as e:  # an absent landing root means every source is missing
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         per = spark.createDataFrame([], "source string, n_files bigint, bytes bigint")
     j = expected.join(per, "source", "left")
     return j.select("source", F.coalesce("n_files", F.lit(0)).alias("n_files"),

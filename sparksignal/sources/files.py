@@ -53,20 +53,29 @@ def _optional(read, schema: T.StructType, spark: SparkSession) -> DataFrame:
         raise
 
 
+def landed_on() -> Column:
+    """Landing day of the scanned file: its ``ingest_date`` folder, else the file name."""
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"ingest_date=([^/]+)/", 1)
+    return F.when(day != "", day).otherwise(F.col("_metadata.file_name"))
+
+
 def read_landed_csv(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Day-stamped CSV files of one source with the fixed schema.
 
     ``multiLine`` + ``escape='"'`` read quoted HTML and newlines in summaries
-    correctly.  ``file_name`` (the landing day) is kept for newest-file-wins dedup.
+    correctly.  ``landed_on`` (the day folder of ``land_csv``, else the file name's
+    stamp) and ``file_name`` are kept for newest-landing-wins dedup.
     """
     schema = schemas.RAW[source]
 
     def read():
         return (spark.read.schema(schema).option("header", True).option("multiLine", True)
                 .option("escape", '"').option("mode", "PERMISSIVE")
-                .csv(path).withColumn("file_name", F.col("_metadata.file_name")))
+                .csv(path).select(*schema.fieldNames(), landed_on().alias("landed_on"),
+                                  F.col("_metadata.file_name").alias("file_name")))
 
-    empty = T.StructType(schema.fields + [T.StructField("file_name", T.StringType())])
+    empty = T.StructType([*schema.fields, T.StructField("landed_on", T.StringType()),
+                          T.StructField("file_name", T.StringType())])
     return _optional(read, empty, spark)
 
 

@@ -6,10 +6,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparksignal.operators.clean import keep_first
+from sparksignal.plans.materialize import materialize
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
@@ -40,13 +42,23 @@ def write_json_documents(df: DataFrame, root: str, kind: str, replace: bool = Tr
     """Result documents as JSON lines, partitioned by kind and month (K4).
 
     One folder per (kind, month) rather than one file per day keeps the file
-    count bounded by months, not days, as history grows.  ``replace=True``
-    overwrites exactly the (kind, month) partitions present in ``df``;
+    count bounded by months, not days, as history grows.  ``replace=True`` replaces
+    the documents of the dates in ``df`` and keeps the others of their months;
     ``replace=False`` appends (first load into an empty folder).
     """
-    w = (df.withColumn("kind", F.lit(kind))
-         .withColumn("month", F.date_format(F.col("date").cast("date"), "yyyy-MM"))
-         .repartition("kind", "month").write)
+    new = (df.withColumn("kind", F.lit(kind))
+           .withColumn("month", F.date_format(F.col("date").cast("date"), "yyyy-MM")))
+    if replace:
+        try:
+            old = df.sparkSession.read.schema(new.schema).json(root).where(F.col("kind") == kind)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+        else:
+            old = (old.join(new.select("month").distinct(), "month", "left_semi")
+                   .join(new.select("date"), "date", "left_anti"))
+            new = materialize(new.unionByName(old))  # read in full before its folders are replaced
+    w = new.repartition("kind", "month").write
     w = (w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace
          else w.mode("append"))
     w.partitionBy("kind", "month").json(root)
@@ -57,6 +69,8 @@ def load_serving_table(df: DataFrame, path: str, view: str) -> DataFrame:
     spark = df.sparkSession
     if not df.isEmpty():
         df.write.mode("overwrite").parquet(path)
+    else:
+        df.write.mode("ignore").parquet(path)  # first run: a typed empty table
     served = spark.read.parquet(path)
     served.createOrReplaceTempView(view)
     return served

@@ -12,8 +12,8 @@ size grows with the tables:
                      subreddit = event type; score = ``props.k``; sentiment =
                      x / sqrt(x^2 + 15) with x = (k - 50) / 10.
 * news-like feeds -- ``documents`` split by language (en news, de statements,
-                     fr conflict news, es tension news); title = first 80
-                     characters, summary = the whole text, sentiment = lexicon
+                     fr conflict news, es tension news); title = the text
+                     with white space collapsed, summary = the whole text, sentiment = lexicon
                      compound of the whole text.
 * ``predictions`` -- one per price day, dated the next day (so days without a
                      price stay pending); class from the day of year.
@@ -54,29 +54,8 @@ VIEW_CONFLICT_FILTER = r"\b(pas|avec)\b"
 LANG = {"news": "en", "statements": "de", "conflict_news": "fr", "tension_news": "es"}
 
 
-# Tables whose per-row work is CPU-heavy (regex/lexicon passes over whole texts,
-# JSON parsing of event properties).
-TEXT_TABLES = {"documents", "pages", "conversations", "benchmark", "events"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields fewer splits.
-
-    A text table stored as one parquet row group is read by a single task; the
-    regex/lexicon projections that follow would then run on one core.  At scale
-    the scan already has more splits than cores and this is a no-op (no shuffle).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _day(id_col: str) -> Column:
@@ -121,7 +100,7 @@ def landed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed_docs(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").where(F.col("lang") == lang)
     day = _day("doc_id")
-    head = F.trim(F.regexp_replace(F.substring("text", 1, 80), r"\s+", " "))
+    head = F.trim(F.regexp_replace("text", r"\s+", " "))
     return d.select(
         day.alias("date"),
         F.col("source"),
@@ -200,7 +179,7 @@ def cleaned(spark: SparkSession, sf_dir: str, source: str,
         keep = list(dict.fromkeys([*schemas.DEDUP_KEYS[source], *columns, "src_id"]))
         landed = landed.select(*keep)
     # Sentiment is computed in-row here.  A null test on it would be pushed below
-    # ``spread`` into the scan task and evaluate the expression a second time, so the
+    # the projection into the scan and evaluate the expression a second time, so the
     # test goes to an equivalent cheap column: document sentiment is never null or
     # NaN; post sentiment is null exactly when the score is.
     required = {"posts": ["date", "score"]}.get(source, ["date"])

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from sparksignal import schemas
 from sparksignal.operators import clean
 from sparksignal.session import checkpoint_dir
+from sparksignal.sources import files
 
 
 def landed_stream(spark: SparkSession, landing: str, source: str,
@@ -35,11 +36,8 @@ def landed_stream(spark: SparkSession, landing: str, source: str,
          .option("multiLine", True).option("escape", '"'))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    path = F.col("_metadata.file_path")
-    day = F.regexp_extract(path, r"ingest_date=([^/]+)/", 1)
     # landing day from the day folder (``land_csv`` layout), else the file name
-    df = r.csv(landing).withColumn(
-        "landed_on", F.when(day != "", day).otherwise(F.col("_metadata.file_name")))
+    df = r.csv(landing).withColumn("landed_on", files.landed_on())
     trim_cols = [] if source == "prices" else ["title"]
     out = clean.normalise(df, "date", trim_cols)
     return clean.drop_incomplete(out, schemas.REQUIRED[source])
