@@ -190,19 +190,17 @@ def q_clean_prices(spark, sf_dir):
 
 @register("dedup_first_seen", f"""
 SELECT feed_ord, entry_ord, source, title FROM (
-  SELECT 0 AS feed_ord, doc_id AS entry_ord, source, {_HEAD_SQL} AS title
-    FROM documents WHERE lang = 'en'
-  UNION ALL SELECT 1, doc_id, source, {_HEAD_SQL} FROM documents WHERE lang = 'de'
-  UNION ALL SELECT 2, doc_id, source, {_HEAD_SQL} FROM documents WHERE lang = 'fr'
-  UNION ALL SELECT 3, doc_id, source, {_HEAD_SQL} FROM documents WHERE lang = 'es')
+  SELECT CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 WHEN 'es' THEN 3 ELSE 4 END
+           AS feed_ord, doc_id AS entry_ord, source, {_HEAD_SQL} AS title FROM documents)
 QUALIFY row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY feed_ord, entry_ord) = 1""")
 def q_dedup_first_seen(spark, sf_dir):
-    """Four language feeds in order; first-seen title wins across feeds."""
-    d = views.table(spark, sf_dir, "documents")
-    feeds = [d.where(F.col("lang") == lang).select(F.col("doc_id").alias("entry_ord"), "source",
-                                                    _head().alias("title"))
-             for lang in ("en", "de", "fr", "es")]
-    u = clean.union_feeds(feeds)
+    """Language feeds in order, other languages last, from one scan; first-seen title wins
+    across feeds (V1, D2)."""
+    lang = F.col("lang")
+    feed = F.coalesce(*[F.when(lang == name, F.lit(i))
+                        for i, name in enumerate(("en", "de", "fr", "es"))], F.lit(4))
+    u = views.table(spark, sf_dir, "documents").select(
+        feed.alias("feed_ord"), F.col("doc_id").alias("entry_ord"), "source", _head().alias("title"))
     return clean.first_seen(u).select("feed_ord", "entry_ord", "source", "title")
 
 
@@ -286,27 +284,30 @@ def q_keyword_filter(spark, sf_dir):
 
 
 @register("rfc822_dates", f"""
-SELECT doc_id, stamp,
-       coalesce(TRY_CAST(try_strptime(regexp_extract(stamp, '(\\d{{1,2}} [A-Za-z]{{3}} \\d{{4}})', 1),
-                                      '%d %b %Y') AS DATE), DATE '{AS_OF}') AS day
-FROM (SELECT doc_id,
-             CASE doc_id % 4
-               WHEN 0 THEN strftime(DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER),
-                                    '%a, %d %b %Y') || ' 08:15:00 +0000'
-               WHEN 1 THEN strftime(DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER),
-                                    '%-d %b %Y') || ' 23:10:00 -0400'
-               WHEN 2 THEN 'not a date' END AS stamp
-      FROM documents)""")
+SELECT doc_id,
+       CASE doc_id % 8
+         WHEN 0 THEN strftime(d, '%a, %d %b %Y') || ' 08:15:00 +0000'
+         WHEN 1 THEN strftime(d, '%-d %b %Y') || ' 23:10:00 -0400'
+         WHEN 2 THEN 'not a date'
+         WHEN 3 THEN strftime(d, '%d %b %y') || ' 08:15:00 GMT'
+         WHEN 4 THEN strftime(d, '%A, %d-%b-%y') || ' 08:15:00 GMT'
+         WHEN 5 THEN strftime(d, '%d %B %Y') || ' 08:15:00 +0200'
+         WHEN 6 THEN lower(strftime(d, '%d %b %Y')) || ' 08:15' END AS stamp,
+       CASE WHEN doc_id % 8 IN (2, 7) THEN DATE '{AS_OF}' ELSE d END AS day
+FROM (SELECT doc_id, DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER) AS d FROM documents)""")
 def q_rfc822_dates(spark, sf_dir):
-    """Feed stamps with offsets, junk and nulls -> calendar day, fallback ``as_of``."""
-    d = views.table(spark, sf_dir, "documents")
+    """Feed stamps in every RFC-822 form, with offsets, junk and nulls -> calendar day,
+    fallback ``as_of`` (F6, T18)."""
     day = F.date_add(F.lit(views.EPOCH).cast("date"), (F.col("doc_id") % views.N_DAYS).cast("int"))
-    m = F.col("doc_id") % 4
-    stamp = (F.when(m == 0, F.concat(F.date_format(day, "EEE, dd MMM yyyy"),
-                                     F.lit(" 08:15:00 +0000")))
-             .when(m == 1, F.concat(F.date_format(day, "d MMM yyyy"), F.lit(" 23:10:00 -0400")))
-             .when(m == 2, F.lit("not a date")))
-    s = d.select("doc_id", stamp.alias("stamp"))
+    forms = [("EEE, dd MMM yyyy", " 08:15:00 +0000"), ("d MMM yyyy", " 23:10:00 -0400"), None,
+             ("dd MMM yy", " 08:15:00 GMT"), ("EEEE, dd-MMM-yy", " 08:15:00 GMT"),
+             ("dd MMMM yyyy", " 08:15:00 +0200"), ("dd MMM yyyy", " 08:15")]
+    stamp = F.when(F.col("doc_id") % 8 == 2, F.lit("not a date"))
+    for i, form in enumerate(forms):
+        if form:
+            written = F.concat(F.date_format(day, form[0]), F.lit(form[1]))
+            stamp = stamp.when(F.col("doc_id") % 8 == i, F.lower(written) if i == 6 else written)
+    s = views.table(spark, sf_dir, "documents").select("doc_id", stamp.alias("stamp"))
     return s.select("doc_id", "stamp",
                     text.rfc822_date("stamp", F.lit(AS_OF).cast("date")).alias("day"))
 
@@ -703,9 +704,15 @@ def q_signal_chart(spark, sf_dir):
 @register("self_assessment", """
 SELECT round(arg_max(recent, date), 10) AS recent_accuracy,
        round(avg(correct), 10) AS overall_accuracy, count(*) AS n_trades,
-       CASE WHEN arg_max(recent, date) >= 0.7 THEN 'performing well'
-            WHEN arg_max(recent, date) >= 0.4 THEN 'mixed results'
-            ELSE 'underperforming' END AS assessment
+       'Recent accuracy **' || CAST(round(arg_max(recent, date) * 100, 0) AS BIGINT)
+         || '%** (last 5 trades) — '
+         || CASE WHEN arg_max(recent, date) >= 0.7
+                 THEN 'model is performing well, signals are reliable'
+                 WHEN arg_max(recent, date) >= 0.4
+                 THEN 'mixed results, use signals as one input among many'
+                 ELSE '⚠️ model is underperforming, signals may be contrarian indicators' END
+         || chr(10) || 'Overall accuracy: **' || CAST(round(avg(correct) * 100, 0) AS BIGINT)
+         || '%** across ' || CAST(count(*) AS VARCHAR) || ' trades' AS assessment
 FROM (SELECT date, correct,
              avg(correct) OVER (ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS recent
       FROM signals WHERE correct IS NOT NULL)
@@ -786,22 +793,26 @@ def q_table_counts(spark, sf_dir):
 
 @register("tension_bullets", f"""
 WITH rep AS ({ORACLE_TENSION_REPORT})
-SELECT latest_date, array_to_string(list_filter(list_value(
-  'Escalation ratio at ' || CAST({sround('escalation_ratio * 100', 0)} AS BIGINT) || '% - '
-    || CASE WHEN escalation_ratio > 0.5 THEN 'majority of coverage frames military posturing'
-            ELSE 'balanced coverage' END,
-  'Spillover detected in ' || CAST(iran_n AS VARCHAR) || ' articles - '
-    || CASE WHEN iran_n > 5 THEN 'multi-front pressure'
-            ELSE 'limited cross-theater correlation' END,
-  'Trajectory ' || trend || ' - '
-    || CASE WHEN trend_delta > 0.02 THEN 'growing hawkish rhetoric'
-            WHEN trend_delta < -0.02 THEN 'tensions cooling' ELSE 'no clear shift' END,
-  'Average sentiment - ' || CASE WHEN avg_sentiment < -0.15 THEN 'deeply negative'
-                                 WHEN avg_sentiment < 0 THEN 'mildly negative'
-                                 ELSE 'neutral-to-positive' END,
+SELECT latest_date, concat_ws(chr(10),
+  'Escalation ratio at **' || CAST(round(escalation_ratio * 100, 0) AS BIGINT) || '%** — '
+    || CASE WHEN escalation_ratio > 0.5
+            THEN 'majority of coverage frames military posturing or threat'
+            ELSE 'balanced coverage; escalation signals below majority threshold' END,
+  'Iran spillover detected in **' || CAST(iran_n AS VARCHAR) || '** articles — '
+    || CASE WHEN iran_n > 5 THEN 'regional multi-front pressure elevates timeline'
+            ELSE 'limited cross-theater correlation so far' END,
+  'Sentiment trajectory **' || trend || '** (Δ '
+    || printf('%+.1f', round(trend_delta * 100, 1) + 0.0::DOUBLE) || '%) — '
+    || CASE WHEN trend_delta > 0.02 THEN 'negative momentum suggests growing hawkish rhetoric'
+            WHEN trend_delta < -0.02 THEN 'diplomatic signals may be cooling tensions'
+            ELSE 'no clear shift in tone detected' END,
+  'Average sentiment **' || printf('%.3f', round(avg_sentiment, 3)) || '** — '
+    || CASE WHEN avg_sentiment < -0.15 THEN 'deeply negative; media framing skews confrontational'
+            WHEN avg_sentiment < 0 THEN 'mildly negative; cautious but not alarmist'
+            ELSE 'neutral-to-positive; low urgency in reporting' END,
   CASE WHEN latest_probability >= 0.55
-       THEN 'Volume signal: ' || CAST(n_total AS VARCHAR) || ' articles tracked' END),
-  lambda x: x IS NOT NULL), chr(10)) AS bullets
+       THEN 'Volume signal: **' || CAST(n_total AS VARCHAR) || '** articles tracked — high coverage '
+            || 'density correlates with elevated geopolitical attention' END) AS bullets
 FROM rep""")
 def q_tension_bullets(spark, sf_dir):
     """Rule-based sentences of the tension report."""
@@ -873,7 +884,7 @@ WITH valence AS (
   SELECT t.event_id, sum(l.valence) AS vs
   FROM (SELECT event_id, unnest(regexp_extract_all(lower({_LISTING_TEXT}), '[a-z]+')) AS token
         FROM events) t
-  JOIN lexicon l ON l.token = t.token GROUP BY t.event_id)
+  JOIN post_lexicon l ON l.token = t.token GROUP BY t.event_id)
 SELECT CAST(ts AS DATE) AS date, event_type AS subreddit,
        CASE WHEN event_type IN {tuple(views.VIEW_BASE_TYPES)!r} THEN 'base' ELSE 'general' END
          AS subreddit_group,
@@ -909,7 +920,8 @@ def q_json_listing(spark, sf_dir):
     posts = files.read_listings(spark, root)
     return present(feeds_mod.posts_from_listings(posts, F.lit(AS_OF).cast("date"),
                                                  groups=_VIEW_GROUPS,
-                                                 topics=views.VIEW_POST_TOPICS))
+                                                 topics=views.VIEW_POST_TOPICS,
+                                                 lexicon=views.VIEW_POST_LEXICON))
 
 
 @register("json_predictions", """
@@ -1040,16 +1052,18 @@ def q_serving_tables(spark, sf_dir):
 
 @register("strike_bullets", f"""
 SELECT date, concat_ws(chr(10),
-  'Favor ratio ' || CAST({sround('favor_ratio * 100', 0)} AS BIGINT) || '% - '
-    || CASE WHEN favor_ratio > 0.5 THEN 'opinion against continued operations'
-            ELSE 'negative stance gives political cover' END,
-  'War sentiment ' || format('{{:,.3f}}', war_sentiment_avg) || ' - '
-    || CASE WHEN war_sentiment_avg < -0.1 THEN 'hawkish framing'
-            ELSE 'neutral-to-positive framing' END,
-  'Base trend ' || base_sentiment_trend || ' - '
-    || CASE WHEN base_sentiment_trend = 'declining' THEN 'pressure to act'
-            WHEN base_sentiment_trend = 'improving' THEN 'reduced urgency'
-            ELSE 'no directional pressure' END) AS bullets
+  'Favor ratio **' || CAST(round(favor_ratio * 100, 0) AS BIGINT) || '%** — '
+    || CASE WHEN favor_ratio > 0.5
+            THEN 'public opinion strongly against continued ops → low strike motivation'
+            ELSE 'negative war stance in base → political cover for escalation' END,
+  'War sentiment **' || printf('%.3f', round(war_sentiment_avg, 3)) || '** — '
+    || CASE WHEN war_sentiment_avg < -0.1 THEN 'hawkish media framing supports military action'
+            ELSE 'neutral-to-positive framing; less urgency for strikes' END,
+  'Base trend **' || base_sentiment_trend || '** — '
+    || CASE WHEN base_sentiment_trend = 'declining'
+            THEN 'declining support = pressure to act decisively before losing base'
+            WHEN base_sentiment_trend = 'improving' THEN 'improving sentiment = reduced urgency'
+            ELSE 'no clear directional pressure' END) AS bullets
 FROM pressure""")
 def q_strike_bullets(spark, sf_dir):
     """Reasoning sentences of the strike outlook per day."""
@@ -1099,7 +1113,7 @@ WITH items AS (
   FROM documents WHERE lang = 'de'
   UNION ALL
   SELECT 2, doc_id, {_HEAD_SQL}, text, {_STAMP_SQL} FROM documents
-  WHERE lang = 'fr'
+  WHERE coalesce(lang, '') NOT IN ('en', 'de')
     AND coalesce(regexp_matches({_HEAD_SQL} || ' ' || text, {rx(views.VIEW_CONFLICT_FILTER)}), false)),
 entries AS (
   SELECT feed_ord, doc_id, summary, published,
@@ -1138,26 +1152,27 @@ def q_feed_ingest(spark, sf_dir):
     (S6, F4-F6, F16, P7, V1, D2, F10)."""
     from sparksignal.plans import feeds as feeds_mod
 
-    d = views.table(spark, sf_dir, "documents")
+    d, lang = views.table(spark, sf_dir, "documents"), F.col("lang")
     day = F.date_add(F.lit(views.EPOCH).cast("date"), (F.col("doc_id") % views.N_DAYS).cast("int"))
     stamp = F.concat(F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" 12:00:00 +0000"))
 
-    def landed_feed(lang: str, with_source: bool) -> DataFrame:
+    def landed_feed(name: str, rows, with_source: bool) -> DataFrame:
         title = F.concat(_head(), F.lit(" - "), F.col("source")) if with_source else _head()
-        items = (d.where(F.col("lang") == lang)
+        items = (d.where(rows)
                  .select("doc_id", title.alias("title"), F.col("text").alias("description"),
                          stamp.alias("pubDate"))
                  # feed files in entry order: range-partitioned and sorted by position
                  .repartitionByRange("doc_id").sortWithinPartitions("doc_id")
                  .drop("doc_id"))
-        root = scratch_path(spark, f"feed-{lang}")
+        root = scratch_path(spark, f"feed-{name}")
         items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(root)
         return files.read_feed_xml(spark, root)
 
     feeds = [
-        feeds_mod.Feed("wire_a", landed_feed("en", True)),
-        feeds_mod.Feed("wire_b", landed_feed("de", True)),
-        feeds_mod.Feed("world", landed_feed("fr", False), kind="filtered",
+        feeds_mod.Feed("wire_a", landed_feed("en", lang == "en", True)),
+        feeds_mod.Feed("wire_b", landed_feed("de", lang == "de", True)),
+        feeds_mod.Feed("world", landed_feed(
+            "world", ~F.coalesce(lang, F.lit("")).isin("en", "de"), False), kind="filtered",
                        pattern=views.VIEW_CONFLICT_FILTER, source="world"),
     ]
     return present(feeds_mod.conflict_news(feeds, F.lit(AS_OF).cast("date")))

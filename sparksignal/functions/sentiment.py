@@ -48,8 +48,6 @@ DEFAULT_LEXICON: dict[str, float] = {
 }
 # -----------------------------------------------------------------------------
 
-MAX_LITERAL_LEXICON = 5000  # literal-map plan only for word lists of bounded size
-
 
 def tokens(text: str | Column, pattern: str = TOKEN_PATTERN) -> Column:
     """Lower-cased word tokens of the whole text."""
@@ -62,23 +60,18 @@ def normalise(score: str | Column, alpha: float = ALPHA) -> Column:
 
 
 def _valences(text: str | Column, lexicon: Mapping[str, float]) -> Column:
-    if len(lexicon) > MAX_LITERAL_LEXICON:
-        raise ValueError("lexicon too large for the literal plan; use lexicon_join_scores")
     lex = F.create_map(*[F.lit(x) for k in sorted(lexicon) for x in (k, float(lexicon[k]))])
     return F.transform(tokens(text), lambda t: F.coalesce(F.try_element_at(lex, t),
                                                           F.lit(0.0)))
 
 
-def lexicon_valence_sum(text: str | Column,
-                        lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
-    """Sum of token valences, computed in-row with a literal map lookup."""
-    return F.aggregate(_valences(text, lexicon), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def lexicon_compound(text: str | Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON,
                      digits: int | None = 4) -> Column:
     """Compound score in [-1, 1] of the whole text (F16).
 
+    The literal map is searched word by word: right for short word lists; score a long
+    lexicon table with ``lexicon_join_scores``.
+
     The squash runs as the fold's finish step, so the token pass happens once
     per row even where expressions are not deduplicated.
     """

@@ -49,8 +49,10 @@ SUBREDDIT_GROUPS = [
     ("energy", "general"), ("oil", "general"), ("politics", "base"),
     ("conservative", "base"),
 ]
-TITLE_MAX = 500
-BODY_MAX = 1000
+# Month names of a feed stamp, short or long.
+MONTHS = ("jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+          "sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?")
+TWO_DIGIT_PIVOT = 68  # two-digit years up to this one belong to the 2000s
 # -----------------------------------------------------------------------------
 
 
@@ -92,33 +94,44 @@ def keyword_flag(text: str | Column, pattern: str) -> Column:
     return F.coalesce(col_(text).rlike(ci(pattern)), F.lit(False))
 
 
+def strip(c: str | Column) -> Column:
+    """Text without white space of any kind at both ends (``trim`` removes spaces only)."""
+    return F.regexp_replace(col_(c), r"(?U)^\s+|\s+$", "")
+
+
 def split_source(title: str | Column, default: str | Column = "unknown") -> Column:
     """Source after the last ``" - "`` of a headline, else ``default``."""
     t = col_(title)
     d = F.lit(default) if isinstance(default, str) else default
-    return F.when(t.contains(" - "), F.trim(F.substring_index(t, " - ", -1))).otherwise(d)
+    return F.when(t.contains(" - "), strip(F.substring_index(t, " - ", -1))).otherwise(d)
 
 
 def strip_source(title: str | Column) -> Column:
     """Headline without its trailing ``" - Source"``."""
     t = col_(title)
     head = F.regexp_replace(t, r"(?s)^(.*) - .*$", "$1")
-    return F.when(t.contains(" - "), F.trim(head)).otherwise(t)
+    return F.when(t.contains(" - "), strip(head)).otherwise(t)
 
 
 def title_key(title: str | Column) -> Column:
     """Dedup key ``lower(strip(title))``."""
-    return F.lower(F.trim(col_(title)))
+    return F.lower(strip(title))
 
 
 def rfc822_date(stamp: str | Column, fallback: Column | None = None) -> Column:
     """Calendar day written in an RFC-822 stamp, in the stamp's own offset.
 
-    ``'Tue, 03 Jun 2025 23:10:00 -0400'`` -> 2025-06-03.  Unparseable or missing
-    stamps give ``fallback`` (the caller's ``as_of`` day).
+    ``'Tue, 03 Jun 2025 23:10:00 -0400'`` -> 2025-06-03; so do ``03 June 2025``,
+    ``03-Jun-25`` and ``3 jun 25``.  Unparseable or missing stamps give ``fallback``
+    (the caller's ``as_of`` day).
     """
-    day = F.regexp_extract(col_(stamp), r"(\d{1,2} [A-Za-z]{3} \d{4})", 1)
-    parsed = F.try_to_date(day, "d MMM yyyy")
+    pattern = rf"(?i)\b(\d{{1,2}})[ -]+({MONTHS})[ -]+(\d{{4}}|\d{{2}})\b"
+    day, month, year = (F.regexp_extract(col_(stamp), pattern, i) for i in (1, 2, 3))
+    century = F.when(F.length(year) == 4, F.lit("")).when(
+        year > F.lit(str(TWO_DIGIT_PIVOT)), F.lit("19")).otherwise(F.lit("20"))
+    parsed = F.try_to_date(
+        F.concat_ws(" ", day, F.initcap(F.substring(month, 1, 3)), F.concat(century, year)),
+        "d MMM yyyy")
     return parsed if fallback is None else F.coalesce(parsed, fallback)
 
 

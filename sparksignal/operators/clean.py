@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparksignal import schemas
+from sparksignal.functions import text
 
 
 def to_date_safe(c: str | Column, fmt: str | None = None) -> Column:
@@ -88,8 +89,8 @@ def union_feeds(frames: Sequence[DataFrame], feed_col: str = "feed_ord") -> Data
 def first_seen(df: DataFrame, title_col: str = "title",
                order: Sequence[str] = ("feed_ord", "entry_ord"),
                within: Sequence[str] = ()) -> DataFrame:
-    """First-seen-wins dedup on ``lower(trim(title))`` (D2; with ``within`` = D3)."""
-    keys: list[str | Column] = [*within, F.lower(F.trim(F.col(title_col)))]
+    """First-seen-wins dedup on the stripped, lower-cased title (D2; with ``within`` = D3)."""
+    keys: list[str | Column] = [*within, text.title_key(title_col)]
     return keep_first(df, keys, list(order))
 
 

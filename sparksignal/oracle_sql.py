@@ -55,24 +55,27 @@ def cred_sql(source: str) -> str:
             f"THEN 1.25::DOUBLE ELSE 1.0::DOUBLE END)")
 
 
-_LEX_VALUES = ", ".join(f"('{k}', {float(v)!r}::DOUBLE)" for k, v in sorted(DEFAULT_LEXICON.items()))
+def _lexicon_values(lexicon) -> str:
+    return ", ".join(f"('{k}', {float(v)!r}::DOUBLE)" for k, v in sorted(lexicon.items()))
+
+
 
 _DOC_COLS = (
     "date, source, title, published_date, summary, sentiment_compound, src_id"
 )
 
 
-def _landed_docs(lang: str) -> str:
+def _landed_docs() -> str:
     return f"""
-  SELECT {day_sql('d.doc_id')} AS date, d.source,
+  SELECT {day_sql('d.doc_id')} AS date,
+         d.source || CASE WHEN d.lang = 'en' THEN '{views.VIEW_AGENCY}' ELSE '' END AS source,
          trim(regexp_replace(d.text, '\\s+', ' ', 'g')) AS title,
          strftime({day_sql('d.doc_id')}, '%a, %d %b %Y') || ' 12:00:00 +0000' AS published_date,
          d.text AS summary,
          round(coalesce(s.vs, 0.0) / sqrt(coalesce(s.vs, 0.0) * coalesce(s.vs, 0.0) + 15.0), 4)
            AS sentiment_compound,
          d.doc_id AS src_id
-  FROM documents d LEFT JOIN doc_valence s ON s.doc_id = d.doc_id
-  WHERE d.lang = '{lang}'"""
+  FROM documents d LEFT JOIN doc_valence s ON s.doc_id = d.doc_id"""
 
 
 def _clean(landed: str, keys: str, required: str = "sentiment_compound") -> str:
@@ -83,7 +86,9 @@ def _clean(landed: str, keys: str, required: str = "sentiment_compound") -> str:
 
 
 CTES: list[tuple[str, str]] = [
-    ("lexicon", f"SELECT * FROM (VALUES {_LEX_VALUES}) AS t(token, valence)"),
+    ("lexicon", f"SELECT * FROM (VALUES {_lexicon_values(DEFAULT_LEXICON)}) AS t(token, valence)"),
+    ("post_lexicon",
+     f"SELECT * FROM (VALUES {_lexicon_values(views.VIEW_POST_LEXICON)}) AS t(token, valence)"),
     ("doc_valence", """
   SELECT t.doc_id, sum(l.valence) AS vs
   FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS token
@@ -103,7 +108,8 @@ CTES: list[tuple[str, str]] = [
          event_type AS subreddit,
          CASE WHEN event_type IN {tuple(views.VIEW_BASE_TYPES)!r} THEN 'base' ELSE 'general' END
            AS subreddit_group,
-         event_type || ' by user ' || CAST(user_id AS VARCHAR) AS title,
+         event_type || ' by user ' || CAST(user_id AS VARCHAR) || ' #' || CAST(event_id AS VARCHAR)
+           AS title,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS score,
          ((CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) / 10.0::DOUBLE)
            / sqrt(((CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) / 10.0::DOUBLE)
@@ -114,23 +120,23 @@ CTES: list[tuple[str, str]] = [
          event_id AS src_id
   FROM events"""),
     ("posts", _clean("landed_posts", "date, subreddit, title")),
-    ("landed_news", _landed_docs(views.LANG["news"])),
+    ("landed_news", _landed_docs()),
     ("news", _clean("landed_news", "date, source, title")),
     ("landed_statements", f"""
   SELECT date, source, 'q' || CAST(src_id % 3 AS VARCHAR) AS query, title, published_date,
          summary, sentiment_compound, {tags_sql('summary', views.VIEW_STATEMENT_TOPICS)}
          AS topic_tags, src_id
-  FROM ({_landed_docs(views.LANG["statements"])})"""),
+  FROM ({_landed_docs()})"""),
     ("statements", _clean("landed_statements", "date, source, title")),
     ("landed_conflict", f"""
   SELECT {_DOC_COLS.replace('src_id', stance_sql('sentiment_compound') + ' AS stance, src_id')}
-  FROM ({_landed_docs(views.LANG["conflict_news"])})"""),
+  FROM ({_landed_docs()})"""),
     ("conflict", _clean("landed_conflict", "date, source, title")),
     ("landed_tension", f"""
   SELECT {_DOC_COLS.replace('src_id', escalation_sql('sentiment_compound') + ' AS escalation, '
                             "CASE WHEN regexp_matches(summary, " + rx(views.VIEW_SPILLOVER)
                             + ") THEN 'True' ELSE 'False' END AS iran_spillover, src_id")}
-  FROM ({_landed_docs(views.LANG["tension_news"])})"""),
+  FROM ({_landed_docs()})"""),
     ("tension", _clean("landed_tension", "date, source, title")),
     ("predictions", """
   SELECT date + 1 AS date,

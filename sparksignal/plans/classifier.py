@@ -64,7 +64,9 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def latest_prediction(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """Prediction for the newest complete feature row (M9), as a one-row frame."""
+    """Prediction for the newest complete feature row with its feature values (M9): one row."""
     data = features.dropna(subset=FEATURE_COLS)
     newest = data.agg(F.max("date")).scalar()
-    return predict(model, data.where(F.col("date") == newest))
+    latest = data.where(F.col("date") == newest)
+    values = F.struct(*[F.round(F.col(c).cast("double"), 4).alias(c) for c in FEATURE_COLS])
+    return predict(model, latest).join(latest.select("date", values.alias("features")), "date")

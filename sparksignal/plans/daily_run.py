@@ -8,7 +8,8 @@ at most one stage) and nothing passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparksignal import schemas
@@ -40,8 +41,12 @@ def file_spans(spark: SparkSession, landing: str) -> DataFrame:
     return out
 
 
-def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
-    """Run the daily batch; returns rows written per output table."""
+def run(spark: SparkSession, landing: str, warehouse: str,
+        evaluated_at: Column | None = None) -> dict[str, int]:
+    """Run the daily batch; returns rows written per output table.
+
+    ``evaluated_at`` stamps the evaluation log (default: the time of the run).
+    """
     wh = warehouse.rstrip("/")
     written: dict[str, int] = {}
 
@@ -70,18 +75,22 @@ def run(spark: SparkSession, landing: str, warehouse: str) -> dict[str, int]:
     if train.limit(classifier.MIN_ROWS).count() < classifier.MIN_ROWS:  # too few rows: nothing is trained
         save("model_test_predictions", spark.createDataFrame([], classifier.PREDICTED))
     else:
-        model = classifier.train(train)
-        save("model_test_predictions", classifier.predict(model, test))
+        classifier.train(train).write().overwrite().save(f"{wh}/model")
+        model = PipelineModel.load(f"{wh}/model")
+        tested = save("model_test_predictions", classifier.predict(model, test))
+        metrics = evaluation.classifier_metrics(tested, label="actual", prediction="prediction_numeric")
+        metrics.write.mode("overwrite").json(f"{wh}/model_metrics")
         latest = classifier.latest_prediction(model, feats)
         sinks.write_json_documents(
             latest.select(F.col("date").cast("string").alias("date"), "prediction",
-                          "prediction_numeric", "confidence"), docs, "prediction")
+                          "prediction_numeric", "confidence", "features"), docs, "prediction")
     sinks.write_json_documents(
         pressure.where(F.col("date") == feats.agg(F.max("date")).scalar())
         .withColumn("date", F.col("date").cast("string")), docs, "war_exit")
     preds = files.read_json_documents(spark, docs, schemas.PREDICTION).withColumn(
         "date", F.to_date("date"))
-    save("evaluation", evaluation.evaluate(preds, feats))
+    save("evaluation", evaluation.evaluate(
+        preds, feats, F.current_timestamp() if evaluated_at is None else evaluated_at))
 
     for name, df in {"daily_summary_30d": features.last_n(summary, 30),
                      "predictions": preds, "statements": cleaned["statements"],

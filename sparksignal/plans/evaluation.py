@@ -5,15 +5,17 @@ Predictions and actuals are both day-grain; the joins are on DATE.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparksignal.functions import classify
 from sparksignal.operators import series
 
 
-def evaluate(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
-    """One row per prediction: predicted, actual, correct, confidence, status.
+def evaluate(predictions: DataFrame, actuals: DataFrame,
+             evaluated_at: Column | None = None) -> DataFrame:
+    """One row per prediction: predicted, actual, correct, confidence, status (J2, M12),
+    and ``evaluated_at`` where the caller gives the stamp.
 
     A prediction whose date has no actual is "pending" (T4: the newest feature
     day carries label 0, so it is graded, as in the reference).
@@ -22,7 +24,7 @@ def evaluate(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
     j = predictions.join(a, predictions["date"] == a["_d"], "left")
     pending = F.col("_actual").isNull()
     correct = F.when(~pending, (F.col("prediction_numeric") == F.col("_actual")).cast("int"))
-    return j.select(
+    out = j.select(
         F.col("date").alias("pred_date"),
         F.when(F.col("prediction_numeric") == 1, F.lit("Up")).otherwise(F.lit("Down"))
         .alias("predicted"),
@@ -32,6 +34,7 @@ def evaluate(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
         F.when(pending, F.lit("pending")).when(correct == 1, F.lit("correct"))
         .otherwise(F.lit("incorrect")).alias("status"),
     )
+    return out if evaluated_at is None else out.withColumn("evaluated_at", evaluated_at)
 
 
 def running_accuracy(evaluation: DataFrame, last: int = 5) -> DataFrame:

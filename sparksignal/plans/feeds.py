@@ -11,14 +11,14 @@ Three feed kinds, as in the reference:
 
 Sentiment, tags and flags are computed on the whole ``title + ' ' + summary``.
 Feeds are unioned in declared order and deduplicated first-seen on
-``lower(trim(title))`` across feeds; statement feeds first drop repeats of the
+the stripped, lower-cased title across feeds; statement feeds first drop repeats of the
 raw title inside each feed.  All steps are row-local projections plus one keyed
 aggregate (the dedup), which combines map-side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,7 +38,8 @@ class Feed:
 
 
 def feed_rows(feed: Feed, feed_ord: int, as_of: Column, title_max: int | None = None,
-              summary_max: int | None = None) -> DataFrame:
+              summary_max: int | None = None,
+              lexicon: Mapping[str, float] = sentiment.DEFAULT_LEXICON) -> DataFrame:
     """One feed's entries as source rows with ``feed_ord`` / ``entry_ord`` for ordering.
 
     ``summary_max=1000`` reproduces the reference's stored-summary length; the
@@ -62,7 +63,7 @@ def feed_rows(feed: Feed, feed_ord: int, as_of: Column, title_max: int | None =
         text.rfc822_date("published", as_of).alias("date"),
         "source", t.alias("title"), F.col("published").alias("published_date"),
         s.alias("summary"),
-        sentiment.lexicon_compound(body).alias("sentiment_compound"),
+        sentiment.lexicon_compound(body, lexicon).alias("sentiment_compound"),
         F.lit(feed_ord).alias("feed_ord"), "feed_file", "entry_ord", "raw_title",
         body.alias("_text"),
     )
@@ -117,7 +118,8 @@ def business_news(feeds: Sequence[Feed], as_of: Column, **kw) -> DataFrame:
 def posts_from_listings(posts: DataFrame, as_of: Column,
                         groups: Sequence[tuple[str, str]] = text.SUBREDDIT_GROUPS,
                         topics: Sequence[tuple[str, str]] = text.POST_TOPICS,
-                        title_max: int | None = None) -> DataFrame:
+                        title_max: int | None = None,
+                        lexicon: Mapping[str, float] = sentiment.DEFAULT_LEXICON) -> DataFrame:
     """Listing children (``files.read_listings``) -> post rows.
 
     Day = UTC day of ``created_utc`` (``as_of`` when 0/missing); sentiment and
@@ -132,6 +134,6 @@ def posts_from_listings(posts: DataFrame, as_of: Column,
         text.subreddit_group("subreddit", groups).alias("subreddit_group"),
         (text.truncate(title, title_max) if title_max else title).alias("title"),
         F.coalesce(F.col("score"), F.lit(0)).alias("score"),
-        sentiment.lexicon_compound(body).alias("sentiment_compound"),
+        sentiment.lexicon_compound(body, lexicon).alias("sentiment_compound"),
         text.topic_tags(body, topics).alias("topic"),
     )

@@ -7,12 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MIN_TOTAL_ROWS = 10  # fixed value: proceed threshold of the volume gate
-MIN_TRAIN_ROWS = 20
-MIN_PRESSURE_ROWS = 2
-MIN_TRADES = 3
 
 
 def volume_gate(counts: Mapping[str, DataFrame], threshold: int = MIN_TOTAL_ROWS) -> DataFrame:
@@ -65,8 +61,3 @@ def require_rows(df: DataFrame, minimum: int) -> DataFrame:
     """
     n = df.limit(minimum).agg(F.count(F.lit(1))).scalar()  # reads at most ``minimum`` rows
     return df.where(n >= F.lit(minimum))
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """Typed empty frame for an absent optional source (S3)."""
-    return spark.createDataFrame([], schema)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparksignal.functions import classify
 from sparksignal.functions.numeric import weighted_sum
 from sparksignal.operators import series
+from sparksignal.plans import reports
 
 # --- fixed values (weights, thresholds and labels of the reference) ----------
 # (signal column, source column, null fill, inverted, weight, label) in declared order
@@ -22,6 +23,12 @@ SIGNALS = [
 ]
 BUY_THRESHOLD = 0.12
 SELL_THRESHOLD = -0.12
+MIN_TRADES = 3
+RECENT_LINE = "Recent accuracy **%s** (last %s trades) — %s"
+RECENT_GOOD = "model is performing well, signals are reliable"
+RECENT_MIXED = "mixed results, use signals as one input among many"
+RECENT_POOR = "⚠️ model is underperforming, signals may be contrarian indicators"
+OVERALL_LINE = "Overall accuracy: **%s** across %s trades"
 # -----------------------------------------------------------------------------
 
 SIGNAL_COLUMNS = [s[0] for s in SIGNALS]
@@ -118,7 +125,10 @@ def self_assessment(signals: DataFrame, last: int = 5) -> DataFrame:
     agg = t.agg(F.max_by("_recent", "date").alias("recent_accuracy"),
                 F.avg("correct").alias("overall_accuracy"),
                 F.count(F.lit(1)).alias("n_trades"))
-    band = (F.when(F.col("recent_accuracy") >= 0.7, F.lit("performing well"))
-            .when(F.col("recent_accuracy") >= 0.4, F.lit("mixed results"))
-            .otherwise(F.lit("underperforming")))
-    return agg.where(F.col("n_trades") >= 3).withColumn("assessment", band)
+    recent, overall = F.col("recent_accuracy"), F.col("overall_accuracy")
+    verdict = (F.when(recent >= 0.7, RECENT_GOOD).when(recent >= 0.4, RECENT_MIXED)
+               .otherwise(RECENT_POOR))
+    sentences = F.concat_ws(
+        "\n", reports.line(RECENT_LINE, reports.pct(recent), F.lit(str(last)), verdict),
+        reports.line(OVERALL_LINE, reports.pct(overall), F.col("n_trades").cast("string")))
+    return agg.where(F.col("n_trades") >= MIN_TRADES).withColumn("assessment", sentences)

@@ -94,29 +94,37 @@ def read_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFram
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType,
-                        exclude_kind: str | None = "war_exit") -> DataFrame:
-    """JSON result documents (JSON lines) with nested objects dropped.
-
-    Documents are written partitioned by ``kind``; excluding a kind is a
-    partition filter, so the excluded files are never opened.
+                        exclude_kind: str | None = "war_exit",
+                        one_per_file: bool = False) -> DataFrame:
+    """JSON result documents with nested objects dropped.
+
+    Written by ``sinks.write_json_documents``: JSON lines partitioned by ``kind``;
+    excluding a kind is a partition filter, so the excluded files are never opened.
+    ``one_per_file`` reads a folder with one (indented) object per file instead; a kind is
+    then excluded by the files' name prefix, ``<kind>_``.  A document that does not
+    parse raises in both layouts.
     """
     full = T.StructType(schema.fields + [T.StructField("kind", T.StringType()),
                                          T.StructField("month", T.StringType())])
 
     def read():
-        df = spark.read.schema(full).json(path)
-        return df.where(F.col("kind") != exclude_kind) if exclude_kind else df
+        df = (spark.read.schema(full).option("multiLine", one_per_file)
+              .option("mode", "FAILFAST").json(path))
+        if not exclude_kind:
+            return df
+        if one_per_file:
+            return df.where(~F.col("_metadata.file_name").startswith(f"{exclude_kind}_"))
+        return df.where(F.col("kind") != exclude_kind)
 
     out = _optional(read, full, spark)
     return out.select(*[f.name for f in schema.fields
                         if not isinstance(f.dataType, (T.StructType, T.MapType))])
 
 
-def read_feed_xml(spark: SparkSession, path: str, fallback_summary: bool = True) -> DataFrame:
+def read_feed_xml(spark: SparkSession, path: str) -> DataFrame:
     """RSS ``<item>`` entries -> (feed file, entry order, title, summary, published).
 
-    Missing fields become ""; ``description`` stands in for a missing summary
-    unless ``fallback_summary=False`` (the business feeds do not fall back).
+    Missing fields become ""; ``description`` stands in for a missing summary.
     """
     def read():
         return (spark.read.format("xml").option("rowTag", "item").schema(FEED_ITEM).load(path)
@@ -126,18 +134,22 @@ def read_feed_xml(spark: SparkSession, path: str, fallback_summary: bool = True)
     empty = T.StructType(FEED_ITEM.fields + [T.StructField("feed_file", T.StringType()),
                                              T.StructField("entry_ord", T.LongType())])
     df = _optional(read, empty, spark)
-    summary = (F.coalesce("summary", "description", F.lit("")) if fallback_summary
-               else F.coalesce("summary", F.lit("")))
+    summary = F.coalesce("summary", "description", F.lit(""))
     return df.select("feed_file", "entry_ord",
                      F.coalesce("title", F.lit("")).alias("title"),
                      summary.alias("summary"),
                      F.coalesce("pubDate", F.lit("")).alias("published"))
 
 
-def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    """Post listings ``{"data": {"children": [{"data": {...}}]}}`` -> one row per post."""
+def read_listings(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
+    """Post listings ``{"data": {"children": [{"data": {...}}]}}`` -> one row per post.
+
+    One listing per line, or one (indented) listing per file with ``one_per_file``;
+    a listing that does not parse raises.
+    """
     def read():
-        return spark.read.schema(LISTING).json(path)
+        return (spark.read.schema(LISTING).option("multiLine", one_per_file)
+                .option("mode", "FAILFAST").json(path))
 
     df = _optional(read, LISTING, spark)
     posts = df.select(F.explode("data.children").alias("c")).select("c.data.*")

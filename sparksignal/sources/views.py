@@ -11,8 +11,8 @@ size grows with the tables:
                      2400 (spreads the 30 event days over the price calendar);
                      subreddit = event type; score = ``props.k``; sentiment =
                      x / sqrt(x^2 + 15) with x = (k - 50) / 10.
-* news-like feeds -- ``documents`` split by language (en news, de statements,
-                     fr conflict news, es tension news); title = the text
+* news-like feeds -- every source reads all ``documents``; source = the document's source,
+                     for English ones as syndicated by a credible agency; title = the text
                      with white space collapsed, summary = the whole text, sentiment = lexicon
                      compound of the whole text.
 * ``predictions`` -- one per price day, dated the next day (so days without a
@@ -51,7 +51,8 @@ VIEW_STATEMENT_TOPICS = [
 VIEW_SPILLOVER = r"\b(no|con)\b"
 VIEW_CONFLICT_FILTER = r"\b(pas|avec)\b"
 
-LANG = {"news": "en", "statements": "de", "conflict_news": "fr", "tension_news": "es"}
+VIEW_AGENCY = " via Reuters"  # suffix of the source of English documents
+VIEW_POST_LEXICON = {"purchase": 1.5, "signup": 0.7, "error": -2.1}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,8 +81,8 @@ def landed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.select(
         "event_id", "event_type",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.concat(F.col("event_type"), F.lit(" by user "), F.col("user_id").cast("string"))
-        .alias("title"),
+        F.concat(F.col("event_type"), F.lit(" by user "), F.col("user_id").cast("string"),
+                 F.lit(" #"), F.col("event_id").cast("string")).alias("title"),
     )
     x = (F.col("k") - F.lit(50)) / F.lit(10.0)
     return e.select(
@@ -97,13 +98,14 @@ def landed_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_docs(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where(F.col("lang") == lang)
+def _landed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    agency = F.when(F.col("lang") == "en", F.lit(VIEW_AGENCY)).otherwise(F.lit(""))
     day = _day("doc_id")
     head = F.trim(F.regexp_replace("text", r"\s+", " "))
     return d.select(
         day.alias("date"),
-        F.col("source"),
+        F.concat("source", agency).alias("source"),
         head.alias("title"),
         F.concat(F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" 12:00:00 +0000"))
         .alias("published_date"),
@@ -114,11 +116,11 @@ def _landed_docs(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
 
 
 def landed_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed_docs(spark, sf_dir, LANG["news"])
+    return _landed_docs(spark, sf_dir)
 
 
 def landed_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _landed_docs(spark, sf_dir, LANG["statements"])
+    d = _landed_docs(spark, sf_dir)
     return d.select(
         "date", "source",
         F.concat(F.lit("q"), (F.col("src_id") % 3).cast("string")).alias("query"),
@@ -129,14 +131,14 @@ def landed_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_conflict_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _landed_docs(spark, sf_dir, LANG["conflict_news"])
+    d = _landed_docs(spark, sf_dir)
     return d.withColumn("stance", classify.stance("sentiment_compound")).select(
         "date", "source", "title", "published_date", "summary", "sentiment_compound",
         "stance", "src_id")
 
 
 def landed_tension_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _landed_docs(spark, sf_dir, LANG["tension_news"])
+    d = _landed_docs(spark, sf_dir)
     flag = text.keyword_flag("summary", VIEW_SPILLOVER)
     return d.select(
         "date", "source", "title", "published_date", "summary", "sentiment_compound",

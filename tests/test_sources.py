@@ -42,8 +42,6 @@ def test_feed_xml_description_fallback(spark):
     got = {r.title: r for r in files.read_feed_xml(spark, root).collect()}
     assert got["A - Reuters"].summary == "desc only"
     assert got["B"].summary == "has summary" and got["B"].published == ""
-    no_fb = {r.title: r.summary for r in files.read_feed_xml(spark, root, False).collect()}
-    assert no_fb["A - Reuters"] == ""
 
 
 def test_listing_json_explodes_children(spark):
