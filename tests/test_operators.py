@@ -6,6 +6,7 @@ import datetime as dt
 import math
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparksignal import schemas
 from sparksignal.functions import classify, sentiment, text
@@ -32,7 +33,7 @@ def test_dedup_keeps_newest_file(spark):
     rows = [("2024-01-01", 1.0, 1.0, 1.0, 10.0, 1, "2024-01-02.csv"),
             ("2024-01-01", 1.0, 1.0, 1.0, 11.0, 1, "2024-01-03.csv"),
             ("2024-01-02", 1.0, 1.0, 1.0, 12.0, 1, "2024-01-03.csv")]
-    df = spark.createDataFrame(rows, schemas.RAW_PRICES.add("file_name", "string"))
+    df = spark.createDataFrame(rows, T.StructType([*schemas.RAW_PRICES.fields, T.StructField("file_name", T.StringType())]))
     out = clean.clean_source(df, "prices", ["file_name"], descending=True)
     got = {r.date.day: r.close for r in out.collect()}
     assert got == {1: 11.0, 2: 12.0}
