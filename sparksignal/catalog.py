@@ -495,6 +495,46 @@ def q_backtest(spark, sf_dir):
                                             "signal_numeric", "correct")
 
 
+# --- several price series (one per order priority) -----------------------------
+SYMBOL = ("symbol",)
+
+
+def symbol_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = _sources(spark, sf_dir)
+    return feat.feature_table(views.prices(spark, sf_dir, symbol="o_orderpriority"), s["posts"], s["news"],
+                              s["statements"], s["conflict"], partition_by=SYMBOL)
+
+
+@register("series_features", f"""
+SELECT symbol, date, {r6(*_FEATURE_DOUBLES)}, volume, war_article_count, favor_count,
+       against_count, price_direction
+FROM features_by_symbol""")
+def q_series_features(spark, sf_dir):
+    """The feature table with one price series per symbol."""
+    return present(symbol_features(spark, sf_dir))
+
+
+@register("series_pressure", f"""
+SELECT symbol, date, {r6('exit_probability', 'pressure_index')}, base_sentiment_trend,
+       {r6('base_sentiment_current', 'favor_ratio', 'war_sentiment_avg')}
+FROM pressure_by_symbol""")
+def q_series_pressure(spark, sf_dir):
+    """Exit pressure per symbol."""
+    return present(models.pressure_index(symbol_features(spark, sf_dir), partition_by=SYMBOL))
+
+
+@register("series_signals", f"""
+SELECT symbol, date, {r6('composite_score')}, signal, {r6('signal_strength')}, reason,
+       CAST(next_day_direction AS INTEGER) AS next_day_direction, correct
+FROM signals_by_symbol""")
+def q_series_signals(spark, sf_dir):
+    """Signals, backtest and reasons per symbol, each scaled by its own range."""
+    s = feat.daily_summary(symbol_features(spark, sf_dir), partition_by=SYMBOL)
+    s = signals.build_signals(s, partition_by=SYMBOL)
+    return present(s.select("symbol", "date", "composite_score", "signal", "signal_strength", "reason",
+                            "next_day_direction", "correct"))
+
+
 @register("signal_reasons", "SELECT date, reason FROM signals")
 def q_signal_reasons(spark, sf_dir):
     return signals_df(spark, sf_dir).select("date", "reason")
@@ -958,6 +998,33 @@ def q_rf_direction(spark, sf_dir):
     return classifier.predict(model, test)
 
 
+@register("rf_split", """
+SELECT date, price_direction AS actual,
+       CASE WHEN row_number() OVER (ORDER BY date DESC)
+                 <= ceil(CAST(count(*) OVER () AS DOUBLE) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS part
+FROM features""")
+def q_rf_split(spark, sf_dir):
+    """The chronological split that the forest is fitted and tested on."""
+    train, test = classifier.split_chronological(materialize(features_df(spark, sf_dir)))
+    parts = [d.select("date", F.col(classifier.TARGET).alias("actual"), F.lit(name).alias("part"))
+             for d, name in ((train, "train"), (test, "test"))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("rf_validity", """
+SELECT date, actual, true AS valid_class, true AS valid_confidence
+FROM (SELECT date, price_direction AS actual, row_number() OVER (ORDER BY date DESC) AS rk,
+             count(*) OVER () AS n FROM features)
+WHERE rk <= ceil(CAST(n AS DOUBLE) * 0.2::DOUBLE)""")
+def q_rf_validity(spark, sf_dir):
+    """One prediction for each test day, its class 0 or 1 and named accordingly, its
+    probability that of the likelier class (M8, M9)."""
+    p = q_rf_direction(spark, sf_dir)
+    named = F.when(F.col("prediction_numeric") == 1, "Up").when(F.col("prediction_numeric") == 0, "Down")
+    return p.select("date", "actual", F.coalesce(named == F.col("prediction"), F.lit(False)).alias("valid_class"),
+                    F.col("confidence").between(0.5, 1.0).alias("valid_confidence"))
+
+
 @register("landing_report")
 def q_landing_report(spark, sf_dir):
     """Posts landed as CSV under a landing root; every expected source reported OK or

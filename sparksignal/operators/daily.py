@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparksignal.functions.text import credibility_weight
@@ -67,13 +67,50 @@ def value_counts(df: DataFrame, col: str, top: int | None = 10) -> DataFrame:
 
 def describe(df: DataFrame, col: str) -> DataFrame:
     """count, mean, std (sample), min, 25/50/75% (exact, interpolated), max."""
-    q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    q = quantiles(df, col, [0.25, 0.5, 0.75]).scalar()
     return df.agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"),
-        F.stddev_samp(col).alias("std"), F.min(col).alias("min"),
-        q.alias("_q"), F.max(col).alias("max"),
-    ).select("count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-             F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+        F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max"),
+    ).select("count", "mean", "std", "min", q[0].alias("p25"), q[1].alias("p50"),
+             q[2].alias("p75"), "max")
+
+
+def quantiles(df: DataFrame, col: str, shares: Sequence[float], ranges: int = 256) -> DataFrame:
+    """One row, one array column: exact quantiles, linearly interpolated between neighbours.
+
+    Rows are counted per value with map-side combine; all else reads that one exchange.
+    Approximate quantiles of the distinct values (a sketch of bounded size) only cut them into
+    ``ranges`` ranges; places are prefix sums inside each range, after those over the ranges'
+    totals, so no task holds all distinct values.  Nulls do not count; without values the
+    quantiles are null.
+    """
+    values = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
+    marks = [i / ranges for i in range(1, ranges)]
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    cuts = counts.agg(F.percentile_approx(F.when(F.col("n") > 0, F.col("v")), marks, 100 * ranges)).scalar()
+    each = counts.withColumn(
+        # a value's place among the cuts; a lambda could not hold the scalar subquery
+        "part", F.coalesce(F.array_position(F.sort_array(F.array_append(cuts, F.col("v"))), F.col("v")), F.lit(0)))
+    sums = each.groupBy("part").agg(F.sum("n").alias("total"))  # one row per range
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = each.withColumn("upto", F.sum("n").over(inside)).join(sums, "part").select(
+        "v", (F.col("base") + F.col("upto")).alias("end"), "n")  # places end - n .. end - 1
+    last = counts.agg(F.sum("n") - F.lit(1)).scalar()
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((place < F.col("end")) & (place >= F.col("end") - F.col("n")), F.col("v")))
+
+    found = []
+    for s in shares:
+        place = F.lit(float(s)) * last
+        low, high = F.floor(place), F.ceil(place)
+        found.append(F.struct(at(low).alias("low"), at(high).alias("high"),
+                              F.max(place - low).alias("part")))
+    out = placed.agg(F.array(*found).alias("found"))
+    return out.select(F.transform("found", lambda x: F.when(x["low"] == x["high"], x["low"]).otherwise(
+        x["low"] * (1 - x["part"]) + x["high"] * x["part"])).alias("quantiles"))
 
 
 def date_span(df: DataFrame, col: str = "date", by: Sequence[str] = ()) -> DataFrame:

@@ -94,21 +94,29 @@ def recent_vs_previous(df: DataFrame, col: str, out: str, n: int = 3, order: str
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[tuple[str, str]], fill: dict | None = None,
-                 negate: Sequence[str] = ()) -> DataFrame:
+                 negate: Sequence[str] = (),
+                 partition_by: Sequence[str] | None = None) -> DataFrame:
     """Whole-column min-max scaling to [-1, 1]; 0.0 for a constant column.
 
     Column min/max come from one aggregate evaluated as scalar subqueries
     (``DataFrame.scalar()``): Spark runs it once and inlines the values, so
     there is neither a single-partition window nor a cross join.  ``negate``
     flips a signal; ``+ 0.0`` turns the resulting -0.0 into 0.0 (T10).
+    With ``partition_by`` each series has its own min/max, from a window with the
+    partitioning that the ordered windows of the same series use as well.
     """
     fill = fill or {}
     src = {c: F.coalesce(F.col(c), F.lit(fill[c])) if c in fill else F.col(c) for c, _ in cols}
-    stats = df.agg(F.struct(*[F.min(src[c]).alias(f"mn_{c}") for c, _ in cols],
-                            *[F.max(src[c]).alias(f"mx_{c}") for c, _ in cols])).scalar()
+    ends = [F.min(src[c]) for c, _ in cols], [F.max(src[c]) for c, _ in cols]
+    if partition_by:
+        w = Window.partitionBy(*partition_by)
+        ends = [[e.over(w) for e in side] for side in ends]
+    else:
+        stats = df.agg(F.struct(*[e.alias(f"{side}{i}") for side, es in zip(("mn", "mx"), ends)
+                                  for i, e in enumerate(es)])).scalar()
+        ends = [[stats[f"{side}{i}"] for i in range(len(cols))] for side in ("mn", "mx")]
     out = df
-    for c, name in cols:
-        mn, mx = stats[f"mn_{c}"], stats[f"mx_{c}"]
+    for (c, name), mn, mx in zip(cols, *ends):
         scaled = F.when(mx == mn, F.lit(0.0)).otherwise(
             F.lit(2.0) * (src[c] - mn) / (mx - mn) - F.lit(1.0))
         if name in negate:

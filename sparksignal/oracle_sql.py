@@ -332,6 +332,51 @@ CTES += [
   FROM predictions p LEFT JOIN features f ON f.date = p.date"""),
 ]
 
+
+def _per_symbol(name: str, *changes: tuple[str, str]) -> tuple[str, str]:
+    """The CTE ``name`` with one series per symbol."""
+    sql = dict(CTES)[name]
+    for old, new in changes:
+        if old not in sql:
+            raise ValueError(f"{name} has no {old}")
+        sql = sql.replace(old, new)
+    return f"{name}_by_symbol", sql
+
+
+_OVER = ("OVER (ORDER BY", "OVER (PARTITION BY symbol ORDER BY")
+_SYMBOL_SCALES = ", ".join(f"min(x_{n}) OVER (PARTITION BY symbol) AS mn_{n}, "
+                           f"max(x_{n}) OVER (PARTITION BY symbol) AS mx_{n}" for n, *_ in _SIG)
+
+CTES += [
+    _per_symbol("prices", ("SELECT CAST(", "SELECT o_orderpriority AS symbol, CAST("),
+                ("GROUP BY 1", "GROUP BY 1, 2")),
+    _per_symbol("price_feat", ("SELECT date", "SELECT symbol, date"), _OVER,
+                ("FROM prices", "FROM prices_by_symbol")),
+    _per_symbol("features", ("SELECT p.date", "SELECT p.symbol, p.date"),
+                ("FROM price_feat p", "FROM price_feat_by_symbol p")),
+    _per_symbol("daily_sum", ("SELECT date", "SELECT symbol, date"),
+                ("FROM features GROUP BY date", "FROM features_by_symbol GROUP BY symbol, date")),
+    _per_symbol("pressure_terms", ("SELECT date", "SELECT symbol, date"), _OVER,
+                ("FROM features", "FROM features_by_symbol")),
+    _per_symbol("pressure", ("SELECT date", "SELECT symbol, date"),
+                ("FROM pressure_terms", "FROM pressure_terms_by_symbol")),
+    ("sig_in_by_symbol", f"""
+  SELECT *, {_SYMBOL_SCALES} FROM (SELECT *, {_SIG_INPUTS} FROM daily_sum_by_symbol)"""),
+    ("sig_scored_by_symbol", f"SELECT *, {_SIG_COLS} FROM sig_in_by_symbol"),
+    ("sig_contrib_by_symbol", _CONTRIB.replace("SELECT date", "SELECT symbol, date")
+     .replace("FROM sig_scored", "FROM sig_scored_by_symbol")),
+]
+CTES += [
+    _per_symbol("sig_reason", ("SELECT date", "SELECT symbol, date"),
+                ("PARTITION BY date", "PARTITION BY symbol, date"),
+                ("GROUP BY date", "GROUP BY symbol, date"),
+                ("FROM sig_contrib", "FROM sig_contrib_by_symbol")),
+    _per_symbol("signals", ("OVER (ORDER BY", "OVER (PARTITION BY s.symbol ORDER BY"),
+                ("FROM sig_scored", "FROM sig_scored_by_symbol"),
+                ("JOIN sig_reason r ON r.date = s.date",
+                 "JOIN sig_reason_by_symbol r ON r.symbol = s.symbol AND r.date = s.date")),
+]
+
 _NAMES = [n for n, _ in CTES]
 
 

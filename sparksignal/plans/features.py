@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from sparksignal import schemas
 from sparksignal.operators import clean, daily, series
 
+# fixed values (columns and defaults of the reference's feature table)
 FEATURE_DEFAULTS: dict[str, tuple[object, T.DataType]] = {
     "reddit_sentiment_avg": (0.0, T.DoubleType()),
     "sentiment_rolling_3d": (0.0, T.DoubleType()),
@@ -112,9 +113,14 @@ def conflict_daily(conflict: DataFrame) -> DataFrame:
 def feature_table(prices: DataFrame, posts: DataFrame | None = None,
                   news: DataFrame | None = None, statements: DataFrame | None = None,
                   conflict: DataFrame | None = None,
-                  null_last_label: bool = False) -> DataFrame:
-    """One row per price day with 21 columns (M1).  Absent sources -> typed defaults."""
-    f = price_features(prices, null_last_label=null_last_label)
+                  null_last_label: bool = False,
+                  partition_by: Sequence[str] = ()) -> DataFrame:
+    """One row per price day with 21 columns (M1).  Absent sources -> typed defaults.
+
+    ``partition_by`` names the series of ``prices`` (e.g. a symbol): each has its own
+    windows and label, leads the columns, and meets the day-grain sides by date.
+    """
+    f = price_features(prices, partition_by=partition_by, null_last_label=null_last_label)
     sides: list[DataFrame] = []
     if posts is not None:
         sides.append(posts_side(posts))
@@ -127,14 +133,14 @@ def feature_table(prices: DataFrame, posts: DataFrame | None = None,
     for side in sides:
         f = f.join(side, "date", "left")
     f = clean.add_defaults(f, FEATURE_DEFAULTS)
-    f = f.select(*FEATURE_COLUMNS)
+    f = f.select(*partition_by, *FEATURE_COLUMNS)
     return clean.fill_nulls(f, FEATURE_FILLS)
 
 
-def daily_summary(features: DataFrame) -> DataFrame:
-    """Roll features up to one row per date with the reference's rounding."""
+def daily_summary(features: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Roll features up to one row per date (and series) with the reference's rounding."""
     r = F.round
-    return features.groupBy("date").agg(
+    return features.groupBy(*partition_by, "date").agg(
         r(F.avg("close"), 2).alias("avg_price"),
         r(F.min("low"), 2).alias("min_price"),
         r(F.max("high"), 2).alias("max_price"),

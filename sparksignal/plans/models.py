@@ -55,18 +55,19 @@ def pressure_terms(b7: Column, prev: Column, favor: Column, war: Column) -> Colu
     return F.round(clamp(total), 4)
 
 
-def pressure_index(features: DataFrame) -> DataFrame:
-    """Exit pressure, exit probability and base trend for every day."""
-    prev = series.shift(features, "base_sentiment_rolling_7d", "_prev", offset=1)
+def pressure_index(features: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Exit pressure, exit probability and base trend for every day and series."""
+    prev = series.shift(features, "base_sentiment_rolling_7d", "_prev", offset=1,
+                        partition_by=partition_by)
     b7, p = F.col("base_sentiment_rolling_7d"), F.col("_prev")
     pressure = pressure_terms(b7, p, F.col("favor_ratio"), F.col("war_sentiment_avg"))
     out = prev.select(
-        "date",
+        *partition_by, "date",
         pressure.alias("pressure_index"),
         b7.alias("_b7"), p.alias("_p"), "favor_ratio", "war_sentiment_avg",
     )
     return out.select(
-        "date",
+        *partition_by, "date",
         F.round(sigmoid((F.col("pressure_index") - F.lit(0.5)) * F.lit(SIGMOID_SCALE)), 4)
         .alias("exit_probability"),
         "pressure_index",

@@ -3,6 +3,8 @@ A12, A13, M15)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,20 +36,21 @@ OVERALL_LINE = "Overall accuracy: **%s** across %s trades"
 SIGNAL_COLUMNS = [s[0] for s in SIGNALS]
 
 
-def minmax_signals(summary: DataFrame) -> DataFrame:
-    """The six normalised signals; war and favor inverted."""
+def minmax_signals(summary: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """The six normalised signals, per series if any; war and favor inverted."""
     tmp = summary
     cols = []
     for name, src, fill, _, _, _ in SIGNALS:
         tmp = tmp.withColumn(f"_in_{name}", F.coalesce(F.col(src), F.lit(fill)))
         cols.append((f"_in_{name}", name))
-    out = series.minmax_scale(tmp, cols, negate=[s[0] for s in SIGNALS if s[3]])
+    out = series.minmax_scale(tmp, cols, negate=[s[0] for s in SIGNALS if s[3]],
+                              partition_by=partition_by)
     return out.drop(*[c for c, _ in cols])
 
 
-def trade_signals(summary: DataFrame) -> DataFrame:
-    """Composite score, signal and strength per day."""
-    s = minmax_signals(summary)
+def trade_signals(summary: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Composite score, signal and strength per day, and series if any."""
+    s = minmax_signals(summary, partition_by)
     comp = weighted_sum([(w, name) for name, _, _, _, w, _ in SIGNALS])
     s = s.withColumn("composite_score", comp)
     sig = (F.when(F.col("composite_score") > BUY_THRESHOLD, F.lit("BUY"))
@@ -70,9 +73,11 @@ def reasons(signals: DataFrame, top: int = 2) -> DataFrame:
     return signals.withColumn("reason", F.array_join(parts, " + "))
 
 
-def backtest(signals: DataFrame, horizon: int = 1) -> DataFrame:
+def backtest(signals: DataFrame, horizon: int = 1,
+             partition_by: Sequence[str] | None = None) -> DataFrame:
     """Next row's label, numeric signal and correctness of BUY/SELL days."""
-    out = series.shift(signals, "price_direction", "next_day_direction", offset=-horizon)
+    out = series.shift(signals, "price_direction", "next_day_direction", offset=-horizon,
+                       partition_by=partition_by)
     num = classify.signal_numeric("signal")
     traded = F.col("signal").isin("BUY", "SELL") & F.col("next_day_direction").isNotNull()
     return (out.withColumn("signal_numeric", num)
@@ -81,9 +86,9 @@ def backtest(signals: DataFrame, horizon: int = 1) -> DataFrame:
                                           .cast("double"))))
 
 
-def build_signals(summary: DataFrame) -> DataFrame:
+def build_signals(summary: DataFrame, partition_by: Sequence[str] | None = None) -> DataFrame:
     """Signal table: summary + signals + backtest + reason."""
-    return reasons(backtest(trade_signals(summary)))
+    return reasons(backtest(trade_signals(summary, partition_by), partition_by=partition_by))
 
 
 def signal_summary(signals: DataFrame) -> DataFrame:

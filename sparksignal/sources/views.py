@@ -63,9 +63,11 @@ def _day(id_col: str) -> Column:
     return F.date_add(F.lit(EPOCH).cast("date"), (F.col(id_col) % N_DAYS).cast("int"))
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
-    return o.groupBy(F.to_date("o_orderdate").alias("date")).agg(
+def prices(spark: SparkSession, sf_dir: str, symbol: str | None = None) -> DataFrame:
+    """Daily prices from ``orders``; ``symbol`` names the column that tells several series apart."""
+    o = table(spark, sf_dir, "orders")
+    by = [F.col(symbol).alias("symbol")] if symbol else []
+    return o.groupBy(*by, F.to_date("o_orderdate").alias("date")).agg(
         F.min_by("o_totalprice", "o_orderkey").alias("open"),
         F.max("o_totalprice").alias("high"),
         F.min("o_totalprice").alias("low"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -230,3 +231,39 @@ def test_rolling_counts_source_rows_not_calendar_days(spark, sample_prices):
     f = {r.date.day: r for r in features.feature_table(sample_prices, statements=st).collect()}
     assert math.isclose(f[9].trump_sentiment_rolling_3d, 0.6)
     assert f[8].trump_sentiment_rolling_3d == 0.0  # no statement that day -> filled 0.0 (T7)
+
+
+@pytest.mark.parametrize("values", [
+    [], [1.0], [2.0, 1.0], [3.0] * 700 + [float(i % 37) for i in range(900)],
+    [(i * 7919 % 1009) / 8.0 for i in range(1009)]])
+def test_quantiles_are_exact(spark, values):
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    got = daily.quantiles(df, "x", shares, ranges=16).first()["quantiles"]
+    ordered = sorted(values)
+
+    def at(share):
+        place = share * (len(ordered) - 1)
+        low, high = math.floor(place), math.ceil(place)
+        return ordered[low] + (ordered[high] - ordered[low]) * (place - low)
+
+    assert got == ([pytest.approx(at(s)) for s in shares] if values else [None] * len(shares))
+
+
+def test_minmax_scale_per_series(spark):
+    rows = [("a", 1.0), ("a", 3.0), ("b", 10.0), ("b", 30.0), ("b", 20.0), (None, 5.0)]
+    df = spark.createDataFrame(rows, "symbol string, x double")
+    got = series.minmax_scale(df, [("x", "s")], partition_by=["symbol"]).collect()
+    assert {(r["symbol"], r["x"]): r["s"] for r in got} == {
+        ("a", 1.0): -1.0, ("a", 3.0): 1.0, ("b", 10.0): -1.0, ("b", 30.0): 1.0, ("b", 20.0): 0.0,
+        (None, 5.0): 0.0}
+
+
+def test_feature_table_keeps_series_apart(spark):
+    rows = [(s, dt.date(2024, 1, d), c) for s, cs in (("a", [1.0, 2.0, 1.0]), ("b", [9.0, 8.0, 9.5]))
+            for d, c in enumerate(cs, 1)]
+    prices = spark.createDataFrame(rows, "symbol string, date date, close double").selectExpr(
+        "symbol", "date", "close AS open", "close AS high", "close AS low", "close", "1L AS volume")
+    got = features.feature_table(prices, partition_by=["symbol"]).orderBy("symbol", "date").collect()
+    assert [(r["symbol"], r["price_delta"], r["price_direction"]) for r in got] == [
+        ("a", 0.0, 1), ("a", 1.0, 0), ("a", -1.0, 0), ("b", 0.0, 0), ("b", -1.0, 1), ("b", 1.5, 0)]
