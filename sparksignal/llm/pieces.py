@@ -1,15 +1,21 @@
-"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a Viterbi pass.
+"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces proposes, the model's own rule chooses.
 
 Reading a text character by character, the automaton's state is the longest piece prefix that ends
-here; its output links give every piece that ends here, longest first, and each relaxes the best score of
-this position from the position where it starts.  One pass, no lattice.  The best segmentation has the highest
-sum of piece scores; of equal sums the longer last piece wins.
+here; its output links give every piece that ends here, longest first.
+
+* Unigram models (scores are log-probabilities): each proposed piece relaxes the best score of this position from the
+  position where it starts, a Viterbi pass.  The best segmentation has the highest sum of piece scores; of equal sums
+  the longer last piece wins.
+* BPE models (scores are merge ranks, and sums mean nothing): of the neighbours whose union is a proposed piece
+  the pair with the highest score is merged, the leftmost of equal ones, until none is left.
+
+Other model types, and BPE models with unused or user-defined pieces, are refused.
 
 Spaces become U+2581 and one is put before the text, as the models do.  No piece has U+2581 after another
 character (checked on load), so no segmentation crosses from a character to a following U+2581: the
 text falls into units (spaces, then what follows) that are encoded each for itself, and frequent units
-are kept in a bounded cache per worker.  A character without a piece costs ten less than the worst normal score and
-becomes the byte pieces of its UTF-8; a U+2581 of the text itself is such a character, so that every
+are kept in a bounded cache per worker.  A character without a piece (in Viterbi: at ten less than the worst normal
+score) becomes the byte pieces of its UTF-8; a U+2581 of the text itself is such a character, so that every
 text decodes to itself.
 
 Cases: null or empty texts have no pieces and decode to an empty text; repeated rows are encoded each; a very
@@ -22,6 +28,7 @@ from __future__ import annotations
 import re
 import threading
 from collections import deque
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +43,10 @@ CACHE_UNITS, LONG_UNIT = 150_000, 64
 UNIT = re.compile(r" +[^ ]*")
 
 
-def load_model(path: str) -> tuple[list[str], list[float], list[int]]:
-    """Pieces, scores and, for each byte, the id of its byte piece; read by the driver."""
+def load_model(path: str) -> tuple[list[str], list[float], list[int], bool]:
+    """Pieces, scores, for each byte the id of its byte piece, and whether it is a BPE model; read by the driver."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
 
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     n = m.get_piece_size()
@@ -56,7 +64,14 @@ def load_model(path: str) -> tuple[list[str], list[float], list[int]]:
         raise ValueError("the model has no byte pieces")
     if any(SPACE in p.lstrip(SPACE) for p in names):
         raise ValueError("a piece has a space inside")
-    return names, scores, byte_ids
+    spec = pb.ModelProto.FromString(m.serialized_model_proto())
+    kind = spec.trainer_spec.model_type
+    if kind not in (pb.TrainerSpec.UNIGRAM, pb.TrainerSpec.BPE):
+        raise ValueError("only unigram and BPE models are known")
+    bpe, piece = kind == pb.TrainerSpec.BPE, pb.ModelProto.SentencePiece
+    if bpe and any(p.type in (piece.UNUSED, piece.USER_DEFINED) for p in spec.pieces):
+        raise ValueError("a BPE model with unused or user-defined pieces")
+    return names, scores, byte_ids, bpe
 
 
 class Encoder:
@@ -65,7 +80,8 @@ class Encoder:
     _own = threading.local()
 
     def __init__(self, model):
-        names, self.scores, self.byte_ids = model
+        names, self.scores, self.byte_ids, bpe = model
+        self.segment = self.merges if bpe else self.viterbi
         self.next: list[dict[str, int]] = [{}]
         self.piece, depth = [-1], [0]
         for i, p in enumerate(names):
@@ -135,10 +151,47 @@ class Encoder:
             i -= size
         return out[::-1]
 
+    def merges(self, unit: str) -> list[int]:
+        """Ids of a unit (spaces as U+2581) by the merge order of a BPE model."""
+        nxt, fail, outputs = self.next, self.fail, self.outputs
+        proposed, v, n = {}, 0, len(unit)  # (start, end) -> (-score, id)
+        for i, c in enumerate(unit, 1):
+            while v and c not in nxt[v]:
+                v = fail[v]
+            v = nxt[v].get(c, 0)
+            for size, score, piece in outputs[v]:
+                proposed[i - size, i] = -score, piece
+        end, start = list(range(1, n + 1)), list(range(-1, n))  # of the symbol that starts, or ends, here
+        heap = [(proposed[i, i + 2][0], i, i + 1, i + 2) for i in range(n - 1) if (i, i + 2) in proposed]
+        heapify(heap)
+        while heap:
+            _, a, m, z = heappop(heap)
+            if end[a] != m or end[m] != z:
+                continue  # one of the two has been merged since
+            end[a], end[m], start[z] = z, -1, a
+            if a:
+                got = proposed.get((start[a], z))
+                if got:
+                    heappush(heap, (got[0], start[a], a, z))
+            if z < n:
+                got = proposed.get((a, end[z]))
+                if got:
+                    heappush(heap, (got[0], a, z, end[z]))
+        out, i = [], 0
+        while i < n:
+            got = proposed.get((i, end[i]))
+            if got:
+                out.append(got[1])
+            else:
+                c = unit[i]
+                out += [self.byte_ids[b] for b in (SPACE if c == OWN_SPACE else c).encode()]
+            i = end[i]
+        return out
+
     def unit(self, u: str) -> bytes:
         got = self.old.get(u)
         if got is None:
-            got = np.array(self.viterbi(u.replace(SPACE, OWN_SPACE).replace(" ", SPACE)), "<u4").tobytes()
+            got = np.array(self.segment(u.replace(SPACE, OWN_SPACE).replace(" ", SPACE)), "<u4").tobytes()
         if len(u) <= LONG_UNIT:
             self.young[u] = got
         return got
@@ -185,7 +238,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFram
 
 def decode(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
     """``row`` (struct of the other columns) and ``text`` of encoded ids."""
-    names, _, byte_ids = load_model(model_path)
+    names, _, byte_ids, _ = load_model(model_path)
     table = [p.replace(SPACE, " ").encode() for p in names]
     for b, i in enumerate(byte_ids):
         table[i] = bytes([b])

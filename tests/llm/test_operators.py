@@ -281,5 +281,19 @@ def test_pieces_round_trip_and_best_score(docs, empty):
     assert pieces.encode(empty, PIECES).count() == 0
 
 
+def test_pieces_are_those_of_the_models_own_encode(spark, docs):
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = [r[1] or "" for r in ROWS] + ["the and for", "  two   spaces" + " " * 37 + "x ", "é中x 🙂\t\n", "ab" * 300, "x" * 5000]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(50).collect()]
+    texts = [(t or "").replace("▁", "") for t in texts]  # the model takes a U+2581 for a space
+    got = pieces.encode(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), PIECES).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = own.encode(texts[r.row.i])
+        assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_pieces == len(want)
+
+
 def test_digest_of_empty_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
