@@ -82,10 +82,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_external_shuffle")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    out = sharding.shuffled_shards(documents(spark, sf_dir).select("doc_id", size.alias("size"), crc.alias("text_crc32")))
-    return out.select("row.doc_id", "row.size", "row.text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+    out = sharding.shuffled_shards(documents(spark, sf_dir).select("doc_id", "text"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    return out.select("row.doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+                      F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 

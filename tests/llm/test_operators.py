@@ -219,6 +219,22 @@ def test_external_shuffle(spark, docs, empty):
     assert sharding.shuffled_shards(docs).count() == len(ROWS) and sharding.shuffled_shards(empty).count() == 0
 
 
+def test_external_shuffle_carries_whole_texts_in_buckets_of_bytes(spark, monkeypatch):
+    texts = [(i, ("é" * (i % 90) if i % 7 else None) if i % 50 else "x" * 30_000) for i in range(1000)]
+    df, written = spark.createDataFrame(texts, "doc_id int, text string"), []
+    real = sharding.scratch_path
+    monkeypatch.setattr(sharding, "scratch_path", lambda *a: written.append(real(*a)) or written[-1])
+    out = sharding.shuffled_shards(df, bucket_bytes=16_000)
+    rows = out.select("row.*", "shard", "slot").collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == texts
+    assert sorted(r.slot * 16 + r.shard for r in rows) == list(range(1000))
+    long = sorted(r.slot * 16 + r.shard for r in rows if len(r.text or "") == 30_000)
+    assert len(long) == 20 and long[0] < 300 and long[-1] > 700  # long records lie anywhere, not at one end
+    files = spark.read.parquet(f"{written[-1]}/kind=shards")  # the shards are files, by shard
+    assert files.count() == 1000 and {r.shard for r in files.select("shard").distinct().collect()} == set(range(16))
+    assert all(f"/shard={r.shard}/" in r.f for r in files.select("shard", F.input_file_name().alias("f")).distinct().collect())
+
+
 def test_quality_statistics_and_rules(spark, docs, empty):
     got = {(r.doc_id, r.chunk): r for r in quality.statistics(docs).select(
         "row.doc_id", "row.chunk", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").collect()}
