@@ -3,8 +3,9 @@
 The vocabulary's pieces form a trie.  Each node has a failure link, to the node that is left after the
 longest-match pieces of its string are popped, and the number of pieces popped on the way; both are
 computed once, breadth first.  A word is then read symbol by symbol: follow edges, and where
-there is none follow failure links and add their counts.  The end of a word is a symbol of its own, so pieces
-that end a word only match there.
+there is none follow failure links and add their counts.  A word's last byte is a symbol of its own, as is the last byte
+of a piece that ends a word: such pieces match at the end only, no other piece reaches it, and no match can leave
+a word's end alone.  A vocabulary with all bytes, inside and at the end, covers every word.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, as UTF-8 bytes.  A word that no pieces cover
 counts as one (unknown) token.  Counts of frequent words are kept in a bounded cache per worker.
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 
 from sparksignal.llm.packing import read_tokenizer
 
-END = 256  # symbol after a word's last byte
+END = 256  # marks a piece that ends a word; added to the last byte of a word
 CACHE_WORDS, LONG_WORD = 200_000, 64
 BATCH_TEXTS = 256
 
@@ -57,7 +58,7 @@ class LongestMatch:
         is_piece = [False]
         for p in pieces:
             at = 0
-            for c in p:
+            for c in (*p[:-2], p[-2] + END) if p[-1:] == (END,) else p:
                 nxt = self.edges[at].get(c)
                 if nxt is None:
                     nxt = self.edges[at][c] = len(self.edges)
@@ -85,7 +86,7 @@ class LongestMatch:
         """Pieces of the greedy longest match; 0 if the word cannot be covered."""
         edges, link, popped = self.edges, self.link, self.popped
         v = n = 0
-        for c in (*word, END):
+        for c in (*word[:-1], word[-1] + END):
             nxt = edges[v].get(c)
             while nxt is None:
                 n += popped[v]

@@ -276,6 +276,29 @@ def test_token_counts(docs, empty):
     assert token_counts.token_counts(empty, WORDS_BPE).count() == 0
 
 
+def test_token_counts_cover_every_word(spark):
+    found = token_counts.vocabulary(WORDS_BPE)
+    vocabulary = set(found)
+    assert all((b,) in vocabulary and (b, token_counts.END) in vocabulary for b in range(256))  # so pieces cover every word
+    longest = max(map(len, vocabulary))
+
+    def greedy(w):
+        i = n = 0
+        while i < len(w):
+            whole = (*w[i:], token_counts.END) in vocabulary
+            i = len(w) if whole else next(j for j in range(min(len(w) - 1, i + longest), i, -1) if tuple(w[i:j]) in vocabulary)
+            n += 1
+        return n
+
+    texts = ["inti thre für hast ßß 中文 🙂 " + "x" * 300] + [
+        r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    words = {w for t in texts for w in utf8(t).lower().split()}
+    automaton = token_counts.LongestMatch(found)
+    assert {w: automaton.count(w) for w in words} == {w: greedy(w) for w in words}
+    got = token_counts.token_counts(spark.createDataFrame([(t,) for t in texts], "text string"), WORDS_BPE).collect()
+    assert sum(r.n_words for r in got) > 70_000 and all(r.n_unknown == 0 for r in got)
+
+
 def test_pieces_round_trip_and_best_score(docs, empty):
     coded = pieces.encode(docs, PIECES)
     back = pieces.decode(coded.select("row.doc_id", "ids"), PIECES).select("row.doc_id", "text").collect()
