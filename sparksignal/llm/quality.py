@@ -169,7 +169,7 @@ def learn(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", class_col
     cols = features()
     sample = stats.where(~base_failed()).join(labels.where(keep), F.col(f"row.`{id_col}`") == F.col("label_id")).select(
         "bad", (F.pmod(F.xxhash64("label_id", F.lit(SEED + 1)), F.lit(3)) < 2).alias("grow"), *[c.alias(f) for f, c in cols.items()])
-    sample = write_table(sample.coalesce(4), "labelled")
+    sample = write_table(sample.repartition(4), "labelled")  # a shuffle of the bounded sample: the scan keeps its own tasks
     cols = {f: F.col(f) for f in FEATURES}
     marks = [i / BINS for i in range(1, BINS)]
     got = sample.agg(*[F.percentile_approx(f, marks, 10_000).alias(f) for f in FEATURES],

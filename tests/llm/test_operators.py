@@ -254,6 +254,15 @@ def test_quality_statistics_and_rules(spark, docs, empty):
     assert quality.learn(stats, labels.limit(0)) == [] and quality.learn(quality.statistics(empty), labels) == []
 
 
+def test_quality_learning_scans_in_tasks_of_its_own(spark, docs, monkeypatch):
+    plans, real = [], quality.write_table
+    monkeypatch.setattr(quality, "write_table",
+                        lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)], "doc_id long, quality int")
+    quality.learn(quality.statistics(docs), labels)
+    assert len(plans) == 1 and "Coalesce 4" not in plans[0] and "REPARTITION_BY_NUM" in plans[0]
+
+
 def test_token_counts(docs, empty):
     vocabulary = set(token_counts.vocabulary(WORDS_BPE))
     longest = max(map(len, vocabulary))
