@@ -12,7 +12,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparksignal.llm import line_dedup, packing, pieces, quality, secrets, sharding, simhash, suffix_dedup, token_counts, topk
+from sparksignal.llm import (
+    byte_bpe,
+    conversations,
+    line_dedup,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    topk,
+    whitening,
+)
 from sparksignal.llm.chunks import write_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +132,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op11_byte_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    out = byte_bpe.decode(coded.select("row.doc_id", "n_tokens", F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), "ids"), ranks)
+    return out.select("row.doc_id", "row.n_tokens", "row.ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    model = whitening.fit(vectors)
+    out = whitening.whiten(vectors, model).select("row.vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    shares = F.array(*[F.lit(float(x)) for x in model.explained]) if model and len(model.explained) else F.array().cast("array<double>")
+    return out.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"), "deviation",
+                      "whitened", F.get(shares, F.col("at")).alias("explained"),
+                      F.lit(model.identity_error if model else 0.0).alias("identity_error"))
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    damaged = conversations.damage(rows)
+    done = conversations.repair(damaged)[0].withColumnRenamed("conv", "conv_id")
+    left = damaged.select("conv_id", F.lit(True).alias("left")).unionByName(rows.select("conv_id", F.lit(False).alias("left")))
+    gone = left.groupBy("conv_id").agg(F.max("left").alias("left")).where(~F.col("left"))
+    nothing = gone.select("conv_id", *[F.lit(0).cast("long").alias(c) for c in conversations.COUNTS], F.lit("").alias("audit"),
+                          F.sha2(F.lit("").cast("binary"), 256).alias("repaired_sha256"))
+    return done.unionByName(nothing)
