@@ -12,9 +12,9 @@ here; its output links give every piece that ends here, longest first.
 Other model types, and BPE models with unused or user-defined pieces, are refused.
 
 Spaces become U+2581 and one is put before the text, as the models do.  No piece has U+2581 after another
-character (checked on load), so no segmentation crosses from a character to a following U+2581: the
-text falls into units (spaces, then what follows) that are encoded each for itself, and frequent units
-are kept in a bounded cache per worker.  A character without a piece (in Viterbi: at ten less than the worst normal
+character (checked on load), so no segmentation crosses from a character to a following U+2581; and where no piece has a
+letter beside a sign that is none (checked, too), none crosses there.  The text falls into units at these places, which
+are encoded each for itself, and frequent units are kept in a bounded cache per worker.  A character without a piece (in Viterbi: at ten less than the worst normal
 score) becomes the byte pieces of its UTF-8; a U+2581 of the text itself is such a character, so that every
 text decodes to itself.
 
@@ -39,8 +39,10 @@ from pyspark.sql import types as T
 SPACE = "▁"
 OWN_SPACE = "\udfff"  # a U+2581 of the text; lone surrogates never occur in texts
 UNKNOWN_COST = 10
-CACHE_UNITS, LONG_UNIT = 150_000, 64
-UNIT = re.compile(r" +[^ ]*")
+CACHE_UNITS, LONG_UNIT, SLICE_ROWS = 250_000, 64, 256
+LETTER = re.compile("[^\\W\\d_²³¹]")
+UNIT = re.compile(r" +[^ ]*")  # spaces, then what follows
+FINER = re.compile(r" *(?:[^\W\d_²³¹]+|(?:[^\w ]|[\d_²³¹])+)| +$")  # and cut between a letter and a sign that is none
 
 
 def load_model(path: str) -> tuple[list[str], list[float], list[int], bool]:
@@ -113,6 +115,8 @@ class Encoder:
                 self.outputs[u] = ((depth[u], self.scores[i], i), *out) if i >= 0 else out
         self.unknown = min(s for s, p in zip(self.scores, names) if p and s > -1e8) - UNKNOWN_COST
         self.singles = set(self.next[0]) & {p for p in names if len(p) == 1}
+        apart = all(bool(LETTER.match(a)) == bool(LETTER.match(b)) for p in names for a, b in zip(p, p[1:]) if a != SPACE)
+        self.units = FINER if apart else UNIT
         self.young, self.old = {}, {}
 
     @classmethod
@@ -203,7 +207,7 @@ class Encoder:
         if len(self.young) > CACHE_UNITS:
             self.young, self.old = {}, self.young
         get, make = self.young.get, self.unit
-        return b"".join([get(u) or make(u) for u in UNIT.findall(" " + text)])
+        return b"".join([get(u) or make(u) for u in self.units.findall(" " + text)])
 
 
 def _mapped(rows: DataFrame, col: str, cast: str, make, names_types: str) -> DataFrame:
@@ -215,7 +219,9 @@ def _mapped(rows: DataFrame, col: str, cast: str, make, names_types: str) -> Dat
     def run(batches):
         one = make()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), *one(b.column(1).to_pylist())], schema.names)
+            for lo in range(0, len(b), SLICE_ROWS):
+                part = b.slice(lo, SLICE_ROWS)
+                yield pa.RecordBatch.from_arrays([part.column(0), *one(part.column(1).to_pylist())], schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -245,11 +251,15 @@ def decode(rows: DataFrame, model_path: str, ids_col: str = "ids") -> DataFrame:
     table = rows.sparkSession.sparkContext.broadcast(table)
 
     def make():
-        piece = table.value
+        piece = pa.array(table.value, pa.large_binary())
 
         def one(ids):
-            got = [b"".join([piece[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in ids]
-            return (pa.array([x.removeprefix(b" ").decode("utf-8", "replace") for x in got], pa.string()),)
+            ids = [x or b"" for x in ids]
+            got = piece.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+            ends = np.frombuffer(got.buffers()[1], np.int64) if len(got) else np.zeros(1, np.int64)
+            cuts = ends[np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)])].tolist()
+            data = memoryview(got.buffers()[2] or b"")
+            return (pa.array([bytes(data[a:z]).removeprefix(b" ").decode("utf-8", "replace") for a, z in zip(cuts, cuts[1:])], pa.string()),)
 
         return one
 
