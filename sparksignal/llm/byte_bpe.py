@@ -52,6 +52,13 @@ LATER = (
 )
 
 
+def byte_alphabet() -> dict[str, int]:
+    """Character -> byte of byte-level vocabularies: printable bytes stand for themselves, the others follow from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 def load_ranks(path: str) -> dict[bytes, int]:
     """Token bytes -> rank, from a file of lines ``base64 rank``; read by the driver."""
     with open(path, "rb") as f:
@@ -66,13 +73,18 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Pairs:
     """Hash table (open addressing, linear probing) from a pair of ids to the id of their union."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    @classmethod
+    def of_ranks(cls, ranks: dict[bytes, int]) -> Pairs:
+        """All pairs of tokens whose union is a token."""
         found = []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     found.append((left, right, rank))
+        return cls(found)
+
+    def __init__(self, found: list[tuple[int, int, int]]):
         left, right, union = np.array(found, np.uint64).reshape(-1, 3).T
         bits = max(4, int(4 * len(found)).bit_length())
         self.shift, self.last = np.uint64(64 - bits), np.uint64((1 << bits) - 1)
@@ -260,7 +272,7 @@ def _mapped(rows: DataFrame, col: str, kind: str, make, out: str) -> DataFrame:
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """``row`` (struct of the other columns), ``ids`` (array of int), ``n_tokens``."""
     ranks = load_ranks(ranks_path)
-    model = docs.sparkSession.sparkContext.broadcast((ranks, Pairs(ranks)))
+    model = docs.sparkSession.sparkContext.broadcast((ranks, Pairs.of_ranks(ranks)))
 
     def make():
         coder = Encoder.of((ranks_path, pattern), *model.value, pattern)

@@ -24,6 +24,7 @@ of any type and null; an empty table gives an empty result; the other columns co
 
 from __future__ import annotations
 
+import json
 import os
 import random
 import re
@@ -32,20 +33,73 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparksignal.llm import byte_bpe
 from sparksignal.llm import chunks as ch
 
 CAPACITY, END_ID = 2048, 0
 BLOCK_PIECES, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 4096, 3, 3, 6, 4
 INJECTED = 0.15  # share of a parent's sequences that a crossover injects
-CACHE_WORDS, LONG_WORD = 400_000, 64
-STOPS = re.compile(r"([,.])(?<=[A-Za-z].)(?=[ \n]|$)")  # a lone stop after a letter: a token run of its own
+CACHE_WORDS, LONG_WORD, SLICE_ROWS = 400_000, 64, 1024
+STOPS = r"([A-Za-z])([,.])([ \n]|$)"  # a lone stop after a letter: a token run of its own
 MAX_TOKENIZER_BYTES = 64 << 20
 
 
+class LetterWords:
+    """Ids of words of Latin letters alone, by padded matrices of all that a batch lacks (see ``byte_bpe``).
+
+    Such a word is one run for the tokenizer: only its lower case matters.  Known for tokenizers that split as ``SPLIT`` does,
+    mark a word's end by a suffix, and number their tokens in the order of the merges; for others ``known`` is false.
+    """
+
+    SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the tokenizer's own pattern
+    LETTERS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f]{2,32}")
+
+    def __init__(self, spec: str):
+        d = json.loads(spec)
+        model, vocab, end = d["model"], d["model"]["vocab"], d["model"]["end_of_word_suffix"]
+        cut = (d["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.known = (
+            [x["type"] for x in (d["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+            and [x["type"] for x in cut] == ["Split", "ByteLevel"] and cut[0]["pattern"] == {"Regex": self.SPLIT}
+            and not cut[1]["add_prefix_space"] and not cut[1]["use_regex"] and bool(end) and model["type"] == "BPE"
+            and not model["ignore_merges"] and not model["dropout"])
+        if not self.known:
+            return
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        found = [(vocab[a], vocab[b], vocab[a + b]) for a, b in merges]
+        letters = {b: c for c, b in byte_bpe.byte_alphabet().items()}
+        self.known = all(x[2] < y[2] for x, y in zip(found, found[1:])) and all(letters[b] + e in vocab for b in range(256) for e in ("", end))
+        if self.known:
+            self.pairs = byte_bpe.Pairs(found)
+            self.inner, self.last = (np.array([vocab[letters[b] + e] for b in range(256)], np.uint32) for e in ("", end))
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        raw = [w.lower().encode() for w in words]
+        out: list[bytes] = [b""] * len(raw)
+        lens = np.array([len(w) for w in raw])
+        for lo, hi in ((2, 4), (5, 6), (7, 8), (9, 10), (11, 12), (13, 16), (17, 24), (25, 128)):
+            some = np.flatnonzero((lens >= lo) & (lens <= hi))
+            for k in range(0, len(some), 1 << 16):
+                part = some[k:k + (1 << 16)]
+                n, at = lens[part], part.tolist()
+                data = np.frombuffer(b"".join([raw[i] for i in at]), np.uint8)
+                symbols = self.inner[data]
+                ends = np.cumsum(n)
+                symbols[ends - 1] = self.last[data[ends - 1]]
+                ids = np.full((len(part), int(n.max())), byte_bpe.PAD)
+                ids[np.arange(ids.shape[1]) < n[:, None]] = symbols
+                counts, values = byte_bpe.merge_rows(ids, self.pairs)
+                packed, cuts = values.astype("<u4").tobytes(), np.cumsum(4 * counts).tolist()
+                for i, a, z in zip(at, [0, *cuts], cuts):
+                    out[i] = packed[a:z]
+        return out
+
+
 class WordIds:
     """Token ids (little-endian 32 bits) of a text, word by word; two generations of cached words."""
 
@@ -55,7 +109,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.spec, self.tokenizer = spec, Tokenizer.from_str(spec)
+        self.spec, self.tokenizer, self.letters = spec, Tokenizer.from_str(spec), LetterWords(spec)
         self.young, self.old = {"": b""}, {}
 
     @classmethod
@@ -67,25 +121,47 @@ class WordIds:
         return got
 
     def _encode(self, words: list[str]) -> list[bytes]:
+        if self.letters.known:
+            plain = list(map(LetterWords.LETTERS.fullmatch, words))
+            quick = iter(self.letters.encode([w for w, m in zip(words, plain) if m]))
+            slow = iter(self._tokenized([w for w, m in zip(words, plain) if not m]))
+            return [next(quick if m else slow) for m in plain]
+        return self._tokenized(words)
+
+    def _tokenized(self, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; the words that the cache lacks are encoded together."""
-        split = [STOPS.sub(r" \1", t).replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*split).difference(self.young)
-        for w in missing.intersection(self.old):
-            self.young[w] = self.old[w]
-        missing = list(missing.difference(self.young))
-        new = dict(zip(missing, self._encode(missing)))
-        self.young.update(new)
-        out = [b"".join(map(self.young.__getitem__, words)) for words in split]
-        for w in new:
-            if len(w) > LONG_WORD:
-                del self.young[w]
-        if len(self.young) > CACHE_WORDS:
-            self.young, self.old = {"": b""}, self.young
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; those that the cache lacks are encoded together."""
+        young, old = self.young, self.old
+        out = list(map(young.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        new = []
+        for i in missing:
+            got = old.get(words[i])
+            if got is None:
+                new.append(i)
+            else:
+                out[i] = young[words[i]] = got
+        for i, ids in zip(new, self._encode([words[i] for i in new])):
+            out[i] = ids
+            if len(words[i]) <= LONG_WORD:
+                young[words[i]] = ids
+        if len(young) > CACHE_WORDS:
+            self.young, self.old = {"": b""}, young
         return out
 
+    def many(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text: its words as a dictionary-encoded column, whose distinct words are looked up once."""
+        split = pc.split_pattern(pc.replace_substring(pc.replace_substring_regex(texts, STOPS, r"\1 \2\3"), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        ids = pa.array(self.words(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:][:len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        cuts = ends[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])].tolist()
+        data = ids.buffers()[2]
+        data = memoryview(data) if data is not None else memoryview(b"")
+        return [bytes(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+
 
 def read_tokenizer(path: str) -> str:
     """The tokenizer's definition, read by the driver; its size is checked, as it goes to every task."""
@@ -107,10 +183,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", capacit
     def run(batches):
         words = WordIds.of(spec.value)
         for b in batches:
-            for lo in range(0, len(b), 256):
-                part = b.slice(lo, 256)
+            for lo in range(0, len(b), SLICE_ROWS):
+                part = b.slice(lo, SLICE_ROWS)
                 at, piece, ids = [], [], []
-                for i, x in enumerate(words.many(part.column(1).to_pylist())):
+                for i, x in enumerate(words.many(part.column(1).cast(pa.large_string()))):
                     x += end
                     cut = [x[k:k + step] for k in range(0, len(x), step)]
                     at += [i] * len(cut)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparksignal.llm.byte_bpe import byte_alphabet
 from sparksignal.llm.packing import read_tokenizer
 
 END = 256  # marks a piece that ends a word; added to the last byte of a word
@@ -32,13 +33,6 @@ CACHE_WORDS, LONG_WORD = 200_000, 64
 BATCH_TEXTS = 256
 
 
-def byte_alphabet() -> dict[str, int]:
-    """Character -> byte of byte-level vocabularies: printable bytes stand for themselves, the others follow from 256 on."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def vocabulary(tokenizer_path: str, word_end: str = "</w>") -> list[tuple[int, ...]]:
     """Pieces as byte symbols; ``END`` last where the piece ends a word."""
     alphabet, out = byte_alphabet(), []
