@@ -90,23 +90,17 @@ def r6(*cols: str) -> str:
 
 
 def _narrow(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Cleaned source with only the columns the daily plans read (texts pruned before dedup)."""
-    return views.cleaned(spark, sf_dir, source, views.FEATURE_COLUMNS[source])
+    """Cleaned source with only the columns the daily plans read (no texts in the dedup)."""
+    return views.narrow(spark, sf_dir, source)
 
 
-def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "prices": views.prices(spark, sf_dir),
-        "posts": _narrow(spark, sf_dir, "posts"),
-        "news": _narrow(spark, sf_dir, "news"),
-        "statements": _narrow(spark, sf_dir, "statements"),
-        "conflict": _narrow(spark, sf_dir, "conflict_news"),
-    }
+def _sources(spark: SparkSession, sf_dir: str) -> dict:
+    """What ``feature_table`` reads besides the prices: one scan of the posts, one of the articles."""
+    return {"posts": views.post_values(spark, sf_dir), "articles": views.articles(spark, sf_dir), "segment": F.col("segment")}
 
 
 def features_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _sources(spark, sf_dir)
-    return feat.feature_table(s["prices"], s["posts"], s["news"], s["statements"], s["conflict"])
+    return feat.feature_table(views.prices(spark, sf_dir), **_sources(spark, sf_dir))
 
 
 def summary_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,9 +494,7 @@ SYMBOL = ("symbol",)
 
 
 def symbol_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _sources(spark, sf_dir)
-    return feat.feature_table(views.prices(spark, sf_dir, symbol="o_orderpriority"), s["posts"], s["news"],
-                              s["statements"], s["conflict"], partition_by=SYMBOL)
+    return feat.feature_table(views.prices(spark, sf_dir, symbol="o_orderpriority"), partition_by=SYMBOL, **_sources(spark, sf_dir))
 
 
 @register("series_features", f"""
@@ -701,7 +693,7 @@ SELECT date, source, title, round(sentiment_compound, 10) AS sentiment_compound,
 FROM statements ORDER BY date DESC, source, title LIMIT 50""")
 def q_latest_rows(spark, sf_dir):
     """Newest 50 statements with badge."""
-    return present(reports.headlines(_narrow(spark, sf_dir, "statements"), 50))
+    return present(reports.headlines(views.cleaned(spark, sf_dir, "statements", ["sentiment_compound"]), 50))
 
 
 @register("chart_series", """
@@ -1259,6 +1251,4 @@ FROM (SELECT source, count(*) AS n_articles, avg(sentiment_compound) AS avg_sent
       FROM tension GROUP BY source)""")
 def q_tension_by_source(spark, sf_dir):
     """The batch index with one batch per source feed."""
-    t = views.cleaned(spark, sf_dir, "tension_news",
-                      ["source", *views.FEATURE_COLUMNS["tension_news"]])
-    return present(models.tension_batch(t, by=["source"]))
+    return present(models.tension_batch(_narrow(spark, sf_dir, "tension_news"), by=["source"]))

@@ -63,17 +63,59 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str
     return grouped.select("__row.*")
 
 
+def key_digest(*cols: str | Column) -> Column:
+    """SHA-256 of a key's values; lengths keep neighbours apart, a null differs from an empty text."""
+    parts = []
+    for c in cols:
+        x = (F.col(c) if isinstance(c, str) else c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(x).cast("string"), F.lit(":"), x), F.lit("-")))
+    return F.sha2(F.concat(*parts).cast("binary"), 256)
+
+
+def keep_first_values(df: DataFrame, keys: Sequence[str | Column], order: str, values: Sequence[str],
+                      descending: bool = False) -> DataFrame:
+    """Keys, ``order`` and fixed-width ``values`` of the first (or last) row of each key (D1, narrow).
+
+    With numbers, flags or dates as values and order the aggregate is a hash aggregate: no row is
+    sorted.  A text belongs into ``keys`` as its digest (``key_digest``), not as itself.
+    """
+    pick, end = (F.max_by, F.max) if descending else (F.min_by, F.min)
+    return df.groupBy(*keys).agg(*[pick(v, order).alias(v) for v in values], end(order).alias(order))
+
+
+def keep_first_rows(df: DataFrame, keys: Sequence[str | Column], row_id: str, order: Sequence[str | Column] = (),
+                    descending: bool = False) -> DataFrame:
+    """Whole rows, the first (or last) of each key (D1): texts are only fetched for the winners.
+
+    The winner of a key comes from an aggregate over the key's digest and ``row_id`` alone, a
+    whole number unique to the row: a hash aggregate, no text in any sort or group key.  The rows are then
+    fetched by a semi-join on ``row_id``.  Without ``order`` the row id itself decides; otherwise ``order``,
+    whose texts should be short (or digests), then the row id.  ``df`` is read twice, so ``row_id`` must be
+    stored with the rows, not generated by the plan.
+    """
+    best = F.max if descending else F.min
+    narrow = df.select(key_digest(*keys).alias("key"), F.col(row_id).alias("id"),
+                       *([F.struct(*order, row_id).alias("ord")] if order else []))
+    pick = (F.max_by if descending else F.min_by)("id", "ord") if order else best("id")
+    winners = narrow.groupBy("key").agg(pick.alias("winner")).select("winner")
+    return df.join(winners, F.col(row_id) == F.col("winner"), "left_semi")
+
+
 def clean_source(df: DataFrame, source: str, order: Sequence[str | Column],
-                 descending: bool = False, required: Sequence[str] | None = None) -> DataFrame:
+                 descending: bool = False, required: Sequence[str] | None = None,
+                 row_id: str | None = None) -> DataFrame:
     """Full clean step of one landed source: P1, P2, P3, D1.
 
-    ``required`` overrides the source's null-checked columns (default
+    With ``row_id`` (a stored number unique to the row) the dedup fetches whole rows only for the
+    winners (``keep_first_rows``).  ``required`` overrides the source's null-checked columns (default
     ``schemas.REQUIRED``), e.g. to skip a test on a column computed in-row
     that can never be null.
     """
     trim_cols = [] if source == "prices" else ["title"]
     out = normalise(df, "date", trim_cols)
     out = drop_incomplete(out, schemas.REQUIRED[source] if required is None else required)
+    if row_id is not None:
+        return keep_first_rows(out, schemas.DEDUP_KEYS[source], row_id, order, descending)
     return keep_first(out, schemas.DEDUP_KEYS[source], order, descending)
 
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparksignal import schemas
+from sparksignal.functions import classify
+from sparksignal.functions.text import credibility_weight
 from sparksignal.operators import clean, daily, series
 
 # fixed values (columns and defaults of the reference's feature table)
@@ -61,16 +63,17 @@ def base_segment_daily(posts: DataFrame, group: str = "base", topic: str = "war"
     return series.rolling_mean(d, "base_war_sentiment", 7, "base_sentiment_rolling_7d")
 
 
-def posts_side(posts: DataFrame, group: str = "base", topic: str = "war") -> DataFrame:
+def posts_side(posts: DataFrame, group: str = "base", topic: str = "war", segment: Column | None = None) -> DataFrame:
     """Both post-derived daily sides from ONE pass over the posts.
 
     One day-grain aggregate gives the all-posts mean and the segment mean (only
     segment rows, T15).  The two rolling means count different rows (all post
     days vs. segment days, T6), so the day rows are stacked as two series and a
     single window partitioned by series computes both; a day-grain pivot puts
-    them back side by side.  Everything after the aggregate is day-grain.
+    them back side by side.  Everything after the aggregate is day-grain.  ``segment`` is the
+    segment's condition when the posts carry it otherwise than by group and topic.
     """
-    seg = (F.col("subreddit_group") == group) & F.col("topic").contains(topic)
+    seg = (F.col("subreddit_group") == group) & F.col("topic").contains(topic) if segment is None else segment
     d = posts.groupBy("date").agg(
         F.avg("sentiment_compound").alias("_all"),
         F.avg(F.when(seg, F.col("sentiment_compound"))).alias("_seg"),
@@ -110,20 +113,56 @@ def conflict_daily(conflict: DataFrame) -> DataFrame:
     return daily.stance_daily(conflict)
 
 
+def article_sides(articles: DataFrame, news: Column | None = None, statements: Column | None = None,
+                  conflict: Column | None = None, stance: Column | None = None) -> DataFrame:
+    """All daily sides of one deduplicated article table, in one pass.
+
+    A row becomes an entry (day, side, value, weight) for each side whose condition holds (all
+    sides by default), inside the scan's own stage; one aggregate with a map-side step adds them up by (day, side).  The
+    rolling mean runs on the stacked day rows with the side as partition key, over the days present in that side.
+    """
+    always, weight, one = F.lit(True), credibility_weight("source"), F.lit(1.0)
+    sides = [("news", news, weight), ("statements", statements, one), ("conflict", conflict, weight)]
+    entries = F.array_compact(F.array(*[
+        F.when(always if cond is None else cond, F.struct(F.lit(name).alias("side"), w.alias("w"))) for name, cond, w in sides]))
+    stance = classify.stance("sentiment_compound") if stance is None else stance
+    rows = articles.select("date", F.col("sentiment_compound").alias("v"), stance.alias("stance"), F.explode(entries).alias("e"))
+    d = rows.groupBy("date", F.col("e.side").alias("side")).agg(
+        (F.sum(F.col("v") * F.col("e.w")) / F.sum("e.w")).alias("mean"), F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("stance") == "favor").alias("favor"), F.count_if(F.col("stance") == "against").alias("against"))
+    d = series.rolling_mean(d, "mean", 3, "r3", partition_by=["side"])
+
+    def of(side: str, col: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col(col)))
+
+    out = d.groupBy("date").agg(
+        of("news", "mean").alias("news_sentiment"), of("statements", "mean").alias("trump_sentiment_avg"),
+        of("statements", "r3").alias("trump_sentiment_rolling_3d"), of("conflict", "mean").alias("war_sentiment_avg"),
+        of("conflict", "n").alias("war_article_count"), of("conflict", "favor").alias("favor_count"),
+        of("conflict", "against").alias("against_count"))
+    return out.withColumn("favor_ratio", daily.favor_ratio("favor_count", "against_count"))
+
+
 def feature_table(prices: DataFrame, posts: DataFrame | None = None,
                   news: DataFrame | None = None, statements: DataFrame | None = None,
                   conflict: DataFrame | None = None,
                   null_last_label: bool = False,
-                  partition_by: Sequence[str] = ()) -> DataFrame:
+                  partition_by: Sequence[str] = (),
+                  articles: DataFrame | None = None, segment: Column | None = None) -> DataFrame:
     """One row per price day with 21 columns (M1).  Absent sources -> typed defaults.
 
+    ``articles`` stands for ``news``, ``statements`` and ``conflict`` where one deduplicated table holds
+    them all (``article_sides``); ``segment`` goes to ``posts_side``.
+
     ``partition_by`` names the series of ``prices`` (e.g. a symbol): each has its own
     windows and label, leads the columns, and meets the day-grain sides by date.
     """
     f = price_features(prices, partition_by=partition_by, null_last_label=null_last_label)
     sides: list[DataFrame] = []
     if posts is not None:
-        sides.append(posts_side(posts))
+        sides.append(posts_side(posts, segment=segment))
+    if articles is not None:
+        sides.append(article_sides(articles))
     if news is not None:
         sides.append(news_daily(news))
     if statements is not None:

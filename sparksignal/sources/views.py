@@ -159,22 +159,46 @@ LANDED = {
 }
 
 
-# Columns the daily feature/report plans read from each cleaned source.
-FEATURE_COLUMNS = {
-    "posts": ["subreddit_group", "topic", "score", "sentiment_compound"],
-    "news": ["source", "sentiment_compound"],
-    "statements": ["sentiment_compound"],
-    "conflict_news": ["source", "sentiment_compound", "stance"],
-    "tension_news": ["title", "sentiment_compound", "escalation", "iran_spillover"],
-}
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deduplicated rows of all news-like sources, from one scan of ``documents``, without texts.
+
+    The sources of this mapping share rows, key (date, source, title) and order, so they share the dedup.
+    The title is a digest, every value has a fixed width: score in the scan, then one hash aggregate.
+    """
+    d = _landed_docs(spark, sf_dir)
+    rows = d.select("date", "source", F.sha2(F.col("title").cast("binary"), 256).alias("title"), "sentiment_compound",
+                    text.keyword_flag("summary", VIEW_SPILLOVER).alias("spillover"), "src_id").where(F.col("date").isNotNull())
+    return clean.keep_first_values(rows, ["date", "source", "title"], "src_id", ["sentiment_compound", "spillover"])
+
+
+def post_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated posts as the daily plans need them: date, score, sentiment and whether a post is of the base segment."""
+    p = landed_posts(spark, sf_dir)
+    segment = (F.col("subreddit_group") == "base") & F.col("topic").contains("war")
+    rows = p.select("date", "subreddit", F.sha2(F.trim("title").cast("binary"), 256).alias("title"), "score", "sentiment_compound",
+                    segment.alias("segment"), "src_id").where(F.col("date").isNotNull() & F.col("score").isNotNull())
+    return clean.keep_first_values(rows, ["date", "subreddit", "title"], "src_id", ["score", "sentiment_compound", "segment"])
+
+
+def narrow(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Cleaned source with the columns that daily plans read; titles of news-like sources as digests."""
+    if source in ("prices", "posts"):
+        return cleaned(spark, sf_dir, source, ["subreddit_group", "topic", "score", "sentiment_compound"])
+    a = articles(spark, sf_dir)
+    cols = ["date", "source", "title", "sentiment_compound"]
+    if source == "conflict_news":
+        return a.select(*cols, classify.stance("sentiment_compound").alias("stance"))
+    if source == "tension_news":
+        return a.select(*cols, classify.escalation("sentiment_compound").alias("escalation"),
+                        F.when(F.col("spillover"), "True").otherwise("False").alias("iran_spillover"))
+    return a.select(*cols)
 
 
 def cleaned(spark: SparkSession, sf_dir: str, source: str,
             columns: list[str] | None = None) -> DataFrame:
-    """Landed source after P1-P3 and D1 (first row by source id kept).
+    """Landed source after P1-P3 and D1 (first row by source id kept); ``columns`` keeps only those value columns.
 
-    ``columns`` keeps only those value columns (plus dedup keys): the dedup
-    then sorts and shuffles narrow rows instead of whole texts.
+    Titles of news-like sources are whole texts: their winners are found by digest and fetched by a semi-join.
     """
     if source == "prices":
         return prices(spark, sf_dir)
@@ -187,7 +211,9 @@ def cleaned(spark: SparkSession, sf_dir: str, source: str,
     # test goes to an equivalent cheap column: document sentiment is never null or
     # NaN; post sentiment is null exactly when the score is.
     required = {"posts": ["date", "score"]}.get(source, ["date"])
-    return clean.clean_source(landed, source, ["src_id"], required=required)
+    if source == "posts":
+        return clean.clean_source(landed, source, ["src_id"], required=required)
+    return clean.clean_source(landed, source, [], required=required, row_id="src_id")
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

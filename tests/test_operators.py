@@ -267,3 +267,41 @@ def test_feature_table_keeps_series_apart(spark):
     got = features.feature_table(prices, partition_by=["symbol"]).orderBy("symbol", "date").collect()
     assert [(r["symbol"], r["price_delta"], r["price_direction"]) for r in got] == [
         ("a", 0.0, 1), ("a", 1.0, 0), ("a", -1.0, 0), ("b", 0.0, 0), ("b", -1.0, 1), ("b", 1.5, 0)]
+
+
+def test_late_rows_keep_the_first_of_each_whole_key(spark):
+    same = "t" * 3000
+    rows = [(1, 5, same + "a", "x"), (2, 5, same + "b", "y"), (3, 5, same + "a", "z"),  # equal prefix and length
+            (4, None, same + "a", "n"), (5, None, same + "a", "m"), (6, 5, None, "o"), (7, 5, "", "p"), (8, 51, "", "q"), (9, 5, "1", "r")]
+    df = spark.createDataFrame(rows, "id long, day int, title string, body string").repartition(3)
+    first = clean.keep_first_rows(df, ["day", "title"], "id")
+    assert first.columns == df.columns
+    assert sorted(r["id"] for r in first.collect()) == [1, 2, 4, 6, 7, 8, 9]
+    last = clean.keep_first_rows(df, ["day", "title"], "id", descending=True)
+    assert sorted(r["body"] for r in last.collect()) == ["m", "o", "p", "q", "r", "y", "z"]
+    by_body = clean.keep_first_rows(df, ["day", "title"], "id", order=["body"], descending=True)
+    assert sorted(r["id"] for r in by_body.collect()) == [2, 3, 4, 6, 7, 8, 9]
+    assert clean.keep_first_rows(df.limit(0), ["day", "title"], "id").count() == 0
+
+
+def test_first_values_equal_first_rows(spark):
+    rows = [(i, i % 3, f"t{i % 4}", float(i) if i % 5 else None, i % 2 == 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, day int, title string, v double, flag boolean").repartition(4)
+    want = sorted(map(str, clean.keep_first(df, ["day", "title"], ["id"]).select("day", "title", "v", "flag", "id").collect()))
+    got = clean.keep_first_values(df, ["day", "title"], "id", ["v", "flag"])
+    assert sorted(map(str, got.collect())) == want
+
+
+def test_stacked_sides_equal_the_separate_ones(spark):
+    rows = [(dt.date(2024, 1, 1 + i % 9), s, f"t{i}", (i % 7 - 3) / 10.0, kind) for i, (s, kind) in enumerate(
+        [("Reuters", "n"), ("x", "s"), ("bloomberg wire", "c"), (None, "n"), ("y", "c")] * 12)]
+    df = spark.createDataFrame(rows, "date date, source string, title string, sentiment_compound double, kind string")
+    got = features.article_sides(df, F.col("kind") != "s", F.col("kind") != "n", F.col("kind") == "c")
+    news, statements = df.where("kind <> 's'"), df.where("kind <> 'n'")
+    conflict = df.where("kind = 'c'").withColumn("stance", classify.stance("sentiment_compound"))
+    want = (features.news_daily(news).join(features.statements_daily(statements), "date", "full")
+            .join(features.conflict_daily(conflict), "date", "full"))
+    def key(f):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in f.select(want.columns).collect())
+
+    assert key(got) == key(want)

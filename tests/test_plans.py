@@ -65,6 +65,26 @@ def test_feature_table_scans_each_source_once(spark):
 
     p = plan(catalog.features_df(spark, SF))
     scans = [line for line in p.splitlines() if line.startswith("Location:")]
-    assert sum("events.parquet" in line for line in scans) == 1
-    assert sum("orders.parquet" in line for line in scans) == 1
+    for table in ("events", "orders", "documents"):
+        assert sum(f"{table}.parquet" in line for line in scans) == 1, table
     assert "CartesianProduct" not in p
+
+
+def test_feature_table_keeps_texts_out_of_keys_and_sorts(spark):
+    from sparksignal import catalog
+
+    p = plan(views.articles(spark, SF))
+    assert "SortAggregate" not in p and "Sort " not in p and p.count("HashAggregate") >= 2
+    keys = [line for line in p.splitlines() if line.startswith(("Keys", "Functions", "Arguments: hashpartitioning"))]
+    assert keys and not any("summary" in k or "text#" in k for k in keys)
+    p = plan(catalog.features_df(spark, SF))
+    assert "SortAggregate" not in p
+
+
+def test_late_rows_sort_and_group_no_text(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", "y")], "id long, title string, body string")
+    p = plan(clean.keep_first_rows(df, ["title"], "id"))
+    assert "SortAggregate" not in p and "partial_min(id" in p
+    for line in p.splitlines():
+        if line.startswith(("Keys", "Functions", "Arguments: hashpartitioning", "Left keys", "Right keys")):
+            assert "title" not in line and "body" not in line, line
