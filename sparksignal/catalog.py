@@ -306,7 +306,7 @@ def q_rfc822_dates(spark, sf_dir):
                     text.rfc822_date("stamp", F.lit(AS_OF).cast("date")).alias("day"))
 
 
-@register("lexicon_sentiment", """
+ORACLE_LEXICON = """
 SELECT d.doc_id, count(t.token) AS n_tokens, count(l.valence) AS n_hits,
        round(coalesce(sum(l.valence), 0.0), 10) AS valence_sum,
        round(coalesce(sum(l.valence), 0.0)
@@ -316,7 +316,10 @@ FROM documents d
 LEFT JOIN (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[a-z]+')) AS token
            FROM documents) t ON t.doc_id = d.doc_id
 LEFT JOIN lexicon l ON l.token = t.token
-GROUP BY d.doc_id""")
+GROUP BY d.doc_id"""
+
+
+@register("lexicon_sentiment", ORACLE_LEXICON)
 def q_lexicon_sentiment(spark, sf_dir):
     """Token x lexicon join over whole documents, aggregated per document."""
     d = views.table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -325,6 +328,13 @@ def q_lexicon_sentiment(spark, sf_dir):
                                                  broadcast_lexicon=True))
 
 
+@register("lexicon_table_sentiment", ORACLE_LEXICON)
+def q_lexicon_table_sentiment(spark, sf_dir):
+    """The same with the lexicon as a table of unknown size: a Bloom filter before the exchange."""
+    d = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return present(sentiment.lexicon_join_scores(d, "doc_id", "text", sentiment.lexicon_frame(spark)))
+
+
 # =============================================================================
 # Daily aggregates and rolling windows
 # =============================================================================

@@ -9,18 +9,18 @@ small fixed word list below.
 Two plans compute the same number:
 
 * ``lexicon_compound`` -- a narrow expression: tokens are looked up in a
-  literal map inside the row's own projection (``transform`` + ``aggregate``).
-  No explode, no join, no shuffle; the map size is bounded by the word list.
+  literal two-level table inside the row's own projection (``transform`` + ``aggregate``).
+  No explode, no join, no shuffle; its size is bounded by the word list.
 * ``lexicon_join_scores`` -- the relational form for a caller-supplied
-  lexicon *table* of any size: explode tokens, join the lexicon on the token,
-  aggregate per document.  The per-document partial aggregate runs before the
-  shuffle, so one row per document and task crosses the network; texts never
-  do.  Join strategy is left to AQE (broadcast when the lexicon's runtime size
-  is under the threshold, sort-merge beyond it).
+  lexicon *table* of any size: explode tokens, keep those that a Bloom filter of the
+  lexicon lets pass, count them per document, join the lexicon on the token, aggregate
+  per document.  Stop words and texts never cross the network.  Join strategy is left to
+  AQE (broadcast when the lexicon's runtime size is under the threshold, sort-merge beyond it).
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,18 +59,34 @@ def normalise(score: str | Column, alpha: float = ALPHA) -> Column:
     return s / F.sqrt(s * s + F.lit(alpha))
 
 
+def _table(lexicon: Mapping[str, float]) -> tuple[Column, int]:
+    """The lexicon as a literal array of small maps, a word's place being CRC-32 modulo the number of maps."""
+    places = 1 << len(lexicon).bit_length()  # about one word in two maps
+    maps: list[list[str]] = [[] for _ in range(places)]
+    for word in sorted(lexicon):
+        quoted = word.replace("\\", "\\\\").replace("'", "\\'")
+        maps[zlib.crc32(word.encode()) % places].append(f"'{quoted}', {float(lexicon[word])!r}D")
+    none = "cast(map() as map<string, double>)"
+    return F.expr("array(" + ", ".join(f"map({', '.join(m)})" if m else none for m in maps) + ")"), places
+
+
 def _valences(text: str | Column, lexicon: Mapping[str, float]) -> Column:
-    lex = F.create_map(*[F.lit(x) for k in sorted(lexicon) for x in (k, float(lexicon[k]))])
-    return F.transform(tokens(text), lambda t: F.coalesce(F.try_element_at(lex, t),
-                                                          F.lit(0.0)))
+    """Valence of each token, 0 for other words: the token's hash picks a map of a word or two."""
+    table, places = _table(lexicon)
+
+    def valence(t: Column) -> Column:
+        place = F.pmod(F.crc32(t.cast("binary")), F.lit(places)).cast("int")
+        return F.coalesce(F.try_element_at(F.get(table, place), t), F.lit(0.0))
+
+    return F.transform(tokens(text), valence)
 
 
 def lexicon_compound(text: str | Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON,
                      digits: int | None = 4) -> Column:
     """Compound score in [-1, 1] of the whole text (F16).
 
-    The literal map is searched word by word: right for short word lists; score a long
-    lexicon table with ``lexicon_join_scores``.
+    The literal table has two levels, so a token costs the same in a list of fifty words and in one of
+    thousands; the plan carries the words, so score a table beyond that with ``lexicon_join_scores``.
 
     The squash runs as the fold's finish step, so the token pass happens once
     per row even where expressions are not deduplicated.
@@ -88,22 +104,86 @@ def lexicon_frame(spark: SparkSession,
     return spark.createDataFrame([(k, float(v)) for k, v in sorted(lexicon.items())], schema)
 
 
+BLOOM_BITS, BLOOM_MOST = 12, 1 << 27  # bits a word, and bits of a filter at most (32 MB as numbers of 32 bits)
+_SEEDS, _WORD, _BLOCK = (0, 1, 2, 3), 32, 1024  # a block is 1024 numbers of 32 bits
+
+
+def _places(token: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(token, F.lit(seed)), F.lit(bits).cast("long")) for seed in _SEEDS]
+
+
+def _div(c: Column, n: int) -> Column:
+    return F.floor(c / n).cast("long")
+
+
+def bloom_filter(words: DataFrame, col: str = "token") -> tuple[DataFrame, int]:
+    """One row ``bloom`` (blocks of numbers of 32 bits) of the words, and its number of bits.
+
+    Bits are set by a hash aggregate per number and filled up per block; only the finished blocks meet in one row, of
+    ``BLOOM_MOST`` bits at most, whatever the number of words (more words than that only let more tokens pass).
+    """
+    block_bits = _WORD * _BLOCK
+    bits = min(BLOOM_MOST, -(-max(1, words.count()) * BLOOM_BITS // block_bits) * block_bits)
+    p = F.col("p")
+    numbers = (words.where(F.col(col).isNotNull()).select(F.explode(F.array(*_places(F.col(col), bits))).alias("p"))
+               .groupBy(_div(p, _WORD).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(p % {_WORD} as int))")).alias("number")))
+    numbers = numbers.unionByName(words.sparkSession.range(bits // block_bits).select(
+        (F.col("id") * _BLOCK).alias("at"), F.lit(0).cast("long").alias("number")))  # every block occurs
+    by_place = F.map_from_entries(F.collect_list(F.struct((F.col("at") % _BLOCK).cast("int"), "number")))
+    numbers = numbers.groupBy("at").agg(F.bit_or("number").alias("number"))
+    blocks = numbers.groupBy(_div(F.col("at"), _BLOCK).alias("block")).agg(by_place.alias("m"))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(_BLOCK - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long")))
+    blocks = blocks.select("block", filled.alias("numbers"))
+    ordered = F.array_sort(F.collect_list(F.struct("block", "numbers")))
+    return blocks.agg(ordered.getField("numbers").alias("bloom")), bits
+
+
+def might_contain(bloom: Column, bits: int, token: Column) -> Column:
+    """Whether the filter's bits of ``token`` are all set: true for every word in it, seldom for another."""
+    out = F.lit(True)
+    for place in _places(token, bits):
+        number = F.get(F.get(bloom, _div(place, _WORD * _BLOCK).cast("int")), (_div(place, _WORD) % _BLOCK).cast("int"))
+        out = out & (F.call_function("shiftright", number, (place % _WORD).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    return out
+
+
+def lexicon_candidates(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
+                       pattern: str = TOKEN_PATTERN) -> DataFrame:
+    """``id_col, token, n_tokens``: each document's tokens that may be in the lexicon, and one row that carries its token count.
+
+    With a ``lexicon`` its Bloom filter drops all other tokens in the scan's own stage.  The row with the count has
+    a token of its own (a zero character and the id), so that such rows spread over all partitions.
+    """
+    mark = F.concat(F.lit("\0"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    found = docs.select(id_col, tokens(text_col, pattern).alias("tokens"))
+    count = F.struct(mark.alias("token"), F.size("tokens").cast("long").alias("n_tokens"))
+    words = F.transform("tokens", lambda t: F.struct(t.alias("token"), F.lit(0).cast("long").alias("n_tokens")))
+    rows = found.select(id_col, F.explode(F.concat(F.array(count), words)).alias("t")).select(id_col, "t.token", "t.n_tokens")
+    if lexicon is None:
+        return rows
+    bloom, bits = bloom_filter(lexicon)
+    return rows.where(F.col("token").startswith("\0") | might_contain(bloom.scalar(), bits, F.col("token")))
+
+
 def lexicon_join_scores(docs: DataFrame, id_col: str, text_col: str,
                         lexicon: DataFrame, broadcast_lexicon: bool = False,
                         pattern: str = TOKEN_PATTERN) -> DataFrame:
     """Per document: token count, lexicon hits, valence sum, compound (J4 + F16).
 
-    ``broadcast_lexicon`` may be set only by callers that know the lexicon's
-    size (e.g. built from a fixed word list); otherwise AQE decides.
+    Tokens are counted per document before they meet the lexicon, and tokens that no lexicon word can be never
+    reach an exchange.  ``broadcast_lexicon`` may be set only by callers that know the lexicon's size (e.g.
+    built from a fixed word list): it then goes to all tasks and needs no filter.
     """
-    toks = docs.select(F.col(id_col), F.explode_outer(tokens(text_col, pattern)).alias("token"))
     lex = lexicon.select("token", "valence")
+    each = lexicon_candidates(docs, id_col, text_col, None if broadcast_lexicon else lex, pattern)
     if broadcast_lexicon:
-        lex = F.broadcast(lex)
-    scored = toks.join(lex, "token", "left")
+        scored = each.join(F.broadcast(lex), "token", "left").withColumn("c", F.lit(1))
+    else:
+        pairs = each.groupBy(id_col, "token").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("c"))
+        scored = pairs.join(lex, "token", "left")
     agg = scored.groupBy(id_col).agg(
-        F.count("token").alias("n_tokens"),
-        F.count("valence").alias("n_hits"),
-        F.coalesce(F.sum("valence"), F.lit(0.0)).alias("valence_sum"),
+        F.sum("n_tokens").alias("n_tokens"),
+        F.coalesce(F.sum(F.when(F.col("valence").isNotNull(), F.col("c"))), F.lit(0)).cast("long").alias("n_hits"),
+        F.coalesce(F.sum(F.col("valence") * F.col("c")), F.lit(0.0)).alias("valence_sum"),
     )
     return agg.withColumn("compound", F.round(normalise("valence_sum"), 4))

@@ -305,3 +305,27 @@ def test_stacked_sides_equal_the_separate_ones(spark):
         return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in f.select(want.columns).collect())
 
     assert key(got) == key(want)
+
+
+def test_long_lexicons_score_like_the_join(spark):
+    words = {f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}": (i % 9 - 4) / 2 for i in range(3000)}
+    texts = [" ".join(list(words)[i::97]) + " the of and " * i for i in range(40)] + [None, "", "the the", "WAAA waaa it's"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(3, "waba")], "doc_id long, text string")
+    lex = sentiment.lexicon_frame(spark, words)
+    join = {r["doc_id"]: r for r in sentiment.lexicon_join_scores(docs, "doc_id", "text", lex).collect()}
+    cast = {r["doc_id"]: r for r in sentiment.lexicon_join_scores(docs, "doc_id", "text", lex, True).collect()}
+    assert join.keys() == cast.keys() == set(range(len(texts)))
+    for i, r in join.items():
+        assert (r["n_tokens"], r["n_hits"]) == (cast[i]["n_tokens"], cast[i]["n_hits"])
+        assert r["compound"] == pytest.approx(cast[i]["compound"], abs=1e-9)
+        plain = [w for w in __import__("re").findall("[a-z]+", ((texts[i] or "") + (" waba" if i == 3 else "")).lower())]
+        assert (r["n_tokens"], r["n_hits"]) == (len(plain), sum(w in words for w in plain))
+    narrow = {r["doc_id"]: r["c"] for r in docs.where("doc_id <> 3").select("doc_id", sentiment.lexicon_compound("text", words).alias("c")).collect()}
+    assert all(narrow[i] == pytest.approx(join[i]["compound"], abs=1e-4) for i in narrow)
+
+
+def test_stop_words_never_reach_the_exchange(spark):
+    docs = spark.createDataFrame([(i, "the of and a to in " * 200 + "good") for i in range(50)], "doc_id long, text string")
+    rows = sentiment.lexicon_candidates(docs, "doc_id", "text", sentiment.lexicon_frame(spark))
+    assert 100 <= rows.count() <= 110  # a count and "good" for each document, 60,000 stop words gone
+    assert sentiment.lexicon_join_scores(docs.limit(0), "doc_id", "text", sentiment.lexicon_frame(spark)).count() == 0
