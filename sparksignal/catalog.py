@@ -977,8 +977,8 @@ def q_json_predictions(spark, sf_dir):
                              F.col("confidence").alias("confidence")))
     pressure = models.pressure_index(features_df(spark, sf_dir))
     root = scratch_path(spark, "documents")
-    sinks.write_json_documents(preds, root, "prediction", replace=False)
-    sinks.write_json_documents(pressure, root, "war_exit", replace=False)
+    sinks.write_json_documents(preds, root, "prediction")
+    sinks.write_json_documents(pressure, root, "war_exit")
     schema = T.StructType([
         T.StructField("date", T.StringType()), T.StructField("prediction", T.StringType()),
         T.StructField("prediction_numeric", T.IntegerType()),

@@ -37,6 +37,7 @@ TENSION_VOLUME_DIV = 200.0
 TENSION_VOLUME_CAP = 0.15
 TENSION_CLIP = (0.05, 0.95)
 # -----------------------------------------------------------------------------
+PRESSURE_MIN_ROWS = 2  # fixed value: days that the pressure index needs
 
 
 def pressure_terms(b7: Column, prev: Column, favor: Column, war: Column) -> Column:

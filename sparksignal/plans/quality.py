@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparksignal.sources import versioned
+
 MIN_TOTAL_ROWS = 10  # fixed value: proceed threshold of the volume gate
 
 
@@ -29,6 +31,19 @@ def volume_gate(counts: Mapping[str, DataFrame], threshold: int = MIN_TOTAL_ROWS
                       .alias("status"))
 
 
+def gate_of_counts(spark: SparkSession, counts: Mapping[str, int], threshold: int = MIN_TOTAL_ROWS) -> DataFrame:
+    """The volume gate from row counts that writes have observed already (Q2): nothing is read."""
+    total = sum(counts.values())
+    status = "proceed" if total >= threshold else "low_data"
+    return spark.createDataFrame([(s, n, total, status) for s, n in counts.items()],
+                                 "source string, n_rows long, total_rows long, status string")
+
+
+def missing_tables(spark: SparkSession, root: str, names: Sequence[str]) -> list[str]:
+    """Stored tables under ``root`` that have no published version yet (Q3)."""
+    return [n for n in names if versioned.current(spark, f"{root.rstrip('/')}/{n}") is None]
+
+
 def landing_report(spark: SparkSession, root: str, sources: Sequence[str]) -> DataFrame:
     """Per expected source: OK with file count and bytes, or MISSING (Q1).
 

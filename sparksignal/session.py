@@ -89,3 +89,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete this session's written intermediate tables; call it when no result that reads them is needed any more."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark).rstrip('/')}/tables")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    n = len(fs.listStatus(folder)) if fs.exists(folder) else 0
+    fs.delete(folder, True)
+    return n

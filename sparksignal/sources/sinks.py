@@ -1,77 +1,58 @@
-"""Writers (K1-K6).  Row counts come from the written files, not from a
-second run of the producing plan.
+"""Writers (K1-K6).  Row counts are observed by the writes themselves, not by
+a second run of the producing plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sparksignal.operators.clean import keep_first
-from sparksignal.plans.materialize import materialize
+from sparksignal.sources import versioned
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Overwrite a parquet table and return the number of rows written (K1).
+def write_parquet(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
+    """Refresh a parquet table atomically and return the number of rows written (K1).
 
-    The count is read back from the written files (parquet footers), not by
-    running the producing plan a second time.
+    Read it back with ``versioned.read``; the count is observed by the write itself.
     """
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    return versioned.publish(df, root, partition_by)
 
 
-def land_csv(df: DataFrame, root: str, day_col: str = "ingest_date") -> None:
-    """Day-stamped CSV landing, one folder per day (K2).
+def land_csv(df: DataFrame, root: str, day_col: str = "ingest_date", empty_day: str | None = None) -> int:
+    """Day-stamped CSV landing, one folder per day (K2); returns the rows landed.
 
     Quotes are doubled (``escape='"'``) so HTML and newlines round-trip with
-    ``read_landed_csv``; a day's folder is replaced on re-landing.
+    ``read_landed_csv``; a day's folder is replaced on re-landing.  A pull without rows lands a file of the
+    header alone for ``empty_day``, so that it can be told from a pull that never ran.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    seen, spark = Observation(), df.sparkSession
+    (df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("header", True).option("escape", '"').option("quoteAll", True)
      .partitionBy(day_col).csv(root))
+    n = seen.get.get("n", 0)
+    if n == 0 and empty_day is not None:
+        none = spark.createDataFrame([], df.drop(day_col).schema).coalesce(1)
+        none.write.mode("overwrite").option("header", True).csv(f"{root.rstrip('/')}/{day_col}={empty_day}")
+    return n
 
 
-def write_json_documents(df: DataFrame, root: str, kind: str, replace: bool = True) -> None:
-    """Result documents as JSON lines, partitioned by kind and month (K4).
+def write_json_documents(df: DataFrame, root: str, kind: str) -> None:
+    """Add documents as JSON lines, partitioned by kind and month, to a plain folder (K4).
 
-    One folder per (kind, month) rather than one file per day keeps the file
-    count bounded by months, not days, as history grows.  ``replace=True`` replaces
-    the documents of the dates in ``df`` and keeps the others of their months;
-    ``replace=False`` appends (first load into an empty folder).
+    For a log with corrections see ``documents.append``.
     """
     new = (df.withColumn("kind", F.lit(kind))
            .withColumn("month", F.date_format(F.col("date").cast("date"), "yyyy-MM")))
-    if replace:
-        try:
-            old = df.sparkSession.read.schema(new.schema).json(root).where(F.col("kind") == kind)
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        else:
-            old = (old.join(new.select("month").distinct(), "month", "left_semi")
-                   .join(new.select("date"), "date", "left_anti"))
-            new = materialize(new.unionByName(old))  # read in full before its folders are replaced
-    w = new.repartition("kind", "month").write
-    w = (w.mode("overwrite").option("partitionOverwriteMode", "dynamic") if replace
-         else w.mode("append"))
-    w.partitionBy("kind", "month").json(root)
-
-
-def load_serving_table(df: DataFrame, path: str, view: str) -> DataFrame:
-    """Full refresh of a serving table; an empty input leaves the old table in place (K5)."""
-    spark = df.sparkSession
-    if not df.isEmpty():
-        df.write.mode("overwrite").parquet(path)
-    else:
-        df.write.mode("ignore").parquet(path)  # first run: a typed empty table
-    served = spark.read.parquet(path)
+    new.repartition("kind", "month").write.mode("append").partitionBy("kind", "month").json(root)
+
+
+def load_serving_table(df: DataFrame, root: str, view: str) -> DataFrame:
+    """Atomic refresh of a serving table; an empty input leaves the old table in place (K5)."""
+    versioned.publish(df, root, keep_if_empty=True)
+    served = versioned.read(df.sparkSession, root)
     served.createOrReplaceTempView(view)
     return served
 
