@@ -100,7 +100,8 @@ def _sources(spark: SparkSession, sf_dir: str) -> dict:
 
 
 def features_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feat.feature_table(views.prices(spark, sf_dir), **_sources(spark, sf_dir))
+    # day-grain rows that the block numbering reads twice
+    return feat.feature_table(materialize(views.prices(spark, sf_dir)), **_sources(spark, sf_dir))
 
 
 def summary_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +114,7 @@ SELECT date, {r6('open', 'high', 'low', 'close')}, volume,
        {r6('rolling_avg_7d', 'price_delta')}, price_direction
 FROM price_feat""")
 def q_price_features(spark, sf_dir):
-    return present(feat.price_features(views.prices(spark, sf_dir)))
+    return present(feat.price_features(materialize(views.prices(spark, sf_dir))))
 
 
 # --- M1 -----------------------------------------------------------------------
@@ -423,13 +424,19 @@ SELECT latest_date, round(latest_probability, 10) AS latest_probability,
        CAST(n_total AS BIGINT) AS n_total, CAST(n_escalation AS BIGINT) AS n_escalation,
        round(CASE WHEN n_total > 0 THEN n_escalation / n_total ELSE 0.0 END, 10)
          AS escalation_ratio,
-       iran_n, round(avg_sentiment, 10) AS avg_sentiment
+       iran_n, round(avg_sentiment, 10) AS avg_sentiment,
+       (SELECT string_agg('[' || CASE WHEN sentiment_compound > 0.05 THEN 'positive'
+                                      WHEN sentiment_compound < -0.05 THEN 'negative' ELSE 'neutral' END
+                          || '] ' || coalesce(title, ''), chr(10) ORDER BY date DESC, source, src_id)
+        FROM (SELECT * FROM tension ORDER BY date DESC, source, src_id LIMIT 5)) AS headlines
 FROM latest, tot"""
 
 
 @register("tension_report", ORACLE_TENSION_REPORT)
 def q_tension_report(spark, sf_dir):
-    return present(models.tension_report(_narrow(spark, sf_dir, "tension_news")))
+    rows = _narrow(spark, sf_dir, "tension_news")
+    top = reports.headline_lists(views.newest_with_titles(spark, sf_dir, rows, 5), 5, tie_break=("source", "src_id"))
+    return present(models.tension_report(rows, headlines=top))
 
 
 # =============================================================================
@@ -764,20 +771,25 @@ def q_self_assessment(spark, sf_dir):
     return present(signals.self_assessment(signals_df(spark, sf_dir)))
 
 
-@register("incremental_window", """
-SELECT * FROM prices
-WHERE date < (SELECT max(date) + 1 FROM prices)
-  AND date >= (SELECT max(date) + 1 FROM prices)
-             - (CASE WHEN (SELECT count(*) FROM prices
-                           WHERE date >= (SELECT max(date) + 1 FROM prices)) > 0
-                     THEN 2 ELSE 90 END)""")
+_WINDOW_SQL = """
+  SELECT * FROM prices
+  WHERE date < (SELECT max(date) + 1 FROM prices) AND date >= (SELECT max(date) + 1 FROM prices) - {days}"""
+
+
+@register("incremental_window", f"""
+SELECT 'backfill' AS pull, * FROM ({_WINDOW_SQL.format(days=90)})
+UNION ALL
+SELECT 'overlap', * FROM ({_WINDOW_SQL.format(days=2)})""")
 def q_incremental_window(spark, sf_dir):
-    """Pull window before ``as_of`` (day after the newest price): 90-day backfill when
-    nothing has landed since ``as_of``, else a 2-day overlap (S9)."""
-    p = materialize(views.prices(spark, sf_dir))  # read three times below: compute once
-    as_of = F.date_add(p.agg(F.max("date")).scalar(), 1)
-    landed_since = p.where(F.col("date") >= as_of)
-    return present(files.incremental_window(p, landed_since, as_of))
+    """Pull windows before ``as_of`` (day after the newest price): a 90-day backfill while nothing
+    has landed, and the 2-day overlap once the earlier days have (S9)."""
+    p = materialize(views.prices(spark, sf_dir))  # read five times below: compute once
+    last = p.agg(F.max("date")).scalar()
+    as_of, out = F.date_add(last, 1), None
+    for pull, target in (("backfill", p.where(F.col("date") > last)), ("overlap", p.where(F.col("date") < last))):
+        rows = files.incremental_window(p, target, as_of).select(F.lit(pull).alias("pull"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return present(out)
 
 
 @register("volume_gate", """
@@ -1173,7 +1185,7 @@ _STAMP_SQL = ("strftime(DATE '1995-01-01' + CAST(doc_id % 2400 AS INTEGER), '%a,
               "|| ' 12:00:00 +0000'")
 
 
-@register("feed_ingest", f"""
+_FEED_SQL = f"""
 WITH items AS (
   SELECT 0 AS feed_ord, doc_id, {_HEAD_SQL} || ' - ' || source AS raw_title, text AS summary,
          {_STAMP_SQL} AS published FROM documents WHERE lang = 'en'
@@ -1208,17 +1220,11 @@ scored AS (
          e.source, e.title0 AS title, e.published AS published_date, e.summary,
          round(coalesce(v.vs, 0.0) / sqrt(coalesce(v.vs, 0.0) * coalesce(v.vs, 0.0) + 15.0), 4)
            AS sentiment_compound, e.feed_ord, e.doc_id
-  FROM entries e LEFT JOIN valence v ON v.feed_ord = e.feed_ord AND v.doc_id = e.doc_id)
-SELECT date, source, title, published_date, summary,
-       round(sentiment_compound, 10) AS sentiment_compound,
-       CASE WHEN sentiment_compound > 0.05 THEN 'favor'
-            WHEN sentiment_compound < -0.05 THEN 'against' ELSE 'neutral' END AS stance
-FROM scored
-QUALIFY row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY feed_ord, doc_id) = 1""")
-def q_feed_ingest(spark, sf_dir):
-    """Three RSS feeds landed as XML (two headline feeds, one keyword-filtered world feed),
-    scanned, split, scored on whole texts and deduplicated first-seen across feeds
-    (S6, F4-F6, F16, P7, V1, D2, F10)."""
+  FROM entries e LEFT JOIN valence v ON v.feed_ord = e.feed_ord AND v.doc_id = e.doc_id)"""
+
+
+def view_feeds(spark, sf_dir):
+    """Three RSS feeds landed as XML and scanned: two headline feeds, one keyword-filtered world feed."""
     from sparksignal.plans import feeds as feeds_mod
 
     d, lang = views.table(spark, sf_dir, "documents"), F.col("lang")
@@ -1244,7 +1250,22 @@ def q_feed_ingest(spark, sf_dir):
             "world", ~F.coalesce(lang, F.lit("")).isin("en", "de"), False), kind="filtered",
                        pattern=views.VIEW_CONFLICT_FILTER, source="world"),
     ]
-    return present(feeds_mod.conflict_news(feeds, F.lit(AS_OF).cast("date")))
+    return feeds
+
+
+@register("feed_ingest", f"""{_FEED_SQL}
+SELECT date, source, title, published_date, summary,
+       round(sentiment_compound, 10) AS sentiment_compound,
+       CASE WHEN sentiment_compound > 0.05 THEN 'favor'
+            WHEN sentiment_compound < -0.05 THEN 'against' ELSE 'neutral' END AS stance
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY lower(trim(title)) ORDER BY feed_ord, doc_id) = 1""")
+def q_feed_ingest(spark, sf_dir):
+    """Three RSS feeds, split, scored on whole texts and deduplicated first-seen across feeds
+    (S6, F4-F6, F16, P7, V1, D2, F10)."""
+    from sparksignal.plans import feeds as feeds_mod
+
+    return present(feeds_mod.conflict_news(view_feeds(spark, sf_dir), F.lit(AS_OF).cast("date")))
 
 
 @register("tension_by_source", """
@@ -1262,3 +1283,6 @@ FROM (SELECT source, count(*) AS n_articles, avg(sentiment_compound) AS avg_sent
 def q_tension_by_source(spark, sf_dir):
     """The batch index with one batch per source feed."""
     return present(models.tension_batch(_narrow(spark, sf_dir, "tension_news"), by=["source"]))
+
+
+from sparksignal import queries_landing  # noqa: E402, F401  (registers further queries)

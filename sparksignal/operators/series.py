@@ -1,17 +1,17 @@
-"""Ordered-series operators (W1-W12) on day-grain frames.
-
-The reference orders every window by ``date`` with no partition key.  Such a
-window is one sorted partition, so these operators are meant for frames that
-are already one row per day (or per ``partition_by`` key and day): every large
-input is aggregated to day grain first (``operators.daily``), which bounds the
-window input by the calendar (one row per day -> 36.5k rows per century), not
-by the data volume.  ``partition_by`` runs independent series (e.g. one per
-symbol) in parallel.
+"""Ordered-series operators.
+
+The reference orders every window by ``date`` with no partition key, which Spark runs as one sorted
+partition.  ``partition_by`` runs independent series (e.g. one per symbol) in parallel.  A single series of any
+length runs in blocks: ``in_blocks`` numbers the rows by prefix sums over calendar blocks, cuts the numbers into blocks
+of equal size, and gives each block copies of the few rows beside it that its windows look at; ``own_rows``
+drops the copies again.  Running sums add prefix sums over the blocks' totals.  What meets in one place is one row per
+calendar block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +29,48 @@ def _r(c: Column, digits: int | None) -> Column:
     return F.round(c, digits) if digits is not None else c
 
 
+BLOCK_ROWS, BLOCK_DAYS = 4096, 1024
+BLOCK, OWN = "_block", "_own"
+_NULLS_FIRST = -(1 << 40)  # calendar block of rows without a date
+
+
+def _calendar_block(order: str, days: int) -> Column:
+    day = F.datediff(F.col(order).cast("date"), F.lit("1970-01-01").cast("date"))
+    return F.coalesce(F.floor(day / days), F.lit(_NULLS_FIRST)).cast("long")
+
+
+def _before_blocks(df: DataFrame, block: str, **totals: Column) -> Column:
+    """Map from block to the sums of ``totals`` over all blocks before it: a scalar subquery over one row per block."""
+    each = df.groupBy(block).agg(*[t.alias(n) for n, t in totals.items()])
+    w = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    sums = F.struct(*[F.coalesce(F.sum(n).over(w), F.lit(0)).alias(n) for n in totals])
+    placed = each.select(F.struct(F.col(block), sums.alias("sums")).alias("e"))
+    return placed.agg(F.map_from_entries(F.collect_list("e"))).scalar()
+
+
+def in_blocks(df: DataFrame, before: int, after: int = 0, order: str = "date", rows: int = BLOCK_ROWS, days: int = BLOCK_DAYS) -> DataFrame:
+    """``df`` with ``BLOCK`` to partition windows by and ``OWN``, false for copies of neighbouring rows.
+
+    A window over up to ``before`` rows before and ``after`` rows after its row gives the same value for a
+    block's own rows as over the whole series.
+    """
+    if max(before, after) >= rows:
+        raise ValueError("a block must be longer than what its windows look at")
+    numbered = df.withColumn("_c", _calendar_block(order, days))
+    base = _before_blocks(numbered, "_c", n=F.count(F.lit(1)))
+    inside = F.row_number().over(Window.partitionBy("_c").orderBy(order))
+    at = F.try_element_at(base, F.col("_c"))["n"] + inside - 1
+    numbered = numbered.withColumn("_at", at).drop("_c")
+    block, place = F.floor(F.col("_at") / rows).cast("long"), F.col("_at") % rows
+    homes = F.array_compact(F.array(block, F.when(place >= rows - before, block + 1), F.when(place < after, block - 1)))
+    out = numbered.select(*df.columns, "_at", F.explode(homes).alias(BLOCK))
+    return out.withColumn(OWN, F.floor(F.col("_at") / rows) == F.col(BLOCK)).drop("_at")
+
+
+def own_rows(df: DataFrame) -> DataFrame:
+    return df.where(OWN).drop(BLOCK, OWN)
+
+
 def rolling_mean(df: DataFrame, col: str, n: int, out: str, order: str = "date",
                  partition_by: Sequence[str] | None = None, digits: int | None = 4) -> DataFrame:
     """Mean of the last ``n`` rows (current included); partial windows allowed."""
@@ -71,9 +113,19 @@ def shift(df: DataFrame, col: str, out: str, offset: int = -1, order: str = "dat
 
 def running_mean(df: DataFrame, col: str, out: str, order: str = "date",
                  partition_by: Sequence[str] | None = None, digits: int | None = 4) -> DataFrame:
-    """Mean of all rows up to the current one."""
-    w = _window(order, partition_by).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, _r(F.avg(col).over(w), digits))
+    """Mean of all rows up to the current one.
+
+    Without ``partition_by``: the running sum inside a calendar block, plus the prefix sums of the blocks before.
+    """
+    if partition_by:
+        w = _window(order, partition_by).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, _r(F.avg(col).over(w), digits))
+    blocked = df.withColumn("_c", _calendar_block(order, BLOCK_DAYS))
+    value = F.col(col).cast("double")
+    base = F.try_element_at(_before_blocks(blocked, "_c", total=F.coalesce(F.sum(value), F.lit(0.0)), n=F.count(col)), F.col("_c"))
+    w = Window.partitionBy("_c").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    total = base["total"] + F.coalesce(F.sum(value).over(w), F.lit(0.0))
+    return blocked.withColumn(out, _r(F.try_divide(total, base["n"] + F.count(col).over(w)), digits)).drop("_c")
 
 
 def recent_vs_previous(df: DataFrame, col: str, out: str, n: int = 3, order: str = "date",
@@ -102,24 +154,29 @@ def minmax_scale(df: DataFrame, cols: Sequence[tuple[str, str]], fill: dict | No
     (``DataFrame.scalar()``): Spark runs it once and inlines the values, so
     there is neither a single-partition window nor a cross join.  ``negate``
     flips a signal; ``+ 0.0`` turns the resulting -0.0 into 0.0 (T10).
-    With ``partition_by`` each series has its own min/max, from a window with the
-    partitioning that the ordered windows of the same series use as well.
+    With ``partition_by`` each series has its own min/max, from an aggregate per series joined back: a series
+    with most of the rows is not gathered in one task.
     """
     fill = fill or {}
     src = {c: F.coalesce(F.col(c), F.lit(fill[c])) if c in fill else F.col(c) for c, _ in cols}
     ends = [F.min(src[c]) for c, _ in cols], [F.max(src[c]) for c, _ in cols]
+    names = [[f"_{side}{i}" for i in range(len(cols))] for side in ("mn", "mx")]
+    stats = [e.alias(n) for ns, es in zip(names, ends) for n, e in zip(ns, es)]
     if partition_by:
-        w = Window.partitionBy(*partition_by)
-        ends = [[e.over(w) for e in side] for side in ends]
+        each = df.groupBy(*partition_by).agg(*stats)  # one row per series
+        keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(partition_by)]
+        each = each.select(*keys, *[n for ns in names for n in ns])
+        match = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(partition_by)]
+        joined = df.join(each, reduce(lambda x, y: x & y, match)).drop(*[f"_k{i}" for i in range(len(keys))])
+        ends = [[F.col(n) for n in ns] for ns in names]
     else:
-        stats = df.agg(F.struct(*[e.alias(f"{side}{i}") for side, es in zip(("mn", "mx"), ends)
-                                  for i, e in enumerate(es)])).scalar()
-        ends = [[stats[f"{side}{i}"] for i in range(len(cols))] for side in ("mn", "mx")]
-    out = df
+        joined, row = df, df.agg(F.struct(*stats)).scalar()
+        ends = [[row[n] for n in ns] for ns in names]
+    out = joined
     for (c, name), mn, mx in zip(cols, *ends):
         scaled = F.when(mx == mn, F.lit(0.0)).otherwise(
             F.lit(2.0) * (src[c] - mn) / (mx - mn) - F.lit(1.0))
         if name in negate:
             scaled = -scaled + F.lit(0.0)
         out = out.withColumn(name, scaled)
-    return out
+    return out.drop(*[n for ns in names for n in ns])

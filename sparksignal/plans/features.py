@@ -43,7 +43,13 @@ FEATURE_COLUMNS = [f.name for f in schemas.FEATURES.fields]
 
 def price_features(prices: DataFrame, partition_by: Sequence[str] | None = None,
                    null_last_label: bool = False) -> DataFrame:
-    """7-row rolling close, day-over-day delta, next-day direction."""
+    """7-row rolling close, day-over-day delta, next-day direction.
+
+    One series without ``partition_by`` runs in blocks of rows, several run each for itself.
+    """
+    if not partition_by:
+        blocked = price_features(series.in_blocks(prices, before=6, after=1), [series.BLOCK], null_last_label)
+        return series.own_rows(blocked)
     out = series.rolling_mean(prices, "close", 7, "rolling_avg_7d", partition_by=partition_by)
     out = series.delta(out, "close", "price_delta", partition_by=partition_by)
     return series.next_day_label(out, "close", "price_direction", partition_by=partition_by,
@@ -113,23 +119,30 @@ def conflict_daily(conflict: DataFrame) -> DataFrame:
     return daily.stance_daily(conflict)
 
 
-def article_sides(articles: DataFrame, news: Column | None = None, statements: Column | None = None,
-                  conflict: Column | None = None, stance: Column | None = None) -> DataFrame:
-    """All daily sides of one deduplicated article table, in one pass.
+def side_sums(articles: DataFrame, news: Column | None = None, statements: Column | None = None,
+              conflict: Column | None = None, stance: Column | None = None) -> DataFrame:
+    """Per day and side the sums that its measures come from: ``date, side, vw, w, n, favor, against``.
 
     A row becomes an entry (day, side, value, weight) for each side whose condition holds (all
-    sides by default), inside the scan's own stage; one aggregate with a map-side step adds them up by (day, side).  The
-    rolling mean runs on the stacked day rows with the side as partition key, over the days present in that side.
+    sides by default), inside the scan's own stage; one aggregate with a map-side step adds them up.
     """
     always, weight, one = F.lit(True), credibility_weight("source"), F.lit(1.0)
-    sides = [("news", news, weight), ("statements", statements, one), ("conflict", conflict, weight)]
+    conditions = [("news", news, weight), ("statements", statements, one), ("conflict", conflict, weight)]
     entries = F.array_compact(F.array(*[
-        F.when(always if cond is None else cond, F.struct(F.lit(name).alias("side"), w.alias("w"))) for name, cond, w in sides]))
+        F.when(always if cond is None else cond, F.struct(F.lit(name).alias("side"), w.alias("w"))) for name, cond, w in conditions]))
     stance = classify.stance("sentiment_compound") if stance is None else stance
     rows = articles.select("date", F.col("sentiment_compound").alias("v"), stance.alias("stance"), F.explode(entries).alias("e"))
-    d = rows.groupBy("date", F.col("e.side").alias("side")).agg(
-        (F.sum(F.col("v") * F.col("e.w")) / F.sum("e.w")).alias("mean"), F.count(F.lit(1)).alias("n"),
+    return rows.groupBy("date", F.col("e.side").alias("side")).agg(
+        F.sum(F.col("v") * F.col("e.w")).alias("vw"), F.sum("e.w").alias("w"), F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("stance") == "favor").alias("favor"), F.count_if(F.col("stance") == "against").alias("against"))
+
+
+def sides_from_sums(sums: DataFrame) -> DataFrame:
+    """One row per day with the measures of all sides.
+
+    The rolling mean runs on the stacked day rows with the side as partition key, over the days present in that side.
+    """
+    d = sums.withColumn("mean", F.col("vw") / F.col("w"))
     d = series.rolling_mean(d, "mean", 3, "r3", partition_by=["side"])
 
     def of(side: str, col: str) -> Column:
@@ -143,6 +156,12 @@ def article_sides(articles: DataFrame, news: Column | None = None, statements: C
     return out.withColumn("favor_ratio", daily.favor_ratio("favor_count", "against_count"))
 
 
+def article_sides(articles: DataFrame, news: Column | None = None, statements: Column | None = None,
+                  conflict: Column | None = None, stance: Column | None = None) -> DataFrame:
+    """All daily sides of one deduplicated article table, in one pass."""
+    return sides_from_sums(side_sums(articles, news, statements, conflict, stance))
+
+
 def feature_table(prices: DataFrame, posts: DataFrame | None = None,
                   news: DataFrame | None = None, statements: DataFrame | None = None,
                   conflict: DataFrame | None = None,

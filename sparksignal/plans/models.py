@@ -99,9 +99,9 @@ def strike_outlook(pressure: DataFrame, as_of: Column | None = None) -> DataFram
 
 def ceasefire(summary: DataFrame, days: int = CEASEFIRE_DAYS) -> DataFrame:
     """Per day: means of the last ``days`` rows and the ceasefire flag."""
-    out = series.rolling_mean(summary, "avg_war_sentiment", days, "recent_war_sentiment",
-                              digits=None)
-    out = series.rolling_mean(out, "favor_ratio", days, "recent_favor_ratio", digits=None)
+    out, by = series.in_blocks(summary, before=days - 1), [series.BLOCK]
+    out = series.rolling_mean(out, "avg_war_sentiment", days, "recent_war_sentiment", partition_by=by, digits=None)
+    out = series.own_rows(series.rolling_mean(out, "favor_ratio", days, "recent_favor_ratio", partition_by=by, digits=None))
     flag = ((F.col("recent_war_sentiment") > CEASEFIRE_SENTIMENT)
             & (F.col("recent_favor_ratio") > CEASEFIRE_FAVOR))
     return out.select("date", "recent_war_sentiment", "recent_favor_ratio",
@@ -144,8 +144,10 @@ def tension_batch(tension: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.col("iran_pct")))
 
 
-def tension_report(tension: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """One-row report: latest probability, window estimate, trend, totals.
+def tension_report(tension: DataFrame, as_of: Column | None = None, headlines: DataFrame | None = None) -> DataFrame:
+    """One-row report: latest probability, window estimate, trend, totals, newest headlines.
+
+    ``headlines`` is one row with an array (``reports.headline_lists``); it comes in as a scalar subquery, one title a line.
 
     Daily rows carry row-level sums so the totals come from the same one-row
     aggregate as the latest day (no second scan, no cross join).
@@ -191,4 +193,5 @@ def tension_report(tension: DataFrame, as_of: Column | None = None) -> DataFrame
         .otherwise(F.lit(0.0)).alias("escalation_ratio"),
         F.col("iran_n").cast("long").alias("iran_n"),
         "avg_sentiment",
+        *([F.array_join(headlines.scalar(), "\n").alias("headlines")] if headlines is not None else []),
     )

@@ -160,23 +160,28 @@ def normalise_price_frame(df: DataFrame, today: Column | None = None) -> DataFra
     """Lower/underscore column names, derive ``date``, keep the OHLCV columns present."""
     out = df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
     if "date" in out.columns:
-        out = out.withColumn("date", F.to_date("date"))
+        out = out.withColumn("date", F.try_to_date(F.col("date").cast("string")))
     elif "datetime" in out.columns:
-        out = out.withColumn("date", F.to_date("datetime"))
+        out = out.withColumn("date", F.try_to_date(F.col("datetime").cast("string")))
     else:
         out = out.withColumn("date", today if today is not None else F.current_date())
     return out.select(*[c for c in OHLCV if c in out.columns])
 
 
+def window_days(target: DataFrame, backfill_days: int = 90, overlap_days: int = 2) -> Column:
+    """Length of the pull window: the backfill while ``target`` is empty, else the overlap.
+
+    The emptiness test is a scalar subquery that reads at most one row, not a driver-side action.
+    """
+    has_rows = target.limit(1).agg(F.count(F.lit(1)) > 0).scalar()
+    return F.when(has_rows, F.lit(overlap_days)).otherwise(F.lit(backfill_days))
+
+
 def incremental_window(source: DataFrame, target: DataFrame, as_of: Column,
                        backfill_days: int = 90, overlap_days: int = 2,
                        col: str = "date") -> DataFrame:
-    """Rows of ``source`` in ``[as_of - N, as_of)``: N = 90 when ``target`` is empty, else 2.
-
-    The emptiness test is a scalar subquery, not a driver-side action.
-    """
-    has_rows = target.limit(1).agg(F.count(F.lit(1)) > 0).scalar()  # reads at most one row
-    days = F.when(has_rows, F.lit(overlap_days)).otherwise(F.lit(backfill_days))
+    """Rows of ``source`` in ``[as_of - N, as_of)``: N = 90 when ``target`` is empty, else 2."""
+    days = window_days(target, backfill_days, overlap_days)
     return source.where((F.col(col) >= F.date_sub(as_of, days)) & (F.col(col) < as_of))
 
 

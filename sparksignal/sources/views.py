@@ -185,7 +185,7 @@ def narrow(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     if source in ("prices", "posts"):
         return cleaned(spark, sf_dir, source, ["subreddit_group", "topic", "score", "sentiment_compound"])
     a = articles(spark, sf_dir)
-    cols = ["date", "source", "title", "sentiment_compound"]
+    cols = ["date", "source", "title", "sentiment_compound", "src_id"]
     if source == "conflict_news":
         return a.select(*cols, classify.stance("sentiment_compound").alias("stance"))
     if source == "tension_news":
@@ -194,6 +194,13 @@ def narrow(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return a.select(*cols)
 
 
+def newest_with_titles(spark: SparkSession, sf_dir: str, rows: DataFrame, n: int) -> DataFrame:
+    """The newest ``n`` of narrow rows (ties by source, then id), with their titles fetched for these rows alone."""
+    top = rows.orderBy(F.desc("date"), "source", "src_id").limit(n).drop("title")
+    titles = _landed_docs(spark, sf_dir).select("src_id", "title")
+    return titles.join(F.broadcast(top), "src_id")  # n rows
+
+
 def cleaned(spark: SparkSession, sf_dir: str, source: str,
             columns: list[str] | None = None) -> DataFrame:
     """Landed source after P1-P3 and D1 (first row by source id kept); ``columns`` keeps only those value columns.

@@ -65,8 +65,9 @@ def test_feature_table_scans_each_source_once(spark):
 
     p = plan(catalog.features_df(spark, SF))
     scans = [line for line in p.splitlines() if line.startswith("Location:")]
-    for table in ("events", "orders", "documents"):
+    for table in ("events", "documents"):
         assert sum(f"{table}.parquet" in line for line in scans) == 1, table
+    assert not any("orders.parquet" in line for line in scans)  # the day-grain prices are written once before
     assert "CartesianProduct" not in p
 
 
@@ -88,3 +89,16 @@ def test_late_rows_sort_and_group_no_text(spark):
     for line in p.splitlines():
         if line.startswith(("Keys", "Functions", "Arguments: hashpartitioning", "Left keys", "Right keys")):
             assert "title" not in line and "body" not in line, line
+
+
+def test_windows_of_one_series_run_in_many_tasks(spark):
+    from sparksignal import catalog
+
+    for df in (features.price_features(views.prices(spark, SF)), catalog.features_df(spark, SF)):
+        main = plan(df).split("===== Subqueries =====")[0]
+        assert "Window" in main and "SinglePartition" not in main
+
+
+def test_scaling_per_series_has_no_window(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "k string, v double")
+    assert "Window" not in plan(series.minmax_scale(df, [("v", "s")], partition_by=["k"]))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sparksignal.operators import clean, series
 from sparksignal.plans import signals
@@ -85,3 +87,32 @@ def test_recent_vs_previous_rule(spark, xs):
         else:
             want = 0.0
         assert math.isclose(g, want, abs_tol=1e-9)
+
+
+def test_blocks_equal_one_window(spark):
+    rng = random.Random(6)
+    days = sorted(rng.sample(range(0, 9000), 900))  # gaps, sparse and dense calendar blocks
+    rows = [(dt.date(1990, 1, 1) + dt.timedelta(days=d), rng.uniform(-5, 5) if rng.random() < .95 else None) for d in days]
+    df = spark.createDataFrame([(None, 1.0), *rows], "date date, v double").repartition(5)
+    whole = series.shift(series.delta(series.rolling_mean(df, "v", 7, "m"), "v", "d"), "v", "next")
+    blocked = series.in_blocks(df, before=6, after=1, rows=50, days=100)
+    blocked = series.rolling_mean(blocked, "v", 7, "m", partition_by=[series.BLOCK])
+    blocked = series.delta(blocked, "v", "d", partition_by=[series.BLOCK])
+    blocked = series.own_rows(series.shift(blocked, "v", "next", partition_by=[series.BLOCK]))
+    assert blocked.columns == whole.columns and blocked.count() == 901
+    assert sorted(map(str, blocked.collect())) == sorted(map(str, whole.collect()))
+    run = {r["date"]: r["r"] for r in series.running_mean(df, "v", "r").collect()}
+    plain = series.running_mean(df.withColumn("k", F.lit(1)), "v", "r", partition_by=["k"])
+    assert all(abs((run[r["date"]] or 0) - (r["r"] or 0)) <= 1.1e-4 for r in plain.collect())
+    assert series.own_rows(series.in_blocks(df.limit(0), before=6)).count() == 0
+
+
+def test_scaling_per_series_equals_each_alone(spark):
+    rows = [(k, i, float((i * 7 + j) % 11) if k != "flat" else 3.0) for j, k in enumerate(["a", "b", "flat", None]) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, i int, v double")
+    got = {(r["k"], r["i"]): r["s"] for r in series.minmax_scale(df, [("v", "s")], partition_by=["k"]).collect()}
+    for k in ("a", "b", "flat", None):
+        alone = series.minmax_scale(df.where(F.col("k").eqNullSafe(F.lit(k))), [("v", "s")])
+        assert alone.columns == ["k", "i", "v", "s"]
+        assert {(r["k"], r["i"]): r["s"] for r in alone.collect()}.items() <= got.items()
+    assert len(got) == 80
