@@ -78,12 +78,6 @@ def direction_label(x: str | Column, up: str = "Up", down: str = "Down",
     return out.otherwise(F.lit(missing)) if missing is not None else out
 
 
-def bool_string_flag(x: str | Column) -> Column:
-    """``"True"`` -> 1, anything else -> 0."""
-    v = col_(x).cast("string")
-    return F.when(F.lower(v) == "true", F.lit(1)).otherwise(F.lit(0))
-
-
 def signal_numeric(signal: str | Column) -> Column:
     """BUY -> 1, SELL -> 0, HOLD -> null."""
     s = col_(signal)

@@ -175,14 +175,16 @@ def lexicon_join_scores(docs: DataFrame, id_col: str, text_col: str,
     built from a fixed word list): it then goes to all tasks and needs no filter.
     """
     lex = lexicon.select("token", "valence")
-    each = lexicon_candidates(docs, id_col, text_col, None if broadcast_lexicon else lex, pattern)
     if broadcast_lexicon:
-        scored = each.join(F.broadcast(lex), "token", "left").withColumn("c", F.lit(1))
+        each = docs.select(id_col, F.explode_outer(tokens(text_col, pattern)).alias("token"))
+        scored = each.join(F.broadcast(lex), "token", "left").select(
+            id_col, "valence", F.lit(1).alias("c"), F.when(F.col("token").isNotNull(), 1).otherwise(0).alias("n_tokens"))
     else:
+        each = lexicon_candidates(docs, id_col, text_col, lex, pattern)
         pairs = each.groupBy(id_col, "token").agg(F.sum("n_tokens").alias("n_tokens"), F.count(F.lit(1)).alias("c"))
         scored = pairs.join(lex, "token", "left")
     agg = scored.groupBy(id_col).agg(
-        F.sum("n_tokens").alias("n_tokens"),
+        F.sum("n_tokens").cast("long").alias("n_tokens"),
         F.coalesce(F.sum(F.when(F.col("valence").isNotNull(), F.col("c"))), F.lit(0)).cast("long").alias("n_hits"),
         F.coalesce(F.sum(F.col("valence") * F.col("c")), F.lit(0.0)).alias("valence_sum"),
     )

@@ -79,13 +79,6 @@ def read_landed_csv(spark: SparkSession, path: str, source: str) -> DataFrame:
     return _optional(read, empty, spark)
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet scan; optional when ``schema`` is given."""
-    if schema is None:
-        return spark.read.parquet(path)
-    return _optional(lambda: spark.read.schema(schema).parquet(path), schema, spark)
-
-
 def read_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     """Catalog table by name, or an empty typed frame when it does not exist."""
     if spark.catalog.tableExists(name):
