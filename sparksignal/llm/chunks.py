@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def row_of(df: DataFrame, without: str) -> Column:
+    """All columns but one as the struct ``row``; no name is added to theirs (a table of that one column alone gets a filler)."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != without]
+    return F.struct(*(rest or [F.lit(0).alias("none")])).alias("row")
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: a cut of the lineage."""
     spark = df.sparkSession
@@ -57,9 +63,7 @@ def store(docs: DataFrame, text_col: str, total_bytes: int, chunk_bytes: int) ->
     text becomes an empty one.  A document longer than ``chunk_bytes`` is a chunk of its own.
     """
     spark = docs.sparkSession
-    rest = [c for c in docs.columns if c != text_col]
-    packed = F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(0).alias("__pad"))
-    src = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), packed.alias("row"))
+    src = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), row_of(docs, text_col))
     schema = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("pos", T.LongType()),
                            *src.schema.fields])
 

@@ -175,8 +175,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", capacit
            end_id: int = END_ID) -> DataFrame:
     """``row`` (struct of the other columns), ``piece``, ``start``, ``length``, ``ids`` (binary, 4 bytes an id)."""
     spec = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    src = docs.select(F.struct(*rest, F.lit(0).alias("__pad")).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
+    src = docs.select(ch.row_of(docs, text_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
     schema = T.StructType([src.schema["row"], *T.StructType.fromDDL("piece int, start long, length int, ids binary").fields])
     end, step = np.uint32(end_id).tobytes(), 4 * capacity
 

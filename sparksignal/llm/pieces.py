@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparksignal.llm.chunks import row_of
+
 SPACE = "▁"
 OWN_SPACE = "\udfff"  # a U+2581 of the text; lone surrogates never occur in texts
 UNKNOWN_COST = 10
@@ -212,8 +214,7 @@ class Encoder:
 
 def _mapped(rows: DataFrame, col: str, cast: str, make, names_types: str) -> DataFrame:
     """``row`` and the columns that ``make()`` (called once a task) derives from ``col``."""
-    rest = [F.col(f"`{c}`") for c in rows.columns if c != col]
-    src = rows.select(F.struct(*rest, F.lit(0).alias("__pad")).alias("row"), F.col(f"`{col}`").cast(cast).alias("t"))
+    src = rows.select(row_of(rows, col), F.col(f"`{col}`").cast(cast).alias("t"))
     schema = T.StructType([src.schema["row"], *T.StructType.fromDDL(names_types).fields])
 
     def run(batches):

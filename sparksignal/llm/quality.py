@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparksignal.llm.chunks import write_table
+from sparksignal.llm.chunks import row_of, write_table
 
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -35,8 +35,7 @@ MIN_PRECISION, MIN_COVER, SEED = 0.95, 5, 3
 
 def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``row`` (struct of the other columns), ``text`` and one column per statistic."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    out = docs.select(F.struct(*rest, F.lit(0).alias("__pad")).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    out = docs.select(row_of(docs, text_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     text = F.col("text")
     out = out.withColumn("words", F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""))
     out = out.withColumn("n_words", F.size("words").cast("long"))

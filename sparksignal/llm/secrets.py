@@ -12,7 +12,7 @@ from the pieces between the matches, in code points, end exclusive.
 
 Cases: a null or empty text is the empty blob and has no findings; equal texts share findings, repeated
 rows each get them; an empty table gives an empty result; a path may be of any type and null; the other
-columns come back untouched.
+columns come back in ``row`` untouched; a text with very many matches costs time in proportion to them.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparksignal.llm.chunks import write_table
+from sparksignal.llm.chunks import row_of, write_table
 from sparksignal.session import scratch_path
 
 # fixed values: the base rules, in the order their kinds are listed
@@ -45,6 +45,7 @@ class Rule:
 
 BASE_RULES = (Rule("assign", 1, ASSIGN, 2, 12, ASSIGN_WORDS), Rule("access", 1, ACCESS, words=("akia",)), Rule("hex", 1, HEX))
 
+SALTS, BLOCK, CHUNK = 16, 128, 4096
 LEDGER = "blob string, kind string, version int, spans array<struct<begin:int,end:int>>"
 
 
@@ -55,6 +56,15 @@ def _any(text: Column, words: tuple[str, ...]) -> Column:
     return out
 
 
+def _blocks(items: Column, size: int = BLOCK) -> Column:
+    """An array as an array of consecutive parts of ``size`` items; one empty part for an empty array."""
+    def cut(whole: Column) -> Column:
+        last = F.floor(F.greatest(F.size(whole) - 1, F.lit(0)) / size).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(whole, b * size + 1, F.lit(size)))
+
+    return F.get(F.transform(F.array(items), cut), F.lit(0))  # an array of one: ``items`` is computed once
+
+
 def spans(text: Column, rule: Rule) -> Column:
     """Array of (begin, end) of the rule's matches.
 
@@ -72,7 +82,15 @@ def spans(text: Column, rule: Rule) -> Column:
         return F.struct((begin + F.coalesce(x["size"], F.lit(0))).alias("at"),
                         F.when(x["part"] >= rule.least, F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"))
 
-    found = F.aggregate(step, start, walk, lambda acc: acc["found"])
+    # an append copies the array: within blocks, then the blocks with their starts, the copies stay few
+    parts = F.transform(_blocks(step), lambda part: F.aggregate(part, start, walk))
+
+    def place(acc: Column, x: Column) -> Column:
+        moved = F.transform(x["found"], lambda f: F.struct((f["begin"] + acc["at"]).alias("begin"), (f["end"] + acc["at"]).alias("end")))
+        return F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["lists"], F.array(moved)).alias("lists"))
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<begin:int,end:int>>>").alias("lists"))
+    found = F.aggregate(parts, none, place, lambda acc: F.flatten(acc["lists"]))
     has = F.regexp_like(text, pattern)
     if rule.words:
         has = _any(text, rule.words) & has
@@ -122,9 +140,12 @@ def scan(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = BASE
             .groupBy("blob").agg(F.array_sort(F.collect_list(F.struct(  # a blob's own findings
                 F.col("s.begin").alias("begin"), number[F.col("kind")].alias("number"), F.col("s.end").alias("end"), "kind"))).alias("found")))
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    paths = docs.select(F.struct(*rest, F.lit(0).alias("__pad")).alias("row"), F.col(f"`{text_col}`").alias("text"), blob.alias("blob"))
+    salt = F.pmod(F.xxhash64(*rest), F.lit(SALTS)) if rest else F.lit(0).cast("long")
+    paths = docs.select(row_of(docs, text_col), F.col(f"`{text_col}`").alias("text"), blob.alias("blob"), salt.alias("salt"))
+    # a blob with findings meets its paths in SALTS places, so a blob that most paths share is not one task
+    hits = hits.select("blob", "found", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     none = F.array().cast(hits.schema["found"].dataType)
-    return paths.join(hits, "blob", "left").select("row", "text", "blob", F.coalesce("found", none).alias("found"))
+    return paths.join(hits, ["blob", "salt"], "left").select("row", "text", "blob", F.coalesce("found", none).alias("found"))
 
 
 def joined(found: Column) -> Column:
@@ -133,17 +154,36 @@ def joined(found: Column) -> Column:
 
 
 def masked(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every stretch covered by spans replaced by ``mark``; one fold over the sorted spans."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def walk(acc: Column, x: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, x["begin"] - acc["at"])
-        out = F.when(x["begin"] > acc["at"], F.concat(acc["out"], F.array(gap, F.lit(mark)))).when(
-            acc["at"] == 0, F.concat(acc["out"], F.array(F.lit(mark)))).otherwise(acc["out"])
-        out = F.when((x["begin"] == acc["at"]) & (acc["at"] > 0), F.concat(acc["out"], F.array(F.lit(mark)))).otherwise(out)
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
-
-    def close(acc: Column) -> Column:
-        return F.array_join(F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, F.length(text)))), "")
-
-    return F.when(F.size(found) > 0, F.aggregate(found, start, walk, close)).otherwise(text)
+    """The text with every stretch covered by spans replaced by ``mark``; a fold over blocks of the sorted spans.
+
+    The text is cut into chunks once; a block joins the few that hold its stretch, so all further cuts are short.
+    """
+    def edge(acc: Column, part: Column) -> Column:
+        end = F.aggregate(part, acc["at"], lambda m, x: F.greatest(m, x["end"]))
+        return F.struct(end.alias("at"), F.concat(acc["parts"], F.array(
+            F.struct(acc["at"].alias("from"), end.alias("to"), part.alias("part")))).alias("parts"))
+
+    kind = "array<struct<from:int,to:int,part:array<struct<begin:int,number:int,end:int,kind:string>>>>"
+    edges = F.aggregate(_blocks(found), F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("parts")), edge)
+
+    def cut(p: Column, chunks: Column) -> Column:
+        def walk(acc: Column, x: Column, stretch: Column) -> Column:
+            gap = F.substring(stretch, acc["at"] - p["from"] + 1, x["begin"] - acc["at"])
+            out = F.when(x["begin"] > acc["at"], F.concat(acc["out"], F.array(gap, F.lit(mark)))).when(
+                (acc["at"] == 0) | (x["begin"] == acc["at"]), F.concat(acc["out"], F.array(F.lit(mark)))).otherwise(acc["out"])
+            return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+
+        start = F.struct(p["from"].alias("at"), F.array().cast("array<string>").alias("out"))
+        first = F.floor(p["from"] / CHUNK).cast("int")
+        near = F.array_join(F.slice(chunks, first + 1, F.floor(p["to"] / CHUNK).cast("int") - first + 1), "")
+        stretches = F.array(F.substring(near, p["from"] % CHUNK + 1, p["to"] - p["from"]))  # an array of one: evaluated once
+        return F.array_join(F.transform(stretches, lambda s: F.array_join(
+            F.aggregate(p["part"], start, lambda acc, x: walk(acc, x, s), lambda acc: acc["out"]), "")), "")
+
+    def close(e: Column) -> Column:
+        chunks = F.array(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)))
+        cuts = F.transform(chunks, lambda c: F.array_join(F.transform(e["parts"], lambda p: cut(p, c)), ""))
+        return F.concat(F.get(cuts, F.lit(0)), F.substring(text, e["at"] + 1, F.length(text)))
+
+    whole = F.transform(F.array(edges), close)  # an array of one: the edges are computed once
+    return F.when(F.size(found) > 0, F.get(whole, F.lit(0))).otherwise(text)

@@ -56,8 +56,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``row`` (struct of all columns but the text), ``fp`` (64 bits as a long)."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    src = docs.select(F.struct(*rest, F.lit(0).alias("__pad")).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("t"))
+    src = docs.select(ch.row_of(docs, text_col), F.col(f"`{text_col}`").cast("binary").alias("t"))
     schema = T.StructType([src.schema["row"], T.StructField("fp", T.LongType())])
 
     def run(batches):
@@ -216,7 +215,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                 radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stand for their components, with all their columns."""
-    body = "__body"
-    out = near_duplicates(docs.withColumn(body, F.col(f"`{text_col}`")), id_col, text_col, shingle, radius)
-    kept = out.where(F.col("uid") == F.col("first_uid"))
-    return kept.select(*[F.col("row." + (body if c == text_col else f"`{c}`")).alias(c) for c in docs.columns])
+    whole = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.struct("*").alias("doc"))
+    out = near_duplicates(whole, "id", "text", shingle, radius)
+    return out.where(F.col("uid") == F.col("first_uid")).select("row.doc.*")

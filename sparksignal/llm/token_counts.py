@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparksignal.llm.byte_bpe import byte_alphabet
+from sparksignal.llm.chunks import row_of
 from sparksignal.llm.packing import read_tokenizer
 
 END = 256  # marks a piece that ends a word; added to the last byte of a word
@@ -134,8 +135,7 @@ class Counts:
 def token_counts(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> DataFrame:
     """``row`` (struct of the other columns), ``n_words``, ``n_tokens``, ``n_unknown``."""
     pieces = docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer_path))  # a vocabulary: bounded by read_tokenizer
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
-    src = docs.select(F.struct(*rest, F.lit(0).alias("__pad")).alias("row"), F.col(f"`{text_col}`").cast("binary").alias("t"))
+    src = docs.select(row_of(docs, text_col), F.col(f"`{text_col}`").cast("binary").alias("t"))
     names = ("n_words", "n_tokens", "n_unknown")
     schema = T.StructType([src.schema["row"], *[T.StructField(n, T.LongType()) for n in names]])
 

@@ -12,7 +12,7 @@ search.  A task holds one tree and one block of queries.
 Cases: vectors that are null, empty, or hold null or non-finite components take no part, nor do rows with
 a null id; vectors of other dimensions than the query's are no candidates; repeated rows are vectors of their own
 (a query skips only its own row); fewer than k candidates give fewer rows; an empty table gives an
-empty result.  Scores beyond 64 bits are cut to the ends of the range.
+empty result.  A score beyond 64 bits is an error.
 """
 
 from __future__ import annotations
@@ -119,6 +119,12 @@ def _unpack(row: dict) -> dict:
     return out
 
 
+def _long(score: int) -> int:
+    if not -(1 << 63) <= score < 1 << 63:
+        raise OverflowError("a score is over 64 bits")
+    return score
+
+
 def _dealt(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
     n = rows.count()
     parts = max(1, -(-n // size))
@@ -171,13 +177,13 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
                     q, tree = _unpack({**row, "lo": None}), _unpack({"dim": row["dim"], **{n[2:]: v for n, v in row.items() if n.startswith("t_")}})
                     known = {x["uid"]: x["kth"] for x in row["floor"] or []}
                     floor = np.array([known.get(u, -np.inf) for u in q["uids"].tolist()], object if known else float)
-                    out = [(int(q["ids"][j]), int(q["uids"][j]), i2, max(-(1 << 63), min((1 << 63) - 1, s)))
+                    out = [(int(q["ids"][j]), int(q["uids"][j]), i2, _long(s))
                            for j, found in enumerate(search(tree, q["points"], q["uids"], floor, k)) for s, i2, _ in found]
                     if out:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
                                                          ["query_id", "query_uid", "vec_id", "score"])
 
-        return both.repartition(max(1, min(10_000, shards)), "block", "t_least").mapInArrow(run, HIT)
+        return both.repartition(max(1, shards), "block", "t_least").mapInArrow(run, HIT)
 
     home = F.pmod(F.col("block"), F.lit(shards))
     first = write_table(pair(blocks.withColumn("part", home), False), "home_hits")
