@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from sparksignal.functions import classify, sentiment, text
 from sparksignal.operators import clean, daily
-from sparksignal.oracle_sql import compose, rx, sround, tags_sql
+from sparksignal.oracle_sql import cases_sql, compose, line_sql, pct_sql, rx, sround, tags_sql
 from sparksignal.plans import classifier, models, quality, reports, signals
 from sparksignal.plans import evaluation as ev
 from sparksignal.plans import features as feat
@@ -750,18 +750,15 @@ def q_signal_chart(spark, sf_dir):
     return present(reports.signal_chart(signals_df(spark, sf_dir)))
 
 
-@register("self_assessment", """
-SELECT round(arg_max(recent, date), 10) AS recent_accuracy,
+_RECENT = "arg_max(recent, date)"
+
+
+@register("self_assessment", f"""
+SELECT round({_RECENT}, 10) AS recent_accuracy,
        round(avg(correct), 10) AS overall_accuracy, count(*) AS n_trades,
-       'Recent accuracy **' || CAST(round(arg_max(recent, date) * 100, 0) AS BIGINT)
-         || '%** (last 5 trades) — '
-         || CASE WHEN arg_max(recent, date) >= 0.7
-                 THEN 'model is performing well, signals are reliable'
-                 WHEN arg_max(recent, date) >= 0.4
-                 THEN 'mixed results, use signals as one input among many'
-                 ELSE '⚠️ model is underperforming, signals may be contrarian indicators' END
-         || chr(10) || 'Overall accuracy: **' || CAST(round(avg(correct) * 100, 0) AS BIGINT)
-         || '%** across ' || CAST(count(*) AS VARCHAR) || ' trades' AS assessment
+       {line_sql(signals.RECENT_LINE, pct_sql(_RECENT), "'5'", cases_sql(
+           (f"{_RECENT} >= 0.7", signals.RECENT_GOOD), (f"{_RECENT} >= 0.4", signals.RECENT_MIXED), otherwise=signals.RECENT_POOR))}
+       || chr(10) || {line_sql(signals.OVERALL_LINE, pct_sql("avg(correct)"), "CAST(count(*) AS VARCHAR)")} AS assessment
 FROM (SELECT date, correct,
              avg(correct) OVER (ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS recent
       FROM signals WHERE correct IS NOT NULL)
@@ -845,28 +842,23 @@ def q_table_counts(spark, sf_dir):
     })
 
 
+_TENSION_LINES = ",\n".join([
+    line_sql(reports.ESCALATION_LINE, pct_sql("escalation_ratio"),
+             cases_sql(("escalation_ratio > 0.5", reports.ESCALATION_HIGH), otherwise=reports.ESCALATION_LOW)),
+    line_sql(reports.SPILLOVER_LINE, "CAST(iran_n AS VARCHAR)",
+             cases_sql(("iran_n > 5", reports.SPILLOVER_HIGH), otherwise=reports.SPILLOVER_LOW)),
+    line_sql(reports.TRAJECTORY_LINE, "trend", "(printf('%+.1f', round(trend_delta * 100, 1) + 0.0::DOUBLE) || '%')",
+             cases_sql(("trend_delta > 0.02", reports.TRAJECTORY_RISING), ("trend_delta < -0.02", reports.TRAJECTORY_FALLING),
+                       otherwise=reports.TRAJECTORY_STABLE)),
+    line_sql(reports.SENTIMENT_LINE, "printf('%.3f', round(avg_sentiment, 3))",
+             cases_sql(("avg_sentiment < -0.15", reports.SENTIMENT_DEEP), ("avg_sentiment < 0", reports.SENTIMENT_MILD),
+                       otherwise=reports.SENTIMENT_NEUTRAL)),
+    f"CASE WHEN latest_probability >= 0.55 THEN {line_sql(reports.VOLUME_LINE, 'CAST(n_total AS VARCHAR)')} END"])
+
+
 @register("tension_bullets", f"""
 WITH rep AS ({ORACLE_TENSION_REPORT})
-SELECT latest_date, concat_ws(chr(10),
-  'Escalation ratio at **' || CAST(round(escalation_ratio * 100, 0) AS BIGINT) || '%** — '
-    || CASE WHEN escalation_ratio > 0.5
-            THEN 'majority of coverage frames military posturing or threat'
-            ELSE 'balanced coverage; escalation signals below majority threshold' END,
-  'Iran spillover detected in **' || CAST(iran_n AS VARCHAR) || '** articles — '
-    || CASE WHEN iran_n > 5 THEN 'regional multi-front pressure elevates timeline'
-            ELSE 'limited cross-theater correlation so far' END,
-  'Sentiment trajectory **' || trend || '** (Δ '
-    || printf('%+.1f', round(trend_delta * 100, 1) + 0.0::DOUBLE) || '%) — '
-    || CASE WHEN trend_delta > 0.02 THEN 'negative momentum suggests growing hawkish rhetoric'
-            WHEN trend_delta < -0.02 THEN 'diplomatic signals may be cooling tensions'
-            ELSE 'no clear shift in tone detected' END,
-  'Average sentiment **' || printf('%.3f', round(avg_sentiment, 3)) || '** — '
-    || CASE WHEN avg_sentiment < -0.15 THEN 'deeply negative; media framing skews confrontational'
-            WHEN avg_sentiment < 0 THEN 'mildly negative; cautious but not alarmist'
-            ELSE 'neutral-to-positive; low urgency in reporting' END,
-  CASE WHEN latest_probability >= 0.55
-       THEN 'Volume signal: **' || CAST(n_total AS VARCHAR) || '** articles tracked — high coverage '
-            || 'density correlates with elevated geopolitical attention' END) AS bullets
+SELECT latest_date, concat_ws(chr(10), {_TENSION_LINES}) AS bullets
 FROM rep""")
 def q_tension_bullets(spark, sf_dir):
     """Rule-based sentences of the tension report."""
@@ -1131,20 +1123,17 @@ def q_serving_tables(spark, sf_dir):
                                for name in tables})
 
 
+_STRIKE_LINES = ",\n".join([
+    line_sql(reports.FAVOR_LINE, pct_sql("favor_ratio"), cases_sql(("favor_ratio > 0.5", reports.FAVOR_HIGH), otherwise=reports.FAVOR_LOW)),
+    line_sql(reports.WAR_LINE, "printf('%.3f', round(war_sentiment_avg, 3))",
+             cases_sql(("war_sentiment_avg < -0.1", reports.WAR_HAWKISH), otherwise=reports.WAR_NEUTRAL)),
+    line_sql(reports.TREND_LINE, "base_sentiment_trend",
+             cases_sql(("base_sentiment_trend = 'declining'", reports.TREND_DECLINING),
+                       ("base_sentiment_trend = 'improving'", reports.TREND_IMPROVING), otherwise=reports.TREND_STABLE))])
+
+
 @register("strike_bullets", f"""
-SELECT date, concat_ws(chr(10),
-  'Favor ratio **' || CAST(round(favor_ratio * 100, 0) AS BIGINT) || '%** — '
-    || CASE WHEN favor_ratio > 0.5
-            THEN 'public opinion strongly against continued ops → low strike motivation'
-            ELSE 'negative war stance in base → political cover for escalation' END,
-  'War sentiment **' || printf('%.3f', round(war_sentiment_avg, 3)) || '** — '
-    || CASE WHEN war_sentiment_avg < -0.1 THEN 'hawkish media framing supports military action'
-            ELSE 'neutral-to-positive framing; less urgency for strikes' END,
-  'Base trend **' || base_sentiment_trend || '** — '
-    || CASE WHEN base_sentiment_trend = 'declining'
-            THEN 'declining support = pressure to act decisively before losing base'
-            WHEN base_sentiment_trend = 'improving' THEN 'improving sentiment = reduced urgency'
-            ELSE 'no clear directional pressure' END) AS bullets
+SELECT date, concat_ws(chr(10), {_STRIKE_LINES}) AS bullets
 FROM pressure""")
 def q_strike_bullets(spark, sf_dir):
     """Reasoning sentences of the strike outlook per day."""

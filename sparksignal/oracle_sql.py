@@ -36,6 +36,29 @@ def sround(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
+def text_sql(value: str) -> str:
+    """SQL literal of a text."""
+    return "'" + value.replace("'", "''") + "'"
+
+
+def line_sql(template: str, *args: str) -> str:
+    """A sentence template filled with SQL text expressions, as ``reports.line`` fills it with columns."""
+    parts = template.split("%s")
+    out = [text_sql(parts[0])]
+    for arg, rest in zip(args, parts[1:], strict=True):
+        out += [arg, text_sql(rest)]
+    return "(" + " || ".join(out) + ")"
+
+
+def cases_sql(*cases: tuple[str, str], otherwise: str) -> str:
+    whens = " ".join(f"WHEN {cond} THEN {text_sql(value)}" for cond, value in cases)
+    return f"CASE {whens} ELSE {text_sql(otherwise)} END"
+
+
+def pct_sql(x: str) -> str:
+    return f"(CAST(round({x} * 100, 0) AS BIGINT) || '%')"
+
+
 def day_sql(id_col: str) -> str:
     return f"(DATE '{views.EPOCH}' + CAST({id_col} % {views.N_DAYS} AS INTEGER))"
 

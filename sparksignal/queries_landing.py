@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparksignal import catalog as c
 from sparksignal import schemas
 from sparksignal.oracle_sql import rx, tags_sql
-from sparksignal.plans import daily_run, day_state, feeds
+from sparksignal.plans import classifier, daily_run, day_state, feeds, quality
 from sparksignal.plans import features as feat
 from sparksignal.plans.materialize import materialize
 from sparksignal.session import scratch_path
@@ -151,3 +151,36 @@ def q_business_news(spark, sf_dir):
     """Plain business feeds: every entry, the feed's name as source, no dedup."""
     plain = [feeds.Feed(f.name, f.entries, kind="plain") for f in c.view_feeds(spark, sf_dir)[:2]]
     return present(feeds.business_news(plain, F.lit(c.AS_OF).cast("date")))
+
+
+# --- the forest's newest prediction ----------------------------------------------------------
+_LATEST = ", ".join(f"round({x}::DOUBLE, 4) AS {x}" for x in classifier.FEATURE_COLS)
+
+
+@register("rf_latest", f"""
+SELECT date, {_LATEST}, true AS valid_class, true AS valid_confidence
+FROM features ORDER BY date DESC LIMIT 1""")
+def q_rf_latest(spark, sf_dir):
+    """The prediction document of the newest day: its feature values, a class and a probability over one half (M9)."""
+    f = materialize(c.features_df(spark, sf_dir))
+    train, _ = classifier.split_chronological(f)
+    p = classifier.latest_prediction(classifier.train(train), f)
+    named = F.when(F.col("prediction_numeric") == 1, "Up").when(F.col("prediction_numeric") == 0, "Down")
+    return p.select("date", "features.*", (F.col("prediction") == named).alias("valid_class"),
+                    F.col("confidence").between(0.5, 1.0).alias("valid_confidence"))
+
+
+# --- landing validation ------------------------------------------------------------------------
+@register("landing_status", """
+SELECT 'posts' AS source, CASE WHEN (SELECT count(*) FROM landed_posts) > 0 THEN 'OK' ELSE 'MISSING' END AS status
+UNION ALL SELECT 'news', CASE WHEN (SELECT count(*) FROM landed_news) > 0 THEN 'OK' ELSE 'MISSING' END
+UNION ALL SELECT 'prices', CASE WHEN (SELECT count(*) FROM prices) > 0 THEN 'OK' ELSE 'MISSING' END
+UNION ALL SELECT 'statements', 'MISSING' UNION ALL SELECT 'conflict_news', 'MISSING' UNION ALL SELECT 'tension_news', 'MISSING'""")
+def q_landing_status(spark, sf_dir):
+    """Which of the six expected sources have landed: three have, three have not (Q1)."""
+    root = scratch_path(spark, "landing")
+    frames = {"prices": views.prices(spark, sf_dir), "posts": views.landed_posts(spark, sf_dir), "news": views.landed_news(spark, sf_dir)}
+    for source, rows in frames.items():
+        raw = rows.select(F.col("date").cast("string").alias("date"), *schemas.RAW[source].fieldNames()[1:])
+        sinks.land_csv(raw.withColumn("ingest_date", F.lit("2024-01-31")), f"{root}/{source}")
+    return quality.landing_report(spark, root, daily_run.SOURCES).select("source", "status")
