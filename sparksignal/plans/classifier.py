@@ -43,12 +43,16 @@ def split_chronological(features: DataFrame, test_fraction: float = TEST_FRACTIO
 
 def train(train_df: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
           seed: int = SEED) -> PipelineModel:
-    """Fit assembler + random forest (M8)."""
+    """Fit assembler + random forest (M8).
+
+    A copy is returned, without the training summary: the summary holds the session, and with it the model's
+    functions could not be sent to tasks once the session has observed a write.
+    """
     assembler = VectorAssembler(inputCols=FEATURE_COLS, outputCol="features_vec")
     rf = RandomForestClassifier(featuresCol="features_vec", labelCol="label",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed)
     data = train_df.withColumn("label", F.col(TARGET).cast("double"))
-    return Pipeline(stages=[assembler, rf]).fit(data)
+    return Pipeline(stages=[assembler, rf]).fit(data).copy()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import random
 
 from sparksignal import schemas
 from sparksignal.plans import classifier
+from sparksignal.session import scratch_path
+from sparksignal.sources import versioned
 
 
 def _features(spark, n, seed=1):
@@ -45,6 +47,12 @@ def test_predictions_are_the_mean_of_the_trees(spark):
     assert [round(x, 4) for x in rows[max(rows)]] == [latest[0]["features"][c] for c in classifier.FEATURE_COLS]
 
 
+def test_a_forest_after_an_observed_write(spark):
+    versioned.publish(spark.range(3), scratch_path(spark, "observed"))
+    train, test = classifier.split_chronological(_features(spark, 60))
+    assert classifier.predict(classifier.train(train), test).count() == 12
+
+
 def test_held_out_accuracy(spark):
     f = _features(spark, 600, seed=2)
     train, test = classifier.split_chronological(f)
