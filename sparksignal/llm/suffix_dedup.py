@@ -66,20 +66,19 @@ def difference_cover(q: int) -> tuple[int, tuple[int, ...]]:
 
 
 def names(buf: np.ndarray, at: np.ndarray, width: int, lanes: int) -> np.ndarray:
-    """Names (n, lanes) of the ``width`` bytes from each place in ``at``."""
+    """Names (n, lanes) of the ``width`` bytes (8 at least) from each place in ``at``."""
     out = np.empty((len(at), lanes), np.uint64)
     if not len(at):
         return out
-    view = np.lib.stride_tricks.sliding_window_view(buf, width)
-    words = (width + 7) // 8
-    for i in range(0, len(at), 1 << 15):
-        rows = np.zeros((min(1 << 15, len(at) - i), words * 8), np.uint8)
-        rows[:, :width] = view[at[i:i + (1 << 15)]]
-        cols = np.ascontiguousarray(rows.view(np.uint64).T)
+    view = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))  # the eight bytes from every place
+    steps = [*range(0, width - 7, 8), *([width - 8] if width % 8 else [])]
+    for i in range(0, len(at), 1 << 14):
+        rows = at[i:i + (1 << 14)]
+        words = [view[rows + s] for s in steps]
         for k in range(lanes):
             m, n = (np.uint64(x) for x in LANES[k])
             h = np.full(len(rows), n, np.uint64)
-            for w in cols:
+            for w in words:
                 h ^= w
                 h *= m
                 h ^= h >> np.uint64(29)
@@ -90,12 +89,15 @@ def names(buf: np.ndarray, at: np.ndarray, width: int, lanes: int) -> np.ndarray
 
 
 class Rounds:
-    """What a chunk knows after each round; every round is recomputed from the texts and the replies."""
+    """The rounds of a chunk.  A round looks up its last round's names in the replies, keeps what is known
+    now as flags of the chunk's bytes (sent along, one bit each, so that no earlier round is computed again)
+    and asks for its own names."""
 
     def __init__(self, width: int, q: int, shards: int, total: int):
         self.width, self.shards = width, shards
         self.short = min(8, max(5, (total.bit_length() + SPARE_BITS + 7) // 8))  # bytes of a short name
         self.v, cover = difference_cover(q)
+        self.depth = {SAMPLES: width - self.v + 1, LONG_TIES: width + self.v - 1, REST: width, REST_EXACT: width}
         if width < self.v + 8:
             raise ValueError(f"width must be {self.v + 8} at least")
         self.in_cover = np.zeros(self.v, bool)
@@ -155,20 +157,27 @@ class Rounds:
     def ask(self, level: int):
         """The message function of a round."""
         def fn(chunk: int, docs: pa.Table, replies: pa.Table | None) -> pa.Table:
-            got = [x[level] for x in self.levels(docs, replies, level)]
+            parts, known = self.known(level, docs, replies)
+            got = [self.names(b, self.asked(level, b, f), self.depth[level], level) for b, f in zip(parts, known)]
             got = np.concatenate(got) if got else np.zeros((0, 1 if level in SHORT else 2), np.uint64)
             uniq, shard, _, twice, _ = self.ordered(got)
             runs = _runs(shard)
-            return pa.table({"shard": pa.array([s for s, _, _ in runs], pa.int64()),
-                             "chunk": pa.array([chunk] * len(runs), pa.int64()),
-                             "payload": pa.array([self.pack(uniq[lo:hi], twice[lo:hi]) for _, lo, hi in runs], pa.binary())})
+            sent = [(s, self.pack(uniq[lo:hi], twice[lo:hi])) for s, lo, hi in runs]
+            if level > SAMPLES:
+                sent.append((-1 - chunk, _bits(known)))
+            return pa.table({"shard": pa.array([s for s, _ in sent], pa.int64()),
+                             "chunk": pa.array([chunk] * len(sent), pa.int64()),
+                             "payload": pa.array([p for _, p in sent], pa.binary())})
 
         return fn
 
     def answer(self, level: int):
         """One bucket: sort its names, flag those met twice (in one chunk or in two) and the first place
-        of each, reply to each chunk."""
+        of each, reply to each chunk.  A chunk's own flags (a negative shard) go back as they are."""
         def fn(key, got):
+            if key[0].as_py() < 0:
+                return pa.table({"chunk": got["chunk"].cast(pa.int64()), "round": pa.array([level] * len(got), pa.int32()),
+                                 "shard": got["shard"].cast(pa.int64()), "payload": got["payload"].cast(pa.binary())})
             got = got.sort_by("chunk")  # the first place of a name is that in the first chunk
             sent = [self.unpack(p, 1 if level in SHORT else 2) for p in got["payload"].to_pylist()]
             whole, m = (np.concatenate(x) for x in zip(*sent))
@@ -187,71 +196,55 @@ class Rounds:
 
         return fn
 
-    def levels(self, docs: pa.Table, replies: pa.Table | None, upto: int):
-        """For each block of the chunk: the names of rounds 0 to ``upto``, then (if all rounds are
-        answered) the start flags of removed strings.  Replies hold bits in the order of the whole
-        chunk's distinct names, so the names of all blocks are gathered before they are looked up."""
-        by_round: list[dict[int, bytes]] = [{} for _ in range(RESULT)]
-        if replies is not None:
-            for r, s, p in zip(replies["round"].to_pylist(), replies["shard"].to_pylist(),
-                               replies["payload"].to_pylist()):
-                by_round[r][s] = p
-        parts = [(first, ch.Block(texts)) for first, texts in ch.blocks(docs)]
-        found = [[None] * (RESULT + 1) for _ in parts]
-        places = []
-        for k, (_, b) in enumerate(parts):
-            off = np.arange(len(b.buf), dtype=np.int32) - np.repeat(b.starts, b.lens).astype(np.int32)
-            left = np.repeat(b.lens, b.lens).astype(np.int32) - off
-            at = np.flatnonzero(self.in_cover[off % self.v] & (left >= self.width - self.v + 1))
-            found[k][SAMPLES] = self.names(b, at, self.width - self.v + 1, SAMPLES)
-            places.append((at, left))
-        if upto == SAMPLES or not found:
-            return found
-
-        def look(level):
-            cuts = np.cumsum([len(f[level]) for f in found])[:-1]
-            whole = np.concatenate([f[level] for f in found])
-            return [np.split(x, cuts) for x in self.tied(whole, by_round[level])]
-
-        tied, _ = look(SAMPLES)
-        long_at = []
-        for k, (_, b) in enumerate(parts):
-            at, left = places[k]
-            at = at[tied[k]]
-            long_at.append(at[left[at] >= self.width + self.v - 1])
-            found[k][LONG_TIES] = self.names(b, long_at[k], self.width + self.v - 1, LONG_TIES)
-        if upto == LONG_TIES:
-            return found
-        sure, first_here = look(LONG_TIES)
-        rest_at, flags = [], []
-        for k, (_, b) in enumerate(parts):
-            at, left = places[k]
-            n = len(b.buf)
-            settled = _cover(n, long_at[k][sure[k]], self.v)
-            known = _cover(n, long_at[k][sure[k] & ~first_here[k]], self.v)  # an earlier place sends these
-            near = _cover(n + self.v, at[tied[k]] + 1, self.v)[self.v:]  # a tied sample lies in [i, i + v)
-            rest_at.append(np.flatnonzero((near | settled) & ~known & (left >= self.width)))
-            flags.append(settled)
-            found[k][REST] = self.names(b, rest_at[k], self.width, REST)
-        if upto == REST:
-            return found
-        again, _ = look(REST)
-        for k, (_, b) in enumerate(parts):
-            rest_at[k] = rest_at[k][again[k]]
-            found[k][REST_EXACT] = self.names(b, rest_at[k], self.width, REST_EXACT)
-        if upto == REST_EXACT:
-            return found
-        last, _ = look(REST_EXACT)
-        for k, (first, b) in enumerate(parts):
-            flags[k][rest_at[k][last[k]]] = True
-            found[k][RESULT] = (first, b, flags[k])
-        return found
+    def samples(self, b: ch.Block) -> np.ndarray:
+        off = np.arange(len(b.buf), dtype=np.int32) - np.repeat(b.starts, b.lens).astype(np.int32)
+        at = np.flatnonzero(self.in_cover[off % self.v])
+        return at[_left(b, at) >= self.depth[SAMPLES]]
+
+    def asked(self, level: int, b: ch.Block, flags: tuple[np.ndarray, ...]) -> np.ndarray:
+        """The places whose names a round asks for: cover samples, tied samples, suffixes left."""
+        if level == SAMPLES:
+            return self.samples(b)
+        at = np.flatnonzero(flags[-1])
+        return at[_left(b, at) >= self.depth[level]]
+
+    def after(self, level: int, b: ch.Block, flags: tuple[np.ndarray, ...], at: np.ndarray, found: np.ndarray,
+              first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Flags of a block's bytes after the replies to a round: (tied samples) after the first, (settled
+        suffixes, suffixes left) after the others."""
+        n = len(b.buf)
+        if level == LONG_TIES:
+            settled = _cover(n, at[found], self.v)
+            sent_by_first = _cover(n, at[found & ~first], self.v)
+            near = _cover(n + self.v, np.flatnonzero(flags[0]) + 1, self.v)[self.v:]  # a tied sample lies in [i, i + v)
+            return settled, (near | settled) & ~sent_by_first
+        marked = np.zeros(n, bool)
+        marked[at[found]] = True
+        return (*flags[:-1], marked)
+
+    def known(self, level: int, docs: pa.Table, replies: pa.Table | None):
+        """Blocks of the chunk, and each block's flags when round ``level`` starts.  Replies hold bits in the
+        order of the whole chunk's distinct names, so the names of all blocks are gathered before they are looked up."""
+        parts = [ch.Block(texts) for _, texts in ch.blocks(docs)]
+        if level == SAMPLES:
+            return parts, [()] * len(parts)
+        bits = dict(zip(replies["shard"].to_pylist(), replies["payload"].to_pylist()))
+        own = [p for s, p in bits.items() if s < 0]
+        last = level - 1
+        flags = _flags(own[0], parts, 1 if last == LONG_TIES else 2) if last else [()] * len(parts)
+        at = [self.asked(last, b, f) for b, f in zip(parts, flags)]
+        if not parts:
+            return parts, []
+        got = np.concatenate([self.names(b, a, self.depth[last], last) for b, a in zip(parts, at)])
+        cuts = np.cumsum([len(a) for a in at])[:-1]
+        found, first = (np.split(x, cuts) for x in self.tied(got, bits))
+        return parts, [self.after(last, *x) for x in zip(parts, flags, at, found, first)]
 
     def result(self):
         def fn(chunk: int, docs: pa.Table, replies: pa.Table) -> pa.Table:
             n_removed, spans, kept = [], [], []
-            for *_, (_, b, starts) in self.levels(docs, replies, RESULT):
-                gone = _cover(len(b.buf), np.flatnonzero(starts), self.width)
+            for b, (settled, again) in zip(*self.known(RESULT, docs, replies)):
+                gone = _cover(len(b.buf), np.flatnonzero(settled | again), self.width)
                 for lo, n in zip(b.starts.tolist(), b.lens.tolist()):
                     g = gone[lo:lo + n]
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], g.view(np.int8), [0]])))
@@ -275,11 +268,30 @@ def _runs(x: np.ndarray):
 
 
 def _cover(n: int, at: np.ndarray, width: int) -> np.ndarray:
-    """Places 0..n-1 within ``width`` from any place in ``at`` on."""
-    d = np.zeros(n + width + 1, np.int32)
-    np.add.at(d, at, 1)
-    np.add.at(d, at + width, -1)
-    return np.cumsum(d)[:n] > 0
+    """Places 0..n-1 within ``width`` from any place in ``at`` (ascending) on."""
+    d = np.zeros(n + 1, np.int8)
+    if len(at):
+        gap = np.diff(at) > width
+        d[at[np.concatenate([[True], gap])]] = 1
+        d[np.minimum(at[np.concatenate([gap, [True]])] + width, n)] -= 1
+    return np.cumsum(d[:n], dtype=np.int8).view(bool)
+
+
+def _left(b: ch.Block, at: np.ndarray) -> np.ndarray:
+    """Bytes from each place to the end of its document."""
+    return (b.starts + b.lens)[np.searchsorted(b.starts, at, "right") - 1] - at
+
+
+def _bits(flags: list[tuple[np.ndarray, ...]]) -> bytes:
+    """The flags of a chunk's blocks as bits: all of the first kind, then all of the second."""
+    return np.packbits(np.concatenate([x for kind in zip(*flags) for x in kind])).tobytes() if flags else b""
+
+
+def _flags(payload: bytes, parts: list[ch.Block], kinds: int) -> list[tuple[np.ndarray, ...]]:
+    sizes = [len(b.buf) for b in parts] * kinds
+    flat = np.unpackbits(np.frombuffer(payload, np.uint8), count=sum(sizes)).view(bool)
+    each = np.split(flat, np.cumsum(sizes)[:-1])
+    return list(zip(*(each[k * len(parts):(k + 1) * len(parts)] for k in range(kinds))))
 
 
 def dedup(docs: DataFrame, text_col: str = "text", width: int = WIDTH, cover_order: int = COVER_ORDER,
@@ -295,8 +307,7 @@ def dedup(docs: DataFrame, text_col: str = "text", width: int = WIDTH, cover_ord
     replies = None
     for level in range(RESULT):
         sent = ch.ask(table, replies, rounds.ask(level))
-        got = ch.write_table(sent.groupBy("shard").applyInArrow(rounds.answer(level), ch.REPLY), f"ties{level}")
-        replies = got if replies is None else replies.unionByName(got)
+        replies = ch.write_table(sent.groupBy("shard").applyInArrow(rounds.answer(level), ch.REPLY), f"ties{level}")
     row = table.schema["row"].dataType.simpleString()
     out = ch.ask(table, replies, rounds.result(),
                  f"row {row}, n_bytes long, n_removed long, removed array<struct<begin:long,end:long>>, kept binary")
