@@ -208,6 +208,37 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_over_many_regions_slices_and_a_hot_vector(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SAMPLE_ROWS", 400)
+    monkeypatch.setattr(topk, "BOX_SHARDS", 4)
+    monkeypatch.setattr(topk, "SLICE_BYTES", 400)
+    points = RNG.integers(-40, 41, (900, 4)) / 8
+    points[300:600] = points[300]  # a third of all rows
+    points[600:] += 30
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, shard_rows=50, query_rows=4).collect()}
+    whole, want = (256 * points).astype(np.int64), {}
+    for q in range(0, 900, 50):
+        best = sorted((-int(whole[q] @ v), i) for i, v in enumerate(whole) if i != q)[:5]
+        want |= {(q, k): (i, -s) for k, (s, i) in enumerate(best, 1)}
+    assert got == want
+    uid = df.withColumn("dim", F.size("embedding")).withColumnRenamed("embedding", "vector").withColumn("uid", F.col("vec_id"))
+    shards = [r["count"] for r in topk.dealt(uid, 900, 50).groupBy("part").count().collect()]
+    assert sum(shards) == 900 and max(shards) < 100 and len(shards) >= 18
+
+
+def test_top_splits_part_the_plane():
+    points = np.concatenate([RNG.normal(0, 1, (500, 3)), np.zeros((500, 3)), RNG.normal(9, 1, (500, 3))])
+    splits = topk.top_splits(points, 8)
+    region = topk.regions_of(splits, points)
+    boxes = [(points[region == r].min(0), points[region == r].max(0)) for r in np.unique(region)]
+    assert 4 <= len(boxes) <= 8
+    for q in RNG.normal(0, 5, (20, 3)):  # no box promises less than its best row
+        bounds = topk.box_bounds(q[None], *(np.array(x) for x in zip(*boxes)))[0]
+        assert all(b >= (points[region == r] @ q).max() - 1e-9 for b, r in zip(bounds, np.unique(region)))
+    assert len(np.unique(topk.regions_of(topk.top_splits(np.zeros((50, 2)), 4), np.zeros((50, 2))))) == 1
+
+
 def test_external_shuffle(spark, docs, empty):
     hot = spark.range(2000).select(F.when(F.col("id") < 700, 1).otherwise(F.col("id")).alias("doc_id"), F.lit(1).alias("shard"))
     rows = sharding.shuffled_shards(hot, bucket_rows=100).select("row.doc_id", "shard", "slot").collect()
