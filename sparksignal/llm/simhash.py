@@ -8,6 +8,11 @@ blocks.  Each shard builds a BK-tree (children keyed by their Hamming distance t
 only edges within the radius.  A tree is sent to the fingerprints of its own shard alone, since a
 broadcast of all trees has no size bound.
 
+A shard of over ``CROWD`` fingerprints is split by a second choice of blocks: its fingerprints agree in the
+whole blocks of the first choice (pairs that don't, meet under another choice), and the bits that vary among
+them are cut into ``radius + AGAIN`` blocks, of which ``AGAIN`` at least agree.  Bits that all of them share don't
+count, so fingerprints with long common parts are split as well as others.
+
 Only connectivity is needed, so a shard returns a spanning forest, never all pairs: everything within
 the radius of a node is one component with it, and the search between such subtrees is skipped.
 
@@ -33,6 +38,7 @@ from sparksignal.llm.components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 SHARD_POINTS = 2048
+CROWD, AGAIN = 4 * SHARD_POINTS, 2
 LEAF = 128
 
 
@@ -170,6 +176,32 @@ def link_shard(points: np.ndarray, radius: int) -> np.ndarray:
     return np.array([forest.find(i) for i in range(len(points))], np.int64)
 
 
+def second_masks(whole: int, varying: int, radius: int) -> list[int]:
+    """The bits of each second choice: the first choice's ``whole`` blocks and ``AGAIN`` blocks of the other varying bits."""
+    bits = [1 << b for b in range(64) if (varying & ~whole) >> b & 1]
+    parts = [sum(bits[len(bits) * i // (radius + AGAIN):len(bits) * (i + 1) // (radius + AGAIN)]) for i in range(radius + AGAIN)]
+    return [whole | sum(c) for c in combinations(parts, AGAIN)]
+
+
+def split_crowds(shards: DataFrame, whole: list[int], radius: int, crowd: int = CROWD) -> DataFrame:
+    """``fp, pick, part`` with ``again, rest``: a second choice and its bits, in crowded shards only (-1 and 0 in others)."""
+    def masks(batches):
+        for b in batches:
+            rows = b.to_pylist()
+            found = [second_masks(whole[r["pick"]], r["varying"] % (1 << 64), radius) for r in rows]
+            found = [np.array(m, np.uint64).view(np.int64).tolist() for m in found]
+            yield pa.RecordBatch.from_arrays([pa.array([r["pick"] for r in rows], pa.int32()), pa.array([r["part"] for r in rows], pa.int64()),
+                                              pa.array(found, pa.list_(pa.int64()))], ["pick", "part", "masks"])
+
+    varying = F.bit_or("fp").bitwiseXOR(F.bit_and("fp")).alias("varying")
+    crowded = shards.groupBy("pick", "part").agg(F.count("*").alias("n"), varying).where(F.col("n") > crowd)
+    told = shards.join(crowded.mapInArrow(masks, "pick int, part long, masks array<long>"), ["pick", "part"], "left")
+    choices = F.coalesce("masks", F.array(F.lit(None).cast("long")))
+    told = told.select("fp", "pick", "part", F.posexplode(choices).alias("again", "mask"))
+    return told.select("fp", "pick", "part", F.when(F.col("mask").isNull(), -1).otherwise(F.col("again")).alias("again"),
+                       F.coalesce(F.col("fp").bitwiseAND(F.col("mask")), F.lit(0).cast("long")).alias("rest"))
+
+
 def links(fps: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     """Spanning links ``a, b`` (fingerprints as longs) of distinct fingerprints ``fp``."""
     share, want = 1, max(1, int(np.ceil(np.log2(max(2, n) / SHARD_POINTS))))
@@ -186,6 +218,7 @@ def links(fps: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
             key, room = F.shiftleft(key, width).bitwiseOR(part), room - width
         keys.append(key)
     shards = fps.select("fp", F.posexplode(F.array(*keys)).alias("pick", "part"))
+    whole = [sum((1 << cuts[b + 1]) - (1 << cuts[b]) for b in pick) for pick in combinations(range(blocks), share)]
 
     def link(key, got):
         fp = np.sort(got["fp"].to_numpy().view(np.uint64))
@@ -193,7 +226,7 @@ def links(fps: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
         far = np.flatnonzero(root != np.arange(len(fp)))
         return pa.table({"a": pa.array(fp[far].view(np.int64)), "b": pa.array(fp[root[far]].view(np.int64))})
 
-    return shards.groupBy("pick", "part").applyInArrow(link, "a long, b long")
+    return split_crowds(shards, whole, radius).groupBy("pick", "part", "again", "rest").applyInArrow(link, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,

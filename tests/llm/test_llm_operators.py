@@ -164,6 +164,27 @@ def test_bk_forest_equals_brute_force():
         assert (simhash.link_shard(pts, 4) == label).all()
 
 
+def test_crowded_shards_are_split(spark):
+    shared = int(RNG.integers(0, 1 << 38)) << 26  # three of five blocks and more
+    pts = np.unique(np.array([shared | int(x) for x in RNG.integers(0, 1 << 26, 20_000)], np.uint64))
+    fps = spark.createDataFrame([(int(x),) for x in pts.view(np.int64)], "fp long")
+    shards = fps.select("fp", F.lit(0).alias("pick"), F.lit(7).cast("long").alias("part"))
+    split = simhash.split_crowds(shards, [((1 << 12) - 1) << 40], 4, 4000)
+    sizes = [r["count"] for r in split.groupBy("pick", "part", "again", "rest").count().collect()]
+    assert sum(sizes) == 15 * len(pts) and max(sizes) < 500
+    want = simhash.link_shard(pts, 4)
+    got = {r.node: r.root for r in components.components(simhash.links(fps, len(pts))).collect()}
+    ours = collections.defaultdict(set)
+    theirs = collections.defaultdict(set)
+    for i, x in enumerate(pts.view(np.int64).tolist()):
+        ours[got.get(x, x)].add(x)
+        theirs[int(want[i])].add(x)
+    assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values())) and len(theirs) > 1
+    assert split.where("again = -1").count() == 0
+    assert simhash.split_crowds(shards, [0], 4).where("again <> -1 or rest <> 0").count() > 0
+    assert simhash.split_crowds(shards.limit(50), [0], 4).where("again <> -1 or rest <> 0").count() == 0
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100), (52, 51)], "a long, b long")
     got = {r.node: r.root for r in components.components(links).collect()}
