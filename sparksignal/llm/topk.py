@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 from sparksignal.llm.chunks import write_table
 
 K, EVERY, SCALE = 5, 50, 256
-SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 8192, 2048, 64
+SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 8192, 2048, 256
 SAMPLE_ROWS, LEAST_SAMPLE = 16_384, 16  # rows that place the regions; of these in a region at least
 BOX_SHARDS, SLICE_BYTES = 256, 64 << 20
 EXACT = float(1 << 53)
