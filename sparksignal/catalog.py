@@ -94,14 +94,14 @@ def _narrow(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return views.narrow(spark, sf_dir, source)
 
 
-def _sources(spark: SparkSession, sf_dir: str) -> dict:
-    """What ``feature_table`` reads besides the prices: one scan of the posts, one of the articles."""
-    return {"posts": views.post_values(spark, sf_dir), "articles": views.articles(spark, sf_dir), "segment": F.col("segment")}
+def _sources(spark: SparkSession, sf_dir: str, shared: DataFrame | None = None) -> dict:
+    """What ``feature_table`` reads besides the prices: one scan of the posts, one of the articles (or of stored ``shared`` rows)."""
+    return {"posts": views.post_values(spark, sf_dir), "articles": views.articles(spark, sf_dir, shared), "segment": F.col("segment")}
 
 
-def features_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+def features_df(spark: SparkSession, sf_dir: str, shared: DataFrame | None = None) -> DataFrame:
     # day-grain rows that the block numbering reads twice
-    return feat.feature_table(materialize(views.prices(spark, sf_dir)), **_sources(spark, sf_dir))
+    return feat.feature_table(materialize(views.prices(spark, sf_dir)), **_sources(spark, sf_dir, shared))
 
 
 def summary_df(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1106,15 +1106,19 @@ UNION ALL SELECT 'conflict_news', count(*) FROM conflict
 UNION ALL SELECT 'exit_index', count(*) FROM pressure
 UNION ALL SELECT 'tension', count(*) FROM tension""")
 def q_serving_tables(spark, sf_dir):
-    """Full refresh of the six serving tables (K5) and row counts read back by name."""
-    f = materialize(features_df(spark, sf_dir))
+    """Full refresh of the six serving tables (K5) and row counts read back by name.
+
+    The features and the three article tables read one stored set of cleaned rows: texts are scored, tagged and moved once.
+    """
+    shared = materialize(views.cleaned_documents(spark, sf_dir))
+    f = materialize(features_df(spark, sf_dir, shared))
     tables = {
         "daily_summary": feat.last_n(feat.daily_summary(f), 30),
         "predictions": views.predictions(spark, sf_dir),
-        "statements": views.cleaned(spark, sf_dir, "statements"),
-        "conflict_news": views.cleaned(spark, sf_dir, "conflict_news"),
+        "statements": views.cleaned(spark, sf_dir, "statements", shared=shared),
+        "conflict_news": views.cleaned(spark, sf_dir, "conflict_news", shared=shared),
         "exit_index": models.pressure_index(f),
-        "tension": views.cleaned(spark, sf_dir, "tension_news"),
+        "tension": views.cleaned(spark, sf_dir, "tension_news", shared=shared),
     }
     root = scratch_path(spark, "serving")
     for name, df in tables.items():

@@ -9,7 +9,7 @@ small fixed word list below.
 Two plans compute the same number:
 
 * ``lexicon_compound`` -- a narrow expression: tokens are looked up in a
-  literal two-level table inside the row's own projection (``transform`` + ``aggregate``).
+  literal two-level table inside the row's own projection (``filter`` + ``transform`` + ``aggregate``).
   No explode, no join, no shuffle; its size is bounded by the word list.
 * ``lexicon_join_scores`` -- the relational form for a caller-supplied
   lexicon *table* of any size: explode tokens, keep those that a Bloom filter of the
@@ -71,14 +71,17 @@ def _table(lexicon: Mapping[str, float]) -> tuple[Column, int]:
 
 
 def _valences(text: str | Column, lexicon: Mapping[str, float]) -> Column:
-    """Valence of each token, 0 for other words: the token's hash picks a map of a word or two."""
+    """Valence of each token that is a word of the lexicon, in order: the token's hash picks a map of a word or two.
+
+    Other words, most of a text, only pass a hash set; their valence of 0 would not change a sum.
+    """
     table, places = _table(lexicon)
 
     def valence(t: Column) -> Column:
         place = F.pmod(F.crc32(t.cast("binary")), F.lit(places)).cast("int")
         return F.coalesce(F.try_element_at(F.get(table, place), t), F.lit(0.0))
 
-    return F.transform(tokens(text), valence)
+    return F.transform(F.filter(tokens(text), lambda t: t.isin(*sorted(lexicon))), valence)
 
 
 def lexicon_compound(text: str | Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON,
